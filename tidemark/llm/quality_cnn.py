@@ -174,7 +174,8 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "quality", per_clas
     """A model learned from the bounded sample, in one task; only the model comes to the driver."""
     small_batches(docs.sparkSession)
     rows = sample(docs, labels, label_col, per_class, max_bytes, id_col, text_col)
-    return rows.coalesce(1).mapInArrow(_fit, "model binary").first()["model"]
+    fitted = rows.coalesce(1).mapInArrow(_fit, "model binary").first()
+    return bytes(fitted["model"]) if fitted else dumps(train([], []))
 
 
 def scored(docs: DataFrame, model: bytes, text_col: str = "text", score_col: str = "score") -> DataFrame:

@@ -13,6 +13,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType
 
 from tidemark.llm.components import components
 from tidemark.llm.scratch import stored, texts
@@ -36,7 +37,7 @@ def simhash64(text: bytes) -> int:
     return int(np.packbits(2 * counts > len(hashes), bitorder="little").view(np.int64)[0])
 
 
-@F.arrow_udf("long")
+@F.arrow_udf(LongType())
 def fingerprint(text: pa.Array) -> pa.Array:
     return pa.array((simhash64(t) for t in text.cast(pa.binary()).to_pylist()), pa.int64())
 
@@ -51,14 +52,12 @@ def _without(value: Column, bit: Column) -> Column:
 
 def signatures(fps: DataFrame) -> DataFrame:
     """(key, fp): per fingerprint the 64 pairs of a segment and a deleted bit; segment, bit and rest are in the key."""
-    rows = [
-        F.transform(
-            F.sequence(F.lit(0), F.lit(31)),
-            lambda bit, s=s: (F.lit(32 * s) + bit).cast("long") * F.lit(1 << 32) + _without(_segment(F.col("fp"), s), bit),
-        )
-        for s in (0, 1)
-    ]
-    return fps.select(F.explode(F.concat(*rows)).alias("key"), "fp")
+
+    def of(segment: int) -> Column:
+        rest = _segment(F.col("fp"), segment)
+        return F.transform(F.sequence(F.lit(0), F.lit(31)), lambda bit: (F.lit(32 * segment) + bit).cast("long") * F.lit(1 << 32) + _without(rest, bit))
+
+    return fps.select(F.explode(F.concat(of(0), of(1))).alias("key"), "fp")
 
 
 def _crowded(members: DataFrame) -> DataFrame:

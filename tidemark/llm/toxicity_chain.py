@@ -149,7 +149,8 @@ def fit(docs: DataFrame, labels: DataFrame, categories: Sequence[str] = ("low_qu
 
     # the drawn ids are bounded by max_rows for each combination, and so small enough to broadcast
     rows = fits.join(F.broadcast(drawn), "doc_id").dropDuplicates(["doc_id"])
-    return rows.coalesce(1).mapInArrow(learn, "model string").first()["model"]
+    fitted = rows.coalesce(1).mapInArrow(learn, "model string").first()
+    return fitted["model"] if fitted else json.dumps(train([], np.zeros((0, len(cats)))))
 
 
 def scored(docs: DataFrame, model: str, text_col: str = "text", scores_col: str = "scores") -> DataFrame:
