@@ -10,7 +10,7 @@ from tidemark.llm.scratch import held_out, table, texts
 from tidemark.llm.token_units import default_path
 
 QUALITY_THRESHOLD = 0.3
-TOXIC_THRESHOLD = 0.5
+TOXIC_THRESHOLD = 0.7
 
 
 def op1_token_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
