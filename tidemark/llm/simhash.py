@@ -84,7 +84,8 @@ def links(fps: DataFrame) -> DataFrame:
     shared = stored(index.groupBy("key").agg(F.count("*").alias("n"), F.min("fp").alias("a"), F.max("fp").alias("b")).where("n > 1"), "signatures")
     near = "bit_count(a ^ b) <= 2"
     pairs = shared.where("n = 2").where(near).select("a", "b")
-    members = stored(index.join(shared.where("n > 2").select("key", "n"), "key"), "members")
+    # joined by sorting at every size: the shared signatures grow with the data, and this way skewed ones can be split
+    members = stored(index.join(shared.where("n > 2").select("key", "n").hint("merge"), "key"), "members")
     few = members.where(F.col("n") <= PAIRWISE)
     some = few.select("key", F.col("fp").alias("a")).join(few.select("key", F.col("fp").alias("b")), "key").where("a < b").where(near).select("a", "b")
     return pairs.union(some).union(_crowded(members.where(F.col("n") > PAIRWISE))).distinct()
