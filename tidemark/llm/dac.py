@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.scratch import new_path, small_batches, texts
-from tidemark.llm.token_units import word_bpe
+from tidemark.llm.token_units import in_chunks, word_bpe
 
 RANK = 512  # bits between two entries of a rank directory
 SEGMENT = 1 << 19  # tokens after which a segment is closed, between documents
@@ -105,7 +105,7 @@ def write(docs: DataFrame, vocabulary: str, end_id: int | None, path: str | None
     table writes no segment. Ranges of doc_id are dealt out to tasks, each writes its own shard.
     """
     spark = docs.sparkSession
-    small_batches(spark)
+    small_batches(spark, 64)
     path = path or new_path(spark, "token-codes")
 
     def segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -117,8 +117,8 @@ def write(docs: DataFrame, vocabulary: str, end_id: int | None, path: str | None
             row = [[shard], [segment], [first], [size], [names], [[len(p) for p in parts]], [pack(np.concatenate(parts))]]
             return pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(row, _SCHEMA)], schema=_SCHEMA)
 
-        for batch in batches:
-            for doc_id, ids in zip(batch["doc_id"].to_pylist(), encode(batch["text"].to_pylist())):
+        for rows in in_chunks(batches):
+            for doc_id, ids in zip(rows["doc_id"].to_pylist(), encode(rows["text"].combine_chunks())):
                 names.append(doc_id)
                 parts.append(np.concatenate([ids, end]))
                 size += len(parts[-1])

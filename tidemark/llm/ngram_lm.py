@@ -76,7 +76,7 @@ def scored(docs: DataFrame, vocabulary: str, order: int = 2, id_col: str = "doc_
     blocks = rows.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 + size // BLOCK_BYTES)))
 
     def explode(table: pa.Table) -> pa.Table:
-        ids = [x for batch in table.to_batches(256) for x in word_bpe(vocabulary)(batch["text"].to_pylist())]
+        ids = word_bpe(vocabulary)(table["text"].combine_chunks())
         keys, n = np.unique(np.concatenate([grams(x, k) for k in range(1, order + 1) for x in ids]), return_counts=True)
         return pa.table({"block": pa.repeat(table["block"][0], len(keys)), "gram": keys, "n": n.astype(np.int64)})
 
@@ -89,10 +89,9 @@ def scored(docs: DataFrame, vocabulary: str, order: int = 2, id_col: str = "doc_
         slice = slice.sort_by("gram")
         known, n = slice["gram"].to_numpy(), slice["n"].to_numpy()
         lengths, scores = [], []
-        for batch in docs.to_batches(256):
-            for ids in word_bpe(vocabulary)(batch["text"].to_pylist()):
-                lengths.append(len(ids))
-                scores.append(score(ids, order, known, n, total))
+        for ids in word_bpe(vocabulary)(docs["text"].combine_chunks()):
+            lengths.append(len(ids))
+            scores.append(score(ids, order, known, n, total))
         return pa.table({"doc_id": docs["doc_id"], "n_tokens": pa.array(lengths, pa.int64()), "log10_score": pa.array(scores, pa.float64())})
 
     out = blocks.groupBy("block").cogroup(slices.groupBy("block")).applyInArrow(summed, "doc_id long, n_tokens long, log10_score double")

@@ -9,7 +9,7 @@ packed independently, so a task holds the lengths of one shard only.
 from __future__ import annotations
 
 from bisect import bisect_left
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.scratch import small_batches, stored, texts
-from tidemark.llm.token_units import word_bpe
+from tidemark.llm.token_units import in_chunks, word_bpe
 
 CAPACITIES = (2048, 4096, 8192)
 #: Pieces that a shard holds on average.
@@ -77,13 +77,14 @@ def pack_shard(lengths: Sequence[int], capacities: Sequence[int] = CAPACITIES) -
 
 def token_lengths(docs: DataFrame, vocabulary: str, ends: int = 1, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, length): ids of every whole text and ends more for its end. Null texts are empty ones."""
-    small_batches(docs.sparkSession)
+    small_batches(docs.sparkSession, 64)
 
-    @F.arrow_udf("long")
-    def count(text: pa.Array) -> pa.Array:
-        return pa.array([len(x) + ends for x in word_bpe(vocabulary)(text.to_pylist())], pa.int64())
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in in_chunks(batches):
+            n = [len(x) + ends for x in word_bpe(vocabulary)(rows["text"].combine_chunks())]
+            yield from rows.select(["doc_id"]).append_column("length", pa.array(n, pa.int64())).to_batches()
 
-    return texts(docs, id_col, text_col).select("doc_id", count("text").alias("length"))
+    return texts(docs, id_col, text_col).mapInArrow(count, "doc_id long, length long")
 
 
 _OUT = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int32()), ("shard", pa.int64()), ("bin", pa.int32()), ("position", pa.int32()), ("capacity", pa.int32())])

@@ -10,15 +10,27 @@ from __future__ import annotations
 import os
 import re
 from array import array
+from collections.abc import Iterator
+from operator import itemgetter
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
-#: Parts remembered by one worker; when they are more, it forgets all and starts again.
-REMEMBERED = 400_000
+#: Parts remembered by one worker, some 300 MB; when they are more, it forgets all and starts again.
+REMEMBERED = 1_500_000
 #: Characters of the longest part that is remembered.
 LONGEST = 64
 
+#: New parts that are encoded as one string.
+TOGETHER = 200
+
+_BLANK = {"", *filter(str.isspace, map(chr, range(0x3001)))}
+_first, _last = itemgetter(slice(0, 1)), itemgetter(slice(-1, None))
 _CUT = re.compile(r"(?<=\S) (?=\S)")
+_SPACE = r"[\s\v\x1c-\x1f\x{85}\p{Z}]"
+#: A single space next to white space or an end, in RE2: such texts are cut by _CUT.
+_UNSAFE = rf"(?:^|{_SPACE}) | (?:{_SPACE}|$)"
 
 
 def default_path(name: str) -> str:
@@ -38,25 +50,79 @@ class WordBpe:
         self.tok.no_truncation()
         self.tok.no_padding()
         self.known: dict[str, bytes] = {}
+        words = (self.tok.id_to_token(i) or "" for i in range(self.tok.get_vocab_size()))
+        self.opens = np.array([w.startswith("\u0120") for w in words])  # tokens that begin with a space
 
     def _encode(self, parts: list[str]) -> list[bytes]:
         return [array("I", e.ids).tobytes() for e in self.tok.encode_batch_fast(parts, add_special_tokens=False)]
 
-    def __call__(self, texts: list[str]) -> list[np.ndarray]:
-        """One array of unsigned 32-bit ids for each text; an empty text has none."""
+    def _learn(self, words: list[str]) -> list[bytes]:
+        """Ids of parts that follow a space, TOGETHER of them in one string, since a space opens the first token of each."""
+        groups = [words[i : i + TOGETHER] for i in range(0, len(words), TOGETHER)]
+        out: list[bytes] = []
+        for group, e in zip(groups, self.tok.encode_batch_fast([" " + " ".join(g) for g in groups], add_special_tokens=False)):
+            ids = np.array(e.ids, np.uint32)
+            at = np.flatnonzero(self.opens[ids])
+            if len(at) == len(group) and not (set(map(_first, group)) | set(map(_last, group))) & _BLANK:
+                blob, at = ids.tobytes(), (4 * at).tolist()
+                out += [blob[a:b] for a, b in zip(at, [*at[1:], len(blob)])]
+            else:
+                out += self._encode([" " + w for w in group])
+        return out
+
+    def _of(self, words: list[str]) -> list[bytes]:
+        """Ids of parts that follow a space, from memory where they are known."""
         if len(self.known) > REMEMBERED:
             self.known.clear()
-        known, split = self.known, [_CUT.split(t) for t in texts]
-        new = list({p for parts in split for p in parts[1:] if p not in known})
-        fresh = dict(zip(new, self._encode([" " + p for p in new])))
-        known.update((p, b) for p, b in fresh.items() if len(p) <= LONGEST)
-        heads = self._encode([parts[0] for parts in split])
-        out = []
-        for head, parts in zip(heads, split):
-            of = [known[p] if p in known else fresh[p] for p in parts[1:]]
-            out.append(np.frombuffer(b"".join([head, *of]), np.uint32))
+        out = list(map(self.known.get, words))
+        new = [i for i, b in enumerate(out) if b is None]
+        for i, b in zip(new, self._learn([words[i] for i in new])):
+            out[i] = b
+            if len(words[i]) <= LONGEST:
+                self.known[words[i]] = b
         return out
 
+    def _plain(self, text: str) -> np.ndarray:
+        parts = _CUT.split(text)
+        return np.frombuffer(b"".join(self._encode(parts[:1]) + self._of(parts[1:])), np.uint32)
+
+    def __call__(self, texts: pa.Array | list[str]) -> list[np.ndarray]:
+        """One array of unsigned 32-bit ids for each text; null and empty texts have none."""
+        texts = pc.fill_null(texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string()), "")
+        if not len(texts):
+            return []
+        lists = pc.split_pattern(texts, " ")
+        flat = lists.flatten().dictionary_encode()
+        sizes = lists.value_lengths().to_numpy()
+        first = np.cumsum(sizes) - sizes
+        heads = pc.take(flat.dictionary, flat.indices.take(pa.array(first))).to_pylist()
+        blobs = self._of(flat.dictionary.to_pylist()) + self._encode(heads)
+        of = flat.indices.to_numpy().copy()
+        of[first] = len(flat.dictionary) + np.arange(len(heads))
+        table = np.frombuffer(b"".join(blobs), np.uint32)
+        lengths = np.fromiter(map(len, blobs), np.int64, len(blobs)) // 4
+        n = lengths[of]
+        begins = (np.cumsum(lengths) - lengths)[of]
+        ends = np.cumsum(n)
+        ids = table[np.arange(ends[-1]) + np.repeat(begins - (ends - n), n)]
+        out = np.split(ids, ends[first[1:] - 1])
+        for i in np.flatnonzero(pc.match_substring_regex(texts, _UNSAFE).to_numpy(zero_copy_only=False)):
+            out[i] = self._plain(texts[int(i)].as_py())
+        return out
+
+
+def in_chunks(batches: Iterator[pa.RecordBatch], size: int = 4 << 20) -> Iterator[pa.Table]:
+    """The rows of batches in tables that end once their text column has so many bytes: many words repeat in one."""
+    held, n = [], 0
+    for batch in batches:
+        held.append(batch)
+        n += pc.sum(pc.binary_length(batch["text"])).as_py() or 0
+        if n >= size:
+            yield pa.Table.from_batches(held).combine_chunks()
+            held, n = [], 0
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks()
+
 
 _loaded: dict[str, WordBpe] = {}
 

@@ -160,7 +160,7 @@ def encoded(docs: DataFrame, vocabulary: str, text_col: str = "text", ids_col: s
 
     @F.arrow_udf("array<int>")
     def short(text: pa.Array) -> pa.Array:
-        return _lists(tree_bpe(vocabulary)([t or "" for t in text.to_pylist()]))
+        return _lists(tree_bpe(vocabulary)(text))
 
     others = [c for c in docs.columns if c != ids_col]
     text = F.coalesce(docs[text_col], F.lit(""))
