@@ -1,7 +1,7 @@
 """Stupid-backoff scores of documents under n-gram counts of the whole corpus.
 
 Units are ids of a byte-level BPE, so the vocabulary is closed and an n-gram of up to four ids is one
-exact 64-bit key. Documents are dealt into blocks of bounded size. Every block's n-grams are exploded
+exact 64-bit key. Texts are encoded once, and documents are dealt into blocks of bounded size. Every block's n-grams are exploded
 into rows, added up to a count table that is partitioned by the hash of the n-gram, and joined back, so
 each block receives the counts of its own n-grams and no others; then scores are summed per document.
 A document's own n-grams are taken off the counts before it is scored.
@@ -9,16 +9,18 @@ A document's own n-grams are taken off the counts before it is scored.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.scratch import small_batches, stored, texts
-from tidemark.llm.token_units import word_bpe
+from tidemark.llm.token_units import in_chunks, word_bpe
 
 #: Bytes of text that a block holds on average.
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 4 << 20
 BACKOFF = 0.4
 _DIGIT = 1 << 16  # ids are below this; an n-gram is a number with digits id + 1, so no two of them are equal
 
@@ -70,14 +72,22 @@ def scored(docs: DataFrame, vocabulary: str, order: int = 2, id_col: str = "doc_
     """
     if not 1 <= order <= 4:
         raise ValueError("order must be 1 to 4")
-    small_batches(docs.sparkSession)
+    small_batches(docs.sparkSession, 64)
     rows = texts(docs, id_col, text_col)
     size = rows.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
-    blocks = rows.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 + size // BLOCK_BYTES)))
+    dealt = rows.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 + size // BLOCK_BYTES)))
+
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in in_chunks(batches):
+            ids = pa.array([x.astype(np.uint16).tobytes() for x in word_bpe(vocabulary)(part["text"].combine_chunks())], pa.binary())
+            yield from part.select(["block", "doc_id"]).append_column("ids", ids).to_batches()
+
+    blocks = stored(dealt.mapInArrow(encode, "block long, doc_id long, ids binary"), "ids")
 
     def explode(table: pa.Table) -> pa.Table:
-        ids = word_bpe(vocabulary)(table["text"].combine_chunks())
-        keys, n = np.unique(np.concatenate([grams(x, k) for k in range(1, order + 1) for x in ids]), return_counts=True)
+        ids = [np.frombuffer(x, np.uint16) for x in table["ids"].to_pylist()]
+        found = [np.unique(np.concatenate([grams(x, k) for x in ids]), return_counts=True) for k in range(1, order + 1)]
+        keys, n = (np.concatenate(c) for c in zip(*found))
         return pa.table({"block": pa.repeat(table["block"][0], len(keys)), "gram": keys, "n": n.astype(np.int64)})
 
     exploded = stored(blocks.groupBy("block").applyInArrow(explode, "block long, gram long, n long"), "ngrams")
@@ -89,7 +99,8 @@ def scored(docs: DataFrame, vocabulary: str, order: int = 2, id_col: str = "doc_
         slice = slice.sort_by("gram")
         known, n = slice["gram"].to_numpy(), slice["n"].to_numpy()
         lengths, scores = [], []
-        for ids in word_bpe(vocabulary)(docs["text"].combine_chunks()):
+        for blob in docs["ids"].to_pylist():
+            ids = np.frombuffer(blob, np.uint16)
             lengths.append(len(ids))
             scores.append(score(ids, order, known, n, total))
         return pa.table({"doc_id": docs["doc_id"], "n_tokens": pa.array(lengths, pa.int64()), "log10_score": pa.array(scores, pa.float64())})
