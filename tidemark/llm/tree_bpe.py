@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.scratch import small_batches, stored
-from tidemark.llm.token_units import WordBpe
+from tidemark.llm.token_units import WordBpe, in_chunks
 
 #: Characters without white space from which a text takes the parallel way.
 LONG = 8192
@@ -48,6 +48,14 @@ class TreeBpe(WordBpe):
         specials = [t.content for t in self.tok.get_added_tokens_decoder().values()]
         self.special = re.compile("(" + "|".join(map(re.escape, specials)) + ")") if specials else None
 
+        if self.tok.decoder is None:  # decoding is then each token's string, with spaces between
+            self.strings = [self.tok.decode([i], skip_special_tokens=False) for i in range(self.tok.get_vocab_size())]
+
+    def decode(self, ids: list[int]) -> str:
+        if self.tok.decoder is None:
+            return " ".join(map(self.strings.__getitem__, ids))
+        return self.tok.decode(ids, skip_special_tokens=False)
+
     def symbols(self, piece: str, last: bool) -> list[int]:
         return [t.id for t in (self.tok.model if last else self.inner).tokenize(piece)] if piece else []
 
@@ -156,11 +164,12 @@ def encoded(docs: DataFrame, vocabulary: str, text_col: str = "text", ids_col: s
     a row without white space are cut into leaves that tasks encode in parallel; equal ones only once.
     An empty table gives no rows.
     """
-    small_batches(docs.sparkSession)
+    small_batches(docs.sparkSession, 64)
 
     @F.arrow_udf("array<int>")
-    def short(text: pa.Array) -> pa.Array:
-        return _lists(tree_bpe(vocabulary)(text))
+    def short(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for rows in in_chunks(pa.RecordBatch.from_arrays([t.cast(pa.string())], ["text"]) for t in texts):
+            yield _lists(tree_bpe(vocabulary)(rows["text"].combine_chunks()))
 
     others = [c for c in docs.columns if c != ids_col]
     text = F.coalesce(docs[text_col], F.lit(""))
@@ -177,6 +186,7 @@ def decoded(ids: Column, vocabulary: str) -> Column:
 
     @F.arrow_udf("string")
     def of(ids: pa.Array) -> pa.Array:
-        return pa.array(tree_bpe(vocabulary).tok.decode_batch([x or [] for x in ids.to_pylist()], skip_special_tokens=False), pa.string())
+        bpe = tree_bpe(vocabulary)
+        return pa.array([bpe.decode(x or []) for x in ids.to_pylist()], pa.string())
 
     return of(ids)
