@@ -44,6 +44,15 @@ def test_units_are_the_library(documents):
         assert ids.tolist() == tok.encode(t, add_special_tokens=False).ids, t
 
 
+def test_tree_units_are_the_library():
+    tok, rng = Tokenizer.from_file(WORD), random.Random(7)
+    alphabet = ["<|endoftext|>", "<|startoftext|>", "<|start", *" \n\t\u0085\u200b ab'sT\u00e9.,1\u03a3\u0301\u1e9e\U0001f600"]
+    made = ["".join(rng.choice(alphabet) for _ in range(rng.randint(0, 30))) for _ in range(3000)]
+    for t, ids in zip(made, tree_bpe.tree_bpe(WORD)(made)):
+        assert ids.tolist() == tok.encode(t, add_special_tokens=False).ids, t
+        assert tree_bpe.tree_bpe(WORD).decode(ids.tolist()) == tok.decode(ids.tolist(), skip_special_tokens=False)
+
+
 def codes_of(tok, docs):
     start, out = 0, []
     for doc_id, text in docs:

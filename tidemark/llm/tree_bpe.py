@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.scratch import small_batches, stored
-from tidemark.llm.token_units import WordBpe, in_chunks
+from tidemark.llm.token_units import TOGETHER, WordBpe, in_chunks
 
 #: Characters without white space from which a text takes the parallel way.
 LONG = 8192
@@ -46,11 +46,28 @@ class TreeBpe(WordBpe):
         self.inner = BPE(model["vocab"], merges)  # as if every string went on: no word end
         self.suffix = model.get("end_of_word_suffix") or ""
         specials = [t.content for t in self.tok.get_added_tokens_decoder().values()]
+        self.mark = specials[0] if specials else None
         self.special = re.compile("(" + "|".join(map(re.escape, specials)) + ")") if specials else None
 
         if self.tok.decoder is None:  # decoding is then each token's string, with spaces between
             self.strings = [self.tok.decode([i], skip_special_tokens=False) for i in range(self.tok.get_vocab_size())]
 
+    def _learn(self, words: list[str]) -> list[bytes]:
+        """Ids of new parts, TOGETHER of them in one string, with a special token between any two."""
+        groups = [words[i : i + TOGETHER] for i in range(0, len(words), TOGETHER)]
+        if self.mark is None:
+            return self._encode([" " + w for w in words])
+        mark, out = self.tok.token_to_id(self.mark), []
+        for group, e in zip(groups, self.tok.encode_batch_fast([self.mark.join(g) for g in groups], add_special_tokens=False)):
+            ids = np.array(e.ids, np.uint32)
+            at = np.flatnonzero(ids == mark)
+            if len(at) + 1 == len(group):
+                blob, at = ids.tobytes(), (4 * at).tolist()
+                out += [blob[a:b] for a, b in zip([0, *(a + 4 for a in at)], [*at, len(blob)])]
+            else:
+                out += self._encode([" " + w for w in group])
+        return out
+
     def decode(self, ids: list[int]) -> str:
         if self.tok.decoder is None:
             return " ".join(map(self.strings.__getitem__, ids))
