@@ -42,7 +42,7 @@ def default_path(name: str) -> str:
 class WordBpe:
     """ids of whole texts; one for each worker process."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, remembered: int = REMEMBERED):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
         from tokenizers import Tokenizer
 
@@ -50,6 +50,7 @@ class WordBpe:
         self.tok.no_truncation()
         self.tok.no_padding()
         self.known: dict[str, bytes] = {}
+        self.remembered = remembered
         words = (self.tok.id_to_token(i) or "" for i in range(self.tok.get_vocab_size()))
         self.opens = np.array([w.startswith("\u0120") for w in words])  # tokens that begin with a space
 
@@ -72,7 +73,7 @@ class WordBpe:
 
     def _of(self, words: list[str]) -> list[bytes]:
         """Ids of parts that follow a space, from memory where they are known."""
-        if len(self.known) > REMEMBERED:
+        if len(self.known) > self.remembered:
             self.known.clear()
         out = list(map(self.known.get, words))
         new = [i for i, b in enumerate(out) if b is None]

@@ -1,9 +1,9 @@
 """Exact top-k inner products by a three-phase uniform threshold.
 
 The components are cut into lists; a vector's score is the sum of its partial scores in all lists.
-Phase 1 gathers each list's k highest partial scores and its lowest one. A partial score counts from
-the lowest of its list, so all are at least zero, and the k-th highest sum seen so far is a safe bound:
-what reaches it has one list, at least, in which it reaches an equal share of the bound. Phase 2 sends
+Phase 1 gathers each list's k highest partial scores with the sums they belong to, and its lowest one.
+A partial score counts from the lowest of its list, so all are at least zero, and the k-th highest sum
+seen so far is a safe bound: what reaches it has one list, at least, in which it reaches an equal share. Phase 2 sends
 that cutoff to all tasks and collects every entry that reaches it. The sums are then bounded from both
 sides, and phase 3 computes the exact score of all that can still be among the first k.
 """
@@ -76,18 +76,20 @@ class Slice:
 def _first_phase(batches: Iterator[pa.RecordBatch], s: Slice, k: int) -> Iterator[pa.RecordBatch]:
     none = np.iinfo(np.int64).min
     n = len(s.ids)
-    top = [(np.full((n, 0), none), np.zeros((n, 0), np.int64)) for _ in range(LISTS)]
+    top = [tuple(np.full((n, 0), none) for _ in range(3)) for _ in range(LISTS)]  # partial score, sum, vec_id
     low = np.full((LISTS, n), np.iinfo(np.int64).max)
     for ids, partial, own in s.blocks(batches):
+        whole, ids = sum(partial), np.broadcast_to(ids, own.shape)
         for j, p in enumerate(partial):
             low[j] = np.minimum(low[j], np.where(own, low[j][:, None], p).min(1))
-            score = np.concatenate([top[j][0], np.where(own, none, p)], 1)
-            of = np.concatenate([top[j][1], np.broadcast_to(ids, p.shape)], 1)
-            best = np.argpartition(-score, k - 1, 1)[:, :k] if score.shape[1] > k else np.broadcast_to(np.arange(score.shape[1]), score.shape)
-            top[j] = np.take_along_axis(score, best, 1), np.take_along_axis(of, best, 1)
-    for j, (score, of) in enumerate(top):
+            held = [np.concatenate(c, 1) for c in zip(top[j], (np.where(own, none, p), whole, ids))]
+            if held[0].shape[1] > k:
+                best = np.argpartition(-held[0], k - 1, 1)[:, :k]
+                held = [np.take_along_axis(c, best, 1) for c in held]
+            top[j] = tuple(held)
+    for j, (score, whole, of) in enumerate(top):
         q, at = np.nonzero(score > none)
-        yield pa.RecordBatch.from_pydict({"q": np.concatenate([q, np.arange(n)]), "list": np.full(len(q) + n, j), "vec_id": pa.array(of[q, at].tolist() + [None] * n, pa.int64()), "p": np.concatenate([score[q, at], low[j]])})
+        yield pa.RecordBatch.from_pydict({"q": np.concatenate([q, np.arange(n)]), "list": np.full(len(q) + n, j), "vec_id": pa.array(of[q, at].tolist() + [None] * n, pa.int64()), "p": np.concatenate([score[q, at], low[j]]), "sum": np.concatenate([whole[q, at], low[j]])})
 
 
 def _second_phase(batches: Iterator[pa.RecordBatch], s: Slice, low: np.ndarray, bound: np.ndarray) -> Iterator[pa.RecordBatch]:
@@ -115,16 +117,15 @@ def _ranked(df: DataFrame, key: str, score: str, k: int) -> DataFrame:
 def _slice_top(vectors: DataFrame, s: Slice, k: int) -> DataFrame:
     spark = vectors.sparkSession
     n = len(s.ids)
-    gathered = stored(vectors.mapInArrow(lambda b: _first_phase(b, s, k), "q long, list long, vec_id long, p long"), "gathered")
+    gathered = stored(vectors.mapInArrow(lambda b: _first_phase(b, s, k), "q long, list long, vec_id long, p long, sum long"), "gathered")
     low = np.zeros((LISTS, n), np.int64)
     for q, j, p in gathered.where("vec_id is null").groupBy("q", "list").agg(F.min("p")).collect():  # n * LISTS rows
         low[j, q] = p
-    lows = spark.createDataFrame([(q, j, int(low[j, q])) for q in range(n) for j in range(LISTS)], "q long, list long, low long")
     tops = _ranked(gathered.where("vec_id is not null").withColumn("key", F.struct("q", "list")), "key", "p", k)
-    sums = tops.join(F.broadcast(lows), ["q", "list"]).groupBy("q", "vec_id").agg(F.sum(F.col("p") - F.col("low")).alias("above"))
+    sums = tops.groupBy("q", "vec_id").agg(F.max("sum").alias("sum"))
     bound = low.sum(0)  # fewer than k others: everything reaches the lowest sum
-    for q, above in _ranked(sums, "q", "above", k).where(F.col("rank") == k).select("q", "above").collect():  # n rows
-        bound[q] += above
+    for q, kth in _ranked(sums, "q", "sum", k).where(F.col("rank") == k).select("q", "sum").collect():  # n rows
+        bound[q] = kth
     entries = stored(vectors.mapInArrow(lambda b: _second_phase(b, s, low, bound), "q long, vec_id long, least long, most long"), "entries")
     safe = _ranked(entries, "q", "least", k).groupBy("q").agg(F.min("least").alias("safe"), F.count("*").alias("n"))
     open_ = entries.join(F.broadcast(safe), "q").where((F.col("n") < k) | (F.col("most") >= F.col("safe")))  # a row for each query of the slice

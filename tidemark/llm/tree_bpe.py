@@ -29,6 +29,9 @@ LEAF = 2048
 #: Characters of ordinary text that are encoded as one row on the parallel way.
 PLAIN = 1 << 16
 
+#: Words remembered by one worker; a second worker of the same task decodes.
+REMEMBERED = 400_000
+
 _SPACES = re.compile(r"\s+")
 
 
@@ -36,7 +39,7 @@ class TreeBpe(WordBpe):
     """Ids of whole texts, leaves of long stretches, and the exact join of neighbouring leaves."""
 
     def __init__(self, path: str):
-        super().__init__(path)
+        super().__init__(path, REMEMBERED)
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers.models import BPE
 
