@@ -49,12 +49,12 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_tree_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = default_path("word_bpe_49k.json")
-    e = tree_bpe.encoded(texts(table(spark, sf_dir, "documents")), path)
+    e = tree_bpe.encoded(texts(table(spark, sf_dir, "documents")), path, decoded_col="decoded")
     return e.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(e["ids"].cast("array<string>"), " "), 256).alias("ids_sha256"),
-        F.sha2(tree_bpe.decoded(e["ids"], path), 256).alias("decoded_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
     )
 
 

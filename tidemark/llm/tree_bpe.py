@@ -10,9 +10,9 @@ the joined sequence is exactly the encoding of the whole stretch.
 from __future__ import annotations
 
 import json
-import os
 import re
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -29,8 +29,8 @@ LEAF = 2048
 #: Characters of ordinary text that are encoded as one row on the parallel way.
 PLAIN = 1 << 16
 
-#: Words remembered by one worker; a second worker of the same task decodes.
-REMEMBERED = 400_000
+#: Words remembered by one worker.
+REMEMBERED = 700_000
 
 _SPACES = re.compile(r"\s+")
 
@@ -40,20 +40,32 @@ class TreeBpe(WordBpe):
 
     def __init__(self, path: str):
         super().__init__(path, REMEMBERED)
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers.models import BPE
-
-        with open(path, encoding="utf-8") as f:
-            model = json.load(f)["model"]
-        merges = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
-        self.inner = BPE(model["vocab"], merges)  # as if every string went on: no word end
-        self.suffix = model.get("end_of_word_suffix") or ""
         specials = [t.content for t in self.tok.get_added_tokens_decoder().values()]
         self.mark = specials[0] if specials else None
         self.special = re.compile("(" + "|".join(map(re.escape, specials)) + ")") if specials else None
 
-        if self.tok.decoder is None:  # decoding is then each token's string, with spaces between
-            self.strings = [self.tok.decode([i], skip_special_tokens=False) for i in range(self.tok.get_vocab_size())]
+        self.path = path
+
+    @cached_property
+    def model(self) -> dict:
+        with open(self.path, encoding="utf-8") as f:
+            return json.load(f)["model"]
+
+    @cached_property
+    def suffix(self) -> str:
+        return self.model.get("end_of_word_suffix") or ""
+
+    @cached_property
+    def inner(self):
+        """The model as if every string went on: without word ends."""
+        from tokenizers.models import BPE
+
+        return BPE(self.model["vocab"], [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in self.model["merges"]])
+
+    @cached_property
+    def strings(self) -> list[str]:
+        """What each token decodes to on its own."""
+        return [self.tok.decode([i], skip_special_tokens=False) for i in range(self.tok.get_vocab_size())]
 
     def _learn(self, words: list[str]) -> list[bytes]:
         """Ids of new parts, TOGETHER of them in one string, with a special token between any two."""
@@ -72,7 +84,7 @@ class TreeBpe(WordBpe):
         return out
 
     def decode(self, ids: list[int]) -> str:
-        if self.tok.decoder is None:
+        if self.tok.decoder is None:  # then a text is its tokens' strings with spaces between
             return " ".join(map(self.strings.__getitem__, ids))
         return self.tok.decode(ids, skip_special_tokens=False)
 
@@ -177,28 +189,36 @@ def _long_ids(long: DataFrame, vocabulary: str) -> DataFrame:
     return leaves.groupBy("key").applyInArrow(join, "key string, ids array<int>")
 
 
-def encoded(docs: DataFrame, vocabulary: str, text_col: str = "text", ids_col: str = "ids") -> DataFrame:
+def encoded(docs: DataFrame, vocabulary: str, text_col: str = "text", ids_col: str = "ids", decoded_col: str | None = None) -> DataFrame:
     """docs with ids_col, the ids of every whole text as the tokenizers library gives them.
 
-    Null and empty texts have no ids. A column named ids_col is replaced. Texts with LONG characters in
+    decoded_col, if given, is what these ids decode to. Null and empty texts have no ids and decode to
+    an empty text. Columns of these names are replaced. Texts with LONG characters in
     a row without white space are cut into leaves that tasks encode in parallel; equal ones only once.
     An empty table gives no rows.
     """
     small_batches(docs.sparkSession, 64)
 
-    @F.arrow_udf("array<int>")
+    @F.arrow_udf("struct<ids:array<int>,back:string>")
     def short(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for rows in in_chunks(pa.RecordBatch.from_arrays([t.cast(pa.string())], ["text"]) for t in texts):
-            yield _lists(tree_bpe(vocabulary)(rows["text"].combine_chunks()))
+            bpe = tree_bpe(vocabulary)
+            ids = bpe(rows["text"].combine_chunks())
+            back = pa.array([bpe.decode(x.tolist()) for x in ids] if decoded_col else [None] * len(ids), pa.string())
+            yield pa.StructArray.from_arrays([_lists(ids), back], ["ids", "back"])
+            pa.default_memory_pool().release_unused()
 
-    others = [c for c in docs.columns if c != ids_col]
+    others = [c for c in docs.columns if c not in (ids_col, decoded_col)]
     text = F.coalesce(docs[text_col], F.lit(""))
     is_long = text.rlike(rf"\S{{{LONG}}}")
     long = docs.where(is_long).select(F.sha2(text, 256).alias("key"), text.alias("text")).dropDuplicates(["key"])
-    made = stored(_long_ids(long, vocabulary), "long-ids").withColumnsRenamed({"key": "__key", "ids": "__long"})
+    ids = _long_ids(long, vocabulary)
+    made = ids.select("key", F.struct("ids", (decoded(ids["ids"], vocabulary) if decoded_col else F.lit(None).cast("string")).alias("back")).alias("__long"))
+    made = stored(made, "long-ids").withColumnRenamed("key", "__key")
     keyed = docs.select(*[docs[c] for c in others], F.when(~is_long, docs[text_col]).alias("__short"), F.when(is_long, F.sha2(text, 256)).alias("__key"))
-    out = keyed.withColumn("__ids", short("__short")).join(made, "__key", "left")
-    return out.select(*[out[c] for c in others], F.coalesce("__long", "__ids").alias(ids_col))
+    both = keyed.withColumn("__ids", short("__short")).join(made, "__key", "left")
+    found = F.coalesce("__long", "__ids")
+    return both.select(*[both[c] for c in others], found["ids"].alias(ids_col), *([found["back"].alias(decoded_col)] if decoded_col else []))
 
 
 def decoded(ids: Column, vocabulary: str) -> Column:
