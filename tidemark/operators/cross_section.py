@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-BY_DATE = Window.partitionBy("date")
+def by_date() -> WindowSpec:
+    return Window.partitionBy("date")
 
 
 def average_rank(x: str, by: list[str] | None = None) -> Column:
@@ -24,7 +25,7 @@ def percent_rank(x: str, by: list[str] | None = None) -> Column:
 def buckets(x: str, n: int, least: int, tie: str = "security_id") -> Column:
     """1 … n by rank, ties in the order of tie; null on dates with fewer than least values."""
     first = F.row_number().over(Window.partitionBy("date", F.col(x).isNull()).orderBy(x, tie))
-    count = F.count(x).over(BY_DATE)
+    count = F.count(x).over(by_date())
     return F.when(F.col(x).isNotNull() & (count >= least), F.least(F.floor((first - 1) * n / count) + 1, F.lit(n)).cast("int"))
 
 
@@ -38,9 +39,9 @@ def residual(y: str, x: str) -> Column:
     """Residual of the per-date regression y = a + b x over rows that have both; b is 0 where x doesn't vary."""
     both = F.col(x).isNotNull() & F.col(y).isNotNull()
     u, v = F.when(both, F.col(x)), F.when(both, F.col(y))
-    var = F.var_pop(u).over(BY_DATE)
-    b = F.when(var > 1e-18, F.covar_pop(u, v).over(BY_DATE) / var).otherwise(0.0)
-    return v - F.avg(v).over(BY_DATE) - b * (u - F.avg(u).over(BY_DATE))
+    var = F.var_pop(u).over(by_date())
+    b = F.when(var > 1e-18, F.covar_pop(u, v).over(by_date()) / var).otherwise(0.0)
+    return v - F.avg(v).over(by_date()) - b * (u - F.avg(u).over(by_date()))
 
 
 def weighted_quantile(df: DataFrame, by: str, value: str, weight: str, q: float) -> DataFrame:

@@ -4,19 +4,21 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-ORDERED = Window.partitionBy("security_id").orderBy("date")
+def ordered() -> WindowSpec:
+    """The rows of a security by date."""
+    return Window.partitionBy("security_id").orderBy("date")
 
 
 def lagged(x: Column | str, n: int) -> Column:
-    return F.lag(x, n).over(ORDERED)
+    return F.lag(x, n).over(ordered())
 
 
 def rolling(agg: Callable[[Column], Column], x: Column, n: int, least: int) -> Column:
     """agg of x over the last n grid rows, null unless least of them are non-null."""
-    w = ORDERED.rowsBetween(1 - n, 0)
+    w = ordered().rowsBetween(1 - n, 0)
     return F.when(F.count(x).over(w) >= least, agg(x).over(w))
 
 
@@ -27,7 +29,7 @@ def returns(price: Column | str = "close") -> Column:
 
 
 def forward_filled(x: Column | str) -> Column:
-    return F.last(x, ignorenulls=True).over(ORDERED.rowsBetween(Window.unboundedPreceding, 0))
+    return F.last(x, ignorenulls=True).over(ordered().rowsBetween(Window.unboundedPreceding, 0))
 
 
 def runs(df: DataFrame, key: str, ts: str, gap_seconds: int, least: int = 1) -> DataFrame:

@@ -8,12 +8,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.operators.cross_section import buckets
-from tidemark.operators.windows import ORDERED, forward_filled
+from tidemark.operators.windows import forward_filled, ordered
 
 
 def forward_return(horizon: int, price: str = "close") -> Column:
     """Filled price horizon rows ahead over the base price, where the base itself is priced."""
-    return F.lead("filled", horizon).over(ORDERED) / F.col(price) - 1
+    return F.lead("filled", horizon).over(ordered()) / F.col(price) - 1
 
 
 def with_forward(grid: DataFrame, horizon: int) -> DataFrame:
@@ -52,16 +52,16 @@ def backtest(panel: DataFrame, n: int, least: int, cost: float) -> DataFrame:
     b = panel.withColumn("bucket", buckets("value", n, least))
     size = F.count("*").over(Window.partitionBy("date", "bucket"))
     weight = F.when(F.col("bucket") == n, 0.5 / size).when(F.col("bucket") == 1, -0.5 / size).otherwise(0.0)
-    held = b.withColumn("w", weight).select("date", F.coalesce(F.lag("w").over(ORDERED), F.lit(0.0)).alias("held"), "w", "ret", "security_id")
+    held = b.withColumn("w", weight).select("date", F.coalesce(F.lag("w").over(ordered()), F.lit(0.0)).alias("held"), "w", "ret", "security_id")
     daily = held.groupBy("date").agg(F.sum(F.col("held") * F.coalesce("ret", F.lit(0.0))).alias("gross"), F.sum(F.abs(F.col("w") - F.col("held"))).alias("turnover"))
     return daily.select("date", "gross", (F.col("gross") - cost * F.col("turnover")).alias("net"), "turnover")
 
 
 def performance(daily: DataFrame, ret: str, periods: int) -> DataFrame:
-    """(total, volatility, sharpe, max_drawdown) of a series of one row for each date."""
+    """(total, volatility, sharpe, max_drawdown) of a series of one row for each date; returns compound as products, also below -1."""
     w = Window.orderBy("date").rowsBetween(Window.unboundedPreceding, 0)
-    equity = daily.withColumn("_e", F.exp(F.sum(F.log1p(ret)).over(w)))
+    equity = daily.withColumn("_e", F.product(1 + F.col(ret)).over(w))
     peak = F.greatest(F.max("_e").over(w), F.lit(1.0))
     curve = equity.withColumn("_dd", F.col("_e") / peak - 1)
     sd = F.stddev_samp(ret)
-    return curve.agg((F.exp(F.sum(F.log1p(ret))) - 1).alias("total"), (sd * math.sqrt(periods)).alias("volatility"), F.when(sd > 0, F.avg(ret) / sd * math.sqrt(periods)).alias("sharpe"), F.min("_dd").alias("max_drawdown"))
+    return curve.agg((F.product(1 + F.col(ret)) - 1).alias("total"), (sd * math.sqrt(periods)).alias("volatility"), F.when(sd > 0, F.avg(ret) / sd * math.sqrt(periods)).alias("sharpe"), F.min("_dd").alias("max_drawdown"))

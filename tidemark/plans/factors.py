@@ -24,19 +24,16 @@ class Horizon:
 
 WEEKLY = Horizon(52, 13, 4, 2)
 
-c, h, l, v, vw = (F.col(x) for x in ("close", "high", "low", "volume", "vwap"))
-
-
 def _positive(x: Column) -> Column:
     return F.when(x > 0, x)
 
 
 def momentum(z: Horizon) -> Column:
-    return lagged(c, z.month) / lagged(c, z.year) - 1
+    return lagged(F.col("close"), z.month) / lagged(F.col("close"), z.year) - 1
 
 
 def high_year(z: Horizon) -> Column:
-    return c / rolling(F.max, c, z.year, z.year // 2)
+    return F.col("close") / rolling(F.max, F.col("close"), z.year, z.year // 2)
 
 
 def low_vol(z: Horizon) -> Column:
@@ -48,21 +45,21 @@ def max_lottery(z: Horizon) -> Column:
 
 
 def reversal(z: Horizon) -> Column:
-    return -(lagged(c, 1) / lagged(c, z.month) - 1)
+    return -(lagged(F.col("close"), 1) / lagged(F.col("close"), z.month) - 1)
 
 
 def shadow_asymmetry(z: Horizon) -> Column:
-    upper, lower = h - F.greatest("open", "close"), F.least("open", "close") - l
-    return -rolling(F.avg, (upper - lower) / _positive(h - l), z.month, z.month // 2)
+    upper, lower = F.col("high") - F.greatest("open", "close"), F.least("open", "close") - F.col("low")
+    return -rolling(F.avg, (upper - lower) / _positive(F.col("high") - F.col("low")), z.month, z.month // 2)
 
 
 def vwap_pressure(z: Horizon) -> Column:
-    return -rolling(F.avg, F.ln(c / vw), z.short, 1)
+    return -rolling(F.avg, F.ln(F.col("close") / F.col("vwap")), z.short, 1)
 
 
 def money_flow(z: Horizon) -> Column:
-    up, down = F.when(F.col("typical") > F.col("typical_1"), F.col("typical") * v).otherwise(0.0), F.when(F.col("typical") < F.col("typical_1"), F.col("typical") * v).otherwise(0.0)
-    up, down = (rolling(F.sum, F.when(v.isNotNull(), x), z.quarter, z.quarter // 2) for x in (up, down))
+    up, down = F.when(F.col("typical") > F.col("typical_1"), F.col("typical") * F.col("volume")).otherwise(0.0), F.when(F.col("typical") < F.col("typical_1"), F.col("typical") * F.col("volume")).otherwise(0.0)
+    up, down = (rolling(F.sum, F.when(F.col("volume").isNotNull(), x), z.quarter, z.quarter // 2) for x in (up, down))
     return -100 * up / _positive(up + down)
 
 
@@ -72,33 +69,33 @@ def strength(z: Horizon) -> Column:
 
 
 def bollinger(z: Horizon) -> Column:
-    mid, sd = (rolling(f, c, z.quarter, z.quarter * 2 // 3) for f in (F.avg, F.stddev_samp))
-    return -(c - (mid - 2 * sd)) / (4 * _positive(sd))
+    mid, sd = (rolling(f, F.col("close"), z.quarter, z.quarter * 2 // 3) for f in (F.avg, F.stddev_samp))
+    return -(F.col("close") - (mid - 2 * sd)) / (4 * _positive(sd))
 
 
 def donchian(z: Horizon) -> Column:
-    low, high = rolling(F.min, l, z.quarter, z.quarter * 2 // 3), rolling(F.max, h, z.quarter, z.quarter * 2 // 3)
-    return (c - low) / _positive(high - low)
+    low, high = rolling(F.min, F.col("low"), z.quarter, z.quarter * 2 // 3), rolling(F.max, F.col("high"), z.quarter, z.quarter * 2 // 3)
+    return (F.col("close") - low) / _positive(high - low)
 
 
 def sma_gap(z: Horizon) -> Column:
-    return c / rolling(F.avg, c, z.quarter, z.quarter * 2 // 3) - 1
+    return F.col("close") / rolling(F.avg, F.col("close"), z.quarter, z.quarter * 2 // 3) - 1
 
 
 def volume_slope(z: Horizon) -> Column:
     """On-balance volume gained over a month, in average volumes."""
-    flow = F.signum(F.col("change")) * v
-    return rolling(F.sum, flow, z.month, 1) / (rolling(F.avg, v, z.month, 1) * z.month)
+    flow = F.signum(F.col("change")) * F.col("volume")
+    return rolling(F.sum, flow, z.month, 1) / (rolling(F.avg, F.col("volume"), z.month, 1) * z.month)
 
 
 def close_location_slope(z: Horizon) -> Column:
-    flow = ((c - l) - (h - c)) / _positive(h - l) * v
-    return rolling(F.sum, flow, z.month, 1) / (rolling(F.avg, v, z.month, 1) * z.month)
+    flow = ((F.col("close") - F.col("low")) - (F.col("high") - F.col("close"))) / _positive(F.col("high") - F.col("low")) * F.col("volume")
+    return rolling(F.sum, flow, z.month, 1) / (rolling(F.avg, F.col("volume"), z.month, 1) * z.month)
 
 
 def trend_in_ranges(z: Horizon) -> Column:
-    true_range = F.greatest(h - l, F.abs(h - F.col("close_1")), F.abs(l - F.col("close_1")))
-    return (c - rolling(F.avg, c, z.quarter, z.quarter * 2 // 3)) / _positive(rolling(F.avg, true_range, z.month, 2))
+    true_range = F.greatest(F.col("high") - F.col("low"), F.abs(F.col("high") - F.col("close_1")), F.abs(F.col("low") - F.col("close_1")))
+    return (F.col("close") - rolling(F.avg, F.col("close"), z.quarter, z.quarter * 2 // 3)) / _positive(rolling(F.avg, true_range, z.month, 2))
 
 
 FACTORS: dict[str, Callable[[Horizon], Column]] = {f.__name__: f for f in (momentum, high_year, low_vol, max_lottery, reversal, shadow_asymmetry, vwap_pressure, money_flow, strength, bollinger, donchian, sma_gap, volume_slope, close_location_slope, trend_in_ranges)}
@@ -106,8 +103,8 @@ FACTORS: dict[str, Callable[[Horizon], Column]] = {f.__name__: f for f in (momen
 
 def prepared(grid: DataFrame) -> DataFrame:
     """The grid with returns and previous values, which several factors take."""
-    typical = (h + l + c) / 3
-    return grid.withColumns({"ret": returns(), "change": c - lagged(c, 1), "close_1": lagged(c, 1), "typical": typical, "typical_1": lagged(typical, 1)})
+    typical = (F.col("high") + F.col("low") + F.col("close")) / 3
+    return grid.withColumns({"ret": returns(), "change": F.col("close") - lagged(F.col("close"), 1), "close_1": lagged(F.col("close"), 1), "typical": typical, "typical_1": lagged(typical, 1)})
 
 
 def factor(grid: DataFrame, name: str, horizon: Horizon = Horizon()) -> DataFrame:
@@ -118,6 +115,7 @@ def factor(grid: DataFrame, name: str, horizon: Horizon = Horizon()) -> DataFram
 def composite(grid: DataFrame, horizon: Horizon = Horizon()) -> DataFrame:
     """Mean of percentile ranks of low volatility and of the year-high ratio without its part in it; low_vol is required."""
     f = prepared(grid).select("date", "security_id", low_vol(horizon).alias("lv"), high_year(horizon).alias("hy"))
-    f = f.where("lv is not null").withColumn("res", residual("hy", "lv"))
+    # digits beyond the ninth are noise: residuals of two names are zeros but for it
+    f = f.where("lv is not null").withColumn("res", F.round(residual("hy", "lv"), 9) + 0.0)
     a, b = percent_rank("lv"), F.coalesce(percent_rank("res"), F.lit(0.5))
     return f.select("date", "security_id", ((a + b) / 2).alias("value"))

@@ -19,7 +19,7 @@ def bars(spark: SparkSession, sf_dir: str) -> DataFrame:
         .groupBy(F.col("l_suppkey").alias("security_id"), F.date_trunc("week", "l_shipdate").cast("date").alias("date"))
         .agg(
             F.min(tick)["p"].alias("open"), F.max(price).alias("high"), F.min(price).alias("low"), F.max(tick)["p"].alias("close"),
-            F.sum("l_quantity").alias("volume"), (F.sum("l_extendedprice") / F.sum("l_quantity")).alias("vwap"), F.count("*").alias("n_bars"),
+            F.sum("l_quantity").alias("volume"), (F.sum(F.col("l_extendedprice").cast("decimal(18,2)")).cast("double") / F.sum("l_quantity")).alias("vwap"), F.count("*").alias("n_bars"),
         )
     )
 
