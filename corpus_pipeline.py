@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import packing, pii, quality_cnn, simhash, toxicity_chain
+from tidemark.llm import near_copies, packing, pii, quality_cnn, toxicity_chain
 from tidemark.llm.queries import QUALITY_THRESHOLD, TOXIC_THRESHOLD, _toxicity_model
 from tidemark.llm.scratch import stored, table
 from tidemark.llm.token_units import default_path
@@ -25,8 +25,8 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, that with the smallest id, of each group of near duplicates."""
-    return simhash.keep_first(docs)
+    """One document, that with the smallest id, of each group whose sets of five-word shingles have a Jaccard similarity of 0.8."""
+    return near_copies.keep_first(docs, words=5, similarity=0.8)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -42,6 +42,19 @@ def texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     return docs.select(docs[id_col].cast("long").alias("doc_id"), F.coalesce(docs[text_col], F.lit("")).alias("text"))
 
 
+def row_hash(docs: DataFrame, text_col: str = "text") -> Column:
+    """A hash of the text and then of all columns, by which rows with the same id have an order."""
+    return F.xxhash64(docs[text_col], *(docs[c] for c in docs.columns))
+
+
+def first_rows(docs: DataFrame, first: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of docs in first(doc_id, row), row their row_hash; equal ones once, and those with a null id as well."""
+    marked = docs.withColumn("__id", docs[id_col].cast("long")).withColumn("__row", row_hash(docs, text_col))
+    named = first.select(F.col("doc_id").alias("__id"), F.col("row").alias("__row"))
+    kept = marked.join(named, ["__id", "__row"], "left_semi").dropDuplicates(["__id", "__row"])
+    return kept.select(docs.columns).unionByName(docs.where(docs[id_col].cast("long").isNull()))
+
+
 def held_out(doc_id: Column, folds: int = 5) -> Column:
     """True for the fold of documents from which no label may be learned."""
     return F.coalesce(F.crc32(doc_id.cast("string")) % folds == 0, F.lit(False))
