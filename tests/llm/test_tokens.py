@@ -155,6 +155,14 @@ def test_scores(spark, odd, documents, order):
             assert a[0] == b[0] and a[1] == pytest.approx(b[1], abs=1e-6)
 
 
+def test_scores_query_sees_two_ids_of_context(spark, documents):
+    docs = documents.select("doc_id", "text").collect()
+    got = {r.doc_id: (r.n_tokens, r.log10_score) for r in queries.op2_ngram_lm(spark, SF).collect()}
+    assert len(got) == len(docs)
+    for (i, _), (n, s) in zip(docs, lm_expected([t for _, t in docs], 3)):
+        assert got[i] == (n, pytest.approx(s, abs=1e-6))
+
+
 def test_scores_of_no_documents(no_documents):
     assert ngram_lm.scored(no_documents, BYTE).count() == 0
     with pytest.raises(ValueError):

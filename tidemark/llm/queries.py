@@ -19,7 +19,7 @@ def op1_token_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_ngram_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ngram_lm.scored(table(spark, sf_dir, "documents"), default_path("byte_bpe_50k.json"), order=2)
+    return ngram_lm.scored(table(spark, sf_dir, "documents"), default_path("byte_bpe_50k.json"), order=3)
 
 
 def op3_audio(spark: SparkSession, sf_dir: str) -> DataFrame:
