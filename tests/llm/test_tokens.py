@@ -113,6 +113,16 @@ def test_tree_bpe_of_odd_tables(odd, no_documents):
     assert tree_bpe.encoded(no_documents, WORD).count() == 0
 
 
+def test_long_texts_keep_separators(spark):
+    made = ["x" * 9000 + " a\x1cb c\x1d\x1e d\x1f", "\x1c" * 9000, "a\x1cb" * 3000 + "\x85\u3000\x1f tail"]
+    docs = spark.createDataFrame(list(enumerate(made)), "doc_id long, text string")
+    tok = Tokenizer.from_file(WORD)
+    got = {r.doc_id: (r.ids, r.back) for r in tree_bpe.encoded(docs, WORD, decoded_col="back").collect()}
+    for i, t in enumerate(made):
+        ids = tok.encode(t, add_special_tokens=False).ids
+        assert got[i] == (ids, tok.decode(ids, skip_special_tokens=False))
+
+
 def lm_expected(texts, order=2):
     tok = Tokenizer.from_file(BYTE)
     ids = [tuple(tok.encode(t or "", add_special_tokens=False).ids) for t in texts]

@@ -32,7 +32,8 @@ PLAIN = 1 << 16
 #: Words remembered by one worker.
 REMEMBERED = 700_000
 
-_SPACES = re.compile(r"\s+")
+#: White space as the vocabulary splits at: Python's own also has U+001C to U+001F, which it keeps.
+_SPACES = re.compile(r"[^\S\x1c-\x1f]+")
 
 
 class TreeBpe(WordBpe):
