@@ -43,7 +43,7 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [("quality", quality), ("toxicity", toxicity), ("near_duplicates", near_duplicates), ("personal_data", personal_data), ("pack", pack)]
 
-#: The classifiers and the packing cannot be expressed in SQL; tests hold the stages against brute force.
+#: The classifiers and the packing cannot be expressed in SQL; tests hold near_duplicates against brute force, but no other stage and not run().
 ORACLE_SQL = None
 
 
