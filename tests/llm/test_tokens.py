@@ -44,13 +44,27 @@ def test_units_are_the_library(documents):
         assert ids.tolist() == tok.encode(t, add_special_tokens=False).ids, t
 
 
-def test_tree_units_are_the_library():
-    tok, rng = Tokenizer.from_file(WORD), random.Random(7)
-    alphabet = ["<|endoftext|>", "<|startoftext|>", "<|start", *" \n\t\u0085\u200b ab'sT\u00e9.,1\u03a3\u0301\u1e9e\U0001f600"]
-    made = ["".join(rng.choice(alphabet) for _ in range(rng.randint(0, 30))) for _ in range(3000)]
-    for t, ids in zip(made, tree_bpe.tree_bpe(WORD)(made)):
-        assert ids.tolist() == tok.encode(t, add_special_tokens=False).ids, t
-        assert tree_bpe.tree_bpe(WORD).decode(ids.tolist()) == tok.decode(ids.tolist(), skip_special_tokens=False)
+def test_trees_are_the_library():
+    """Leaves of any size, cut anywhere: inside words, contractions, special tokens and runs without white space."""
+    tok, bpe, rng = Tokenizer.from_file(WORD), tree_bpe.TreeBpe(WORD), random.Random(7)
+    alphabet = ["<|endoftext|>", "<|startoftext|>", "<|start", "'s", "'ll", "!!'", *" \n\t\u0085\u200b ab'sT\u00e9.,1\u03a3\u0323\u0301\u1e9e\U0001f600\uac01\u09cb\U00010000\u0130"]
+    made = ["".join(rng.choice(alphabet) for _ in range(rng.choice((5, 60, 300)))) for _ in range(2000)]
+    made += ["".join(rng.choice("aabbcdeorithn") for _ in range(rng.randint(50, 900))) for _ in range(300)]
+    made += ["x" * 9000 + " tail", "'s1" * 2000, "=" * 9000, "e" + "\u0301" * 3000 + "x", ""]
+    for t in made:
+        (node,) = bpe.trees([t], rng.choice((7, 40, 64, 100)))
+        ids = tok.encode(t, add_special_tokens=False).ids
+        assert node.ids().tolist() == ids, t
+        assert bpe.decode(ids) == tok.decode(ids, skip_special_tokens=False)
+
+
+def test_most_documents_are_joined(spark):
+    """Counts over sf0.01: leaves and joins of the whole table, and documents with two leaves at least."""
+    texts = [t or "" for (t,) in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("text").collect()]
+    several = [len(tree_bpe.halves(t, tree_bpe.LEAF)) > 2 for t in texts]
+    bpe = tree_bpe.TreeBpe(WORD)
+    bpe.trees(texts)
+    assert sum(several) > 0.6 * len(texts) and bpe.leaves - bpe.joins == len([t for t in texts if t])
 
 
 def codes_of(tok, docs):
@@ -81,16 +95,6 @@ def test_token_codes_of_odd_tables(spark, odd, no_documents):
     assert dac.digests(dac.read(spark, dac.write(no_documents, BYTE, 2))).count() == 0
 
 
-def test_tree_joins_are_exact():
-    bpe, rng = tree_bpe.tree_bpe(WORD), random.Random(5)
-    for _ in range(300):
-        piece = "".join(rng.choice("aabbcdeorithn") for _ in range(rng.randint(1, 400)))
-        size = rng.randint(1, 60)
-        cuts = [piece[i : i + size] for i in range(0, len(piece), size)]
-        leaves = [bpe.symbols(c, i + 1 == len(cuts)) for i, c in enumerate(cuts)]
-        assert bpe.joined(leaves) == bpe.symbols(piece, True)
-
-
 def tree_expected(docs):
     tok, out = Tokenizer.from_file(WORD), []
     for doc_id, text in docs:
@@ -113,14 +117,18 @@ def test_tree_bpe_of_odd_tables(odd, no_documents):
     assert tree_bpe.encoded(no_documents, WORD).count() == 0
 
 
-def test_long_texts_keep_separators(spark):
-    made = ["x" * 9000 + " a\x1cb c\x1d\x1e d\x1f", "\x1c" * 9000, "a\x1cb" * 3000 + "\x85\u3000\x1f tail"]
-    docs = spark.createDataFrame(list(enumerate(made)), "doc_id long, text string")
+def test_texts_of_several_segments(spark, monkeypatch):
+    made = ["x" * 9000 + " a\x1cb c\x1d\x1e d\x1f", "\x1c" * 9000, "a\x1cb" * 3000 + "\x85\u3000\x1f tail", "one two, three's four " * 4000, "short", None, ""]
+    docs = spark.createDataFrame([(i, t, 1, 2, 3) for i, t in enumerate(made)], "doc_id long, text string, key int, one int, made int")
     tok = Tokenizer.from_file(WORD)
-    got = {r.doc_id: (r.ids, r.back) for r in tree_bpe.encoded(docs, WORD, decoded_col="back").collect()}
-    for i, t in enumerate(made):
-        ids = tok.encode(t, add_special_tokens=False).ids
-        assert got[i] == (ids, tok.decode(ids, skip_special_tokens=False))
+    for segment in (700, tree_bpe.SEGMENT):
+        monkeypatch.setattr(tree_bpe, "SEGMENT", segment)
+        out = tree_bpe.encoded(docs, WORD, decoded_col="back")
+        assert out.columns == [*docs.columns, "ids", "back"]
+        got = {r.doc_id: (r.ids, r.back) for r in out.collect()}
+        for i, t in enumerate(made):
+            ids = tok.encode(t or "", add_special_tokens=False).ids
+            assert got[i] == (ids, tok.decode(ids, skip_special_tokens=False)), (i, segment)
 
 
 def lm_expected(texts, order=2):

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.scratch import new_path, small_batches
+from tidemark.llm.scratch import bounded_batches, new_path
 
 RATE, TARGET = 8000, 6000  # samples a second as stored, and after resampling
 TAPS = 16  # filter taps of one phase
@@ -149,7 +149,7 @@ def store(payloads: DataFrame, payload_col: str = "payload", media_col: str = "m
     empty table stays empty.
     """
     spark = payloads.sparkSession
-    small_batches(spark)
+    bounded_batches(spark)
     path = path or new_path(spark, "media")
 
     @F.arrow_udf("binary")
@@ -171,7 +171,7 @@ def with_features(stored_media: DataFrame, media_col: str = "media", features_co
     Equal recordings have equal features; a null recording has null ones. A column named features_col
     is replaced.
     """
-    small_batches(stored_media.sparkSession)
+    bounded_batches(stored_media.sparkSession)
 
     @F.arrow_udf(FEATURES)
     def of(media: pa.Array) -> pa.Array:

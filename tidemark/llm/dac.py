@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.scratch import new_path, small_batches, texts
+from tidemark.llm.scratch import bounded_batches, new_path, texts
 from tidemark.llm.token_units import in_chunks, word_bpe
 
 RANK = 512  # bits between two entries of a rank directory
@@ -105,7 +105,7 @@ def write(docs: DataFrame, vocabulary: str, end_id: int | None, path: str | None
     table writes no segment. Ranges of doc_id are dealt out to tasks, each writes its own shard.
     """
     spark = docs.sparkSession
-    small_batches(spark, 64)
+    bounded_batches(spark)
     path = path or new_path(spark, "token-codes")
 
     def segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -139,7 +139,7 @@ def read(spark, path: str) -> DataFrame:
 
     Only one total for each shard, and there are as many as tasks that wrote, comes to the driver.
     """
-    small_batches(spark, 8)
+    bounded_batches(spark)
     table = spark.read.schema(_COLUMNS).parquet(path)
     totals = table.groupBy("shard").agg(F.sum("n_tokens").alias("n")).orderBy("shard").collect()
     bases, base = [], 0

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.components import components
-from tidemark.llm.scratch import first_rows, row_hash, small_batches, stored
+from tidemark.llm.scratch import bounded_batches, first_rows, row_hash, stored
 
 BANDS, ROWS = 48, 6
 #: Members of a family that are compared in one task; larger ones are compared block by block.
@@ -126,7 +126,7 @@ def keep_first(docs: DataFrame, words: int = 5, similarity: float = 0.8, id_col:
     Texts without words are alike. Of rows with the same id, the one with the least hash comes first.
     Rows with a null id stay and link nothing. An empty table gives no rows.
     """
-    small_batches(docs.sparkSession, 64)
+    bounded_batches(docs.sparkSession)
 
     @F.arrow_udf("struct<node:long,keys:array<long>>")
     def sketch(text: pa.Array) -> pa.Array:

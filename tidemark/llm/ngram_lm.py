@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.scratch import small_batches, stored, texts
+from tidemark.llm.scratch import bounded_batches, stored, texts
 from tidemark.llm.token_units import in_chunks, word_bpe
 
 #: Bytes of text that a block holds on average.
@@ -72,7 +72,7 @@ def scored(docs: DataFrame, vocabulary: str, order: int = 2, id_col: str = "doc_
     """
     if not 1 <= order <= 4:
         raise ValueError("order must be 1 to 4")
-    small_batches(docs.sparkSession, 64)
+    bounded_batches(docs.sparkSession)
     rows = texts(docs, id_col, text_col)
     size = rows.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
     dealt = rows.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 + size // BLOCK_BYTES)))

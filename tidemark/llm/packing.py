@@ -17,7 +17,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.scratch import small_batches, stored, texts
+from tidemark.llm.scratch import bounded_batches, stored, texts
 from tidemark.llm.token_units import in_chunks, word_bpe
 
 CAPACITIES = (2048, 4096, 8192)
@@ -77,7 +77,7 @@ def pack_shard(lengths: Sequence[int], capacities: Sequence[int] = CAPACITIES) -
 
 def token_lengths(docs: DataFrame, vocabulary: str, ends: int = 1, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, length): ids of every whole text and ends more for its end. Null texts are empty ones."""
-    small_batches(docs.sparkSession, 64)
+    bounded_batches(docs.sparkSession)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in in_chunks(batches):

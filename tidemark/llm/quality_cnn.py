@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.scratch import held_out, small_batches, texts
+from tidemark.llm.scratch import bounded_batches, held_out, texts
 
 WIDTH, STRIDE, BLOCK = 8, 2, 64  # bytes of a filter, bytes between positions, positions of half a chunk
 SPAN = STRIDE * (2 * BLOCK - 1) + WIDTH  # bytes that one chunk sees
@@ -172,7 +172,7 @@ def sample(docs: DataFrame, labels: DataFrame, label_col: str, per_class: int, m
 
 def fit(docs: DataFrame, labels: DataFrame, label_col: str = "quality", per_class: int = 900, max_bytes: int = 12_000, id_col: str = "doc_id", text_col: str = "text") -> bytes:
     """A model learned from the bounded sample, in one task; only the model comes to the driver."""
-    small_batches(docs.sparkSession)
+    bounded_batches(docs.sparkSession)
     rows = sample(docs, labels, label_col, per_class, max_bytes, id_col, text_col)
     fitted = rows.coalesce(1).mapInArrow(_fit, "model binary").first()
     return bytes(fitted["model"]) if fitted else dumps(train([], []))
@@ -183,7 +183,7 @@ def scored(docs: DataFrame, model: bytes, text_col: str = "text", score_col: str
 
     A column named score_col is replaced. Repeated rows get equal scores, an empty table gives no rows.
     """
-    small_batches(docs.sparkSession)
+    bounded_batches(docs.sparkSession)
     loaded: dict[str, np.ndarray] = {}
 
     @F.arrow_udf("double")

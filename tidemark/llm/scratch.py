@@ -4,16 +4,22 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: Bytes of an Arrow batch that goes to a Python worker; a single longer row is a batch of its own.
+BATCH_BYTES = 4 << 20
+
 _own: dict[str, str] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir; one of our own only where that is unset, as in tests."""
+    """The folder in spark.checkpoint.dir. Where that is unset, a folder of our own in local mode, and an error on a cluster."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not found and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
     return found or _own.setdefault("dir", "file://" + tempfile.mkdtemp(prefix="spark-"))
 
 
@@ -28,15 +34,25 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def small_batches(spark: SparkSession, rows: int = 256) -> None:
-    """Whole texts go to Python in batches of so few rows that long ones fit in a worker's memory."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+def bounded_batches(spark: SparkSession) -> None:
+    """Bounds the bytes of Arrow batches, so that long texts fit in a worker's memory; set once for the session."""
+    name, most = "spark.sql.execution.arrow.maxBytesPerBatch", f"{BATCH_BYTES}b"
+    if spark.conf.get(name) != most:
+        spark.conf.set(name, most)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def free(name: str, taken: Iterable[str]) -> str:
+    """name, or name with underscores in front of it, so that no column has it in any case."""
+    used = {c.lower() for c in taken}
+    while name.lower() in used:
+        name = "_" + name
+    return name
+
+
 def texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, text), null texts as empty ones; other columns, whatever their names, are left behind."""
     return docs.select(docs[id_col].cast("long").alias("doc_id"), F.coalesce(docs[text_col], F.lit("")).alias("text"))
@@ -49,9 +65,10 @@ def row_hash(docs: DataFrame, text_col: str = "text") -> Column:
 
 def first_rows(docs: DataFrame, first: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of docs in first(doc_id, row), row their row_hash; equal ones once, and those with a null id as well."""
-    marked = docs.withColumn("__id", docs[id_col].cast("long")).withColumn("__row", row_hash(docs, text_col))
-    named = first.select(F.col("doc_id").alias("__id"), F.col("row").alias("__row"))
-    kept = marked.join(named, ["__id", "__row"], "left_semi").dropDuplicates(["__id", "__row"])
+    ident, row = free("id", docs.columns), free("row", docs.columns)
+    marked = docs.withColumn(ident, docs[id_col].cast("long")).withColumn(row, row_hash(docs, text_col))
+    named = first.select(F.col("doc_id").alias(ident), F.col("row").alias(row))
+    kept = marked.join(named, [ident, row], "left_semi").dropDuplicates([ident, row])
     return kept.select(docs.columns).unionByName(docs.where(docs[id_col].cast("long").isNull()))
 
 

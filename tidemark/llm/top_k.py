@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.scratch import small_batches, stored
+from tidemark.llm.scratch import bounded_batches, stored
 
 #: Lists into which the components are cut.
 LISTS = 2
@@ -142,7 +142,7 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
     vector with its own id; ties go to the smaller vec_id. A shorter vector counts as ending in zeros.
     Products beyond 64 bits wrap around. No queries or no vectors give no rows.
     """
-    small_batches(vectors.sparkSession, ROWS)
+    bounded_batches(vectors.sparkSession)
     held, asked = stored(vectors.select("vec_id", "v"), "vectors"), stored(queries.select("vec_id", "v"), "queries")
     dims = max(held.agg(F.max(F.size("v"))).first()[0] or 0, asked.agg(F.max(F.size("v"))).first()[0] or 0)
     slices = 1 + asked.count() // SLICE

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.scratch import held_out, small_batches, texts
+from tidemark.llm.scratch import bounded_batches, held_out, texts
 
 BUCKETS = 1 << 22  # hashed features
 KEPT = 3000  # features of a category's model
@@ -130,7 +130,7 @@ def fit(docs: DataFrame, labels: DataFrame, categories: Sequence[str] = ("low_qu
     without id or with a null label, and texts of over max_bytes bytes are not learned from; of an id's
     repeated labels the largest counts. The sample is chosen by a hash of doc_id and meets in one task.
     """
-    small_batches(docs.sparkSession)
+    bounded_batches(docs.sparkSession)
     cats = list(categories)
     whole = labels.dropna(subset=[id_col, *cats]).groupBy(F.col(id_col).cast("long").alias("doc_id")).agg(*(F.max(c).cast("int").alias(f"y{i}") for i, c in enumerate(cats)))
     fits = texts(docs, id_col, text_col).where(F.octet_length("text") <= max_bytes)
@@ -158,7 +158,7 @@ def scored(docs: DataFrame, model: str, text_col: str = "text", scores_col: str
 
     Null texts score as empty ones. A column named scores_col is replaced; an empty table gives no rows.
     """
-    small_batches(docs.sparkSession)
+    bounded_batches(docs.sparkSession)
     made: list[Scorer] = []
 
     @F.arrow_udf("array<double>")

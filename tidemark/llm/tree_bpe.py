@@ -1,16 +1,26 @@
-"""BPE with word ends for whole texts; long unsplit stretches are encoded in parallel and joined as a tree.
-
-A stretch without any place to split is cut into leaves, which tasks encode independently. Neighbours
-are joined pairwise: the last and first few tokens around a join are encoded again as one string, and
-the window grows until its first token is again the one that stood there on the left, and its last the
-one on the right. Merges never crossed those outer borders, so what lies beyond keeps its tokens, and
-the joined sequence is exactly the encoding of the whole stretch.
+"""BPE by tree concatenation: texts are halved, the halves are encoded on their own, and joined exactly.
+
+A text is halved until its leaves are short, wherever the halves fall, and the tokenizers library
+encodes every leaf. Neighbours are then joined level by level. Around a join a window of the text is
+encoded again; it grows until one token left of the join and one right of it, each clear of the join
+by a margin, have the same id and the same characters as in the two sides. What lies outside these two
+tokens is taken from the sides, what lies between them from the window.
+
+Why that is exact: a sequence of tokens is the encoding of its text if every pair of neighbours is the
+encoding of theirs, and each pair stands in the left side, in the window or in the right side. From a
+token on which two encodings agree, the search for words goes on alike in both, since it looks only
+ahead; the margin is longer than any special token. No side or window begins with a character that
+normalisation could combine with the one before it.
+
+Rows hold at most SEGMENT characters. A longer text comes as several rows, which any tasks encode, each
+as a tree, and which meet by text for the last joins; the same join makes the whole.
 """
 
 from __future__ import annotations
 
-import json
-import re
+import os
+import unicodedata
+from collections import Counter
 from collections.abc import Iterator
 from functools import cached_property
 
@@ -19,129 +29,197 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.scratch import small_batches, stored
-from tidemark.llm.token_units import TOGETHER, WordBpe, in_chunks
+from tidemark.llm.scratch import bounded_batches, free, stored
+from tidemark.llm.token_units import in_chunks
 
-#: Characters without white space from which a text takes the parallel way.
-LONG = 8192
-#: Symbols of a leaf.
-LEAF = 2048
-#: Characters of ordinary text that are encoded as one row on the parallel way.
-PLAIN = 1 << 16
+#: Characters of a leaf at most, but for characters that can't be parted.
+LEAF = 1024
+#: Characters of a row.
+SEGMENT = 1 << 16
+#: Characters on either side of a join in its first window.
+REACH = 48
+#: Bytes of text whose leaves are encoded together.
+CHUNK = 2 << 20
 
-#: Words remembered by one worker.
-REMEMBERED = 700_000
 
-#: White space as the vocabulary splits at: Python's own also has U+001C to U+001F, which it keeps.
-_SPACES = re.compile(r"[^\S\x1c-\x1f]+")
+def parts_well(c: str) -> bool:
+    """Whether a text can be cut in front of c: normalisation never combines c with what is before it."""
+    return c < "̀" or not ("ᄀ" <= c <= "ᇿ" or unicodedata.category(c)[0] == "M")
 
 
-class TreeBpe(WordBpe):
-    """Ids of whole texts, leaves of long stretches, and the exact join of neighbouring leaves."""
+class Piece:
+    """Encoded characters: ids, and where in the text each of them stands."""
 
-    def __init__(self, path: str):
-        super().__init__(path, REMEMBERED)
-        specials = [t.content for t in self.tok.get_added_tokens_decoder().values()]
-        self.mark = specials[0] if specials else None
-        self.special = re.compile("(" + "|".join(map(re.escape, specials)) + ")") if specials else None
+    def __init__(self, ids, starts: np.ndarray, ends: np.ndarray):
+        self.ids, self.starts, self.ends = ids, starts, ends
 
-        self.path = path
+    def span(self, i: int) -> tuple[int, int]:
+        return int(self.starts[i]), int(self.ends[i])
 
-    @cached_property
-    def model(self) -> dict:
-        with open(self.path, encoding="utf-8") as f:
-            return json.load(f)["model"]
 
-    @cached_property
-    def suffix(self) -> str:
-        return self.model.get("end_of_word_suffix") or ""
+class Leaf:
+    """The library's encoding of the characters from base on."""
 
-    @cached_property
-    def inner(self):
-        """The model as if every string went on: without word ends."""
-        from tokenizers.models import BPE
+    def __init__(self, encoding, base: int):
+        self.encoding, self.base, self.ids = encoding, base, encoding.ids
+
+    def span(self, i: int) -> tuple[int, int]:
+        a, b = self.encoding.token_to_chars(i)
+        return self.base + a, self.base + b
+
+
+class Node:
+    """The encoding of text[start:end] alone, as runs (piece, first, end) of tokens."""
+
+    __slots__ = ("start", "end", "runs")
+
+    def __init__(self, start: int, end: int, runs: list):
+        self.start, self.end, self.runs = start, end, [r for r in runs if r[1] < r[2]]
+
+    def last(self, at: int) -> tuple[list, bool]:
+        """Tokens (start, end, id, run, i) that start at or after at, in order, and whether they are all."""
+        found = []
+        for k in range(len(self.runs) - 1, -1, -1):
+            piece, a, b = self.runs[k]
+            for i in range(b - 1, a - 1, -1):
+                s, e = piece.span(i)
+                if s < at:
+                    return found[::-1], False
+                found.append((s, e, int(piece.ids[i]), k, i))
+        return found[::-1], True
+
+    def first(self, at: int) -> tuple[list, bool]:
+        """Tokens that end at or before at, and whether they are all."""
+        found = []
+        for k, (piece, a, b) in enumerate(self.runs):
+            for i in range(a, b):
+                s, e = piece.span(i)
+                if e > at:
+                    return found, False
+                found.append((s, e, int(piece.ids[i]), k, i))
+        return found, True
+
+    def ids(self) -> np.ndarray:
+        return np.concatenate([np.empty(0, np.int32), *(np.asarray(p.ids[a:b], np.int32) for p, a, b in self.runs)])
+
+    def piece(self) -> Piece:
+        spans = np.array([p.span(i) for p, a, b in self.runs for i in range(a, b)], np.int64).reshape(-1, 2)
+        return Piece(self.ids(), spans[:, 0], spans[:, 1])
+
+
+def _clear(tokens: list) -> dict:
+    """Tokens by (start, end, id); those of a character that is several tokens are left out."""
+    times = Counter(t[0] for t in tokens)
+    return {t[:3]: t for t in tokens if times[t[0]] == 1}
 
-        return BPE(self.model["vocab"], [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in self.model["merges"]])
+
+class TreeBpe:
+    """Encodes whole texts as the library does with the vocabulary at path; one for each worker process."""
+
+    def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
+        from tokenizers import Tokenizer
+
+        self.tok = Tokenizer.from_file(path)
+        self.tok.no_truncation()
+        self.tok.no_padding()
+        self.margin = max([16, *(len(t.content) for t in self.tok.get_added_tokens_decoder().values())])
+        self.leaves = self.joins = 0  # encoded and made so far
 
     @cached_property
     def strings(self) -> list[str]:
         """What each token decodes to on its own."""
         return [self.tok.decode([i], skip_special_tokens=False) for i in range(self.tok.get_vocab_size())]
 
-    def _learn(self, words: list[str]) -> list[bytes]:
-        """Ids of new parts, TOGETHER of them in one string, with a special token between any two."""
-        groups = [words[i : i + TOGETHER] for i in range(0, len(words), TOGETHER)]
-        if self.mark is None:
-            return self._encode([" " + w for w in words])
-        mark, out = self.tok.token_to_id(self.mark), []
-        for group, e in zip(groups, self.tok.encode_batch_fast([self.mark.join(g) for g in groups], add_special_tokens=False)):
-            ids = np.array(e.ids, np.uint32)
-            at = np.flatnonzero(ids == mark)
-            if len(at) + 1 == len(group):
-                blob, at = ids.tobytes(), (4 * at).tolist()
-                out += [blob[a:b] for a, b in zip([0, *(a + 4 for a in at)], [*at, len(blob)])]
-            else:
-                out += self._encode([" " + w for w in group])
-        return out
-
     def decode(self, ids: list[int]) -> str:
         if self.tok.decoder is None:  # then a text is its tokens' strings with spaces between
             return " ".join(map(self.strings.__getitem__, ids))
         return self.tok.decode(ids, skip_special_tokens=False)
 
-    def symbols(self, piece: str, last: bool) -> list[int]:
-        return [t.id for t in (self.tok.model if last else self.inner).tokenize(piece)] if piece else []
-
-    def _string(self, ids: list[int], last: bool) -> str:
-        s = "".join(map(self.tok.id_to_token, ids))
-        return s.removesuffix(self.suffix) if last and self.suffix else s
-
-    def join(self, a: list[int], b: list[int], last: bool) -> list[int]:
-        """The encoding of the two strings together. last: b ends the stretch, and so has the word end."""
-        if not a or not b:
-            return a + b
-        k = 2
-        while True:
-            left, right = a[-k:], b[:k]
-            whole_a, whole_b = len(left) == len(a), len(right) == len(b)
-            new = self.symbols(self._string(left + right, last and whole_b), last and whole_b)
-            if (whole_a or new[0] == left[0]) and (whole_b or new[-1] == right[-1]):
-                return a[: len(a) - len(left)] + new + b[len(right) :]
-            k *= 2
-
-    def joined(self, leaves: list[list[int]]) -> list[int]:
-        """All leaves of one stretch, pairwise and level by level."""
-        while len(leaves) > 1:
-            pairs = range(0, len(leaves) - 1, 2)
-            level = [self.join(leaves[i], leaves[i + 1], i + 2 == len(leaves)) for i in pairs]
-            leaves = level + ([leaves[-1]] if len(leaves) % 2 else [])
-        return leaves[0] if leaves else []
-
-    def parts(self, text: str) -> Iterator[tuple[str, str]]:
-        """(kind, string): plain text for the library, and leaves of long stretches; the kind of the last leaf is 'end'."""
-        plain, size = [], 0
-        at = 0
-        for m in [*_SPACES.finditer(text), None]:
-            word, at = text[at : m.start() if m else len(text)], m.end() if m else len(text)
-            if len(word) < LEAF:
-                plain.append(word)
-                size += len(word) + 1
-                if size >= PLAIN:
-                    yield "plain", " ".join(plain)
-                    plain, size = [], 0
-                continue
-            if plain:
-                yield "plain", " ".join(plain)
-                plain, size = [], 0
-            for section in self.special.split(word) if self.special else [word]:
-                if self.special and self.special.fullmatch(section):
-                    yield "plain", section
-                    continue
-                for piece, _ in self.tok.pre_tokenizer.pre_tokenize_str(self.tok.normalizer.normalize_str(section)):
-                    for i in range(0, len(piece), LEAF):
-                        yield "end" if i + LEAF >= len(piece) else "leaf", piece[i : i + LEAF]
-        if plain:
-            yield "plain", " ".join(plain)
+    def _encode(self, texts: list[str], bases: list[int]) -> list[Leaf]:
+        return [Leaf(e, b) for e, b in zip(self.tok.encode_batch(texts, add_special_tokens=False), bases)]
+
+    def trees(self, texts: list[str], leaf: int = LEAF) -> list[Node]:
+        """The encoding of every text, from its leaves up; one level of all texts at a time."""
+        cuts = [halves(t, leaf) for t in texts]
+        flat = [(t, a, b) for t, c in zip(texts, cuts) for a, b in zip(c, c[1:])]
+        encoded = iter(self._encode([t[a:b] for t, a, b in flat], [a for _, a, _ in flat]))
+        self.leaves += len(flat)
+        levels = [[Node(a, b, [(x := next(encoded), 0, len(x.ids))]) for a, b in zip(c, c[1:])] for c in cuts]
+        return self.joined(texts, levels)
+
+    def joined(self, texts: list[str], levels: list[list[Node]]) -> list[Node]:
+        """One node for each text, from neighbouring nodes that cover it."""
+        while any(len(nodes) > 1 for nodes in levels):
+            pairs = [(t, a, b) for t, nodes in zip(texts, levels) for a, b in zip(nodes[::2], nodes[1::2])]
+            made = iter(self._joins(pairs))
+            levels = [[next(made) for _ in range(len(nodes) // 2)] + (nodes[-1:] if len(nodes) % 2 else []) for nodes in levels]
+        return [nodes[0] if nodes else Node(0, 0, []) for nodes in levels]
+
+    def _joins(self, pairs: list[tuple[str, Node, Node]]) -> list[Node]:
+        out: list = [None] * len(pairs)
+        todo, reach = list(range(len(pairs))), REACH
+        self.joins += len(pairs)
+        while todo:
+            tried = [(i, w) for i in todo if (w := self._window(*pairs[i], reach))]
+            encoded = self._encode([pairs[i][0][w[0] : w[1]] for i, w in tried], [w[0] for _, w in tried])
+            for (i, w), new in zip(tried, encoded):
+                out[i] = self._agreed(pairs[i][1], pairs[i][2], w, new)
+            todo, reach = [i for i in todo if out[i] is None], 2 * reach
+        return out
+
+    def _window(self, text: str, a: Node, b: Node, reach: int):
+        """(first character, end, tokens of a in it, all of a?, tokens of b in it, all of b?), or None if it has no good ends."""
+        left, all_left = a.last(a.end - reach)
+        right, all_right = b.first(b.start + reach)
+        first, end = a.start, b.end
+        if not all_left:
+            left = left[next((k for k, t in enumerate(left) if parts_well(text[t[0]])), len(left)) :]
+            first = left[0][0] if left else -1
+        if not all_right:
+            n = next((k for k in range(len(right), 0, -1) if right[k - 1][1] == len(text) or parts_well(text[right[k - 1][1]])), 0)
+            right = right[:n]
+            end = right[-1][1] if right else -1
+        return None if first < 0 or end < 0 else (first, end, left, all_left, right, all_right)
+
+    def _agreed(self, a: Node, b: Node, window, new: Leaf) -> Node | None:
+        first, end, left, all_left, right, all_right = window
+        cut, n = a.end, len(new.ids)
+        tokens = [(*new.span(i), new.ids[i], 0, i) for i in range(n)]
+        clear = _clear(tokens)
+        runs_a, runs_b, i, j = [], [], -1, n - 1
+        if not all_left:
+            t = next((t for k, t in _clear(left).items() if t[1] <= cut - self.margin and k in clear), None)
+            if t is None:
+                return None
+            i = clear[t[:3]][4]
+            piece, x, _ = a.runs[t[3]]
+            runs_a = [*a.runs[: t[3]], (piece, x, t[4] + 1)]
+        if not all_right:
+            t = next((t for k, t in _clear(right).items() if t[0] >= cut + self.margin and k in clear), None)
+            if t is None:
+                return None
+            j = clear[t[:3]][4]
+            piece, _, y = b.runs[t[3]]
+            runs_b = [(piece, t[4] + 1, y), *b.runs[t[3] + 1 :]]
+        return Node(a.start, b.end, [*runs_a, (new, i + 1, j + 1), *runs_b])
+
+
+def halves(text: str, leaf: int) -> list[int]:
+    """Where the leaves of text begin, and its end: halves of halves until none is longer than leaf."""
+    if not text:
+        return [0]
+    count = 1
+    while count * leaf < len(text):
+        count *= 2
+    cuts = [0]
+    for k in range(1, count):
+        at = len(text) * k // count
+        while at < len(text) and not parts_well(text[at]):
+            at += 1
+        if cuts[-1] < at < len(text):
+            cuts.append(at)
+    return [*cuts, len(text)]
 
 
 _made: dict[str, TreeBpe] = {}
@@ -153,77 +231,80 @@ def tree_bpe(path: str) -> TreeBpe:
     return _made[path]
 
 
-def _lists(ids: list[np.ndarray]) -> pa.Array:
-    ends = np.cumsum([0, *map(len, ids)])
-    flat = np.concatenate([*ids, np.empty(0, np.uint32)]).astype(np.int32)
-    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat, pa.int32()))
+def _lists(arrays: list[np.ndarray]) -> pa.Array:
+    ends = np.cumsum([0, *map(len, arrays)])
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate([*arrays, np.empty(0, np.int32)]).astype(np.int32)))
 
 
-def _long_ids(long: DataFrame, vocabulary: str) -> DataFrame:
-    """(key, ids) for distinct long texts long(key, text)."""
+_ENCODED = "struct<ids:array<int>,back:string>"
 
-    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for key, text in zip(batch["key"].to_pylist(), batch["text"].to_pylist()):
-                rows = [(key, i, kind, s) for i, (kind, s) in enumerate(tree_bpe(vocabulary).parts(text))]
-                yield pa.RecordBatch.from_pylist([dict(zip(("key", "i", "kind", "s"), r)) for r in rows], pa.schema([("key", pa.string()), ("i", pa.int32()), ("kind", pa.string()), ("s", pa.string())]))
 
-    @F.arrow_udf("array<int>")
-    def encoded(kind: pa.Array, s: pa.Array) -> pa.Array:
-        bpe = tree_bpe(vocabulary)
-        return _lists([bpe([x])[0] if k == "plain" else np.array(bpe.symbols(x, k == "end"), np.uint32) for k, x in zip(kind.to_pylist(), s.to_pylist())])
+def _result(bpe: TreeBpe, nodes: list[Node], decode: bool) -> pa.StructArray:
+    ids = [n.ids() for n in nodes]
+    back = pa.array([bpe.decode(x.tolist()) if decode else None for x in ids], pa.string())
+    return pa.StructArray.from_arrays([_lists(ids), back], ["ids", "back"])
+
+
+def _from_segments(rows: DataFrame, vocabulary: str, decode: bool) -> DataFrame:
+    """(key, made) of texts that come in segments rows(key, i, s): encoded wherever a segment is, then joined by key."""
+
+    @F.arrow_udf("struct<ids:array<int>,starts:array<int>,ends:array<int>>")
+    def trees(s: pa.Array) -> pa.Array:
+        pieces = [n.piece() for n in tree_bpe(vocabulary).trees(s.to_pylist())]
+        return pa.StructArray.from_arrays([_lists([getattr(p, c) for p in pieces]) for c in ("ids", "starts", "ends")], ["ids", "starts", "ends"])
 
-    def join(table: pa.Table) -> pa.Table:
-        bpe, out, leaves = tree_bpe(vocabulary), [], []
-        for r in table.sort_by("i").to_pylist():
-            if r["kind"] == "plain":
-                out += r["ids"]
-                continue
-            leaves.append(r["ids"])
-            if r["kind"] == "end":
-                out += bpe.joined(leaves)
-                leaves = []
-        return pa.table({"key": pa.array([table["key"][0].as_py()]), "ids": pa.array([out], pa.list_(pa.int32()))})
+    def whole(table: pa.Table) -> pa.Table:
+        table = table.sort_by("i")
+        bpe, parts, at, nodes = tree_bpe(vocabulary), table["s"].to_pylist(), 0, []
+        for k, s in enumerate(parts):
+            e = table["e"][k]
+            ids, starts, ends = (e[c].values.to_numpy() for c in ("ids", "starts", "ends"))
+            nodes.append(Node(at, at + len(s), [(Piece(ids, starts.astype(np.int64) + at, ends.astype(np.int64) + at), 0, len(ids))]))
+            at += len(s)
+        made = _result(bpe, bpe.joined(["".join(parts)], [nodes]), decode)
+        return pa.table({"key": table["key"][:1], "made": made})
 
-    parts = long.mapInArrow(split, "key string, i int, kind string, s string").repartition("key", "i")
-    leaves = parts.select("key", "i", "kind", encoded("kind", "s").alias("ids"))
-    return leaves.groupBy("key").applyInArrow(join, "key string, ids array<int>")
+    return rows.repartition("key", "i").select("key", "i", "s", trees("s").alias("e")).groupBy("key").applyInArrow(whole, f"key string, made {_ENCODED}")
 
 
 def encoded(docs: DataFrame, vocabulary: str, text_col: str = "text", ids_col: str = "ids", decoded_col: str | None = None) -> DataFrame:
     """docs with ids_col, the ids of every whole text as the tokenizers library gives them.
 
     decoded_col, if given, is what these ids decode to. Null and empty texts have no ids and decode to
-    an empty text. Columns of these names are replaced. Texts with LONG characters in
-    a row without white space are cut into leaves that tasks encode in parallel; equal ones only once.
-    An empty table gives no rows.
+    an empty text. Repeated rows have equal ids. Columns of these two names are replaced, others stay,
+    whatever their names. Texts of more than one segment are joined by text, equal ones once. An empty
+    table gives no rows.
     """
-    small_batches(docs.sparkSession, 64)
-
-    @F.arrow_udf("struct<ids:array<int>,back:string>")
-    def short(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for rows in in_chunks(pa.RecordBatch.from_arrays([t.cast(pa.string())], ["text"]) for t in texts):
-            bpe = tree_bpe(vocabulary)
-            ids = bpe(rows["text"].combine_chunks())
-            back = pa.array([bpe.decode(x.tolist()) for x in ids] if decoded_col else [None] * len(ids), pa.string())
-            yield pa.StructArray.from_arrays([_lists(ids), back], ["ids", "back"])
+    bounded_batches(docs.sparkSession)
+    decode = decoded_col is not None
+
+    @F.arrow_udf(_ENCODED)
+    def single(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        bpe = tree_bpe(vocabulary)
+        for rows in in_chunks((pa.RecordBatch.from_arrays([t.cast(pa.string())], ["text"]) for t in texts), CHUNK):
+            yield _result(bpe, bpe.trees([t or "" for t in rows["text"].to_pylist()]), decode)
             pa.default_memory_pool().release_unused()
 
-    others = [c for c in docs.columns if c not in (ids_col, decoded_col)]
     text = F.coalesce(docs[text_col], F.lit(""))
-    is_long = text.rlike(rf"\S{{{LONG}}}")
-    long = docs.where(is_long).select(F.sha2(text, 256).alias("key"), text.alias("text")).dropDuplicates(["key"])
-    ids = _long_ids(long, vocabulary)
-    made = ids.select("key", F.struct("ids", (decoded(ids["ids"], vocabulary) if decoded_col else F.lit(None).cast("string")).alias("back")).alias("__long"))
-    made = stored(made, "long-ids").withColumnRenamed("key", "__key")
-    keyed = docs.select(*[docs[c] for c in others], F.when(~is_long, docs[text_col]).alias("__short"), F.when(is_long, F.sha2(text, 256)).alias("__key"))
-    both = keyed.withColumn("__ids", short("__short")).join(made, "__key", "left")
-    found = F.coalesce("__long", "__ids")
-    return both.select(*[both[c] for c in others], found["ids"].alias(ids_col), *([found["back"].alias(decoded_col)] if decoded_col else []))
+    size = SEGMENT
+    several = F.length(text) > size
+    held = docs.where(several).select(F.sha2(text, 256).alias("key"), text.alias("text")).dropDuplicates(["key"])
+
+    @F.arrow_udf("array<string>")
+    def segments(texts: pa.Array) -> pa.Array:
+        return pa.array(([t[a:b] for c in (halves(t, size),) for a, b in zip(c, c[1:])] for t in texts.to_pylist()), pa.list_(pa.string()))
+
+    rows = held.select("key", F.posexplode(segments("text")).alias("i", "s"))
+    key, one, found = (free(c, docs.columns) for c in ("key", "one", "made"))
+    made = stored(_from_segments(rows, vocabulary, decode), "joined").select(F.col("key").alias(key), F.col("made").alias(found))
+    keyed = docs.withColumns({one: single(F.when(~several, docs[text_col])), key: F.when(several, F.sha2(text, 256))}).join(made, key, "left")
+    result = F.coalesce(F.col(found), F.col(one))
+    others = [keyed[c] for c in docs.columns if c not in (ids_col, decoded_col)]
+    return keyed.select(*others, result["ids"].alias(ids_col), *([result["back"].alias(decoded_col)] if decode else []))
 
 
 def decoded(ids: Column, vocabulary: str) -> Column:
-    """The text of ids as the library decodes them, special tokens included."""
+    """The text of ids as the library decodes them, special tokens included; null ids give an empty text."""
 
     @F.arrow_udf("string")
     def of(ids: pa.Array) -> pa.Array:
