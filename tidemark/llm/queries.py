@@ -74,7 +74,7 @@ def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.find(texts(table(spark, sf_dir, "documents")))
     counts = [F.size(pii.of_kinds(F.col("spans"), k)).cast("long").alias(f"n_{k}") for k in pii.KINDS]
     base = pii.of_kinds(F.col("spans"), *pii.BASE)
-    return found.select("doc_id", *counts, F.sha2(pii.listed(base), 256).alias("base_sha256"), pii.listed(F.col("spans")).alias("spans"))
+    return found.select("doc_id", *counts, F.sha2(pii.listed(base), 256).alias("base_sha256"), pii.listed(F.col("spans")).alias("spans"), pii.scores(F.col("spans")).alias("scores"))
 
 
 def _toxicity_model(spark: SparkSession, sf_dir: str, docs: DataFrame) -> str:
