@@ -1,7 +1,7 @@
 """BPE by tree concatenation: texts are halved, the halves are encoded on their own, and joined exactly.
 
 A text is halved until its leaves are short, wherever the halves fall, and the tokenizers library
-encodes every leaf. Neighbours are then joined level by level. Around a join a window of the text is
+encodes every leaf (words that it has encoded before are remembered). Neighbours are then joined level by level. Around a join a window of the text is
 encoded again; it grows until one token left of the join and one right of it, each clear of the join
 by a margin, have the same id and the same characters as in the two sides. What lies outside these two
 tokens is taken from the sides, what lies between them from the window.
@@ -18,8 +18,8 @@ as a tree, and which meet by text for the last joins; the same join makes the wh
 
 from __future__ import annotations
 
-import os
 import unicodedata
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 from functools import cached_property
@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.scratch import bounded_batches, free, stored
-from tidemark.llm.token_units import in_chunks
+from tidemark.llm.token_units import LONGEST, TOGETHER, WordBpe, in_chunks
 
 #: Characters of a leaf at most, but for characters that can't be parted.
 LEAF = 1024
@@ -38,8 +38,8 @@ LEAF = 1024
 SEGMENT = 1 << 16
 #: Characters on either side of a join in its first window.
 REACH = 48
-#: Bytes of text whose leaves are encoded together.
-CHUNK = 2 << 20
+#: Words whose ids one worker remembers, and words whose tokens' places it remembers as well.
+REMEMBERED, PLACED = 400_000, 60_000
 
 
 def parts_well(c: str) -> bool:
@@ -50,22 +50,68 @@ def parts_well(c: str) -> bool:
 class Piece:
     """Encoded characters: ids, and where in the text each of them stands."""
 
-    def __init__(self, ids, starts: np.ndarray, ends: np.ndarray):
+    def __init__(self, ids, starts, ends):
         self.ids, self.starts, self.ends = ids, starts, ends
 
     def span(self, i: int) -> tuple[int, int]:
         return int(self.starts[i]), int(self.ends[i])
 
+    def since(self, a: int, b: int, at: int) -> list[tuple[int, int, int]]:
+        """Tokens (start, end, id) of [a, b) from the last one that starts before at on, or from a."""
+        i = b
+        while i > a and (i == b or self.starts[i] >= at):
+            i -= 1
+        return [(*self.span(j), int(self.ids[j])) for j in range(i, b)]
+
+    def until(self, a: int, b: int, at: int) -> list[tuple[int, int, int]]:
+        """Tokens of [a, b) up to the first one that ends after at, or to b."""
+        i = a
+        while i < b and (i == a or self.ends[i - 1] <= at):
+            i += 1
+        return [(*self.span(j), int(self.ids[j])) for j in range(a, i)]
+
 
 class Leaf:
-    """The library's encoding of the characters from base on."""
+    """Encoded characters text[start:end], whose first and last tokens are placed in the text when asked for.
+
+    White space parts words for the vocabulary, so the words at an end have the ids that they have alone.
+    """
+
+    def __init__(self, bpe: TreeBpe, text: str, start: int, end: int, ids: np.ndarray):
+        self.bpe, self.text, self.ids, self.start, self.end = bpe, text, ids, start, end
+        self.head: list[tuple[int, int, int]] = []
+        self.tail: list[tuple[int, int, int]] = []
+        self.head_end, self.tail_start = start, end
 
-    def __init__(self, encoding, base: int):
-        self.encoding, self.base, self.ids = encoding, base, encoding.ids
+    def _grow_head(self) -> None:
+        at = self.text.find(" ", self.head_end + REACH, self.end)
+        at = at if at >= 0 else self.end
+        self.head += self.bpe.placed(self.text, self.head_end, at)
+        self.head_end = min(at + 1, self.end)
+
+    def _grow_tail(self) -> None:
+        at = self.text.rfind(" ", self.start, max(self.start, self.tail_start - REACH)) + 1 or self.start
+        self.tail = self.bpe.placed(self.text, at, self.tail_start) + self.tail
+        self.tail_start = max(at - 1, self.start)
 
     def span(self, i: int) -> tuple[int, int]:
-        a, b = self.encoding.token_to_chars(i)
-        return self.base + a, self.base + b
+        n = len(self.ids)
+        while i >= len(self.head) and n - i > len(self.tail):
+            self._grow_head() if 2 * i < n else self._grow_tail()
+        return (self.head[i] if i < len(self.head) else self.tail[i - n])[:2]
+
+    def since(self, a: int, b: int, at: int) -> list[tuple[int, int, int]]:
+        n = len(self.ids)
+        while len(self.tail) < n - a and (len(self.tail) <= n - b or self.tail[0][0] >= at):
+            self._grow_tail()
+        found = self.tail[max(0, len(self.tail) - (n - a)) : len(self.tail) - (n - b)]
+        return found[max(0, bisect_left(found, (at,)) - 1) :]
+
+    def until(self, a: int, b: int, at: int) -> list[tuple[int, int, int]]:
+        while len(self.head) < b and (len(self.head) <= a or self.head[-1][1] <= at):
+            self._grow_head()
+        found = self.head[a:b]
+        return found[: next((k for k, t in enumerate(found) if t[1] > at), len(found)) + 1]
 
 
 class Node:
@@ -81,22 +127,20 @@ class Node:
         found = []
         for k in range(len(self.runs) - 1, -1, -1):
             piece, a, b = self.runs[k]
-            for i in range(b - 1, a - 1, -1):
-                s, e = piece.span(i)
-                if s < at:
-                    return found[::-1], False
-                found.append((s, e, int(piece.ids[i]), k, i))
-        return found[::-1], True
+            tokens = piece.since(a, b, at)
+            found[:0] = [(*t, k, i) for i, t in enumerate(tokens, b - len(tokens)) if t[0] >= at]
+            if tokens[0][0] < at:
+                return found, False
+        return found, True
 
     def first(self, at: int) -> tuple[list, bool]:
         """Tokens that end at or before at, and whether they are all."""
         found = []
         for k, (piece, a, b) in enumerate(self.runs):
-            for i in range(a, b):
-                s, e = piece.span(i)
-                if e > at:
-                    return found, False
-                found.append((s, e, int(piece.ids[i]), k, i))
+            tokens = piece.until(a, b, at)
+            found += [(*t, k, i) for i, t in enumerate(tokens, a) if t[1] <= at]
+            if tokens[-1][1] > at:
+                return found, False
         return found, True
 
     def ids(self) -> np.ndarray:
@@ -108,23 +152,58 @@ class Node:
 
 
 def _clear(tokens: list) -> dict:
-    """Tokens by (start, end, id); those of a character that is several tokens are left out."""
-    times = Counter(t[0] for t in tokens)
-    return {t[:3]: t for t in tokens if times[t[0]] == 1}
+    """Tokens by (start, end, id), or their places if they have no more; those of a character that is several tokens are left out."""
+    starts = [t[0] for t in tokens]
+    if len(set(starts)) < len(starts):
+        times = Counter(starts)
+        return {t[:3]: t[3:] and t or i for i, t in enumerate(tokens) if times[t[0]] == 1}
+    return {t[:3]: t[3:] and t or i for i, t in enumerate(tokens)}
 
 
-class TreeBpe:
+class TreeBpe(WordBpe):
     """Encodes whole texts as the library does with the vocabulary at path; one for each worker process."""
 
     def __init__(self, path: str):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
-        from tokenizers import Tokenizer
-
-        self.tok = Tokenizer.from_file(path)
-        self.tok.no_truncation()
-        self.tok.no_padding()
-        self.margin = max([16, *(len(t.content) for t in self.tok.get_added_tokens_decoder().values())])
+        super().__init__(path, REMEMBERED)
+        specials = [t.content for t in self.tok.get_added_tokens_decoder().values()]
+        if any(" " in t for t in specials):
+            raise ValueError("special tokens with spaces are not supported")
+        self.mark = specials[0] if specials else None
+        self.margin = max([16, *map(len, specials)])
         self.leaves = self.joins = 0  # encoded and made so far
+        self.spans: dict[str, list[tuple[int, int, int]]] = {}
+
+    def _learn(self, words: list[str]) -> list[bytes]:
+        """Ids of new words, TOGETHER of them in one string, with a special token between any two."""
+        groups = [words[i : i + TOGETHER] for i in range(0, len(words), TOGETHER)]
+        if self.mark is None:
+            return self._encode(words)
+        mark, out = self.tok.token_to_id(self.mark), []
+        for group, e in zip(groups, self.tok.encode_batch_fast([self.mark.join(g) for g in groups], add_special_tokens=False)):
+            ids = np.array(e.ids, np.uint32)
+            at = np.flatnonzero(ids == mark)
+            if len(at) + 1 == len(group):
+                blob, at = ids.tobytes(), (4 * at).tolist()
+                out += [blob[a:b] for a, b in zip([0, *(a + 4 for a in at)], [*at, len(blob)])]
+            else:
+                out += self._encode(group)
+        return out
+
+    def placed(self, text: str, first: int, end: int) -> list[tuple[int, int, int]]:
+        """(start, end, id) of the tokens of text[first:end] alone."""
+        out, at = [], first
+        for word in text[first:end].split(" "):
+            found = self.spans.get(word)
+            if found is None:
+                e = self.tok.encode(word, add_special_tokens=False)
+                found = [(a, b, i) for (a, b), i in zip(e.offsets, e.ids)]
+                if len(word) <= LONGEST:
+                    if len(self.spans) >= PLACED:
+                        self.spans.clear()
+                    self.spans[word] = found
+            out += [(at + a, at + b, i) for a, b, i in found]
+            at += len(word) + 1
+        return out
 
     @cached_property
     def strings(self) -> list[str]:
@@ -136,38 +215,34 @@ class TreeBpe:
             return " ".join(map(self.strings.__getitem__, ids))
         return self.tok.decode(ids, skip_special_tokens=False)
 
-    def _encode(self, texts: list[str], bases: list[int]) -> list[Leaf]:
-        return [Leaf(e, b) for e, b in zip(self.tok.encode_batch(texts, add_special_tokens=False), bases)]
-
     def trees(self, texts: list[str], leaf: int = LEAF) -> list[Node]:
         """The encoding of every text, from its leaves up; one level of all texts at a time."""
         cuts = [halves(t, leaf) for t in texts]
         flat = [(t, a, b) for t, c in zip(texts, cuts) for a, b in zip(c, c[1:])]
-        encoded = iter(self._encode([t[a:b] for t, a, b in flat], [a for _, a, _ in flat]))
+        encoded = iter([Leaf(self, t, a, b, ids) for (t, a, b), ids in zip(flat, self([t[a:b] for t, a, b in flat]))])
         self.leaves += len(flat)
         levels = [[Node(a, b, [(x := next(encoded), 0, len(x.ids))]) for a, b in zip(c, c[1:])] for c in cuts]
         return self.joined(texts, levels)
 
     def joined(self, texts: list[str], levels: list[list[Node]]) -> list[Node]:
         """One node for each text, from neighbouring nodes that cover it."""
-        while any(len(nodes) > 1 for nodes in levels):
-            pairs = [(t, a, b) for t, nodes in zip(texts, levels) for a, b in zip(nodes[::2], nodes[1::2])]
-            made = iter(self._joins(pairs))
-            levels = [[next(made) for _ in range(len(nodes) // 2)] + (nodes[-1:] if len(nodes) % 2 else []) for nodes in levels]
-        return [nodes[0] if nodes else Node(0, 0, []) for nodes in levels]
-
-    def _joins(self, pairs: list[tuple[str, Node, Node]]) -> list[Node]:
-        out: list = [None] * len(pairs)
-        todo, reach = list(range(len(pairs))), REACH
-        self.joins += len(pairs)
-        while todo:
-            tried = [(i, w) for i in todo if (w := self._window(*pairs[i], reach))]
-            encoded = self._encode([pairs[i][0][w[0] : w[1]] for i, w in tried], [w[0] for _, w in tried])
-            for (i, w), new in zip(tried, encoded):
-                out[i] = self._agreed(pairs[i][1], pairs[i][2], w, new)
-            todo, reach = [i for i in todo if out[i] is None], 2 * reach
+        out = []
+        for text, nodes in zip(texts, levels):
+            while len(nodes) > 1:
+                nodes = [self.join(text, a, b) for a, b in zip(nodes[::2], nodes[1::2])] + (nodes[-1:] if len(nodes) % 2 else [])
+            out.append(nodes[0] if nodes else Node(0, 0, []))
         return out
 
+    def join(self, text: str, a: Node, b: Node) -> Node:
+        """The encoding of two neighbours together."""
+        self.joins += 1
+        made, reach = None, REACH
+        while made is None:
+            window = self._window(text, a, b, reach)
+            made = window and self._agreed(a, b, window, self.placed(text, *window[:2]))
+            reach *= 2
+        return made
+
     def _window(self, text: str, a: Node, b: Node, reach: int):
         """(first character, end, tokens of a in it, all of a?, tokens of b in it, all of b?), or None if it has no good ends."""
         left, all_left = a.last(a.end - reach)
@@ -182,27 +257,27 @@ class TreeBpe:
             end = right[-1][1] if right else -1
         return None if first < 0 or end < 0 else (first, end, left, all_left, right, all_right)
 
-    def _agreed(self, a: Node, b: Node, window, new: Leaf) -> Node | None:
-        first, end, left, all_left, right, all_right = window
-        cut, n = a.end, len(new.ids)
-        tokens = [(*new.span(i), new.ids[i], 0, i) for i in range(n)]
-        clear = _clear(tokens)
-        runs_a, runs_b, i, j = [], [], -1, n - 1
+    def _agreed(self, a: Node, b: Node, window, new: list[tuple[int, int, int]]) -> Node | None:
+        _, _, left, all_left, right, all_right = window
+        clear = _clear(new)
+        runs_a, runs_b, i, j = [], [], -1, len(new) - 1
         if not all_left:
-            t = next((t for k, t in _clear(left).items() if t[1] <= cut - self.margin and k in clear), None)
+            t = next((t for k, t in _clear(left).items() if t[1] <= a.end - self.margin and k in clear), None)
             if t is None:
                 return None
-            i = clear[t[:3]][4]
+            i = clear[t[:3]]
             piece, x, _ = a.runs[t[3]]
             runs_a = [*a.runs[: t[3]], (piece, x, t[4] + 1)]
         if not all_right:
-            t = next((t for k, t in _clear(right).items() if t[0] >= cut + self.margin and k in clear), None)
+            t = next((t for k, t in _clear(right).items() if t[0] >= b.start + self.margin and k in clear), None)
             if t is None:
                 return None
-            j = clear[t[:3]][4]
+            j = clear[t[:3]]
             piece, _, y = b.runs[t[3]]
             runs_b = [(piece, t[4] + 1, y), *b.runs[t[3] + 1 :]]
-        return Node(a.start, b.end, [*runs_a, (new, i + 1, j + 1), *runs_b])
+        kept = new[i + 1 : j + 1]
+        starts, ends, ids = zip(*kept) if kept else ((), (), ())
+        return Node(a.start, b.end, [*runs_a, (Piece(ids, starts, ends), 0, len(ids)), *runs_b])
 
 
 def halves(text: str, leaf: int) -> list[int]:
@@ -281,26 +356,29 @@ def encoded(docs: DataFrame, vocabulary: str, text_col: str = "text", ids_col: s
     @F.arrow_udf(_ENCODED)
     def single(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         bpe = tree_bpe(vocabulary)
-        for rows in in_chunks((pa.RecordBatch.from_arrays([t.cast(pa.string())], ["text"]) for t in texts), CHUNK):
+        for rows in in_chunks((pa.RecordBatch.from_arrays([t.cast(pa.string())], ["text"]) for t in texts)):
             yield _result(bpe, bpe.trees([t or "" for t in rows["text"].to_pylist()]), decode)
             pa.default_memory_pool().release_unused()
 
-    text = F.coalesce(docs[text_col], F.lit(""))
-    size = SEGMENT
+    text, size = F.coalesce(docs[text_col], F.lit("")), SEGMENT
     several = F.length(text) > size
-    held = docs.where(several).select(F.sha2(text, 256).alias("key"), text.alias("text")).dropDuplicates(["key"])
+    others = [c for c in docs.columns if c not in (ids_col, decoded_col)]
+    key, made = free("key", docs.columns), free("made", docs.columns)
+
+    def result(found: Column) -> list[Column]:
+        return [found["ids"].alias(ids_col), *([found["back"].alias(decoded_col)] if decode else [])]
 
     @F.arrow_udf("array<string>")
     def segments(texts: pa.Array) -> pa.Array:
         return pa.array(([t[a:b] for c in (halves(t, size),) for a, b in zip(c, c[1:])] for t in texts.to_pylist()), pa.list_(pa.string()))
 
+    short = docs.where(~several).withColumn(made, single(docs[text_col]))
+    short = short.select(*[short[c] for c in others], *result(F.col(made)))
+    held = docs.where(several).select(F.sha2(text, 256).alias("key"), text.alias("text")).dropDuplicates(["key"])
     rows = held.select("key", F.posexplode(segments("text")).alias("i", "s"))
-    key, one, found = (free(c, docs.columns) for c in ("key", "one", "made"))
-    made = stored(_from_segments(rows, vocabulary, decode), "joined").select(F.col("key").alias(key), F.col("made").alias(found))
-    keyed = docs.withColumns({one: single(F.when(~several, docs[text_col])), key: F.when(several, F.sha2(text, 256))}).join(made, key, "left")
-    result = F.coalesce(F.col(found), F.col(one))
-    others = [keyed[c] for c in docs.columns if c not in (ids_col, decoded_col)]
-    return keyed.select(*others, result["ids"].alias(ids_col), *([result["back"].alias(decoded_col)] if decode else []))
+    found = stored(_from_segments(rows, vocabulary, decode), "joined").select(F.col("key").alias(key), F.col("made").alias(made))
+    long = docs.where(several).withColumn(key, F.sha2(text, 256)).join(found, key)
+    return short.unionByName(long.select(*[long[c] for c in others], *result(F.col(made))))
 
 
 def decoded(ids: Column, vocabulary: str) -> Column:
