@@ -1,10 +1,12 @@
 """Stupid-backoff scores of documents under n-gram counts of the whole corpus.
 
 Units are ids of a byte-level BPE, so the vocabulary is closed and an n-gram of up to four ids is one
-exact 64-bit key. Texts are encoded once, and documents are dealt into blocks of bounded size. Every block's n-grams are exploded
-into rows, added up to a count table that is partitioned by the hash of the n-gram, and joined back, so
-each block receives the counts of its own n-grams and no others; then scores are summed per document.
-A document's own n-grams are taken off the counts before it is scored.
+exact 64-bit key. Texts are encoded once, in blocks of whole documents. A block's n-grams come as one
+row for each context, with the ids that follow it and how often, which is several times smaller than a
+row for each n-gram; these rows are dealt by the hash of the context, exploded to n-grams there, added
+up over all blocks, and joined back: a block receives the corpus' counts of those of its n-grams that
+other blocks have as well, and knows the others itself. Scores are summed per document. A document's
+own n-grams are taken off the counts before it is scored.
 """
 
 from __future__ import annotations
@@ -13,16 +15,21 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.scratch import bounded_batches, stored, texts
 from tidemark.llm.token_units import in_chunks, word_bpe
 
-#: Bytes of text that a block holds on average.
-BLOCK_BYTES = 4 << 20
+#: Ids after which a block is closed, between documents.
+BLOCK_IDS = 6 << 20
 BACKOFF = 0.4
 _DIGIT = 1 << 16  # ids are below this; an n-gram is a number with digits id + 1, so no two of them are equal
+#: Parts into which the followers of a short context are dealt: single ids and bigrams follow few contexts very often.
+SPREAD = 64
+#: Rows of one Arrow batch of contexts.
+ROWS = 1 << 16
 
 
 def grams(ids: np.ndarray, k: int) -> np.ndarray:
@@ -34,6 +41,15 @@ def grams(ids: np.ndarray, k: int) -> np.ndarray:
     return out
 
 
+def counted(ids: np.ndarray, lengths: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted keys and counts of the k-grams inside documents of these lengths."""
+    keys = grams(ids, k)
+    if k > 1 and len(keys):
+        place = np.arange(len(ids)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+        keys = keys[place[k - 1 :] >= k - 1]
+    return np.unique(keys, return_counts=True)
+
+
 def score(ids: np.ndarray, order: int, known: np.ndarray, counts: np.ndarray, total: int) -> float:
     """The sum of log10 scores of ids. known: sorted keys with the corpus' counts, this text's own included.
 
@@ -63,47 +79,99 @@ def score(ids: np.ndarray, order: int, known: np.ndarray, counts: np.ndarray, to
     return float(out.sum())
 
 
-def scored(docs: DataFrame, vocabulary: str, order: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+_BLOCKS = pa.schema([("block", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("lengths", pa.list_(pa.int32())), ("ids", pa.binary())])
+_CONTEXTS = pa.schema([("block", pa.int64()), ("context", pa.int64()), ("next", pa.list_(pa.int32())), ("n", pa.list_(pa.int32()))])
+
+
+def _unpacked(lengths: np.ndarray, blob: bytes) -> np.ndarray:
+    return np.frombuffer(pa.decompress(blob, int(lengths.sum()) * 2, "zstd", asbytes=True), np.uint16)
+
+
+def _blocks(docs: DataFrame, vocabulary: str) -> DataFrame:
+    """One row for each block: its documents, their lengths, and their ids one after the other."""
+
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, names, parts, size = TaskContext.get().partitionId() << 32, [], [], 0
+
+        def closed() -> pa.RecordBatch:
+            blob = pa.compress(np.concatenate(parts).tobytes(), "zstd", asbytes=True)
+            return pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip((block, names, [len(p) for p in parts], blob), _BLOCKS)], schema=_BLOCKS)
+
+        for rows in in_chunks(batches):
+            for name, ids in zip(rows["doc_id"].to_pylist(), word_bpe(vocabulary)(rows["text"].combine_chunks())):
+                if len(ids) and int(ids.max()) > _DIGIT - 2:
+                    raise ValueError(f"ids must be below {_DIGIT - 1}")
+                names.append(name)
+                parts.append(ids.astype(np.uint16))
+                size += len(ids)
+                if size >= BLOCK_IDS:
+                    yield closed()
+                    block, names, parts, size = block + 1, [], [], 0
+        if names:
+            yield closed()
+
+    return docs.mapInArrow(encode, "block long, doc_ids array<long>, lengths array<int>, ids binary")
+
+
+def _contexts(blocks: DataFrame, order: int) -> DataFrame:
+    """(block, context, next, n): the ids after a context in a block, and their counts.
+
+    context is the key of the ids before, with the part of SPREAD that the followers are in.
+    """
+
+    def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                lengths = np.array(row["lengths"], np.int64)
+                ids = _unpacked(lengths, row["ids"])
+                for k in range(1, order + 1):
+                    keys, n = counted(ids, lengths, k)
+                    follower = keys % _DIGIT
+                    part = follower // (_DIGIT // SPREAD) if k < 3 else 0
+                    context = keys // _DIGIT * SPREAD + part
+                    first = np.flatnonzero(np.r_[True, context[1:] != context[:-1]]) if len(keys) else np.empty(0, np.int64)
+                    ends = np.r_[first, len(keys)]
+                    for i in range(0, len(first), ROWS):
+                        cut = ends[i : i + ROWS + 1]
+                        a, b = int(cut[0]), int(cut[-1])
+                        lists = [pa.ListArray.from_arrays(pa.array(cut - a, pa.int32()), pa.array(x[a:b].astype(np.int32))) for x in (follower, n)]
+                        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(cut) - 1, row["block"])), pa.array(context[first[i : i + ROWS]]), *lists], schema=_CONTEXTS)
+
+    return blocks.select("block", "lengths", "ids").mapInArrow(explode, "block long, context long, next array<int>, n array<int>")
+
+
+def scored(docs: DataFrame, vocabulary: str, order: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_tokens, log10_score, log10_mean), one row per row of docs.
 
     order is 1 to 4. Null and empty texts have no tokens, score 0 and a null mean. Repeated rows are
     documents of their own and count as often as they come; rows with a null id count and score as
-    others do. An empty table gives no rows.
+    others do. A vocabulary of over 65,535 ids is refused. An empty table gives no rows.
     """
     if not 1 <= order <= 4:
         raise ValueError("order must be 1 to 4")
     bounded_batches(docs.sparkSession)
-    rows = texts(docs, id_col, text_col)
-    size = rows.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
-    dealt = rows.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 + size // BLOCK_BYTES)))
-
-    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in in_chunks(batches):
-            ids = pa.array([x.astype(np.uint16).tobytes() for x in word_bpe(vocabulary)(part["text"].combine_chunks())], pa.binary())
-            yield from part.select(["block", "doc_id"]).append_column("ids", ids).to_batches()
-
-    blocks = stored(dealt.mapInArrow(encode, "block long, doc_id long, ids binary"), "ids")
-
-    def explode(table: pa.Table) -> pa.Table:
-        ids = [np.frombuffer(x, np.uint16) for x in table["ids"].to_pylist()]
-        found = [np.unique(np.concatenate([grams(x, k) for x in ids]), return_counts=True) for k in range(1, order + 1)]
-        keys, n = (np.concatenate(c) for c in zip(*found))
-        return pa.table({"block": pa.repeat(table["block"][0], len(keys)), "gram": keys, "n": n.astype(np.int64)})
-
-    exploded = stored(blocks.groupBy("block").applyInArrow(explode, "block long, gram long, n long"), "ngrams")
-    counts = stored(exploded.groupBy("gram").agg(F.sum("n").alias("n")), "ngram-counts")
-    total = counts.where(F.col("gram").between(1, _DIGIT - 1)).agg(F.sum("n")).first()[0] or 0
-    slices = exploded.select("block", "gram").join(counts, "gram")
-
-    def summed(key, docs: pa.Table, slice: pa.Table) -> pa.Table:
-        slice = slice.sort_by("gram")
-        known, n = slice["gram"].to_numpy(), slice["n"].to_numpy()
-        lengths, scores = [], []
-        for blob in docs["ids"].to_pylist():
-            ids = np.frombuffer(blob, np.uint16)
-            lengths.append(len(ids))
-            scores.append(score(ids, order, known, n, total))
-        return pa.table({"doc_id": docs["doc_id"], "n_tokens": pa.array(lengths, pa.int64()), "log10_score": pa.array(scores, pa.float64())})
-
-    out = blocks.groupBy("block").cogroup(slices.groupBy("block")).applyInArrow(summed, "doc_id long, n_tokens long, log10_score double")
+    blocks = stored(_blocks(texts(docs, id_col, text_col), vocabulary), "ids")
+    total = blocks.agg(F.sum(F.aggregate("lengths", F.lit(0).cast("long"), lambda a, x: a + x))).first()[0] or 0
+    # exploded where the contexts are dealt to, so that only their short rows travel
+    dealt = _contexts(blocks, order).repartition("context")
+    exploded = dealt.select("block", "context", F.inline(F.arrays_zip("next", "n")))
+    counts = exploded.withColumn("total", F.sum("n").over(Window.partitionBy("context", "next")))
+    shared = counts.where("total > n").groupBy("context", "block").agg(F.collect_list(F.col("total") * _DIGIT + F.col("next")).alias("totals"))
+
+    def summed(key, block: pa.Table, shared: pa.Table) -> pa.Table:
+        names, lengths, scores = [], [], []
+        for row in block.to_pylist():
+            sizes = np.array(row["lengths"], np.int64)
+            ids = _unpacked(sizes, row["ids"])
+            known, n = (np.concatenate(x) for x in zip(*(counted(ids, sizes, k) for k in range(1, order + 1))))
+            lists = shared["totals"].combine_chunks()
+            context = np.repeat(shared["context"].to_numpy() // SPREAD, lists.value_lengths().to_numpy())
+            more = lists.flatten().to_numpy()
+            n[np.searchsorted(known, context * _DIGIT + more % _DIGIT)] = more // _DIGIT
+            for part in np.split(ids, np.cumsum(sizes)[:-1]):
+                scores.append(score(part, order, known, n, total))
+            names, lengths = names + row["doc_ids"], lengths + row["lengths"]
+        return pa.table({"doc_id": pa.array(names, pa.int64()), "n_tokens": pa.array(lengths, pa.int64()), "log10_score": pa.array(scores, pa.float64())})
+
+    out = blocks.groupBy("block").cogroup(shared.groupBy("block")).applyInArrow(summed, "doc_id long, n_tokens long, log10_score double")
     return out.withColumn("log10_mean", F.when(F.col("n_tokens") > 0, F.col("log10_score") / F.col("n_tokens")))
