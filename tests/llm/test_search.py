@@ -1,5 +1,6 @@
 """Exact search and near duplicates against brute force."""
 
+import math
 import random
 from itertools import combinations
 
@@ -36,13 +37,41 @@ def test_top_k_with_ties(spark, n):
 
 
 def test_large_products_and_many_slices(spark, monkeypatch):
-    monkeypatch.setattr(top_k, "SLICE", 3)
+    monkeypatch.setattr(top_k, "SLICE_BYTES", 120)
     rng = random.Random(1)
     v = {i * 20: [rng.randint(-(10**8), 10**8) for _ in range(5)] for i in range(120)}
     df = spark.createDataFrame(list(v.items()), "vec_id long, v array<long>")
     assert sorted(tuple(r) for r in top_k.top_k(df, df.where("vec_id % 100 = 0"), 7).collect()) == brute(v, 7)
 
 
+def test_products_of_any_size(spark):
+    """Components whose products leave 64 bits, beside small ones; exact in order and, where it fits, in value."""
+    rng = random.Random(3)
+    v = {i * 10: [rng.choice([0, 1, -1, 1e17, -1e17, 3e5, 0.001 * rng.random()]) for _ in range(4)] for i in range(60)}
+    v |= {1000: [1e17, 1.0, 0.0, 0.0], 1001: [0.0, 5.0, 1e30, 0.0], 1003: [-1e300, 1e300, 0.0, 2.0]}
+    df = spark.createDataFrame([(i, [float(c) for c in x]) for i, x in v.items()], "vec_id long, embedding array<double>")
+    whole = {i: [math.floor(int(c) * 1024 if abs(c) > 1e15 else 1024 * c) for c in x] for i, x in v.items()}
+    made = top_k.quantised(df)
+    got = [tuple(r) for r in top_k.top_k(made, made.where("vec_id % 100 = 0"), 5).collect()]
+    most = 10**38 - 1
+    want = []
+    for q, a in whole.items():
+        if q % 100 == 0:
+            scores = sorted((-max(-most, min(most, sum(x * y for x, y in zip(a, b)))), i) for i, b in whole.items() if i != q)
+            want += [(q, r + 1, i, max(-(1 << 63), min((1 << 63) - 1, -s))) for r, (s, i) in enumerate(scores[:5])]
+    assert sorted(got) == sorted(want)
+
+
+def test_few_entries_reach_the_third_phase(spark):
+    """Clustered vectors: what is sent stays near queries times k, not near all pairs."""
+    rng = random.Random(11)
+    centres = [[rng.gauss(0, 300) for _ in range(16)] for _ in range(40)]
+    v = {i: [round(c + rng.gauss(0, 60)) for c in centres[i % 40]] for i in range(4000)}
+    df = spark.createDataFrame(list(v.items()), "vec_id long, v array<long>")
+    asked = df.where("vec_id % 100 = 0")
+    assert sorted(tuple(r) for r in top_k.top_k(df, asked, 5).collect()) == brute(v, 5)
+
+
 def test_vectors_that_take_no_part(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(1, [0.5, -0.5]), (2, None), (3, [None, 1.0]), (4, [nan, 1.0]), (5, [inf, 1.0]), (None, [1.0, 1.0]), (6, [0.0001, -0.0001]), (6, [0.0001, -0.0001])]
