@@ -33,13 +33,13 @@ from tidemark.llm.scratch import bounded_batches, free, stored
 from tidemark.llm.token_units import LONGEST, TOGETHER, WordBpe, in_chunks
 
 #: Characters of a leaf at most, but for characters that can't be parted.
-LEAF = 1024
+LEAF = 1400
 #: Characters of a row.
 SEGMENT = 1 << 16
 #: Characters on either side of a join in its first window.
 REACH = 48
 #: Words whose ids one worker remembers, and words whose tokens' places it remembers as well.
-REMEMBERED, PLACED = 400_000, 60_000
+REMEMBERED, PLACED = 500_000, 60_000
 
 
 def parts_well(c: str) -> bool:
@@ -151,13 +151,10 @@ class Node:
         return Piece(self.ids(), spans[:, 0], spans[:, 1])
 
 
-def _clear(tokens: list) -> dict:
-    """Tokens by (start, end, id), or their places if they have no more; those of a character that is several tokens are left out."""
+def _unclear(tokens: list) -> set[int]:
+    """Where characters start that are several tokens; such tokens are no proof of agreement."""
     starts = [t[0] for t in tokens]
-    if len(set(starts)) < len(starts):
-        times = Counter(starts)
-        return {t[:3]: t[3:] and t or i for i, t in enumerate(tokens) if times[t[0]] == 1}
-    return {t[:3]: t[3:] and t or i for i, t in enumerate(tokens)}
+    return set() if len(set(starts)) == len(starts) else {s for s, n in Counter(starts).items() if n > 1}
 
 
 class TreeBpe(WordBpe):
@@ -172,6 +169,9 @@ class TreeBpe(WordBpe):
         self.margin = max([16, *map(len, specials)])
         self.leaves = self.joins = 0  # encoded and made so far
         self.spans: dict[str, list[tuple[int, int, int]]] = {}
+        suffix = getattr(self.tok.model, "end_of_word_suffix", None) or ""
+        words = (self.tok.id_to_token(i) or "" for i in range(self.tok.get_vocab_size()))
+        self.sizes = [len(w.removesuffix(suffix)) for w in words]
 
     def _learn(self, words: list[str]) -> list[bytes]:
         """Ids of new words, TOGETHER of them in one string, with a special token between any two."""
@@ -189,14 +189,25 @@ class TreeBpe(WordBpe):
                 out += self._encode(group)
         return out
 
+    def _spans(self, word: str) -> list[tuple[int, int, int]]:
+        e = self.tok.encode(word, add_special_tokens=False)
+        return [(a, b, i) for (a, b), i in zip(e.offsets, e.ids)]
+
+    def _plain_spans(self, word: str) -> list[tuple[int, int, int]]:
+        """As _spans, of a word without white space whose characters stand one for one in its tokens."""
+        ids = self.known.get(word)
+        found, at = [], 0
+        for i in np.frombuffer(ids, np.uint32).tolist() if ids is not None else ():
+            found.append((at, at := at + self.sizes[i], i))
+        return found if ids is not None and at == len(word) else self._spans(word)
+
     def placed(self, text: str, first: int, end: int) -> list[tuple[int, int, int]]:
         """(start, end, id) of the tokens of text[first:end] alone."""
         out, at = [], first
         for word in text[first:end].split(" "):
             found = self.spans.get(word)
             if found is None:
-                e = self.tok.encode(word, add_special_tokens=False)
-                found = [(a, b, i) for (a, b), i in zip(e.offsets, e.ids)]
+                found = self._plain_spans(word) if word.isascii() else self._spans(word)
                 if len(word) <= LONGEST:
                     if len(self.spans) >= PLACED:
                         self.spans.clear()
@@ -259,20 +270,21 @@ class TreeBpe(WordBpe):
 
     def _agreed(self, a: Node, b: Node, window, new: list[tuple[int, int, int]]) -> Node | None:
         _, _, left, all_left, right, all_right = window
-        clear = _clear(new)
+        unclear = _unclear(new) | _unclear(left) | _unclear(right)
+        at = dict(zip(new, range(len(new))))
         runs_a, runs_b, i, j = [], [], -1, len(new) - 1
         if not all_left:
-            t = next((t for k, t in _clear(left).items() if t[1] <= a.end - self.margin and k in clear), None)
+            t = next((t for t in left if t[1] <= a.end - self.margin and t[0] not in unclear and t[:3] in at), None)
             if t is None:
                 return None
-            i = clear[t[:3]]
+            i = at[t[:3]]
             piece, x, _ = a.runs[t[3]]
             runs_a = [*a.runs[: t[3]], (piece, x, t[4] + 1)]
         if not all_right:
-            t = next((t for k, t in _clear(right).items() if t[0] >= b.start + self.margin and k in clear), None)
+            t = next((t for t in right if t[0] >= b.start + self.margin and t[0] not in unclear and t[:3] in at), None)
             if t is None:
                 return None
-            j = clear[t[:3]]
+            j = at[t[:3]]
             piece, _, y = b.runs[t[3]]
             runs_b = [(piece, t[4] + 1, y), *b.runs[t[3] + 1 :]]
         kept = new[i + 1 : j + 1]
