@@ -1,8 +1,8 @@
 """Toxicity by a classifier chain over hashed word features.
 
-Each category has a linear model. Categories are predicted one after the other, and the log-odds of
-the earlier ones are features of the later ones; in training those are out-of-fold predictions, so a
-later model sees earlier probabilities as they will be on unseen rows.
+Each category has a linear model. Categories are predicted one after the other, and the probabilities
+of the earlier ones are features of the later ones; in training those are out-of-fold predictions, so
+a later model sees earlier probabilities as they will be on unseen rows.
 """
 
 from __future__ import annotations
@@ -77,6 +77,10 @@ def _logit(model: dict, features: set[int], dense: Sequence[float]) -> float:
     return float(np.clip(sum(w[f] for f in features if f in w) + float(np.dot(model["dense"], dense)) + model["bias"], -30, 30))
 
 
+def _probability(logit: float) -> float:
+    return float(1 / (1 + np.exp(-logit)))
+
+
 def train(docs: list[str], labels: np.ndarray, folds: int = 5) -> list[dict]:
     """One model for each column of labels, in order. labels: 0 or 1; no rows give models that answer 0.5."""
     x = [_features(t) for t in docs]
@@ -91,8 +95,8 @@ def train(docs: list[str], labels: np.ndarray, folds: int = 5) -> list[dict]:
                 use = np.flatnonzero(fold != j)
                 part = _fit_one([x[i] for i in use], dense[use], y[use])
                 for i in np.flatnonzero(fold == j):
-                    out[i] = _logit(part, x[i], dense[i])
-            dense = np.column_stack([dense, out / 10])
+                    out[i] = _probability(_logit(part, x[i], dense[i]))
+            dense = np.column_stack([dense, out])
     return chain
 
 
@@ -119,8 +123,8 @@ class Scorer:
                 features.update(found)
         dense: list[float] = []
         for m in self.chain:
-            dense.append(_logit(m, features, dense) / 10)
-        return [float(1 / (1 + np.exp(-10 * d))) for d in dense]
+            dense.append(_probability(_logit(m, features, dense)))
+        return dense
 
 
 def fit(docs: DataFrame, labels: DataFrame, categories: Sequence[str] = ("low_quality", "toxic"), max_rows: int = 2500, max_bytes: int = 40_000, id_col: str = "doc_id", text_col: str = "text") -> str:
@@ -128,7 +132,7 @@ def fit(docs: DataFrame, labels: DataFrame, categories: Sequence[str] = ("low_qu
 
     labels has a 0/1 column for each category, in the order of the chain. Held-out documents, rows
     without id or with a null label, and texts of over max_bytes bytes are not learned from; of an id's
-    repeated labels the largest counts. The sample is chosen by a hash of doc_id and meets in one task.
+    repeated labels the largest counts, and of its texts the one with the least hash. The sample is chosen by a hash of doc_id and meets in one task.
     """
     bounded_batches(docs.sparkSession)
     cats = list(categories)
@@ -148,7 +152,7 @@ def fit(docs: DataFrame, labels: DataFrame, categories: Sequence[str] = ("low_qu
         yield pa.RecordBatch.from_pydict({"model": [json.dumps(chain)]})
 
     # the drawn ids are bounded by max_rows for each combination, and so small enough to broadcast
-    rows = fits.join(F.broadcast(drawn), "doc_id").dropDuplicates(["doc_id"])
+    rows = fits.join(F.broadcast(drawn), "doc_id").groupBy("doc_id", *ys).agg(F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text"))
     fitted = rows.coalesce(1).mapInArrow(learn, "model string").first()
     return fitted["model"] if fitted else json.dumps(train([], np.zeros((0, len(cats)))))
 
@@ -156,7 +160,7 @@ def fit(docs: DataFrame, labels: DataFrame, categories: Sequence[str] = ("low_qu
 def scored(docs: DataFrame, model: str, text_col: str = "text", scores_col: str = "scores") -> DataFrame:
     """docs with scores_col, an array of the chain's probabilities for every whole text.
 
-    Null texts score as empty ones. A column named scores_col is replaced; an empty table gives no rows.
+    Null texts score as empty ones, repeated rows alike. A column named scores_col is replaced; an empty table gives no rows.
     """
     bounded_batches(docs.sparkSession)
     made: list[Scorer] = []
