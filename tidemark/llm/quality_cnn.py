@@ -158,7 +158,7 @@ def sample(docs: DataFrame, labels: DataFrame, label_col: str, per_class: int, m
     """(doc_id, text, y): at most per_class labelled rows of either class outside the held-out fold.
 
     Which rows: the least by a hash of doc_id, so the choice is the same on every run. Rows without an
-    id or label, and ids with contradicting labels, are left out; of repeated ids one row is taken. The
+    id or label, and ids with contradicting labels, are left out; of repeated ids the text with the least hash is taken. The
     bound is per_class rows of at most max_bytes bytes each; longer rows are scored, but not learned from.
     """
     y = labels.where(labels[id_col].isNotNull()).groupBy(F.col(id_col).cast("long").alias("doc_id")).agg(F.min(label_col).cast("int").alias("y"), F.max(label_col).alias("most")).where("y in (0, 1) and y = most")
@@ -167,7 +167,7 @@ def sample(docs: DataFrame, labels: DataFrame, label_col: str, per_class: int, m
     ids = fits.select("doc_id").join(y, "doc_id").distinct()
     drawn = [ids.where(F.col("y") == k).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class) for k in (0, 1)]
     # at most 2 * per_class ids: small enough to broadcast by that bound
-    return fits.join(F.broadcast(drawn[0].union(drawn[1])), "doc_id").dropDuplicates(["doc_id"])
+    return fits.join(F.broadcast(drawn[0].union(drawn[1])), "doc_id").groupBy("doc_id", "y").agg(F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text"))
 
 
 def fit(docs: DataFrame, labels: DataFrame, label_col: str = "quality", per_class: int = 900, max_bytes: int = 12_000, id_col: str = "doc_id", text_col: str = "text") -> bytes:
