@@ -26,6 +26,47 @@ def test_spans_need_the_lower_threshold_to_end():
     assert audio.spans(e, 0.8, 0.3) == [(3, 6), (8, 9)]
 
 
+def test_even_energy_has_no_span():
+    assert audio.spans(np.full(50, 3.0)) == [] and audio.features(audio.wav(b"\x80" * 80000))[0] == []
+
+
+def plain_features(raw):
+    """Start times and tensors by loops over output samples, frames and bands."""
+    x = [(b - 128) / 128 for b in raw]
+    up, down, half = 3, 4, audio.TAPS // 2
+    taps = np.arange(-audio.TAPS * up // 2, audio.TAPS * up // 2)
+    h = np.sinc(taps / down) * np.hanning(len(taps) + 1)[:-1]
+    y = []
+    for k in range(-(-len(x) * up // down)):
+        phase, first = k * down % up, k * down // up
+        w = [h[(audio.TAPS - 1 - i) * up + phase] for i in range(audio.TAPS)]
+        seen = [x[min(max(first + i - (half - 1), 0), len(x) - 1)] for i in range(audio.TAPS)]
+        y.append(sum(a * b for a, b in zip(w, seen)) / sum(w))
+    count = 1 + max(0, -(-(len(y) - audio.FRAME) // audio.HOP))
+    y += [0] * (audio.FRAME + (count - 1) * audio.HOP - len(y))
+    mel = []
+    for i in range(count):
+        frame = np.array(y[i * audio.HOP : i * audio.HOP + audio.FRAME]) * np.hanning(audio.FRAME)
+        power = [abs(sum(v * np.exp(-2j * np.pi * f * n / audio.FFT) for n, v in enumerate(frame))) ** 2 for f in range(audio.FFT // 2 + 1)]
+        mel.append([10 * np.log10(max(sum(p * b for p, b in zip(power, audio._BANK[:, m])), 1e-8)) for m in range(audio.MELS)])
+    return np.array(mel)
+
+
+def test_features_by_loops():
+    rng = np.random.default_rng(9)
+    raw = rng.integers(100, 156, 2000).astype(np.uint8).tobytes()
+    want = plain_features(raw)
+    x = (np.frombuffer(raw, np.uint8).astype(np.float32) - 128) / 128
+    got = audio.log_mel(audio.resample(x, 3, 4))
+    assert got.shape == want.shape and np.abs(got - want).max() < 0.05
+    starts, ends, clips = audio.features(audio.wav(raw))
+    spans = audio.spans(want.mean(1))
+    assert starts == [a * 10 for a, _ in spans] and ends == [((b - 1) * audio.HOP + audio.FRAME) * 1000 // audio.TARGET for _, b in spans]
+    for (a, b), t in zip(spans, audio.tensors(clips)["log_mel"].combine_chunks().to_numpy_ndarray()):
+        units = np.clip((want[a:b] - audio.FLOOR_DB) / audio.STEP_DB, 0, 255)
+        assert np.abs(t[: b - a] - units).max() <= 0.61 and not t[b - a :].any()
+
+
 def test_tensors_have_one_shape():
     rng = np.random.default_rng(2)
     media = audio.wav(np.repeat(rng.integers(0, 256, 40), 2000).astype(np.uint8).tobytes() + rng.integers(0, 256, 50000).astype(np.uint8).tobytes())

@@ -85,8 +85,8 @@ _WINDOW = np.hanning(FRAME).astype(np.float32)
 
 
 def log_mel(x: np.ndarray) -> np.ndarray:
-    """(frames, MELS) in dB; a signal shorter than a frame is filled up with silence."""
-    x = np.pad(x, (0, max(0, FRAME - len(x))))
+    """(frames, MELS) in dB; the end is filled up with silence, so that every sample is in a frame."""
+    x = np.pad(x, (0, FRAME - len(x) if len(x) < FRAME else -(len(x) - FRAME) % HOP))
     frames = np.lib.stride_tricks.sliding_window_view(x, FRAME)[::HOP]
     out = []
     for i in range(0, len(frames), SLAB):
@@ -96,8 +96,10 @@ def log_mel(x: np.ndarray) -> np.ndarray:
 
 
 def spans(energy: np.ndarray, high: float = 0.6, low: float = 0.3) -> list[tuple[int, int]]:
-    """(first, end) frames of the active spans: on from the quantile high, off at the quantile low."""
+    """(first, end) frames of the active spans: on from the quantile high, off at the quantile low. Even energy has none."""
     on, off = np.quantile(energy, high), np.quantile(energy, low)
+    if on <= off:
+        return []
     event = np.where(energy >= on, 1, np.where(energy <= off, -1, 0))
     last = np.maximum.accumulate(np.where(event != 0, np.arange(len(event)), -1))
     active = (last >= 0) & (event[last] == 1)

@@ -6,11 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import audio, dac, ngram_lm, packing, pii, quality_cnn, simhash, top_k, toxicity_chain, tree_bpe
-from tidemark.llm.scratch import held_out, table, texts
+from tidemark.llm.scratch import held_out, stored, table, texts
 from tidemark.llm.token_units import default_path
 
 QUALITY_THRESHOLD = 0.3
-TOXIC_THRESHOLD = 0.7
+TOXIC_THRESHOLD = 0.6
 
 
 def op1_token_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -29,8 +29,7 @@ def op3_audio(spark: SparkSession, sf_dir: str) -> DataFrame:
     payloads = rows.select("doc_id", F.octet_length("text").cast("long").alias("n_bytes"), F.rpad(raw, n, F.lit(b" ")).alias("payload"))
     f = audio.with_features(audio.store(payloads))
     payload = f["features"]["payload"]
-    spans = F.array_join(F.zip_with(f["features"]["starts"], f["features"]["ends"], lambda a, b: F.concat_ws("-", a.cast("string"), b.cast("string"))), ",")
-    return f.select(
+    made = f.select(
         "doc_id",
         "n_bytes",
         F.length(payload).cast("long").alias("payload_bytes"),
@@ -38,9 +37,14 @@ def op3_audio(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.crc32(F.substring(payload, -16, 16)).alias("tail_crc32"),
         F.length("media").cast("long").alias("media_bytes"),
         F.sha2("media", 256).alias("media_sha256"),
-        F.concat_ws(":", F.sha2(f["features"]["clips"], 256), F.sha2(spans, 256)).alias("feature"),
-        F.size(f["features"]["starts"]).alias("n_clips"),
+        f["features"]["starts"].alias("starts"),
+        f["features"]["ends"].alias("ends"),
+        f["features"]["clips"].alias("clips"),
     )
+    clips = stored(made, "clips")  # the tensors with their time spans, as they would be used
+    spans = F.array_join(F.zip_with("starts", "ends", lambda a, b: F.concat_ws("-", a.cast("string"), b.cast("string"))), ",")
+    feature = F.concat_ws(":", F.sha2("clips", 256), F.sha2(spans, 256)).alias("feature")
+    return clips.select(*[c for c in clips.columns if c not in ("starts", "ends", "clips")], feature, F.size("starts").alias("n_clips"))
 
 
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
