@@ -95,14 +95,14 @@ def packed(lengths: DataFrame, capacities: Sequence[int] = CAPACITIES) -> DataFr
 
     A document longer than the largest capacity is cut into pieces of that length and a rest, all of
     which are packed. (shard, bin) names a bin, position is where the piece begins in it. Equal lengths
-    go in the order of doc_id. Null and zero lengths give no piece; null ids are packed and spread over
-    the shards; repeated rows are packed as often as they come. An empty table gives no rows.
+    go in the order of doc_id. Null and zero lengths give no piece; null ids are packed as others;
+    repeated rows are packed as often as they come. All are spread evenly over the shards. An empty table gives no rows.
     """
     largest = max(capacities)
     held = stored(lengths.where("length > 0").select("doc_id", "length"), "lengths")
     pieces = held.agg(F.sum(F.ceil(F.col("length") / largest))).first()[0] or 0
-    spread = F.coalesce(F.col("doc_id"), F.monotonically_increasing_id())
-    sharded = held.withColumn("shard", F.pmod(F.xxhash64(spread), F.lit(1 + pieces // SHARD)))
+    # the place in the stored table goes into the hash, so that rows with one id are spread as well
+    sharded = held.withColumn("shard", F.pmod(F.xxhash64("doc_id", F.monotonically_increasing_id()), F.lit(1 + pieces // SHARD)))
 
     def of(table: pa.Table) -> pa.Table:
         ids, n = pc.fill_null(table["doc_id"], -1).to_numpy(), table["length"].to_numpy()
