@@ -1,7 +1,10 @@
-"""Near copies by the Jaccard similarity of word shingles, found by MinHash bands and verified exactly.
+"""SimHash near-dedup by the Jaccard similarity of word shingles, verified exactly.
 
-Texts with equal sets of shingles are one class. Each class has BANDS keys of ROWS minima; classes that
-share a key are candidates, and candidates connect to families. Within a family every pair is compared
+Texts with equal sets of shingles are one class. Each class has a SimHash of its shingles; classes that
+meet under its deletion-variant signatures are candidates. But two texts at a similarity of 0.8 differ in
+some ten of 64 bits, where no few segments are left with at most one, so every class has BANDS keys of
+ROWS minima of the same hashes as well, and classes that share a key are candidates too. Candidates
+connect to families. Within a family every pair is compared
 by its whole sets, so bands decide only who meets: a pair at similarity s shares no key with
 probability (1 - s ** ROWS) ** BANDS, below 5e-7 at 0.8 and less above.
 """
@@ -16,6 +19,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.components import components
 from tidemark.llm.scratch import bounded_batches, first_rows, row_hash, stored
+from tidemark.llm.simhash import linked, majority
 
 BANDS, ROWS = 48, 6
 #: Members of a family that are compared in one task; larger ones are compared block by block.
@@ -112,11 +116,11 @@ def _links(nodes: list[int], near: np.ndarray) -> list[tuple[int, int]]:
 
 
 def _families(classes: DataFrame) -> DataFrame:
-    """(node, family) of the classes(node, keys) that share a key with another one."""
+    """(node, family) of the classes(node, fp, keys) that meet another one."""
     index = classes.select(F.explode("keys").alias("key"), "node")
     shared = stored(index.groupBy("key").agg(F.min("node").alias("a"), F.count("*").alias("n")).where("n > 1").drop("n"), "bands")
     met = index.join(shared.hint("merge"), "key").where("node <> a").select("a", F.col("node").alias("b"))
-    return components(met).select("node", F.col("component").alias("family"))
+    return components(met.union(linked(classes.select("node", "fp")))).select("node", F.col("component").alias("family"))
 
 
 def keep_first(docs: DataFrame, words: int = 5, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -128,13 +132,13 @@ def keep_first(docs: DataFrame, words: int = 5, similarity: float = 0.8, id_col:
     """
     bounded_batches(docs.sparkSession)
 
-    @F.arrow_udf("struct<node:long,keys:array<long>>")
+    @F.arrow_udf("struct<node:long,fp:long,keys:array<long>>")
     def sketch(text: pa.Array) -> pa.Array:
         rows = []
         for t in text.to_pylist():
             found = shingles(t or "", words)
-            rows.append({"node": xxhash.xxh3_64_intdigest(found.tobytes()) - (1 << 63), "keys": band_keys(found)})
-        return pa.array(rows, pa.struct([("node", pa.int64()), ("keys", pa.list_(pa.int64()))]))
+            rows.append({"node": xxhash.xxh3_64_intdigest(found.tobytes()) - (1 << 63), "fp": majority(found) if len(found) else 0, "keys": band_keys(found)})
+        return pa.array(rows, pa.struct([("node", pa.int64()), ("fp", pa.int64()), ("keys", pa.list_(pa.int64()))]))
 
     @F.arrow_udf("binary")
     def whole(text: pa.Array) -> pa.Array:
@@ -149,9 +153,9 @@ def keep_first(docs: DataFrame, words: int = 5, similarity: float = 0.8, id_col:
     ident: Column = docs[id_col].cast("long")
     rows = docs.select(ident.alias("doc_id"), row_hash(docs, text_col).alias("row"), docs[text_col].alias("text"))
     made = rows.where("doc_id is not null").select("doc_id", "row", sketch("text").alias("s"))
-    prints = stored(made.select("doc_id", "row", "s.node", "s.keys"), "sketches")
-    classes = stored(prints.groupBy("node").agg(F.min(F.struct("doc_id", "row")).alias("first"), F.first("keys").alias("keys")), "classes")
-    families = stored(_families(classes.select("node", "keys")), "families")
+    prints = stored(made.select("doc_id", "row", "s.node", "s.fp", "s.keys"), "sketches")
+    classes = stored(prints.groupBy("node").agg(F.min(F.struct("doc_id", "row")).alias("first"), F.first("fp").alias("fp"), F.first("keys").alias("keys")), "classes")
+    families = stored(_families(classes.select("node", "fp", "keys")), "families")
     sizes = families.groupBy("family").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
     members = families.join(sizes, "family").join(classes.select("node", "first.doc_id", "first.row"), "node")
     members = members.withColumn("block", F.pmod(F.xxhash64("node"), "blocks").cast("int"))

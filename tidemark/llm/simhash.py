@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
 from tidemark.llm.components import components
-from tidemark.llm.scratch import stored, texts
+from tidemark.llm.scratch import bounded_batches, stored, texts
 
 #: Members of a signature up to which they are compared in pairs; larger ones are split by further deletions.
 PAIRWISE = 32
@@ -29,7 +29,11 @@ def simhash64(text: bytes) -> int:
         return 0
     grams = map(b" ".join, zip(words, words[1:], words[2:])) if len(words) > 3 else [b" ".join(words)]
     digest = xxhash.xxh64_intdigest
-    hashes = np.fromiter((digest(g, 42) for g in grams), np.uint64)
+    return majority(np.fromiter((digest(g, 42) for g in grams), np.uint64))
+
+
+def majority(hashes: np.ndarray) -> int:
+    """The bits that are set in over half of some hashes, as a signed integer."""
     counts = np.zeros(64, np.int64)
     for i in range(0, len(hashes), 1 << 14):
         part = hashes[i : i + (1 << 14)].view(np.uint8).reshape(-1, 8)
@@ -91,6 +95,14 @@ def links(fps: DataFrame) -> DataFrame:
     return pairs.union(some).union(_crowded(members.where(F.col("n") > PAIRWISE))).distinct()
 
 
+def linked(classes: DataFrame) -> DataFrame:
+    """(a, b) for classes(node, fp): links that connect all nodes whose fingerprints differ in at most two bits."""
+    least = stored(classes.groupBy("fp").agg(F.min("node").alias("node")), "fingerprints")
+    of = lambda c: least.select(F.col("fp").alias(c), F.col("node").alias(f"node_{c}"))
+    between = links(least.select("fp")).join(of("a"), "a").join(of("b"), "b").select(F.col("node_a").alias("a"), F.col("node_b").alias("b"))
+    return between.union(classes.join(least.withColumnRenamed("node", "a"), "fp").where("node <> a").select("a", F.col("node").alias("b")))
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, fingerprint, component_id), one row per row of docs.
 
@@ -99,6 +111,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     nothing and has a null component. Repeated rows and equal texts share a fingerprint, so they are
     one class; only classes take part in the search. An empty table gives no rows.
     """
+    bounded_batches(docs.sparkSession)
     prints = stored(texts(docs, id_col, text_col).select("doc_id", fingerprint("text").alias("fp")), "fingerprints")
     classes = stored(prints.where("doc_id is not null").groupBy("fp").agg(F.min("doc_id").alias("first_id")), "classes")
     groups = components(links(classes.select("fp"))).withColumnRenamed("node", "fp")
@@ -111,10 +124,3 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
         F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id"),
     )
-
-
-def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of docs that are the first of their component, all columns; rows with a null id stay. A repeated id stays once."""
-    first = near_duplicates(docs, id_col, text_col).where("doc_id = component_id").select(F.col("doc_id").alias(id_col)).distinct()
-    kept = docs.join(first, id_col, "left_semi").dropDuplicates([id_col])
-    return kept.select(docs.columns).unionByName(docs.where(docs[id_col].isNull()))
