@@ -29,10 +29,19 @@ def buckets(x: str, n: int, least: int, tie: str = "security_id") -> Column:
     return F.when(F.col(x).isNotNull() & (count >= least), F.least(F.floor((first - 1) * n / count) + 1, F.lit(n)).cast("int"))
 
 
+def correlation(a: str, b: str) -> Column:
+    """Pearson's correlation as an aggregate; null where either side doesn't vary."""
+    spread = F.sqrt(F.var_pop(a) * F.var_pop(b))
+    return F.covar_pop(a, b) / F.when(spread > 0, spread)
+
+
 def rank_ic(df: DataFrame, x: str, y: str, least: int) -> DataFrame:
-    """(date, ic, n): correlation of ranks, each made on its own non-nulls, over rows that have both."""
-    ranked = df.select("date", average_rank(x).alias("a"), average_rank(y).alias("b")).where("a is not null and b is not null")
-    return ranked.groupBy("date").agg(F.corr("a", "b").alias("ic"), F.count("*").alias("n")).where((F.col("n") >= least) & F.col("ic").isNotNull() & ~F.isnan("ic"))
+    """(date, ic, n): correlation of ranks, each made on its own non-nulls, over rows that have both.
+
+    Dates with fewer than least such rows, or on which a side doesn't vary, are left out. One exchange.
+    """
+    ranked = df.repartition("date").select("date", average_rank(x).alias("a"), average_rank(y).alias("b")).where("a is not null and b is not null")
+    return ranked.groupBy("date").agg(correlation("a", "b").alias("ic"), F.count("*").alias("n")).where((F.col("n") >= least) & F.col("ic").isNotNull())
 
 
 def residual(y: str, x: str) -> Column:

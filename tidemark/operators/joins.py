@@ -22,12 +22,20 @@ def as_of(left: DataFrame, right: DataFrame, key: str, left_on: str, right_on: s
 
 
 def nearest(left: DataFrame, right: DataFrame, by: list[str], left_on: str, right_on: str, id_col: str, target_days: int, tolerance: int) -> DataFrame:
-    """left rows with the right row nearest to target_days before, within tolerance; ties to the earlier one."""
-    r = right.select(*by, F.col(right_on).alias("_on"), F.col(id_col).alias("match_id"))
+    """left rows with the right row nearest to target_days before, within tolerance, and before them; ties to the earlier one.
+
+    Dates are dealt into spans as wide as the tolerance reaches, and a left row meets three of them at
+    most, so only rows in reach of each other are compared.
+    """
+    width = 2 * tolerance + 1
+    span = lambda d: F.floor(F.datediff(d, F.lit("1970-01-01")) / width)
+    r = right.select(*by, F.col(right_on).alias("_on"), F.col(id_col).alias("match_id"), span(F.col(right_on)).alias("_span"))
+    aim = F.date_sub(F.col(left_on).cast("date"), target_days)
+    spans = F.sequence(span(F.date_sub(aim, tolerance)), span(F.date_add(aim, tolerance)))
     gap = F.datediff(F.col(left_on), F.col("_on"))
-    near = left.join(r, by).where(F.abs(gap - target_days) <= tolerance)
+    near = left.withColumn("_span", F.explode(spans)).join(r, [*by, "_span"]).where((F.abs(gap - target_days) <= tolerance) & (gap > 0))
     w = Window.partitionBy(id_col).orderBy(F.abs(gap - target_days), "_on", "match_id")
-    return near.withColumn("gap", gap).withColumn("_r", F.row_number().over(w)).where("_r = 1").drop("_r", "_on")
+    return near.withColumn("gap", gap).withColumn("_r", F.row_number().over(w)).where("_r = 1").drop("_r", "_on", "_span")
 
 
 def unambiguous(df: DataFrame, key: str, value: str) -> DataFrame:
@@ -36,9 +44,17 @@ def unambiguous(df: DataFrame, key: str, value: str) -> DataFrame:
     return one.where(F.col(value) == F.col("_most")).drop("_most")
 
 
-def in_tenure(left: DataFrame, tenures: DataFrame, key: str, on: str) -> DataFrame:
-    """left rows inside exactly one half-open tenure [start, end) of their key, with its tenure_id; null ends are open."""
+def in_tenure(left: DataFrame, tenures: DataFrame, key: str, on: str, span_days: int = 64) -> DataFrame:
+    """left rows, told apart by all their columns, inside exactly one half-open tenure [start, end) of their key, with its tenure_id.
+
+    Null ends are open until the last date of left. A tenure is put into every span of span_days that it
+    touches, and a row meets the tenures of its own span only.
+    """
+    span = lambda d: F.floor(F.datediff(d, F.lit("1970-01-01")) / span_days)
+    last = left.agg(F.max(F.col(on).cast("date")).alias("_last"))
+    until = F.coalesce(F.col("end").cast("date"), F.col("_last"))
+    put = tenures.join(F.broadcast(last))  # a single row
+    put = put.where(F.col("start").cast("date") <= until).withColumn("_span", F.explode(F.sequence(span(F.col("start")), span(until)))).drop("_last")
     inside = (F.col(on) >= F.col("start")) & (F.col("end").isNull() | (F.col(on) < F.col("end")))
-    hits = left.withColumn("_row", F.monotonically_increasing_id()).join(tenures, key).where(inside)
-    w = Window.partitionBy("_row")
-    return hits.withColumn("_n", F.count("*").over(w)).where("_n = 1").drop("_n", "_row", "start", "end")
+    hits = left.withColumn("_span", span(F.col(on))).join(put, [key, "_span"]).where(inside)
+    return hits.groupBy(*left.columns).agg(F.min("tenure_id").alias("tenure_id"), F.count("*").alias("_n")).where("_n = 1").drop("_n")

@@ -25,16 +25,25 @@ def lag_rule(n: int, horizon: int) -> int:
 
 
 def newey_west(series: DataFrame, value: str, horizon: int, order: str = "date") -> DataFrame:
-    """(n, mean, t) of an ordered series of one row for each date; the series, not the panel, meets in one task."""
-    n = series.count()
-    lags = min(lag_rule(n, horizon), max(n - 1, 0))
-    w = Window.orderBy(order)
-    x = series.select(order, (F.col(value) - F.avg(value).over(Window.partitionBy())).alias("d"), F.col(value).alias("x"))
-    products = x.select("x", *[(F.col("d") * F.lag("d", k).over(w)).alias(f"p{k}") for k in range(lags + 1)])
-    variance = sum((F.coalesce(F.sum(f"p{k}"), F.lit(0.0)) * (1 if k == 0 else 2 * (1 - k / (lags + 1))) for k in range(lags + 1)), F.lit(0.0)) / F.count("x")
-    m = F.avg("x")
-    t = F.when(variance > 0, m / F.sqrt(variance / F.count("x"))).otherwise(F.signum(m) * float("inf"))
-    return products.agg(F.count("x").alias("n"), m.alias("mean"), t.alias("t"))
+    """(n, mean, t) of an ordered series of one row for each date, nulls left out; one row.
+
+    t has Bartlett weights and population moments. It is null for fewer than two values and where a
+    series without variation has mean zero, and infinite with the mean's sign where only the variance
+    is not positive. The series, not the panel, meets in one array: it grows with dates alone.
+    """
+    rows = series.where(F.col(value).isNotNull()).agg(F.transform(F.sort_array(F.collect_list(F.struct(F.col(order).alias("o"), F.col(value).cast("double").alias("x")))), lambda r: r["x"]).alias("x"))
+    n = F.size("x")
+    lags = F.least(F.greatest(F.lit(horizon), F.floor(4 * F.pow(n / 100, F.lit(2 / 9))).cast("int")), n - 1)
+    total = lambda xs: F.aggregate(xs, F.lit(0.0), lambda acc, x: acc + x)
+    centred = rows.select("x", n.alias("n"), lags.alias("lags"), (total("x") / F.when(n > 0, n)).alias("mean")).withColumn("d", F.transform("x", lambda x: x - F.col("mean")))
+
+    def covariance(k: Column) -> Column:
+        return total(F.zip_with(F.slice("d", k + 1, F.greatest(F.col("n") - k, F.lit(0))), F.slice("d", F.lit(1), F.greatest(F.col("n") - k, F.lit(0))), lambda a, b: a * b)) / F.col("n")
+
+    weighted = F.transform(F.sequence(F.lit(0), F.greatest("lags", F.lit(0))), lambda k: covariance(k) * F.when(k == 0, 1.0).otherwise(2 * (1 - k / (F.col("lags") + 1))))
+    out = centred.withColumn("v", F.when(F.col("n") >= 2, total(weighted)))
+    t = F.when(F.col("v") > 0, F.col("mean") / F.sqrt(F.col("v") / F.col("n"))).when((F.col("v") <= 0) & (F.col("mean") != 0), F.signum("mean") * float("inf"))
+    return out.select(F.col("n").cast("long").alias("n"), "mean", t.alias("t"))
 
 
 def quantile_returns(panel: DataFrame, n: int, least: int) -> DataFrame:

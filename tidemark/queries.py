@@ -5,16 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.scalar import normal_name, quarter_end, visible_at
+from tidemark.functions.scalar import new_york, normal_name, quarter_end, visible_at
 from tidemark.operators import cross_section as xs
 from tidemark.operators import joins, windows, writes
 from tidemark.plans import evaluate, factors
+from tidemark.registry import QUERIES, SQL, query  # noqa: F401
 from tidemark.sources.views import bars, events, on_grid, table
 from tidemark.streaming.sessions import windowed
 
-QUERIES: dict = {}
-SQL: dict[str, str] = {}
-
 BARS = """ticks AS (SELECT l_suppkey, l_quantity, l_extendedprice, l_extendedprice / l_quantity AS p, date_trunc('week', l_shipdate)::DATE AS wk,
     {'a': l_shipdate, 'b': l_orderkey, 'c': l_linenumber, 'p': l_extendedprice / l_quantity} AS t FROM lineitem),
   bars AS (SELECT l_suppkey AS security_id, wk AS date, min(t).p AS open, max(p) AS high, min(p) AS low, max(t).p AS close,
@@ -26,16 +24,6 @@ GRID = BARS + """,
     (high + low + close) / 3 AS typical, lag((high + low + close) / 3) OVER o AS typical_1 FROM grid WINDOW o AS (PARTITION BY security_id ORDER BY date))"""
 
 
-def query(sql: str | None = None, name: str | None = None):
-    def add(f):
-        QUERIES[name or f.__name__] = f
-        if sql:
-            SQL[name or f.__name__] = sql
-        return f
-
-    return add
-
-
 def grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return on_grid(bars(spark, sf_dir))
 
@@ -91,7 +79,7 @@ def clear_mode(spark, sf_dir):
 
 
 @query("""SELECT user_id, count(DISTINCT event_type) AS kinds, array_to_string(list(DISTINCT event_type ORDER BY event_type), ',') AS names,
-  sum((props->>'k')::BIGINT) AS k, max(ts)::VARCHAR[:10] AS newest FROM events GROUP BY 1""".replace("max(ts)::VARCHAR[:10]", "strftime(max(ts), '%Y-%m-%d')"))
+  sum((props->>'k')::BIGINT) AS k, strftime(max(ts), '%Y-%m-%d') AS newest FROM events GROUP BY 1""")
 def event_profile(spark, sf_dir):
     e = events(spark, sf_dir)
     return e.groupBy("user_id").agg(F.countDistinct("event_type").alias("kinds"), F.array_join(F.sort_array(F.collect_set("event_type")), ",").alias("names"), F.sum("k").alias("k"), F.date_format(F.max("ts"), "yyyy-MM-dd").alias("newest"))
@@ -102,18 +90,17 @@ def event_windows(spark, sf_dir):
     return windowed(table(spark, sf_dir, "events")).select(F.date_format("start", "yyyy-MM-dd HH").alias("hour"), "event_type", "n", F.round("total", 4).alias("total"))
 
 
-@query(f"WITH {BARS}, f AS (SELECT *, quantile_cont(close * volume, 0.5) OVER w AS m, count(close * volume) OVER w AS k FROM bars WINDOW w AS (PARTITION BY security_id ORDER BY date ROWS BETWEEN 12 PRECEDING AND CURRENT ROW)) SELECT security_id, date, (m >= 20000 AND close >= 900 AND k >= 13) AS eligible FROM f")
+@query(f"""WITH {GRID}, f AS (SELECT *, quantile_cont(close * volume, 0.5) OVER w AS m, count(close * volume) OVER w AS k FROM grid WINDOW w AS (PARTITION BY security_id ORDER BY date ROWS BETWEEN 62 PRECEDING AND CURRENT ROW))
+  SELECT security_id, date, coalesce(m >= 20000 AND close >= 900 AND k >= 42, false) AS eligible FROM f""")
 def eligibility(spark, sf_dir):
-    w = windows.ordered().rowsBetween(-12, 0)
-    dv = F.col("close") * F.col("volume")
-    return bars(spark, sf_dir).select("security_id", "date", ((F.expr("percentile(close * volume, 0.5)").over(w) >= 20000) & (F.col("close") >= 900) & (F.count(dv).over(w) >= 13)).alias("eligible"))
+    return factors.eligible(grid(spark, sf_dir), min_price=900, min_median_dollar_volume=20000).select("security_id", "date", "eligible")
 
 
 # Joins
 
 
 @query("""SELECT p.event_id, p.user_id, CASE WHEN v.ts >= p.ts - INTERVAL 6 HOUR THEN v.value END AS asof_value FROM (SELECT * FROM events WHERE event_type = 'click') p
-  ASOF LEFT JOIN (SELECT ts + INTERVAL 10 MINUTE AS seen, ts, user_id, max(event_id) AS e, arg_max(value, event_id) AS value FROM events WHERE event_type = 'view' GROUP BY ALL) v ON p.user_id = v.user_id AND p.ts >= v.seen""".replace("GROUP BY ALL", "GROUP BY 1, 2, 3"))
+  ASOF LEFT JOIN (SELECT ts + INTERVAL 10 MINUTE AS seen, ts, user_id, max(event_id) AS e, arg_max(value, event_id) AS value FROM events WHERE event_type = 'view' GROUP BY 1, 2, 3) v ON p.user_id = v.user_id AND p.ts >= v.seen""")
 def as_of_join(spark, sf_dir):
     e = events(spark, sf_dir).select("event_id", "user_id", F.col("ts"), "event_type", "value")
     left = e.where("event_type = 'click'").select("event_id", "user_id", "ts")
@@ -220,30 +207,31 @@ def residuals(spark, sf_dir):
 # Factors
 
 FACTOR_SQL = {
-    "momentum": "lag(close, 4) OVER o / lag(close, 52) OVER o - 1",
-    "high_year": "close / CASE WHEN count(close) OVER w52 >= 26 THEN max(close) OVER w52 END",
-    "low_vol": "-CASE WHEN count(ret) OVER w13 >= 8 THEN stddev_samp(ret) OVER w13 END",
-    "max_lottery": "-CASE WHEN count(ret) OVER w4 >= 3 THEN max(ret) OVER w4 END",
-    "reversal": "-(lag(close, 1) OVER o / lag(close, 4) OVER o - 1)",
-    "shadow_asymmetry": "-CASE WHEN count(CASE WHEN high > low THEN 1 END) OVER w4 >= 2 THEN avg(CASE WHEN high > low THEN ((high - greatest(open, close)) - (least(open, close) - low)) / (high - low) END) OVER w4 END",
-    "vwap_pressure": "-avg(ln(close / vwap)) OVER w2",
-    "money_flow": "CASE WHEN count(volume) OVER w13 >= 6 AND sum(CASE WHEN typical <> typical_1 THEN typical * volume END) OVER w13 > 0 THEN -100 * coalesce(sum(CASE WHEN typical > typical_1 THEN typical * volume END) OVER w13, 0) / sum(CASE WHEN typical <> typical_1 THEN typical * volume END) OVER w13 END",
-    "strength": "CASE WHEN count(change) OVER w13 >= 6 AND sum(abs(change)) OVER w13 > 0 THEN -100 * sum(CASE WHEN change > 0 THEN change ELSE 0 END) OVER w13 / sum(abs(change)) OVER w13 END",
-    "bollinger": "CASE WHEN count(close) OVER w13 >= 8 AND stddev_samp(close) OVER w13 > 0 THEN -(close - avg(close) OVER w13 + 2 * stddev_samp(close) OVER w13) / (4 * stddev_samp(close) OVER w13) END",
-    "donchian": "CASE WHEN count(close) OVER w13 >= 8 AND max(high) OVER w13 > min(low) OVER w13 THEN (close - min(low) OVER w13) / (max(high) OVER w13 - min(low) OVER w13) END",
-    "sma_gap": "CASE WHEN count(close) OVER w13 >= 8 THEN close / avg(close) OVER w13 - 1 END",
-    "volume_slope": "sum(sign(change) * volume) OVER w4 / (avg(volume) OVER w4 * 4)",
-    "close_location_slope": "sum(CASE WHEN high > low THEN ((close - low) - (high - close)) / (high - low) * volume END) OVER w4 / (avg(volume) OVER w4 * 4)",
-    "trend_in_ranges": "CASE WHEN count(close) OVER w13 >= 8 AND count(high) OVER w4 >= 2 AND avg(greatest(high - low, abs(high - close_1), abs(low - close_1))) OVER w4 > 0 THEN (close - avg(close) OVER w13) / avg(greatest(high - low, abs(high - close_1), abs(low - close_1))) OVER w4 END",
+    "momentum": "lag(close, 21) OVER o / lag(close, 252) OVER o - 1",
+    "high_year": "close / CASE WHEN count(close) OVER w252 >= 126 THEN max(close) OVER w252 END",
+    "low_vol": "-CASE WHEN count(ret) OVER w63 >= 42 THEN stddev_samp(ret) OVER w63 END",
+    "max_lottery": "-CASE WHEN count(ret) OVER w21 >= 15 THEN max(ret) OVER w21 END",
+    "reversal": "-(lag(close, 1) OVER o / lag(close, 21) OVER o - 1)",
+    "shadow_asymmetry": "-CASE WHEN count(CASE WHEN high > low THEN 1 END) OVER w21 >= 15 THEN avg(CASE WHEN high > low THEN ((high - greatest(open, close)) - (least(open, close) - low)) / (high - low) END) OVER w21 END",
+    "vwap_pressure": "CASE WHEN count(close) OVER w5 >= 3 THEN -avg(ln(close / vwap)) OVER w5 END",
+    "money_flow": "CASE WHEN row_number() OVER o >= 10 AND sum(CASE WHEN typical <> typical_1 THEN typical * volume END) OVER w14 > 0 THEN -100 * coalesce(sum(CASE WHEN typical > typical_1 THEN typical * volume END) OVER w14, 0) / sum(CASE WHEN typical <> typical_1 THEN typical * volume END) OVER w14 END",
+    "strength": "CASE WHEN count(change) OVER w14 >= 10 AND sum(abs(change)) OVER w14 > 0 THEN -100 * sum(CASE WHEN change > 0 THEN change ELSE 0 END) OVER w14 / sum(abs(change)) OVER w14 END",
+    "bollinger": "CASE WHEN count(close) OVER w20 >= 15 AND stddev_samp(close) OVER w20 > 0 THEN -(close - avg(close) OVER w20 + 2 * stddev_samp(close) OVER w20) / (4 * stddev_samp(close) OVER w20) END",
+    "donchian": "CASE WHEN count(close) OVER w55 >= 40 AND max(close) OVER w55 > min(close) OVER w55 THEN (close - min(close) OVER w55) / (max(close) OVER w55 - min(close) OVER w55) END",
+    "sma_gap": "CASE WHEN count(close) OVER w50 >= 38 THEN close / avg(close) OVER w50 - 1 END",
+    "volume_slope": "CASE WHEN row_number() OVER o > 21 AND count(volume) OVER w21 >= 15 AND avg(volume) OVER w21 > 0 THEN coalesce(sum(sign(change) * volume) OVER w21, 0) / (avg(volume) OVER w21 * 21) END",
+    "close_location_slope": "CASE WHEN row_number() OVER o > 21 AND count(volume) OVER w21 >= 15 AND avg(volume) OVER w21 > 0 THEN coalesce(sum(CASE WHEN high > low THEN ((close - low) - (high - close)) / (high - low) * volume END) OVER w21, 0) / (avg(volume) OVER w21 * 21) END",
+    "trend_in_ranges": "CASE WHEN count(close) OVER w50 >= 38 AND count(high) OVER w21 >= 15 AND avg(greatest(high - low, abs(high - close_1), abs(low - close_1))) OVER w21 > 0 THEN (close - avg(close) OVER w50) / avg(greatest(high - low, abs(high - close_1), abs(low - close_1))) OVER w21 END",
+    "volume_confirmed_reversal": "CASE WHEN count(close) OVER w20 >= 15 AND stddev_samp(close) OVER w20 > 0 AND count(volume) OVER w21 >= 15 AND avg(volume) OVER w21 > 0 THEN (0.5 - (close - avg(close) OVER w20 + 2 * stddev_samp(close) OVER w20) / (4 * stddev_samp(close) OVER w20)) * CASE WHEN volume IS NOT NULL THEN least(volume / avg(volume) OVER w21, 3) END END",
 }
-FRAMES = "WINDOW o AS (PARTITION BY security_id ORDER BY date), " + ", ".join(f"w{n} AS (PARTITION BY security_id ORDER BY date ROWS BETWEEN {n - 1} PRECEDING AND CURRENT ROW)" for n in (2, 4, 13, 52))
+FRAMES = "WINDOW o AS (PARTITION BY security_id ORDER BY date), f AS (PARTITION BY security_id ORDER BY date ROWS BETWEEN 251 PRECEDING AND 21 PRECEDING), " + ", ".join(f"w{n} AS (PARTITION BY security_id ORDER BY date ROWS BETWEEN {n - 1} PRECEDING AND CURRENT ROW)" for n in (5, 14, 20, 21, 50, 55, 63, 252))
 
 
 def _register_factor(name: str) -> None:
     digits = 9 if name.endswith("_slope") else 6  # slopes are quotients of whole numbers, often with a five as the seventh digit
 
     def run(spark, sf_dir):
-        return factors.factor(grid(spark, sf_dir), name, factors.WEEKLY).withColumn("value", F.round("value", digits))
+        return factors.factor(grid(spark, sf_dir), name).withColumn("value", F.round("value", digits))
 
     query(f"WITH {GRID} SELECT date, security_id, round(value, {digits}) AS value FROM (SELECT date, security_id, {FACTOR_SQL[name]} AS value FROM prep {FRAMES}) WHERE value IS NOT NULL", f"factor_{name}")(run)
 
@@ -252,6 +240,61 @@ for _name in FACTOR_SQL:
     _register_factor(_name)
 
 
+# Few weeks in a row have a return here, so the gates of the factors with a year's formation are lower than their own.
+
+
+@query(f"""WITH {GRID} SELECT date, security_id, round(CASE WHEN count(ret) OVER f >= 120 THEN sign(lag(close, 21) OVER o / lag(close, 252) OVER o - 1) * (count(CASE WHEN ret < 0 THEN 1 END) OVER f - count(CASE WHEN ret > 0 THEN 1 END) OVER f) / count(ret) OVER f END, 6) AS value
+  FROM prep {FRAMES} QUALIFY value IS NOT NULL""")
+def factor_information_discreteness(spark, sf_dir):
+    p = factors.prepared(grid(spark, sf_dir))
+    return p.select("date", "security_id", r6(factors.information_discreteness(least=120)).alias("value")).where("value is not null")
+
+
+_MARKET = f"""{GRID}, m AS (SELECT date, security_id, ret AS r, avg(ret) OVER (PARTITION BY date) AS mkt, CASE WHEN ret IS NOT NULL THEN avg(ret) OVER (PARTITION BY date) END AS x FROM prep)"""
+
+
+@query(f"""WITH {_MARKET}, e AS (SELECT date, security_id, avg(r) OVER w AS r, avg(r * r) OVER w AS rr, avg(x) OVER w AS x, avg(x * x) OVER w AS xx, avg(r * x) OVER w AS rx, count(r) OVER w AS n FROM m WINDOW w AS (PARTITION BY security_id ORDER BY date ROWS 62 PRECEDING)),
+  v AS (SELECT *, rr - r * r - pow(rx - r * x, 2) / CASE WHEN xx - x * x > 0 THEN xx - x * x END AS left_ FROM e WHERE n >= 42)
+  SELECT date, security_id, round(-sqrt(greatest(left_, 0)), 6) AS value FROM v WHERE rr - r * r > 0 AND left_ > -1e-12""")
+def factor_residual_vol(spark, sf_dir):
+    return factors.residual_vol(grid(spark, sf_dir)).withColumn("value", r6("value"))
+
+
+@query(f"""WITH {_MARKET}, e AS (SELECT *, avg(r) OVER w AS er, avg(x) OVER w AS ex, avg(x * x) OVER w AS exx, avg(r * x) OVER w AS erx, count(r) OVER w AS n FROM m WINDOW w AS (PARTITION BY security_id ORDER BY date ROWS BETWEEN 252 PRECEDING AND 1 PRECEDING)),
+  b AS (SELECT *, (erx - er * ex) / CASE WHEN exx - ex * ex > 1e-18 THEN exx - ex * ex END AS beta FROM e),
+  l AS (SELECT date, security_id, CASE WHEN n >= 126 THEN r - (er - beta * ex) - beta * mkt END AS l FROM b)
+  SELECT date, security_id, round(sum(l) OVER f, 5) AS value FROM l WINDOW o AS (PARTITION BY security_id ORDER BY date), f AS (PARTITION BY security_id ORDER BY date ROWS BETWEEN 251 PRECEDING AND 21 PRECEDING) QUALIFY row_number() OVER o > 251 AND count(l) OVER f >= 40""")
+def factor_residual_momentum(spark, sf_dir):
+    return factors.residual_momentum(grid(spark, sf_dir), formation=40).withColumn("value", F.round("value", 5))
+
+
+def _ewm(x: str, span: int, least: int, source: str) -> str:
+    """SQL of an exponential mean of x over source(security_id, i, ...)."""
+    d = 1 - 2 / (span + 1)
+    return f"""SELECT a.security_id, a.i, CASE WHEN count(b.{x}) >= {least} THEN sum(b.{x} * pow({d}, a.i - b.i)) / sum(CASE WHEN b.{x} IS NOT NULL THEN pow({d}, a.i - b.i) END) END AS m FROM {source} a JOIN {source} b ON a.security_id = b.security_id AND b.i <= a.i GROUP BY 1, 2"""
+
+
+_MACD = f"""{GRID}, s AS (SELECT security_id, date, close, row_number() OVER (PARTITION BY security_id ORDER BY date) AS i FROM grid), fast AS ({_ewm('close', 12, 10, 's')}), slow AS ({_ewm('close', 26, 20, 's')}),
+  line AS (SELECT security_id, i, fast.m - slow.m AS x FROM fast JOIN slow USING (security_id, i)), sig AS ({_ewm('x', 9, 7, 'line')}),
+  macd AS (SELECT date, security_id, (x - sig.m) / close AS value FROM s JOIN line USING (security_id, i) JOIN sig USING (security_id, i) WHERE x - sig.m IS NOT NULL AND close IS NOT NULL)"""
+
+
+@query(f"WITH {_MACD} SELECT date, security_id, round(value, 6) AS value FROM macd")
+def factor_macd(spark, sf_dir):
+    return factors.macd(grid(spark, sf_dir)).withColumn("value", r6("value"))
+
+
+def _percent_rank(x: str) -> str:
+    return f"CASE WHEN {x} IS NOT NULL THEN (rank() OVER (PARTITION BY date, {x} IS NULL ORDER BY {x}) + (count(*) OVER (PARTITION BY date, {x}) - 1) / 2) / count({x}) OVER (PARTITION BY date) END"
+
+
+@query(f"""WITH {_MACD}, t AS (SELECT date, security_id, {FACTOR_SQL['bollinger']} AS b, {FACTOR_SQL['money_flow']} AS m, {FACTOR_SQL['strength']} AS s FROM prep {FRAMES}),
+  f AS (SELECT t.*, -value AS d FROM t LEFT JOIN macd USING (date, security_id)), r AS (SELECT date, security_id, ({_percent_rank('b')} + {_percent_rank('m')} + {_percent_rank('s')} + {_percent_rank('d')}) / 4 AS value FROM f)
+  SELECT date, security_id, round(value, 6) AS value FROM r WHERE value IS NOT NULL""")
+def factor_reversal_ensemble(spark, sf_dir):
+    return factors.reversal_ensemble(grid(spark, sf_dir)).withColumn("value", r6("value"))
+
+
 @query(f"""WITH {GRID}, f AS (SELECT date, security_id, {FACTOR_SQL['low_vol']} AS lv, {FACTOR_SQL['high_year']} AS hy FROM prep {FRAMES}), g AS (SELECT * FROM f WHERE lv IS NOT NULL),
   s AS (SELECT date, regr_slope(hy, lv) AS b, avg(hy) FILTER (WHERE hy IS NOT NULL) AS y, avg(lv) FILTER (WHERE hy IS NOT NULL) AS x, var_pop(lv) FILTER (WHERE hy IS NOT NULL) AS v FROM g GROUP BY 1),
   h AS (SELECT g.*, round(hy - y - (CASE WHEN v > 1e-18 THEN b ELSE 0 END) * (lv - x), 9) + 0.0 AS res FROM g JOIN s USING (date)),
@@ -259,18 +302,18 @@ for _name in FACTOR_SQL:
     CASE WHEN res IS NOT NULL THEN (rank() OVER (PARTITION BY date, res IS NULL ORDER BY res) + (count(*) OVER (PARTITION BY date, res) - 1) / 2) / count(res) OVER (PARTITION BY date) END AS r FROM h)
   SELECT date, security_id, round((a + coalesce(r, 0.5)) / 2, 6) AS value FROM k""")
 def composite(spark, sf_dir):
-    return factors.composite(grid(spark, sf_dir), factors.WEEKLY).withColumn("value", r6("value"))
+    return factors.composite(grid(spark, sf_dir)).withColumn("value", r6("value"))
 
 
 # Evaluation
 
 _PANEL = f"""{GRID}, fill AS (SELECT *, last_value(close IGNORE NULLS) OVER (PARTITION BY security_id ORDER BY date) AS filled FROM prep),
-  panel AS (SELECT date, security_id, ret, -(lag(close, 1) OVER o / lag(close, 4) OVER o - 1) AS value, lead(filled, 4) OVER o / close - 1 AS forward FROM fill WINDOW o AS (PARTITION BY security_id ORDER BY date))"""
+  panel AS (SELECT date, security_id, ret, -(lag(close, 1) OVER o / lag(close, 21) OVER o - 1) AS value, lead(filled, 4) OVER o / close - 1 AS forward FROM fill WINDOW o AS (PARTITION BY security_id ORDER BY date))"""
 
 
 def _panel(spark, sf_dir) -> DataFrame:
     g = evaluate.with_forward(factors.prepared(grid(spark, sf_dir)), 4)
-    return g.select("date", "security_id", "ret", factors.reversal(factors.WEEKLY).alias("value"), "forward")
+    return g.select("date", "security_id", "ret", factors.reversal().alias("value"), "forward")
 
 
 _RANKED = """k AS (SELECT date, CASE WHEN value IS NOT NULL THEN rank() OVER (PARTITION BY date, value IS NULL ORDER BY value) + (count(*) OVER (PARTITION BY date, value) - 1) / 2 END AS a,
@@ -309,24 +352,25 @@ def backtest(spark, sf_dir):
     return d.select("date", r6("gross").alias("gross"), r6("net").alias("net"), r6("turnover").alias("turnover"))
 
 
-# At a tenth of the capital: weekly prices of suppliers move so much that whole capital would be lost at once.
-@query(f"""WITH {_TEST}, n AS (SELECT date, (gross - 0.001 * turnover) / 10 AS r FROM daily), e AS (SELECT *, product(1 + r) OVER (ORDER BY date) AS e FROM n), d AS (SELECT *, e / greatest(max(e) OVER (ORDER BY date), 1) - 1 AS dd FROM e)
+# At a hundredth of the capital: weekly prices of suppliers move so much that whole capital would be lost at once.
+@query(f"""WITH {_TEST}, n AS (SELECT date, (gross - 0.001 * turnover) / 100 AS r FROM daily), e AS (SELECT *, product(1 + r) OVER (ORDER BY date) AS e FROM n), d AS (SELECT *, e / greatest(max(e) OVER (ORDER BY date), 1) - 1 AS dd FROM e)
   SELECT round(ln(product(1 + r)), 5) AS log_total, round(stddev_samp(r) * sqrt(52), 5) AS volatility, round(avg(r) / stddev_samp(r) * sqrt(52), 4) AS sharpe, round(min(dd), 5) AS max_drawdown FROM d""")
 def performance(spark, sf_dir):
-    p = evaluate.performance(evaluate.backtest(_panel(spark, sf_dir), 5, 5, 0.001).withColumn("net", F.col("net") / 10), "net", 52)
+    p = evaluate.performance(evaluate.backtest(_panel(spark, sf_dir), 5, 5, 0.001).withColumn("net", F.col("net") / 100), "net", 52)
     return p.select(F.round(F.log1p("total"), 5).alias("log_total"), F.round("volatility", 5).alias("volatility"), F.round("sharpe", 4).alias("sharpe"), F.round("max_drawdown", 5).alias("max_drawdown"))
 
 
 # Scalar functions
 
 
-@query("""WITH a AS (SELECT event_id, ts, isodow(ts) AS d FROM events), b AS (SELECT *, d IN (6, 7) OR (ts - date_trunc('second', ts) = INTERVAL 0 SECOND AND hour(ts) * 3600 + minute(ts) * 60 + second(ts) > 57600) OR hour(ts) * 3600 + minute(ts) * 60 + second(ts) > 57600 AS late FROM a)
-  SELECT event_id, late, strftime(CASE WHEN late THEN ts::DATE + (CASE d WHEN 5 THEN 3 WHEN 6 THEN 2 ELSE 1 END)::INT + INTERVAL '9 hours 30 minutes' ELSE ts END, '%Y-%m-%d %H:%M:%S') AS visible,
-  strftime(last_day(date_trunc('quarter', ts)::DATE + INTERVAL 2 MONTH), '%Y-%m-%d') AS quarter FROM b""")
+@query("""WITH a AS (SELECT event_id, ts, timezone('America/New_York', timezone('UTC', ts)) AS et FROM events), b AS (SELECT *, isodow(et) AS d, et::TIME AS t FROM a),
+  c AS (SELECT *, d < 6 AND t >= TIME '09:30:00' AND t <= TIME '16:00:00' AS at_once, CASE WHEN d = 6 THEN 2 WHEN d = 7 THEN 1 WHEN t <= TIME '16:00:00' THEN 0 WHEN d = 5 THEN 3 ELSE 1 END AS ahead FROM b)
+  SELECT event_id, NOT at_once AS late, strftime(CASE WHEN at_once THEN et ELSE et::DATE + ahead::INT + INTERVAL '9 hours 30 minutes' END, '%Y-%m-%d %H:%M:%S') AS visible,
+  strftime(last_day(date_trunc('quarter', ts)::DATE + INTERVAL 2 MONTH), '%Y-%m-%d') AS quarter FROM c""")
 def visibility(spark, sf_dir):
-    e = events(spark, sf_dir)
-    v = visible_at(F.col("ts"))
-    return e.select("event_id", (v != F.col("ts").cast("timestamp")).alias("late"), F.date_format(v, "yyyy-MM-dd HH:mm:ss").alias("visible"), F.date_format(quarter_end(F.col("ts").cast("date")), "yyyy-MM-dd").alias("quarter"))
+    et = new_york(F.col("ts"))
+    v = visible_at(et)
+    return events(spark, sf_dir).select("event_id", (v != et).alias("late"), F.date_format(v, "yyyy-MM-dd HH:mm:ss").alias("visible"), F.date_format(quarter_end(F.col("ts").cast("date")), "yyyy-MM-dd").alias("quarter"))
 
 
 @query("""SELECT p_partkey, regexp_replace(trim(regexp_replace(replace(replace(lower(concat(p_name, ' & Co., Inc.')), '.', ''), '''', ''), '[^a-z0-9]+', ' ', 'g')), '( (inc|corp|ltd|llc|co|plc))+$', '') AS name FROM part""")

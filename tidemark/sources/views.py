@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -25,10 +25,16 @@ def bars(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def on_grid(df: DataFrame, step_days: int = 7) -> DataFrame:
-    """df on every date between a security's first and last one; dates without a row have nulls."""
-    spans = df.groupBy("security_id").agg(F.min("date").alias("a"), F.max("date").alias("b"))
-    days = spans.select("security_id", F.explode(F.expr(f"sequence(a, b, interval {step_days} days)")).alias("date"))
-    return days.join(df, ["security_id", "date"], "left")
+    """df on every date between a security's first and last one; dates without a row have nulls.
+
+    Each row is followed by the dates before the next one: one pass, no join, and the exchange by
+    security is the one that windows over it need. Rows are one for each security and date.
+    """
+    after = F.lead("date").over(Window.partitionBy("security_id").orderBy("date"))
+    until = F.coalesce(F.date_sub("_next", step_days), F.col("date"))
+    days = df.withColumn("_next", after).withColumn("_day", F.explode(F.sequence("date", until, F.expr(f"interval {step_days} days"))))
+    own = F.col("_day") == F.col("date")
+    return days.select("security_id", F.col("_day").alias("date"), *[F.when(own, F.col(c)).alias(c) for c in df.columns if c not in ("security_id", "date")])
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
