@@ -12,7 +12,7 @@ def as_of(left: DataFrame, right: DataFrame, key: str, left_on: str, right_on: s
     A right row is visible from right_on + delay; ties go to the largest tie. Rows older than max_age, an
     interval, give nulls. Both sides are united and ordered once, so a key's rows are never multiplied.
     """
-    payload = F.struct(*[F.col(c).alias(c) for c in (right_on, *values)])
+    payload = F.struct(*[F.col(c).alias(c) for c in dict.fromkeys((right_on, *values))])
     r = right.select(F.col(key), (F.col(right_on) + F.expr(delay)).alias("_t"), F.lit(0).alias("_side"), F.col(tie).alias("_tie"), payload.alias("_right"), F.lit(None).cast(left.select(F.struct("*")).schema[0].dataType).alias("_left"))
     l = left.select(F.col(key), F.col(left_on).alias("_t"), F.lit(1).alias("_side"), F.lit(None).cast(right.schema[tie].dataType).alias("_tie"), F.lit(None).cast(r.schema["_right"].dataType).alias("_right"), F.struct("*").alias("_left"))
     w = Window.partitionBy(key).orderBy("_t", "_side", "_tie").rowsBetween(Window.unboundedPreceding, 0)

@@ -7,7 +7,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.operators.cross_section import buckets
+from tidemark.operators.cross_section import average_rank, buckets, correlation
 from tidemark.operators.windows import forward_filled, ordered
 
 
@@ -52,20 +52,111 @@ def quantile_returns(panel: DataFrame, n: int, least: int) -> DataFrame:
     return b.groupBy("date", "bucket").agg(F.avg("forward").alias("ret"), F.count("forward").alias("n"))
 
 
-def backtest(panel: DataFrame, n: int, least: int, cost: float) -> DataFrame:
-    """(date, gross, net, turnover) of long the top bucket and short the bottom one, half a unit each side.
-
-    panel: (date, security_id, value, ret), a row for each security and date of the grid. Weights are held
-    from the next date on; cost is paid on traded weight.
-    """
+def long_short(panel: DataFrame, n: int, least: int) -> DataFrame:
+    """panel with w: half a unit long in the top bucket of value and half a unit short in the bottom one, equally weighted."""
     b = panel.withColumn("bucket", buckets("value", n, least))
     size = F.count("*").over(Window.partitionBy("date", "bucket"))
-    weight = F.when(F.col("bucket") == n, 0.5 / size).when(F.col("bucket") == 1, -0.5 / size).otherwise(0.0)
-    held = b.withColumn("w", weight).select("date", F.coalesce(F.lag("w").over(ordered()), F.lit(0.0)).alias("held"), "w", "ret", "security_id")
-    daily = held.groupBy("date").agg(F.sum(F.col("held") * F.coalesce("ret", F.lit(0.0))).alias("gross"), F.sum(F.abs(F.col("w") - F.col("held"))).alias("turnover"))
+    return b.withColumn("w", F.when(F.col("bucket") == n, 0.5 / size).when(F.col("bucket") == 1, -0.5 / size).otherwise(0.0)).drop("bucket")
+
+
+def runs_of_weights(weights: DataFrame, cost: float, freeze: bool = True, terminal: str | None = None) -> DataFrame:
+    """(date, gross, net, turnover) of weights(date, security_id, close, w), a row for each security and date of the grid.
+
+    Weights are held from the next date on. Across a gap in the prices the weight held at its first row
+    stays, and the whole gap's return falls on the first price after it. terminal names a column with
+    the return of a long position on the first row after a security's last price; without one it is
+    nothing. Cost is paid on traded weight.
+    """
+    before = ordered().rowsBetween(Window.unboundedPreceding, -1)
+    past = F.last("close", ignorenulls=True).over(before)
+    future = F.count("close").over(ordered().rowsBetween(0, Window.unboundedFollowing)) > 0
+    missing = F.col("close").isNull()
+    columns = ["date", "security_id", "close", "w", *([terminal] if terminal else [])]
+    held = weights.select(*columns, F.coalesce(F.lag("w").over(ordered()), F.lit(0.0)).alias("held"), past.alias("past"), future.alias("future"), F.lag(missing, 1, False).over(ordered()).alias("was_missing"))
+    entry = F.when(missing & ~F.col("was_missing"), F.col("held"))
+    kept = F.when(missing | F.col("was_missing"), F.last(entry, ignorenulls=True).over(ordered().rowsBetween(Window.unboundedPreceding, 0)))
+    ret = F.when(~missing, F.col("close") / F.col("past") - 1)
+    over = missing & ~F.col("future") & (F.col("held") > 0)
+    rows = held.select("*", (F.coalesce(kept, F.col("held")) if freeze else F.col("held")).alias("carried"), over.alias("over"))
+    if terminal:
+        first = F.col("over") & ~F.coalesce(F.lag("over").over(ordered()), F.lit(False))
+        ret = F.when(first, F.col(terminal)).otherwise(ret)
+    rows = rows.select("date", "w", "held", "carried", ret.alias("ret"))
+    daily = rows.groupBy("date").agg(F.sum(F.col("carried") * F.coalesce("ret", F.lit(0.0))).alias("gross"), F.sum(F.abs(F.col("w") - F.col("held"))).alias("turnover"))
     return daily.select("date", "gross", (F.col("gross") - cost * F.col("turnover")).alias("net"), "turnover")
 
 
+def backtest(panel: DataFrame, n: int, least: int, cost: float) -> DataFrame:
+    """(date, gross, net, turnover) of the long-short portfolio of panel(date, security_id, value, close)."""
+    return runs_of_weights(long_short(panel, n, least), cost)
+
+
+def last_of(df: DataFrame, period: str) -> DataFrame:
+    """df with rebalance: whether a date is the last one that any security has in its period ('month', 'week')."""
+    last = df.groupBy(F.date_trunc(period, "date").alias("_p")).agg(F.max("date").alias("_last"))
+    return df.withColumn("_p", F.date_trunc(period, "date")).join(F.broadcast(last), "_p").withColumn("rebalance", F.col("date") == F.col("_last")).drop("_p", "_last")
+
+
+def hold_between(weights: DataFrame) -> DataFrame:
+    """weights(…, w, rebalance) with the weight of the last rebalance on every date; nothing before the first."""
+    at = F.last(F.when(F.col("rebalance"), F.coalesce("w", F.lit(0.0))), ignorenulls=True).over(ordered().rowsBetween(Window.unboundedPreceding, 0))
+    return weights.withColumn("w", F.coalesce(at, F.lit(0.0)))
+
+
+def equal_weight(df: DataFrame, chosen: Column) -> DataFrame:
+    """df with w: one over the number chosen on the date for those, nothing for others."""
+    return df.withColumn("_in", F.coalesce(chosen, F.lit(False))).withColumn("w", F.when(F.col("_in"), 1.0 / F.count_if("_in").over(Window.partitionBy("date"))).otherwise(0.0)).drop("_in")
+
+
+def ic_decay(panel: DataFrame, lags: int, least: int) -> DataFrame:
+    """(lag, ic, n): the mean rank IC of value against the forward return of the row lag later, over the dates that have one."""
+    ahead = panel.select("date", "security_id", "value", *[F.lead("forward", k).over(ordered()).alias(f"f{k}") for k in range(lags + 1)])
+    shifted = ahead.select("date", "value", F.inline(F.array(*[F.struct(F.lit(k).alias("lag"), F.col(f"f{k}").alias("forward")) for k in range(lags + 1)])))
+    ranked = shifted.repartition("date", "lag").select("date", "lag", average_rank("value", ["date", "lag"]).alias("a"), average_rank("forward", ["date", "lag"]).alias("b")).where("a is not null and b is not null")
+    ics = ranked.groupBy("date", "lag").agg(correlation("a", "b").alias("ic"), F.count("*").alias("n")).where((F.col("n") >= least) & F.col("ic").isNotNull())
+    return ics.groupBy("lag").agg(F.avg("ic").alias("ic"), F.count("*").alias("n"))
+
+
+def half_life(decay: DataFrame) -> DataFrame:
+    """(lag): the first lag whose absolute IC is at most half of that of lag 0; null if there is none."""
+    base = F.max_by(F.abs("ic"), F.when(F.col("lag") == 0, 1))
+    rows = decay.agg(base.alias("base"), F.collect_list(F.struct("lag", F.abs("ic").alias("a"))).alias("r"))
+    return rows.select(F.array_min(F.transform(F.filter("r", lambda r: r["a"] <= F.col("base") / 2), lambda r: r["lag"])).alias("lag"))
+
+
+def rank_correlations(df: DataFrame, names: list[str], least: int) -> DataFrame:
+    """(a, b, corr, dates): mean over dates of the correlation of two columns' ranks; pairs in the order of names."""
+    ranked = df.repartition("date").select("date", *[average_rank(n).alias(n) for n in names])
+    pairs = [(a, b) for i, a in enumerate(names) for b in names[i + 1 :]]
+    both = lambda a, b, x: F.when(F.col(a).isNotNull() & F.col(b).isNotNull(), F.col(x))
+    per = ranked.select("date", *[both(a, b, x).alias(f"{a}|{b}|{x}") for a, b in pairs for x in (a, b)])
+    by_date = per.groupBy("date").agg(*[F.when(F.count(f"`{a}|{b}|{a}`") >= least, correlation(f"`{a}|{b}|{a}`", f"`{a}|{b}|{b}`")).alias(f"{a}|{b}") for a, b in pairs])
+    long = by_date.unpivot(["date"], [f"`{a}|{b}`" for a, b in pairs], "pair", "corr")
+    parts = F.split("pair", r"\|")
+    return long.groupBy(parts[0].alias("a"), parts[1].alias("b")).agg(F.avg("corr").alias("corr"), F.count("corr").alias("dates"))
+
+
+def capm(daily: DataFrame, port: str, bench: str, periods: int) -> DataFrame:
+    """(beta, alpha, up_capture, down_capture, tracking): population beta, yearly alpha, captures and tracking error of one return on another."""
+    b = F.covar_pop(port, bench) / F.when(F.var_pop(bench) > 0, F.var_pop(bench))
+    mean = lambda c, side: F.avg(F.when(side, F.col(c)))
+    up, down = F.col(bench) > 0, F.col(bench) < 0
+    return daily.agg(
+        b.alias("beta"), ((F.avg(port) - b * F.avg(bench)) * periods).alias("alpha"),
+        (mean(port, up) / F.when(mean(bench, up) != 0, mean(bench, up))).alias("up_capture"), (mean(port, down) / F.when(mean(bench, down) != 0, mean(bench, down))).alias("down_capture"),
+        (F.stddev_samp(F.col(port) - F.col(bench)) * math.sqrt(periods)).alias("tracking"),
+    )
+
+
+def spells(daily: DataFrame, ret: str) -> DataFrame:
+    """(spell): the longest run of dates under an earlier top of the compounded series; one row for each date meets in one task."""
+    w = Window.orderBy("date").rowsBetween(Window.unboundedPreceding, 0)
+    equity = daily.withColumn("_e", F.product(1 + F.col(ret)).over(w))
+    under = equity.withColumn("_u", F.col("_e") < F.greatest(F.max("_e").over(w), F.lit(1.0)))
+    runs = under.withColumn("_g", F.count_if(~F.col("_u")).over(w)).where("_u").groupBy("_g").agg(F.count("*").alias("n"))
+    return runs.agg(F.coalesce(F.max("n"), F.lit(0)).alias("spell"))
+
+
 def performance(daily: DataFrame, ret: str, periods: int) -> DataFrame:
     """(total, volatility, sharpe, max_drawdown) of a series of one row for each date; returns compound as products, also below -1."""
     w = Window.orderBy("date").rowsBetween(Window.unboundedPreceding, 0)

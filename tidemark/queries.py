@@ -308,12 +308,12 @@ def composite(spark, sf_dir):
 # Evaluation
 
 _PANEL = f"""{GRID}, fill AS (SELECT *, last_value(close IGNORE NULLS) OVER (PARTITION BY security_id ORDER BY date) AS filled FROM prep),
-  panel AS (SELECT date, security_id, ret, -(lag(close, 1) OVER o / lag(close, 21) OVER o - 1) AS value, lead(filled, 4) OVER o / close - 1 AS forward FROM fill WINDOW o AS (PARTITION BY security_id ORDER BY date))"""
+  panel AS (SELECT date, security_id, close, ret, -(lag(close, 1) OVER o / lag(close, 21) OVER o - 1) AS value, lead(filled, 4) OVER o / close - 1 AS forward FROM fill WINDOW o AS (PARTITION BY security_id ORDER BY date))"""
 
 
 def _panel(spark, sf_dir) -> DataFrame:
     g = evaluate.with_forward(factors.prepared(grid(spark, sf_dir)), 4)
-    return g.select("date", "security_id", "ret", factors.reversal().alias("value"), "forward")
+    return g.select("date", "security_id", "close", "ret", factors.reversal().alias("value"), "forward")
 
 
 _RANKED = """k AS (SELECT date, CASE WHEN value IS NOT NULL THEN rank() OVER (PARTITION BY date, value IS NULL ORDER BY value) + (count(*) OVER (PARTITION BY date, value) - 1) / 2 END AS a,
@@ -340,10 +340,20 @@ def quantile_returns(spark, sf_dir):
     return evaluate.quantile_returns(_panel(spark, sf_dir), 5, 5).withColumn("ret", r6("ret"))
 
 
-_TEST = f"""{_PANEL}, b AS (SELECT *, CASE WHEN value IS NOT NULL AND count(value) OVER (PARTITION BY date) >= 5 THEN least((row_number() OVER (PARTITION BY date, value IS NULL ORDER BY value, security_id) - 1) * 5 // count(value) OVER (PARTITION BY date) + 1, 5) END AS bucket FROM panel),
-  q AS (SELECT *, CASE bucket WHEN 5 THEN 0.5 / count(*) OVER (PARTITION BY date, bucket) WHEN 1 THEN -0.5 / count(*) OVER (PARTITION BY date, bucket) ELSE 0 END AS w FROM b),
-  p AS (SELECT *, coalesce(lag(w) OVER (PARTITION BY security_id ORDER BY date), 0) AS held FROM q),
-  daily AS (SELECT date, sum(held * coalesce(ret, 0)) AS gross, sum(abs(w - held)) AS turnover FROM p GROUP BY 1)"""
+_WEIGHTS = f"""{_PANEL}, b AS (SELECT *, CASE WHEN value IS NOT NULL AND count(value) OVER (PARTITION BY date) >= 5 THEN least((row_number() OVER (PARTITION BY date, value IS NULL ORDER BY value, security_id) - 1) * 5 // count(value) OVER (PARTITION BY date) + 1, 5) END AS bucket FROM panel),
+  q AS (SELECT *, CASE bucket WHEN 5 THEN 0.5 / count(*) OVER (PARTITION BY date, bucket) WHEN 1 THEN -0.5 / count(*) OVER (PARTITION BY date, bucket) ELSE 0 END AS w FROM b)"""
+
+
+def _run(weights: str, terminal: str = "NULL", freeze: bool = True) -> str:
+    """SQL of daily(date, gross, turnover) from a table of weights(date, security_id, close, w)."""
+    carried = "CASE WHEN close IS NULL OR was THEN coalesce(last_value(CASE WHEN close IS NULL AND NOT was THEN held END IGNORE NULLS) OVER o, held) ELSE held END" if freeze else "held"
+    return f"""p1 AS (SELECT *, coalesce(lag(w) OVER o, 0) AS held, lag(close IS NULL, 1, false) OVER o AS was, last_value(close IGNORE NULLS) OVER (PARTITION BY security_id ORDER BY date ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS past, count(close) OVER (PARTITION BY security_id ORDER BY date ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS future FROM {weights} WINDOW o AS (PARTITION BY security_id ORDER BY date)),
+  p2 AS (SELECT *, {carried} AS carried, close IS NULL AND future = 0 AND held > 0 AS over FROM p1 WINDOW o AS (PARTITION BY security_id ORDER BY date)),
+  p3 AS (SELECT *, CASE WHEN over AND NOT coalesce(lag(over) OVER o, false) THEN {terminal} WHEN close IS NOT NULL THEN close / past - 1 END AS r FROM p2 WINDOW o AS (PARTITION BY security_id ORDER BY date)),
+  daily AS (SELECT date, sum(carried * coalesce(r, 0)) AS gross, sum(abs(w - held)) AS turnover FROM p3 GROUP BY 1)"""
+
+
+_TEST = f"{_WEIGHTS}, {_run('q')}"
 
 
 @query(f"WITH {_TEST} SELECT date, round(gross, 6) AS gross, round(gross - 0.001 * turnover, 6) AS net, round(turnover, 6) AS turnover FROM daily")
@@ -376,3 +386,6 @@ def visibility(spark, sf_dir):
 @query("""SELECT p_partkey, regexp_replace(trim(regexp_replace(replace(replace(lower(concat(p_name, ' & Co., Inc.')), '.', ''), '''', ''), '[^a-z0-9]+', ' ', 'g')), '( (inc|corp|ltd|llc|co|plc))+$', '') AS name FROM part""")
 def normal_names(spark, sf_dir):
     return table(spark, sf_dir, "part").select("p_partkey", normal_name(F.concat("p_name", F.lit(" & Co., Inc."))).alias("name"))
+
+
+from tidemark import queries_evaluation, queries_filings, queries_quality  # noqa: E402, F401
