@@ -23,7 +23,7 @@ from tidemark.llm.scratch import bounded_batches, stored, texts
 from tidemark.llm.token_units import in_chunks, word_bpe
 
 #: Ids after which a block is closed, between documents.
-BLOCK_IDS = 6 << 20
+BLOCK_IDS = 3 << 20
 BACKOFF = 0.4
 _DIGIT = 1 << 16  # ids are below this; an n-gram is a number with digits id + 1, so no two of them are equal
 #: Parts into which the followers of a short context are dealt: single ids and bigrams follow few contexts very often.

@@ -17,8 +17,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-#: Parts remembered by one worker, some 200 MB; when they are more, it forgets all and starts again.
-REMEMBERED = 1_000_000
+#: Parts remembered by one worker, some 100 MB; when they are more, it forgets all and starts again.
+REMEMBERED = 500_000
 #: Characters of the longest part that is remembered.
 LONGEST = 64
 
