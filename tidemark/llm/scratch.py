@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Bytes of an Arrow batch that goes to a Python worker; a single longer row is a batch of its own.
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 1 << 20
 
 _own: dict[str, str] = {}
 
