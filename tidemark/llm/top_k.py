@@ -6,7 +6,8 @@ by list, each query's k highest partial scores and its lowest one. The whole sco
 give a safe cutoff: the k-th highest of them. Phase 2 broadcasts it. Counted from the lowest of its list, a
 partial score of any vector that reaches the cutoff is in one list, at least, an equal share of what the
 cutoff is above the sum of the lowest ones; of these entries, those are sent whose partial score and the
-longest possible rest reach the cutoff. Phase 3 computes the exact scores of what was sent.
+longest possible rest reach the cutoff. Phase 3 adds up what was sent and computes the exact scores of
+all that can still reach the cutoff.
 """
 
 from __future__ import annotations
@@ -122,15 +123,16 @@ def _first_phase(batches: Iterator[pa.RecordBatch], s: Slice, k: int) -> Iterato
 
 
 def _second_phase(batches: Iterator[pa.RecordBatch], s: Slice) -> Iterator[pa.RecordBatch]:
-    """(q, vec_id) of the entries that can belong to a score at the cutoff or over it."""
+    """(q, vec_id, p, most) of the entries that can belong to a score at the cutoff or over it: p and most are from above, of the list and of the score."""
     lowest = s.low.sum(0)
     for j, a, b, ids, p, own, length, rest in s.tiles(batches):
         with np.errstate(invalid="ignore", over="ignore"):
             cutoff = s.cutoff[a:b, None]
             error = SLACK * (s.own[j][a:b, None] * length[None] + s.rest[j][a:b, None] * rest[None] + np.abs(cutoff) + np.abs(s.low[:, a:b]).sum(0)[:, None])
-            below = (p + s.rest[j][a:b, None] * rest[None] + error < cutoff) | (LISTS * (p - s.low[j, a:b, None]) + LISTS * error < cutoff - lowest[a:b, None])
+            most = p + s.rest[j][a:b, None] * rest[None] + error
+            below = (most < cutoff) | (LISTS * (p - s.low[j, a:b, None]) + LISTS * error < cutoff - lowest[a:b, None])
         q, at = np.nonzero(~(below | own))
-        yield pa.RecordBatch.from_pydict({"q": q + a, "vec_id": ids[at]})
+        yield pa.RecordBatch.from_pydict({"q": q + a, "vec_id": ids[at], "p": (p + error)[q, at], "most": most[q, at]})
 
 
 def _product(v: Column, w: Column) -> Column:
@@ -161,8 +163,8 @@ def _slice_top(vectors: DataFrame, lists: DataFrame, asked: DataFrame, s: Slice,
     def exact(found: DataFrame) -> DataFrame:
         return found.join(vectors, "vec_id").join(F.broadcast(asked), "q").select("q", "query_id", "vec_id", _product(F.col("v"), F.col("qv")).alias("score"))
 
-    sent = context.broadcast(s)
-    gathered = stored(lists.mapInArrow(lambda b: _first_phase(b, sent.value, k), "q long, list long, vec_id long, p double"), "gathered")
+    asking = context.broadcast(s)
+    gathered = stored(lists.mapInArrow(lambda b: _first_phase(b, asking.value, k), "q long, list long, vec_id long, p double"), "gathered")
     for q, j, p in gathered.where("vec_id is null").groupBy("q", "list").agg(F.min("p")).collect():  # LISTS rows for each query of the slice
         s.low[j, q] = p
     tops = _ranked(gathered.where("vec_id is not null").withColumn("key", F.struct("q", "list")), "key", "p", k)
@@ -170,8 +172,13 @@ def _slice_top(vectors: DataFrame, lists: DataFrame, asked: DataFrame, s: Slice,
     for q, kth in bound.select("q", F.col("score").cast("double")).collect():  # a row for each query of the slice
         s.cutoff[q] = kth
     informed = context.broadcast(s)
-    entries = stored(lists.mapInArrow(lambda b: _second_phase(b, informed.value), "q long, vec_id long").distinct(), "entries")
-    whole = _ranked(exact(entries), "query_id", "score", k)
+    sent = stored(lists.mapInArrow(lambda b: _second_phase(b, informed.value), "q long, vec_id long, p double, most double"), "entries")
+    cutoffs = asked.sparkSession.createDataFrame(list(enumerate(s.cutoff.tolist())), "q long, cutoff double")
+    # what all lists have sent adds up to the score; a list that is missing leaves the bound of the others
+    met = sent.groupBy("q", "vec_id").agg(F.count("*").alias("n"), F.sum("p").alias("p"), F.min("most").alias("most"))
+    bound = F.when(F.col("n") == LISTS, F.least("p", "most")).otherwise(F.col("most"))
+    open_ = met.join(F.broadcast(cutoffs), "q").where(~(bound < F.col("cutoff"))).select("q", "vec_id")
+    whole = _ranked(exact(open_), "query_id", "score", k)
     return whole.select("query_id", "rank", "vec_id", F.greatest(F.lit(-_LONG - 1), F.least(F.lit(_LONG), "score")).cast("long").alias("score"))
 
 
