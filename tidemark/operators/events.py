@@ -35,17 +35,17 @@ def cumulative_factors(events: DataFrame, key: str, ex_date: str, factor: str, d
 
     The events of one key meet in an array; there are few for each security.
     """
-    each = events.where(F.col(factor).isNotNull()).groupBy(key, ex_date).agg(F.array_sort(F.collect_list(F.col(factor).cast("decimal(30,15)"))).alias("f"))
+    each = events.where(F.col(factor).isNotNull()).groupBy(key, ex_date).agg(F.array_sort(F.collect_list(F.col(factor).cast("double"))).alias("f"))
     rows = each.groupBy(key).agg(F.reverse(F.array_sort(F.collect_list(F.struct(F.col(ex_date).alias("d"), "f")))).alias("e"))
-    step = lambda c, x: F.bround(c * x, digits).cast("decimal(30,12)")
+    step = lambda c, x: F.bround(c * x, digits)
 
     def add(acc: Column, e: Column) -> Column:
         c = F.aggregate(e["f"], acc["c"], step)
         return F.struct(c.alias("c"), F.concat(acc["out"], F.array(F.struct(e["d"].alias("d"), c.alias("c")))).alias("out"))
 
-    start = F.struct(F.lit(1).cast("decimal(30,12)").alias("c"), F.array().cast("array<struct<d:date,c:decimal(30,12)>>").alias("out"))
+    start = F.struct(F.lit(1.0).alias("c"), F.array().cast("array<struct<d:date,c:double>>").alias("out"))
     found = rows.select(key, F.explode(F.aggregate("e", start, add, lambda acc: acc["out"])).alias("r"))
-    return found.select(key, F.col("r.d").alias(ex_date), F.col("r.c").cast("double").alias("cumulative_factor"))
+    return found.select(key, F.col("r.d").alias(ex_date), F.col("r.c").alias("cumulative_factor"))
 
 
 def adjustment(prices: DataFrame, factors: DataFrame, key: str, date: str, ex_date: str, as_of: Column | None = None) -> DataFrame:
