@@ -316,6 +316,10 @@ def _panel(spark, sf_dir) -> DataFrame:
     return g.select("date", "security_id", "close", "ret", factors.reversal().alias("value"), "forward")
 
 
+def _avg_rank_sql(x: str) -> str:
+    return f"CASE WHEN {x} IS NOT NULL THEN rank() OVER (PARTITION BY date, {x} IS NULL ORDER BY {x}) + (count(*) OVER (PARTITION BY date, {x}) - 1) / 2 END"
+
+
 _RANKED = """k AS (SELECT date, CASE WHEN value IS NOT NULL THEN rank() OVER (PARTITION BY date, value IS NULL ORDER BY value) + (count(*) OVER (PARTITION BY date, value) - 1) / 2 END AS a,
     CASE WHEN forward IS NOT NULL THEN rank() OVER (PARTITION BY date, forward IS NULL ORDER BY forward) + (count(*) OVER (PARTITION BY date, forward) - 1) / 2 END AS b FROM panel),
   ic AS (SELECT date, corr(a, b) AS ic, count(*) AS n FROM k WHERE a IS NOT NULL AND b IS NOT NULL GROUP BY 1 HAVING count(*) >= 5 AND var_pop(a) > 0 AND var_pop(b) > 0)"""
@@ -388,4 +392,4 @@ def normal_names(spark, sf_dir):
     return table(spark, sf_dir, "part").select("p_partkey", normal_name(F.concat("p_name", F.lit(" & Co., Inc."))).alias("name"))
 
 
-from tidemark import queries_evaluation, queries_filings, queries_intraday, queries_quality, queries_records  # noqa: E402, F401
+from tidemark import queries_evaluation, queries_filings, queries_intraday, queries_master, queries_quality, queries_records  # noqa: E402, F401
