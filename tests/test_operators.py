@@ -37,6 +37,15 @@ def test_as_of_values(spark):
     assert [r[2] for r in rows(aged.where("k = 1").select("k", "day", "asof_value"))] == [10.0, 10.0, 10.0, None]
 
 
+def test_as_of_in_pieces(spark):
+    """Hot keys cut by time give what whole keys give."""
+    right = spark.createDataFrame([(i % 3, d(1 + i * 7 % 28, 1 + i % 5), float(i), i) for i in range(200)], "k int, at date, value double, tie int")
+    left = spark.createDataFrame([(i % 4, d(1 + i % 28, 1 + i % 6)) for i in range(160)] + [(None, d(1))], "k int, day date")
+    for extra in ({}, {"max_age": "interval 9 days"}, {"delay": "interval 3 days"}):
+        whole, cut = (joins.as_of(left, right, "k", "day", "at", "tie", ["value"], piece=p, **extra) for p in (None, "month"))
+        assert rows(whole.select("k", "day", "asof_value")) == rows(cut.select("k", "day", "asof_value"))
+
+
 def test_strictly_before_and_around(spark):
     prices = spark.createDataFrame([(1, d(1), 1.0), (1, d(3), 3.0)], "k int, day date, close double")
     asked = spark.createDataFrame([(1, d(n)) for n in (1, 2, 3, 4)], "k int, at date")

@@ -6,17 +6,27 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def as_of(left: DataFrame, right: DataFrame, key: str, left_on: str, right_on: str, tie: str, values: list[str], max_age: str | None = None, delay: str = "interval 0 days") -> DataFrame:
+def as_of(left: DataFrame, right: DataFrame, key: str, left_on: str, right_on: str, tie: str, values: list[str], max_age: str | None = None, delay: str = "interval 0 days", piece: str | None = None) -> DataFrame:
     """left with the values of the latest right row of its key that is visible at its time, else nulls.
 
     A right row is visible from right_on + delay; ties go to the largest tie. Rows older than max_age, an
     interval, give nulls. Both sides are united and ordered once, so a key's rows are never multiplied.
+    piece, a unit of date_trunc, is for keys too large for a task: time is cut into pieces that tasks
+    order on their own, and the last right row before a piece is carried into it.
     """
     payload = F.struct(*[F.col(c).alias(c) for c in dict.fromkeys((right_on, *values))])
     r = right.select(F.col(key), (F.col(right_on) + F.expr(delay)).alias("_t"), F.lit(0).alias("_side"), F.col(tie).alias("_tie"), payload.alias("_right"), F.lit(None).cast(left.select(F.struct("*")).schema[0].dataType).alias("_left"))
     l = left.select(F.col(key), F.col(left_on).alias("_t"), F.lit(1).alias("_side"), F.lit(None).cast(right.schema[tie].dataType).alias("_tie"), F.lit(None).cast(r.schema["_right"].dataType).alias("_right"), F.struct("*").alias("_left"))
-    w = Window.partitionBy(key).orderBy("_t", "_side", "_tie").rowsBetween(Window.unboundedPreceding, 0)
-    found = r.unionByName(l).withColumn("_found", F.last("_right", ignorenulls=True).over(w)).where("_side = 1")
+    both, keys = r.unionByName(l), [key]
+    if piece:
+        both, keys = both.withColumn("_piece", F.date_trunc(piece, "_t")), [key, "_piece"]
+    w = Window.partitionBy(*keys).orderBy("_t", "_side", "_tie").rowsBetween(Window.unboundedPreceding, 0)
+    found = both.withColumn("_found", F.last("_right", ignorenulls=True).over(w)).where("_side = 1")
+    if piece:
+        ends = both.groupBy(*keys).agg(F.max_by("_right", F.when(F.col("_side") == 0, F.struct("_t", "_tie"))).alias("_end"))
+        earlier = Window.partitionBy(key).orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
+        carried = ends.select(*keys, F.last("_end", ignorenulls=True).over(earlier).alias("_carried"))
+        found = found.join(carried, keys, "left").withColumn("_found", F.coalesce("_found", "_carried"))
     fresh = F.lit(True) if max_age is None else F.col(f"_found.{right_on}") >= F.col("_t") - F.expr(max_age)
     return found.select("_left.*", *[F.when(fresh, F.col(f"_found.{c}")).alias(f"asof_{c}") for c in values])
 

@@ -104,7 +104,7 @@ def eligibility(spark, sf_dir):
 def as_of_join(spark, sf_dir):
     e = events(spark, sf_dir).select("event_id", "user_id", F.col("ts"), "event_type", "value")
     left = e.where("event_type = 'click'").select("event_id", "user_id", "ts")
-    found = joins.as_of(left, e.where("event_type = 'view'"), "user_id", "ts", "ts", "event_id", ["value"], "interval 6 hours", "interval 10 minutes")
+    found = joins.as_of(left, e.where("event_type = 'view'"), "user_id", "ts", "ts", "event_id", ["value"], "interval 6 hours", "interval 10 minutes", piece="day")
     return found.select("event_id", "user_id", "asof_value")
 
 

@@ -58,11 +58,11 @@ def cumulative_factor(spark, sf_dir):
 
 @query(f"""WITH {_CUMULATIVE}, base AS (SELECT security_id, arg_min(c, ex_date) AS b FROM cumulative WHERE ex_date > DATE '1999-06-30' GROUP BY 1),
   p AS (SELECT d.security_id, d.date, d.close, coalesce(c.c, 1) / coalesce(b, 1) AS f FROM daily d ASOF LEFT JOIN cumulative c ON d.security_id = c.security_id AND d.date < c.ex_date LEFT JOIN base ON base.security_id = d.security_id)
-  SELECT security_id, strftime(date, '%Y-%m-%d') AS date, round(close * f, 4) AS adjusted FROM p""")
+  SELECT security_id, strftime(date, '%Y-%m-%d') AS date, round(ln(close * f), 9) AS log_adjusted FROM p""")
 def adjusted_prices(spark, sf_dir):
     c = ev.cumulative_factors(_factors(spark, sf_dir), "security_id", "ex_date", "factor")
     p = ev.adjustment(view(spark, sf_dir, "daily"), c, "security_id", "date", "ex_date", F.lit("1999-06-30").cast("date"))
-    return p.select("security_id", day("date").alias("date"), F.round(F.col("close") * F.col("factor"), 4).alias("adjusted"))
+    return p.select("security_id", day("date").alias("date"), F.round(F.ln(F.col("close") * F.col("factor")), 9).alias("log_adjusted"))
 
 
 @query(f"""WITH {ctes('actions', 'daily')}, b AS (SELECT a.event_id, d.close AS prev_close FROM actions a ASOF LEFT JOIN daily d ON a.security_id = d.security_id AND a.ex_date > d.date),
