@@ -81,6 +81,19 @@ def test_token_codes(spark, documents):
     assert rows(queries.op1_token_codes(spark, SF)) == expected
 
 
+def test_tokens_by_position(spark, documents, monkeypatch):
+    """Random access to any token, across segments and shards; the corpus is its documents in order."""
+    monkeypatch.setattr(dac, "SEGMENT", 5000)
+    tok = Tokenizer.from_file(BYTE)
+    whole = [i for _, t in documents.orderBy("doc_id").select("doc_id", "text").collect() for i in [*tok.encode(t or "", add_special_tokens=False).ids, 2]]
+    rng = random.Random(5)
+    asked = [0, len(whole) - 1, len(whole), -1, None, 7, 7, *(rng.randrange(len(whole)) for _ in range(300))]
+    segments = dac.read(spark, dac.write(documents, BYTE, 2))
+    got = dac.ids_at(segments, spark.createDataFrame([(i,) for i in asked], "position long"))
+    assert Counter((r.position, r.id) for r in got.collect()) == Counter((i, whole[i]) for i in asked if i is not None and 0 <= i < len(whole))
+    assert dac.ids_at(segments.where("false"), spark.createDataFrame([(1,)], "position long")).count() == 0
+
+
 def test_token_codes_of_odd_tables(spark, odd, no_documents):
     got = dac.digests(dac.read(spark, dac.write(odd, BYTE, 2))).collect()
     tok = Tokenizer.from_file(BYTE)

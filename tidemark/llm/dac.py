@@ -164,3 +164,31 @@ def digests(segments: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], names=["doc_id", "start", "n_tokens", "ids_crc32"])
 
     return segments.select("doc_ids", "lengths", "codes", "start").mapInArrow(of, "doc_id long, start long, n_tokens long, ids_crc32 long")
+
+
+def ids_at(segments: DataFrame, positions: DataFrame, position_col: str = "position") -> DataFrame:
+    """(position, id) for global positions of tokens, by random access into the codes of their segments.
+
+    Positions meet segments by spans of SEGMENT tokens, so no side is broadcast, and each segment that
+    is asked for is read once. Repeated positions come as often as they are asked for; null ones and
+    those beyond the corpus are left out. No segments or no positions give no rows.
+    """
+    bounded_batches(segments.sparkSession)
+    p = positions.select(F.col(position_col).cast("long").alias("position")).where("position >= 0").withColumn("span", F.floor(F.col("position") / SEGMENT))
+    last = F.col("start") + F.col("n_tokens") - 1
+    bounds = segments.where("n_tokens > 0").select("shard", "segment", "start", "n_tokens", F.explode(F.sequence(F.floor(F.col("start") / SEGMENT), F.floor(last / SEGMENT))).alias("span"))
+    asked = p.join(bounds, "span").where((F.col("position") >= F.col("start")) & (F.col("position") <= last))
+    # a piece of a segment's positions stays with one span, so what is gathered is bounded unless positions repeat
+    grouped = asked.groupBy("shard", "segment", "span").agg(F.collect_list(F.col("position") - F.col("start")).alias("at"))
+
+    @F.arrow_udf("array<long>")
+    def read_ids(codes: pa.Array, at: pa.Array) -> pa.Array:
+        found = []
+        for blob, places in zip(codes, at):
+            c = Codes(blob.as_py())
+            found.append([c[i] for i in places.as_py()])
+        return pa.array(found, pa.list_(pa.int64()))
+
+    rows = grouped.join(segments.select("shard", "segment", "start", "codes"), ["shard", "segment"])
+    pairs = rows.select("start", F.arrays_zip("at", read_ids("codes", "at").alias("id")).alias("r"))
+    return pairs.select("start", F.inline("r").alias("at", "id")).select((F.col("start") + F.col("at")).alias("position"), "id")
