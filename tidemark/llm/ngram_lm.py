@@ -29,7 +29,9 @@ _DIGIT = 1 << 16  # ids are below this; an n-gram is a number with digits id + 1
 #: Parts into which the followers of a short context are dealt: single ids and bigrams follow few contexts very often.
 SPREAD = 64
 #: Rows of one Arrow batch of contexts.
-ROWS = 1 << 16
+ROWS = 1 << 14
+#: Words that a worker remembers, and bytes of text that it encodes at once; blocks and counts need the rest of its memory.
+REMEMBERED, CHUNK = 150_000, 1 << 20
 
 
 def grams(ids: np.ndarray, k: int) -> np.ndarray:
@@ -97,8 +99,8 @@ def _blocks(docs: DataFrame, vocabulary: str) -> DataFrame:
             blob = pa.compress(np.concatenate(parts).tobytes(), "zstd", asbytes=True)
             return pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip((block, names, [len(p) for p in parts], blob), _BLOCKS)], schema=_BLOCKS)
 
-        for rows in in_chunks(batches):
-            for name, ids in zip(rows["doc_id"].to_pylist(), word_bpe(vocabulary)(rows["text"].combine_chunks())):
+        for rows in in_chunks(batches, CHUNK):
+            for name, ids in zip(rows["doc_id"].to_pylist(), word_bpe(vocabulary, REMEMBERED)(rows["text"].combine_chunks())):
                 if len(ids) and int(ids.max()) > _DIGIT - 2:
                     raise ValueError(f"ids must be below {_DIGIT - 1}")
                 names.append(name)
@@ -107,6 +109,7 @@ def _blocks(docs: DataFrame, vocabulary: str) -> DataFrame:
                 if size >= BLOCK_IDS:
                     yield closed()
                     block, names, parts, size = block + 1, [], [], 0
+            pa.default_memory_pool().release_unused()
         if names:
             yield closed()
 

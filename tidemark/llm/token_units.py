@@ -125,11 +125,11 @@ def in_chunks(batches: Iterator[pa.RecordBatch], size: int = 4 << 20) -> Iterato
         yield pa.Table.from_batches(held).combine_chunks()
 
 
-_loaded: dict[str, WordBpe] = {}
+_loaded: dict[tuple[str, int], WordBpe] = {}
 
 
-def word_bpe(path: str) -> WordBpe:
+def word_bpe(path: str, remembered: int = REMEMBERED) -> WordBpe:
     """This process's encoder for the vocabulary at path."""
-    if path not in _loaded:
-        _loaded[path] = WordBpe(path)
-    return _loaded[path]
+    if (path, remembered) not in _loaded:
+        _loaded[path, remembered] = WordBpe(path, remembered)
+    return _loaded[path, remembered]
