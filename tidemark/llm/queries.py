@@ -5,12 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import audio, dac, ngram_lm, packing, pii, quality_cnn, simhash, top_k, toxicity_chain, tree_bpe
+from tidemark.llm import alignment, audio, dac, fill_middle, ngram_lm, packing, pii, prefix_counts, quality_cnn, simhash, top_k, toxicity_chain, tree_bpe
 from tidemark.llm.scratch import held_out, stored, table, texts
 from tidemark.llm.token_units import default_path
 
 QUALITY_THRESHOLD = 0.3
 TOXIC_THRESHOLD = 0.6
+TOKEN_LIMIT = 4096
 
 
 def op1_token_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -97,8 +98,26 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op11_prefix_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counts = prefix_counts.count_table(table(spark, sf_dir, "documents"), default_path("piece_bpe_32k.model"))
+    return prefix_counts.answers(counts, TOKEN_LIMIT)
+
+
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.aligned(table(spark, sf_dir, "documents"), default_path("byte_bpe_50k.json"), default_path("piece_bpe_32k.model"))
+
+
+def op13_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = fill_middle.transformed(table(spark, sf_dir, "documents"), seed=42, rate=50, spm_rate=80)
+    back = fill_middle.restored(F.col("output"), F.col("form"))
+    return made.withColumns({"output_sha256": F.sha2("output", 256), "restored_sha256": F.sha2(back, 256)}).drop("output")
+
+
 def queries() -> dict:
-    found = (op1_token_codes, op2_ngram_lm, op3_audio, op4_packing, op5_tree_bpe, op6_quality_cnn, op7_top_k, op8_pii, op9_toxicity_chain, op10_simhash)
+    found = (
+        op1_token_codes, op2_ngram_lm, op3_audio, op4_packing, op5_tree_bpe, op6_quality_cnn, op7_top_k,
+        op8_pii, op9_toxicity_chain, op10_simhash, op11_prefix_counts, op12_alignment, op13_fill_middle,
+    )
     return {f.__name__: f for f in found}
 
 
