@@ -31,30 +31,23 @@ def single_factor(kind: Column, cash: Column, split_from: Column, split_to: Colu
 
 
 def cumulative_factors(events: DataFrame, key: str, ex_date: str, factor: str, digits: int = 12) -> DataFrame:
-    """(key, ex_date, cumulative_factor): products of the factors from each date on, rounded half to even at every step.
+    """(key, ex_date, cumulative_factor): products of the positive factors from each date on, as sums of their logarithms, rounded to digits.
 
-    The events of one key meet in an array; there are few for each security.
+    A running sum over a key's dates from the last one on: nothing grows with the number of its events.
     """
-    each = events.where(F.col(factor).isNotNull()).groupBy(key, ex_date).agg(F.array_sort(F.collect_list(F.col(factor).cast("double"))).alias("f"))
-    rows = each.groupBy(key).agg(F.reverse(F.array_sort(F.collect_list(F.struct(F.col(ex_date).alias("d"), "f")))).alias("e"))
-    step = lambda c, x: F.bround(c * x, digits)
-
-    def add(acc: Column, e: Column) -> Column:
-        c = F.aggregate(e["f"], acc["c"], step)
-        return F.struct(c.alias("c"), F.concat(acc["out"], F.array(F.struct(e["d"].alias("d"), c.alias("c")))).alias("out"))
-
-    start = F.struct(F.lit(1.0).alias("c"), F.array().cast("array<struct<d:date,c:double>>").alias("out"))
-    found = rows.select(key, F.explode(F.aggregate("e", start, add, lambda acc: acc["out"])).alias("r"))
-    return found.select(key, F.col("r.d").alias(ex_date), F.col("r.c").alias("cumulative_factor"))
+    each = events.where(F.col(factor) > 0).groupBy(key, ex_date).agg(F.sum(F.ln(F.col(factor).cast("double"))).alias("_l"))
+    w = Window.partitionBy(key).orderBy(F.desc(ex_date)).rowsBetween(Window.unboundedPreceding, 0)
+    return each.select(key, ex_date, F.round(F.exp(F.sum("_l").over(w)), digits).alias("cumulative_factor"))
 
 
 def adjustment(prices: DataFrame, factors: DataFrame, key: str, date: str, ex_date: str, as_of: Column | None = None) -> DataFrame:
     """prices with factor: the cumulative factor of the first ex_date after the price's date over that after as_of, 1 where there is none.
 
     Prices and factors are united and ordered backwards in time once; a factor of a price's own date doesn't count.
+    Null keys meet nothing.
     """
     bars = prices.select(F.col(key), F.col(date).alias("_d"), F.lit(0).alias("_side"), F.lit(None).cast("double").alias("_c"), F.struct("*").alias("_row"))
-    events = factors.select(F.col(key), F.col(ex_date).alias("_d"), F.lit(1).alias("_side"), F.col("cumulative_factor").alias("_c"), F.lit(None).cast(bars.schema["_row"].dataType).alias("_row"))
+    events = factors.where(F.col(key).isNotNull()).select(F.col(key), F.col(ex_date).alias("_d"), F.lit(1).alias("_side"), F.col("cumulative_factor").alias("_c"), F.lit(None).cast(bars.schema["_row"].dataType).alias("_row"))
     w = Window.partitionBy(key).orderBy(F.desc("_d"), "_side").rowsBetween(Window.unboundedPreceding, 0)
     whole = Window.partitionBy(key)
     after = F.lit(1.0) if as_of is None else F.coalesce(F.min_by("_c", F.when((F.col("_side") == 1) & (F.col("_d") > as_of), F.col("_d"))).over(whole), F.lit(1.0))
@@ -69,7 +62,7 @@ def before(left: DataFrame, right: DataFrame, key: str, left_on: str, right_on:
 
 def around(left: DataFrame, right: DataFrame, key: str, left_on: str, right_on: str, value: str) -> DataFrame:
     """left with prev_{value}, the last one before its date, and next_{value}, the first one at its date or later; one sort."""
-    r = right.select(F.col(key), F.col(right_on).alias("_t"), F.lit(1).alias("_side"), F.col(value).alias("_v"), F.lit(None).cast(left.select(F.struct("*")).schema[0].dataType).alias("_left"))
+    r = right.where(F.col(key).isNotNull()).select(F.col(key), F.col(right_on).alias("_t"), F.lit(1).alias("_side"), F.col(value).alias("_v"), F.lit(None).cast(left.select(F.struct("*")).schema[0].dataType).alias("_left"))
     l = left.select(F.col(key), F.col(left_on).alias("_t"), F.lit(0).alias("_side"), F.lit(None).cast(right.schema[value].dataType).alias("_v"), F.struct("*").alias("_left"))
     w = Window.partitionBy(key).orderBy("_t", "_side")
     both = l.unionByName(r).select(

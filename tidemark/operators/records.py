@@ -44,13 +44,19 @@ def steps(legs: DataFrame, key: str, at: str, leg: str, value: str, names: Seque
 
 
 def renamed(history: DataFrame, changes: DataFrame, key: str) -> DataFrame:
-    """history(key, symbol, start, end) after changes(key, symbol, at): the open span ends where the new symbol begins."""
-    one = changes.groupBy(key).agg(F.min(F.struct("at", "symbol")).alias("c"))
-    old = history.join(one, key, "left")
-    closes = F.col("end").isNull() & F.col("c.at").isNotNull() & (F.col("symbol") != F.col("c.symbol"))
-    closed = old.select(key, "symbol", "start", F.when(closes, F.col("c.at")).otherwise(F.col("end")).alias("end"))
-    opened = old.where(closes).select(key, F.col("c.symbol").alias("symbol"), F.col("c.at").alias("start"), F.lit(None).cast("date").alias("end")).distinct()
-    return closed.unionByName(opened)
+    """history(key, symbol, start, end) after changes(key, symbol, at): the open span ends where the first new symbol begins, and each new span where the next does.
+
+    Changes to the symbol that is there already don't count; of several on one day the last in order of symbols does. Keys
+    without an open span stay as they are.
+    """
+    now = history.where(F.col("end").isNull()).select(key, F.col("symbol").alias("_now"))
+    day = changes.groupBy(key, "at").agg(F.max("symbol").alias("symbol")).join(now, key)
+    w = Window.partitionBy(key).orderBy("at")
+    real = day.withColumn("_before", F.coalesce(F.lag("symbol").over(w), F.col("_now"))).where("symbol <> _before")
+    chain = real.select(key, "symbol", F.col("at").alias("start"), F.lead("at").over(w).alias("end"))
+    first = chain.groupBy(key).agg(F.min("start").alias("_first"))
+    closed = history.join(first, key, "left").select(key, "symbol", "start", F.coalesce("end", "_first").alias("end"))
+    return closed.unionByName(chain)
 
 
 def best(df: DataFrame, keys: Sequence[str], *order: Column) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.operators import events as ev
-from tidemark.operators import joins, writes
+from tidemark.operators import holdings, joins, writes
 from tidemark.registry import query
 from tidemark.sources.market import ctes, view
 from tidemark.sources.views import table
@@ -46,8 +46,8 @@ def single_event_factor(spark, sf_dir):
     return _factors(spark, sf_dir).select("event_id", r6("factor").alias("factor"))
 
 
-_CUMULATIVE = f"""{_SINGLE}, ok AS (SELECT * FROM single WHERE factor IS NOT NULL), cumulative AS (SELECT a.security_id, a.ex_date, any_value(f) AS c FROM ok a JOIN (SELECT x.event_id, list_reduce(list_prepend(1.0::DOUBLE, list(y.factor ORDER BY y.ex_date DESC, y.factor)), lambda p, q: round_even(p * q, 12)) AS f
-    FROM ok x JOIN ok y ON x.security_id = y.security_id AND y.ex_date >= x.ex_date GROUP BY 1) USING (event_id) GROUP BY 1, 2)"""
+_CUMULATIVE = f"""{_SINGLE}, logs AS (SELECT security_id, ex_date, sum(ln(factor)) AS l FROM single WHERE factor > 0 GROUP BY 1, 2),
+  cumulative AS (SELECT security_id, ex_date, round(exp(sum(l) OVER (PARTITION BY security_id ORDER BY ex_date DESC)), 12) AS c FROM logs)"""
 
 
 @query(f"WITH {_CUMULATIVE} SELECT security_id, strftime(ex_date, '%Y-%m-%d') AS ex_date, round(c, 6) AS factor FROM cumulative")
@@ -142,47 +142,10 @@ def period_guard(spark, sf_dir):
     return _guarded(spark, sf_dir).groupBy("concept").agg(F.count("*").alias("n"), F.sum("value").cast("long").alias("total"))
 
 
-_METRIC_DAYS = "dates AS (SELECT DISTINCT security_id, last_day(date) AS date FROM daily)"
-
-
-def _metric(spark, sf_dir, dates: DataFrame, concept: str) -> DataFrame:
-    """dates with the concept's value and period as known a day later, no older than 270 days."""
-    e = _guarded(spark, sf_dir).where(F.col("concept") == concept).withColumn("tie", F.struct("filed", "accession"))
-    out = joins.as_of(dates, e, "security_id", "date", "filed", "tie", ["value", "period_end"], delay="interval 1 day")
-    fresh = F.datediff("date", "asof_period_end") <= 270
-    return out.select(*dates.columns, F.when(fresh, F.col("asof_value")).alias(concept), F.when(fresh, F.col("asof_period_end")).alias(f"{concept}_period"))
-
-
-def _metric_sql(concept: str) -> str:
-    return f"""{concept}_e AS (SELECT security_id, filed, arg_max(value, accession) AS value, arg_max(period_end, accession) AS period_end FROM guarded WHERE concept = '{concept}' GROUP BY 1, 2),
-  {concept}_a AS (SELECT d.security_id, d.date, CASE WHEN d.date - e.period_end <= 270 THEN e.value END AS {concept}, CASE WHEN d.date - e.period_end <= 270 THEN e.period_end END AS {concept}_period FROM dates d ASOF LEFT JOIN {concept}_e e ON d.security_id = e.security_id AND d.date >= e.filed + 1)"""
-
-
 def _metric_dates(spark, sf_dir) -> DataFrame:
     return view(spark, sf_dir, "daily").select("security_id", F.last_day("date").alias("date")).distinct()
 
 
-def _ratio(name: str, top: tuple[str, ...], expr: str, same_period: tuple[str, str] | None = None) -> None:
-    """Registers a ratio to assets, all parts as known on month ends; parts of different periods give none where same_period asks for one."""
-    needed = (*top, "assets")
-    same = f"{same_period[0]}_period = {same_period[1]}_period" if same_period else "true"
-    joined = " ".join(f"JOIN {c}_a USING (security_id, date)" for c in needed)
-    sql = f"""WITH {_GUARDED}, {ctes('daily')}, {_METRIC_DAYS}, {", ".join(_metric_sql(c) for c in needed)}
-  SELECT security_id, strftime(date, '%Y-%m-%d') AS date, round(({expr}) / assets, 6) AS value FROM dates {joined} WHERE assets > 0 AND ({expr}) IS NOT NULL AND {same}"""
-
-    def run(spark, sf_dir):
-        d = _metric_dates(spark, sf_dir)
-        for c in needed:
-            d = _metric(spark, sf_dir, d, c)
-        return d.where("assets > 0").where(same).select("security_id", day("date").alias("date"), F.round(F.expr(expr) / F.col("assets"), 6).alias("value")).where("value is not null")
-
-    query(sql, name)(run)
-
-
-_ratio("factor_operating_profitability", ("operating_income",), "operating_income")
-_ratio("factor_accruals", ("net_income", "cash_flow"), "net_income - cash_flow", ("net_income", "cash_flow"))
-_ratio("factor_gross_profitability", ("revenue", "operating_income"), "revenue - operating_income", ("revenue", "operating_income"))
-
 _YOY = f"""{_VINTAGES}, a AS (SELECT * FROM vintages WHERE concept = 'assets'),
   pairs AS (SELECT c.accession, c.security_id, c.filed, c.period_end, c.value AS cur, p.value AS prior, p.period_end AS prior_period FROM a c JOIN a p ON c.security_id = p.security_id AND p.filed <= c.filed AND c.period_end - p.period_end BETWEEN 330 AND 400
     QUALIFY row_number() OVER (PARTITION BY c.accession ORDER BY abs(c.period_end - p.period_end - 365), p.period_end, p.filed DESC, p.accession DESC) = 1)"""
@@ -205,28 +168,11 @@ def factor_asset_growth(spark, sf_dir):
 
 @query(f"""WITH {_YOY}, {ctes('actions')} SELECT accession, CASE WHEN EXISTS (SELECT 1 FROM actions s WHERE s.kind = 'split' AND s.security_id = pairs.security_id AND s.ex_date > prior_period AND s.ex_date <= period_end) THEN NULL ELSE cur END AS kept FROM pairs""")
 def split_contamination(spark, sf_dir):
-    """Cells with a split between the two periods are masked; the splits of a year's span are one array."""
-    y = _yoy(spark, sf_dir)
-    s = view(spark, sf_dir, "actions").where("kind = 'split'").groupBy("security_id").agg(F.collect_set("ex_date").alias("splits"))
-    hit = F.exists(F.coalesce("splits", F.array().cast("array<date>")), lambda d: (d > F.col("prior_period")) & (d <= F.col("period_end")))
-    return y.join(s, "security_id", "left").select("accession", F.when(~hit, F.col("cur")).alias("kept"))
-
-
-_TTM = f"""{_VINTAGES}, q AS (SELECT security_id, period_end, filed, arg_max(value, accession) AS v FROM vintages WHERE concept = 'revenue' GROUP BY 1, 2, 3), first AS (SELECT security_id, period_end, min(filed) AS filed, arg_min(v, filed) AS v FROM q GROUP BY 1, 2),
-  t AS (SELECT security_id, period_end, sum(v) OVER w AS ttm, count(*) OVER w AS n, min(period_end) OVER w AS start, max(filed) OVER w AS visible FROM first WINDOW w AS (PARTITION BY security_id ORDER BY period_end ROWS 3 PRECEDING))"""
-
-
-def _ttm(spark, sf_dir) -> DataFrame:
-    v = _vintages(spark, sf_dir).where("concept = 'revenue'").groupBy("security_id", "period_end").agg(F.min_by("value", F.struct("filed", -F.col("accession"))).alias("v"), F.min("filed").alias("filed"))
-    w = Window.partitionBy("security_id").orderBy("period_end").rowsBetween(-3, 0)
-    t = v.select("security_id", "period_end", F.sum("v").over(w).alias("ttm"), F.count("*").over(w).alias("n"), F.min("period_end").over(w).alias("start"), F.max("filed").over(w).alias("visible"))
-    return t.where((F.col("n") == 4) & (F.datediff("period_end", "start") <= 280))
-
-
-@query(f"WITH {_TTM} SELECT security_id, strftime(period_end, '%Y-%m-%d') AS period_end, ttm, strftime(visible, '%Y-%m-%d') AS visible FROM t WHERE n = 4 AND period_end - start <= 280")
-def trailing_year(spark, sf_dir):
-    """The sum of four adjoining quarters, visible when the last of them is."""
-    return _ttm(spark, sf_dir).select("security_id", day("period_end").alias("period_end"), "ttm", day("visible").alias("visible"))
+    """Cells with a split between the two periods are masked: the last split up to the later one is after the earlier one."""
+    splits = view(spark, sf_dir, "actions").where("kind = 'split'")
+    y = joins.as_of(_yoy(spark, sf_dir), splits, "security_id", "period_end", "ex_date", "event_id", ["ex_date"])
+    hit = F.coalesce(F.col("asof_ex_date") > F.col("prior_period"), F.lit(False))
+    return y.select("accession", F.when(~hit, F.col("cur")).alias("kept"))
 
 
 _CAP = f"""{ctes('shares', 'daily')}, sh AS (SELECT security_id, visible, arg_max(total_shares, id) AS total_shares, arg_max(period_end, id) AS period_end FROM shares GROUP BY 1, 2),
@@ -252,57 +198,51 @@ def company_caps(spark, sf_dir):
     return _cap(spark, sf_dir).join(m, "security_id").groupBy("cik", day("date").alias("date")).agg(F.round(F.sum("cap") / 1e6, 3).alias("cap"), F.count("cap").alias("n"), first.alias("first_cap"))
 
 
-@query(f"""WITH {_CAP}, {_TTM}, e AS (SELECT security_id, visible, arg_max(ttm, period_end) AS ttm, max(period_end) AS period_end FROM t WHERE n = 4 AND period_end - start <= 280 GROUP BY 1, 2)
-  SELECT c.security_id, strftime(c.date, '%Y-%m-%d') AS date, round(1e6 * e.ttm / c.cap, 6) AS value FROM (SELECT * FROM cap WHERE cap > 0) c ASOF JOIN e ON c.security_id = e.security_id AND c.date >= e.visible + 1 WHERE c.date - e.period_end <= 400""")
-def factor_earnings_yield(spark, sf_dir):
-    c = _cap(spark, sf_dir).where("cap > 0")
-    e = joins.as_of(c, _ttm(spark, sf_dir), "security_id", "date", "visible", "period_end", ["ttm", "period_end"], delay="interval 1 day")
-    return e.where(F.datediff("date", "asof_period_end") <= 400).select("security_id", day("date").alias("date"), r6(1e6 * F.col("asof_ttm") / F.col("cap")).alias("value"))
+# Holdings
 
+_HELD = f"""{ctes('holdings')}, held AS (SELECT * FROM holdings WHERE kind = 'SH' AND put_call IS NULL AND (form IS NULL OR form NOT LIKE '%/A%')),
+  filings AS (SELECT DISTINCT filer, period, accession, filed FROM held), last AS (SELECT filer, period, arg_max(accession, (filed, accession)) AS accession FROM filings GROUP BY 1, 2), first AS (SELECT filer, period, arg_max(accession, (filed, accession)) AS accession FROM filings WHERE filed <= period + 46 GROUP BY 1, 2)"""
 
-# Holdings
 
-_HOLD = f"""{ctes('holdings')}, picked AS (SELECT filer, period, accession, filed, row_number() OVER (PARTITION BY filer, period ORDER BY filed DESC, accession DESC) AS last, row_number() OVER (PARTITION BY filer, period, filed - period <= 45 ORDER BY filed DESC, accession DESC) AS own, filed - period <= 45 AS on_time FROM (SELECT DISTINCT filer, period, accession, filed FROM holdings)),
-  kept AS (SELECT *, last = 1 AS is_final, on_time AND own = 1 AS is_on_time FROM picked WHERE last = 1 OR (on_time AND own = 1)),
-  sums AS (SELECT security_id, h.period, h.filer, is_final, is_on_time, sum(h.value::DECIMAL(18, 2)) AS v FROM holdings h JOIN kept k ON h.filer = k.filer AND h.period = k.period AND h.accession = k.accession GROUP BY 1, 2, 3, 4, 5, h.accession)"""
+def _stage_sql(picks: str) -> str:
+    per = f"SELECT security_id, h.period, h.filer, filed, sum(value::DECIMAL(18, 2))::DOUBLE AS v, sum(shares)::DOUBLE AS n FROM held h JOIN {picks} USING (filer, period, accession) GROUP BY 1, 2, 3, 4"
+    return f"SELECT security_id, period, max(filed) AS visible, count(DISTINCT filer) AS holders, sum(v) AS total, sum(n) AS shares, sum(v * v) AS squares FROM ({per}) GROUP BY 1, 2"
 
 
-def _holdings(spark, sf_dir) -> DataFrame:
-    """(security_id, period, filer, is_final, is_on_time, v): each filer's last accession of a period, and its last one in time."""
-    h = view(spark, sf_dir, "holdings").withColumn("on_time", F.datediff("filed", "period") <= 45)
-    order = [F.desc("filed"), F.desc("accession")]
-    last = Window.partitionBy("filer", "period").orderBy(*order)
-    own = Window.partitionBy("filer", "period", "on_time").orderBy(*order)
-    ranked = h.select("*", F.dense_rank().over(last).alias("last"), F.dense_rank().over(own).alias("own"))
-    flagged = ranked.withColumn("is_final", F.col("last") == 1).withColumn("is_on_time", F.col("on_time") & (F.col("own") == 1)).where("is_final or is_on_time")
-    return flagged.groupBy("security_id", "period", "filer", "accession", "is_final", "is_on_time").agg(F.sum(F.col("value").cast("decimal(18,2)")).alias("v")).drop("accession")
+_INSTITUTIONAL = f"""{_HELD}, final AS ({_stage_sql('last')}), early AS ({_stage_sql('first')}),
+  staged AS (SELECT * FROM final UNION ALL SELECT e.* FROM early e LEFT JOIN final f USING (security_id, period) WHERE f.visible IS NULL OR e.visible < f.visible),
+  aggs AS (SELECT security_id, period, visible, holders, total, shares, CASE WHEN total > 0 THEN squares / (total * total) END AS hhi FROM (SELECT *, max(period) OVER (PARTITION BY security_id ORDER BY visible, period ROWS UNBOUNDED PRECEDING) AS most FROM staged) WHERE period >= most)"""
 
 
-_AGG = f"""{_HOLD}, agg AS (SELECT security_id, period, count(*) FILTER (WHERE is_final) AS holders, sum(v) FILTER (WHERE is_final)::DOUBLE AS total, count(*) FILTER (WHERE is_on_time) AS on_time_holders,
-  sum(v::DOUBLE * v::DOUBLE) FILTER (WHERE is_final) / pow(sum(v::DOUBLE) FILTER (WHERE is_final), 2) AS hhi FROM sums GROUP BY 1, 2)"""
+def _institutional(spark, sf_dir) -> DataFrame:
+    h = view(spark, sf_dir, "holdings").where("kind = 'SH' and put_call is null and (form is null or form not like '%/A%')")
+    return holdings.institutional_events(h)
 
 
-def _aggregates(spark, sf_dir) -> DataFrame:
-    v = F.col("v").cast("double")
-    final = F.when(F.col("is_final"), v)
-    return _holdings(spark, sf_dir).groupBy("security_id", "period").agg(F.count_if("is_final").alias("holders"), F.sum(F.when(F.col("is_final"), F.col("v"))).cast("double").alias("total"), F.count_if("is_on_time").alias("on_time_holders"), (F.sum(final * final) / F.pow(F.sum(final), F.lit(2))).alias("hhi"))
+@query(f"WITH {_INSTITUTIONAL} SELECT security_id, strftime(period, '%Y-%m-%d') AS period, strftime(visible, '%Y-%m-%d') AS visible, holders, round(total, 2) AS total, shares, round(hhi, 6) AS hhi FROM aggs")
+def institutional_events(spark, sf_dir):
+    """Holdings of a quarter as told in time, then as told at last, each from the day its last filing came."""
+    return _institutional(spark, sf_dir).select("security_id", day("period").alias("period"), day("visible").alias("visible"), "holders", F.round("total", 2).alias("total"), "shares", r6("hhi").alias("hhi"))
 
 
-@query(f"WITH {_AGG} SELECT security_id, strftime(period, '%Y-%m-%d') AS period, holders, round(total, 2) AS total, on_time_holders, round(hhi, 6) AS hhi FROM agg")
+@query(f"WITH {_HELD}, final AS ({_stage_sql('last')}), early AS ({_stage_sql('first')}) SELECT security_id, strftime(period, '%Y-%m-%d') AS period, f.holders, round(f.total, 2) AS total, coalesce(e.holders, 0) AS on_time_holders, round(f.squares / (f.total * f.total), 6) AS hhi FROM final f LEFT JOIN early e USING (security_id, period)")
 def institutional_aggregates(spark, sf_dir):
-    return _aggregates(spark, sf_dir).select("security_id", day("period").alias("period"), "holders", F.round("total", 2).alias("total"), "on_time_holders", r6("hhi").alias("hhi"))
+    h = view(spark, sf_dir, "holdings").where("kind = 'SH' and put_call is null and (form is null or form not like '%/A%')")
+    a = holdings.staged(h).where("final.visible is not null")
+    return a.select("security_id", day("period").alias("period"), "final.holders", F.round("final.total", 2).alias("total"), F.col("early.holders").alias("on_time_holders"), r6(F.col("final.squares") / (F.col("final.total") * F.col("final.total"))).alias("hhi"))
 
 
 _MONTHS = "months AS (SELECT DISTINCT security_id, last_day(date) AS date FROM daily)"
 
 
 def _holding_factor(name: str, column: str, digits: int) -> None:
-    sql = f"""WITH {_AGG}, {ctes('daily')}, {_MONTHS} SELECT m.security_id, strftime(m.date, '%Y-%m-%d') AS date, round({column}::DOUBLE, {digits}) AS value FROM months m ASOF JOIN (SELECT * FROM agg WHERE holders > 0) a ON m.security_id = a.security_id AND m.date >= a.period + 46 WHERE m.date - a.period <= 180"""
+    """Registers what was known of holdings on month ends: the events whose day has come, of a period at most 200 days ago."""
+    sql = f"""WITH {_INSTITUTIONAL}, {ctes('daily')}, {_MONTHS}, e AS (SELECT security_id, visible, max({{'period': period, 'value': {column}::DOUBLE}}) AS e FROM aggs GROUP BY 1, 2)
+  SELECT m.security_id, strftime(m.date, '%Y-%m-%d') AS date, round(e.value, {digits}) AS value FROM months m ASOF JOIN e ON m.security_id = e.security_id AND m.date >= e.visible WHERE m.date - e.period <= 200 AND e.value IS NOT NULL"""
 
     def run(spark, sf_dir):
-        a = _aggregates(spark, sf_dir).where("holders > 0")
-        d = joins.as_of(_metric_dates(spark, sf_dir), a, "security_id", "date", "period", "holders", [column, "period"], delay="interval 46 days")
-        return d.where(F.datediff("date", "asof_period") <= 180).select("security_id", day("date").alias("date"), F.round(F.col(f"asof_{column}").cast("double"), digits).alias("value"))
+        d = joins.as_of(_metric_dates(spark, sf_dir), _institutional(spark, sf_dir), "security_id", "date", "visible", "period", [column, "period"])
+        return d.where(F.datediff("date", "asof_period") <= 200).select("security_id", day("date").alias("date"), F.round(F.col(f"asof_{column}").cast("double"), digits).alias("value")).where("value is not null")
 
     query(sql, name)(run)
 
@@ -311,12 +251,15 @@ _holding_factor("factor_institutional_breadth", "holders", 0)
 _holding_factor("factor_ownership_concentration", "hhi", 6)
 
 
-@query(f"""WITH {_AGG} SELECT a.security_id, strftime(a.period, '%Y-%m-%d') AS period, round((a.total - b.total) / b.total, 6) AS value FROM agg a JOIN agg b ON a.security_id = b.security_id AND b.period = last_day((date_trunc('quarter', a.period) - INTERVAL 1 DAY)::DATE) WHERE b.total > 0 AND a.total IS NOT NULL""")
+@query(f"""WITH {_INSTITUTIONAL}, {ctes('daily')}, {_MONTHS}, quarters AS (SELECT security_id, period, lag(period) OVER (PARTITION BY security_id ORDER BY period) AS before FROM (SELECT DISTINCT security_id, period FROM aggs)),
+  base AS (SELECT a.security_id, a.period, a.visible, a.shares, b.shares AS before FROM (SELECT a.*, q.before AS p FROM aggs a JOIN quarters q USING (security_id, period)) a ASOF LEFT JOIN aggs b ON a.security_id = b.security_id AND a.p = b.period AND a.visible >= b.visible),
+  e AS (SELECT security_id, visible, max({{'period': period, 'value': CASE WHEN before > 0 THEN (shares - before) / before END}}) AS e FROM base GROUP BY 1, 2)
+  SELECT m.security_id, strftime(m.date, '%Y-%m-%d') AS date, round(e.value, 6) AS value FROM months m ASOF JOIN e ON m.security_id = e.security_id AND m.date >= e.visible WHERE m.date - e.period <= 200 AND e.value IS NOT NULL""")
 def factor_delta_ownership(spark, sf_dir):
-    """Change against the quarter before, which is named by the key, so it must be that one."""
-    a = _aggregates(spark, sf_dir).select("security_id", "period", "total")
-    b = a.select("security_id", F.last_day(F.add_months("period", 3)).alias("period"), F.col("total").alias("base"))
-    return a.join(b, ["security_id", "period"]).where("base > 0 and total is not null").select("security_id", day("period").alias("period"), r6((F.col("total") - F.col("base")) / F.col("base")).alias("value"))
+    """The change of shares held against the quarter before as that was known when this one was told; in time and at last each has its own base."""
+    changed = holdings.changes_of_shares(_institutional(spark, sf_dir))
+    d = joins.as_of(_metric_dates(spark, sf_dir), changed, "security_id", "date", "visible", "period", ["change", "period"])
+    return d.where(F.datediff("date", "asof_period") <= 200).select("security_id", day("date").alias("date"), r6("asof_change").alias("value")).where("value is not null")
 
 
 # Insiders and short sales
@@ -334,12 +277,18 @@ def insider_entries(spark, sf_dir):
     return _entries(spark, sf_dir).select("id")
 
 
-@query(f"""WITH {_ENTRIES}, d AS (SELECT security_id, filed + 1 AS date, sum(CASE code WHEN 'P' THEN shares ELSE -shares END) AS s FROM entries WHERE code IN ('P', 'S') GROUP BY 1, 2)
-  SELECT security_id, strftime(date, '%Y-%m-%d') AS date, round(sum(s) OVER (PARTITION BY security_id ORDER BY date RANGE BETWEEN INTERVAL 89 DAY PRECEDING AND CURRENT ROW), 4) AS value FROM d""")
+@query(f"""WITH {_ENTRIES}, {ctes('daily')}, d AS (SELECT security_id, filed + 1 AS date, sum(CASE code WHEN 'P' THEN shares ELSE -shares END) AS s FROM entries WHERE code IN ('P', 'S') GROUP BY 1, 2)
+  SELECT t.security_id, strftime(t.date, '%Y-%m-%d') AS date, round(coalesce(sum(s) FILTER (WHERE t.date - d.date <= 89), 0), 4) AS value FROM daily t JOIN d ON t.security_id = d.security_id AND d.date <= t.date GROUP BY 1, 2""")
 def factor_insider_net_buy(spark, sf_dir):
+    """Shares bought less sold by insiders, told in the 90 days up to each trading day, from the first telling on."""
     signed = F.when(F.col("code") == "P", F.col("shares")).otherwise(-F.col("shares"))
     d = _entries(spark, sf_dir).where("code in ('P', 'S')").groupBy("security_id", F.date_add("filed", 1).alias("date")).agg(F.sum(signed).alias("s"))
-    return ev.in_window(d, "security_id", "date", 89, F.col("s")).select("security_id", day("date").alias("date"), F.round("total", 4).alias("value"))
+    days = view(spark, sf_dir, "daily").select("security_id", "date", F.lit(None).cast("double").alias("s"), F.lit(True).alias("asked"))
+    w = Window.partitionBy("security_id").orderBy(F.datediff("date", F.lit("1970-01-01")))
+    told = F.count("s").over(w.rangeBetween(Window.unboundedPreceding, 0))
+    both = days.unionByName(d.select("security_id", "date", "s", F.lit(False).alias("asked")))
+    value = F.coalesce(F.sum("s").over(w.rangeBetween(-89, 0)), F.lit(0.0))
+    return both.select("security_id", "date", "asked", told.alias("told"), value.alias("value")).where("asked and told > 0").select("security_id", day("date").alias("date"), F.round("value", 4).alias("value"))
 
 
 _ROUTINE = f"""{_ENTRIES}, bought AS (SELECT DISTINCT security_id, owner, year(trade_date) AS y, month(trade_date) AS m FROM entries WHERE code = 'P'), flagged AS (SELECT e.*, (SELECT count(*) FROM bought b WHERE b.security_id = e.security_id AND b.owner = e.owner AND b.m = month(e.trade_date) AND b.y BETWEEN year(e.trade_date) - 3 AND year(e.trade_date) - 1) = 3 AS routine FROM entries e WHERE code = 'P')"""
@@ -357,13 +306,17 @@ def routine_insiders(spark, sf_dir):
     return _flagged(spark, sf_dir).select("id", "routine")
 
 
-@query(f"""WITH {_ROUTINE}, f AS (SELECT security_id, owner, filed FROM flagged WHERE NOT routine), d AS (SELECT DISTINCT security_id, filed FROM f)
-  SELECT d.security_id, strftime(d.filed, '%Y-%m-%d') AS date, count(DISTINCT f.owner) AS value FROM d JOIN f ON d.security_id = f.security_id AND f.filed BETWEEN d.filed - 90 AND d.filed GROUP BY 1, 2""")
+@query(f"""WITH {_ROUTINE}, {ctes('daily')}, f AS (SELECT security_id, owner, filed FROM flagged WHERE NOT routine)
+  SELECT t.security_id, strftime(t.date, '%Y-%m-%d') AS date, count(DISTINCT f.owner) FILTER (WHERE t.date - f.filed <= 90) AS value FROM daily t JOIN f ON t.security_id = f.security_id AND f.filed <= t.date GROUP BY 1, 2""")
 def factor_insider_cluster(spark, sf_dir):
-    days = F.datediff("filed", F.lit("1970-01-01"))
-    w = Window.partitionBy("security_id").orderBy(days).rangeBetween(-90, 0)
-    f = _flagged(spark, sf_dir).where("not routine").groupBy("security_id", "filed").agg(F.collect_set("owner").alias("o"))
-    return f.select("security_id", day("filed").alias("date"), F.size(F.array_distinct(F.flatten(F.collect_list("o").over(w)))).cast("long").alias("value"))
+    """Different insiders who bought out of routine in the 91 days up to each trading day, from the first such purchase on."""
+    w = Window.partitionBy("security_id").orderBy(F.datediff("date", F.lit("1970-01-01")))
+    f = _flagged(spark, sf_dir).where("not routine").groupBy("security_id", F.col("filed").alias("date")).agg(F.collect_set("owner").alias("o"))
+    days = view(spark, sf_dir, "daily").select("security_id", "date", F.lit(None).cast(f.schema["o"].dataType).alias("o"), F.lit(True).alias("asked"))
+    both = days.unionByName(f.select("security_id", "date", "o", F.lit(False).alias("asked")))
+    owners = F.size(F.array_distinct(F.flatten(F.collect_list("o").over(w.rangeBetween(-90, 0))))).cast("long")
+    told = F.count("o").over(w.rangeBetween(Window.unboundedPreceding, 0))
+    return both.select("security_id", "date", "asked", told.alias("told"), owners.alias("value")).where("asked and told > 0").select("security_id", day("date").alias("date"), "value")
 
 
 @query(f"""WITH {ctes('short')} SELECT security_id, strftime(trade_date + 1, '%Y-%m-%d') AS date, round(short_volume / total_volume, 6) AS value FROM short WHERE total_volume > 0""")
