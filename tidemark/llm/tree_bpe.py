@@ -33,7 +33,7 @@ from tidemark.llm.scratch import bounded_batches, free, stored
 from tidemark.llm.token_units import LONGEST, TOGETHER, WordBpe, in_chunks
 
 #: Characters of a leaf at most, but for characters that can't be parted.
-LEAF = 1400
+LEAF = 1024
 #: Characters of a row.
 SEGMENT = 1 << 16
 #: Characters on either side of a join in its first window.
