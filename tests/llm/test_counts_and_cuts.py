@@ -125,16 +125,25 @@ def test_alignment(spark, documents):
 
 @pytest.mark.parametrize("small", [False, True])
 def test_alignment_of_odd_tables(spark, odd, no_documents, monkeypatch, small):
-    """With small chunks and partitions every stripe is split, and the sums stay."""
+    """With small partitions most stripes are split, and the sums stay."""
     rows = [(i, t) for i, t in enumerate(made(300, 5))] + [(7, "a a a a"), (7, "a a a a"), (8, "▁a"), (9, "a\x00b")] + [tuple(r) for r in odd.select("doc_id", "text").collect()]
     docs = spark.createDataFrame([(i, t, "x", 1) for i, t in rows], "doc_id long, text string, stripe string, chunk int").repartition(3)
     if small:
-        for name, value in (("LINKS", 7), ("CHUNK", 1 << 9), ("ROWS", 5), ("REMEMBERED", 9)):
-            monkeypatch.setattr(alignment, name, value)
+        monkeypatch.setattr(alignment, "LINKS", 60)
     assert order(map(tuple, alignment.aligned(docs, BYTE, PIECE).collect())) == plain_alignment(rows)
     assert alignment.aligned(no_documents, BYTE, PIECE).count() == 0
 
 
+def test_units_in_small_batches_and_with_large_groups(monkeypatch):
+    """Whatever is aligned at once, and whether or not a unit's links are counted by distinct ids."""
+    texts = [t for t in made(400, 11) if t] + ["word", "zq" * 40, "a b"]
+    whole = alignment.Aligner(BYTE, PIECE).units(texts)
+    assert sum(u is None for u in whole) == sum("▁" in t for t in texts)
+    for most in (1, 300):
+        monkeypatch.setattr(alignment, "AT_ONCE", most)
+        assert alignment.Aligner(BYTE, PIECE, remembered=10).units(texts) == whole
+
+
 def forms_expected(rows, seed=42):
     out = []
     for doc_id, t in rows:

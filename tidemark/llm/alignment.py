@@ -9,10 +9,10 @@ with very many links is several partitions. Only sums for each document leave it
 from __future__ import annotations
 
 import hashlib
-import os
-import re
 from collections import Counter
 from collections.abc import Iterator
+from itertools import chain
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.scratch import bounded_batches, stored, texts
-from tidemark.llm.token_units import _CUT, _UNSAFE, in_chunks
+from tidemark.llm.token_units import _CUT, _UNSAFE, WordBpe, in_chunks
 
 #: Stripes of the first vocabulary.
 STRIPES = 512
@@ -31,7 +31,7 @@ LINKS = 4 << 20
 #: Bytes of text and rows in one chunk.
 CHUNK, ROWS = 2 << 20, 20_000
 #: Words that a worker remembers, and characters of the longest.
-REMEMBERED, LONGEST = 250_000, 64
+REMEMBERED, LONGEST = 350_000, 64
 #: A pair of ids is a number: the first id times this and the second.
 _PAIR = 1 << 16
 SPACE = "▁"
@@ -55,79 +55,111 @@ def piece_table(model) -> list[bytes]:
     return [bytes([int(p[3:5], 16)]) if model.is_byte(i) else p.replace(SPACE, " ").encode() for i, p in pieces]
 
 
-def shared_groups(a: list[int], b: list[int]) -> list[tuple[int, int, int, int]]:
-    """(first, end) tokens of either side for each group, from the lengths of tokens in bytes; both sides are as long."""
-    ends_a, ends_b = np.cumsum(a), np.cumsum(b)
-    _, i, j = np.intersect1d(ends_a, ends_b, assume_unique=True, return_indices=True)
-    i, j = (i + 1).tolist(), (j + 1).tolist()
-    return list(zip([0, *i[:-1]], i, [0, *j[:-1]], j))
-
-
-class Unit:
+class Unit(NamedTuple):
     """A piece of text that both tokenizers treat alone: its groups as text, its numbers of tokens and groups, its links."""
 
-    __slots__ = ("groups", "n", "pairs", "times")
+    groups: str
+    n: tuple[int, int, int]
+    pairs: bytes
+    times: bytes
+
 
-    def __init__(self, groups: str, n: tuple[int, int, int], links: dict[int, int]):
-        self.groups, self.n = groups, n
-        self.pairs = np.fromiter(links, np.uint32, len(links)).tobytes()
-        self.times = np.fromiter(links.values(), np.int64, len(links)).tobytes()
+#: The most links that the units of one batch are expanded to at once; a unit with more is taken by itself.
+AT_ONCE = 1 << 20
 
 
 class Aligner:
     """Groups and links of texts; one object for each worker process."""
 
     def __init__(self, first: str, second: str, remembered: int = REMEMBERED):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
         from sentencepiece import SentencePieceProcessor
-        from tokenizers import Tokenizer
 
-        self.a, self.b = Tokenizer.from_file(first), SentencePieceProcessor(model_file=second)
-        self.a.no_truncation()
-        self.a.no_padding()
-        self.a.encode_special_tokens = True
-        self.bytes_a, self.bytes_b = byte_table(self.a), piece_table(self.b)
+        self.words, self.b = WordBpe(first, 0), SentencePieceProcessor(model_file=second)
+        self.words.tok.encode_special_tokens = True
+        self.bytes_a, self.bytes_b = byte_table(self.words.tok), piece_table(self.b)
         if max(len(self.bytes_a), len(self.bytes_b)) > _PAIR:
             raise ValueError(f"ids must be below {_PAIR}")
         if any(SPACE in self.b.id_to_piece(i).lstrip(SPACE) for i in range(self.b.get_piece_size())):
             raise ValueError(f"{second} has pieces that hold a space after other characters")
-        self.size_a, self.size_b = list(map(len, self.bytes_a)), list(map(len, self.bytes_b))
+        self.size_a, self.size_b = (np.fromiter(map(len, t), np.int64, len(t)) for t in (self.bytes_a, self.bytes_b))
+        #: Each id as it is written inside a side of a group, and at its end.
+        self.said_a, self.said_b = (np.array([[f"{i},", f"{i}{end}"] for i in range(len(t))], object) for t, end in ((self.bytes_a, "|"), (self.bytes_b, ";")))
         self.known: dict[str, Unit | None] = {}
         self.remembered = remembered
 
-    def aligned(self, text: str, a: list[int], b: list[int]) -> Unit | None:
-        """The unit of a space and text, or nothing where the tokens of either side don't give these bytes back."""
+    def _gives_back(self, text: str, a: np.ndarray, b: list[int]) -> bool:
         whole = b" " + text.encode()
-        if b"".join([self.bytes_a[i] for i in a]) != whole or b"".join([self.bytes_b[i] for i in b]) != whole:
-            return None
-        size_a, size_b = self.size_a, self.size_b
-        if len(a) + len(b) > 200:
-            groups = shared_groups([size_a[i] for i in a], [size_b[i] for i in b])
+        return b"".join([self.bytes_a[i] for i in a.tolist()]) == whole and b"".join([self.bytes_b[i] for i in b]) == whole
+
+    def aligned(self, texts: list[str]) -> list[Unit | None]:
+        """The units of spaces and texts, or nothing where the tokens of either side don't give these bytes back.
+
+        Texts stand one after the other: as both sides of each are equally long, ends of tokens that are equal all through
+        are the ends of groups.
+        """
+        a = [np.frombuffer(x, np.uint32) for x in self.words._learn(texts)]
+        b = self.b.encode(texts, num_threads=1)
+        out: list[Unit | None] = [None] * len(texts)
+        whole = b"".join([b" " + t.encode() for t in texts])
+        flat_a, flat_b = np.concatenate(a).astype(np.int64), np.fromiter(chain.from_iterable(b), np.int64)
+        here = range(len(texts))
+        if b"".join(map(self.bytes_a.__getitem__, flat_a.tolist())) != whole or b"".join(map(self.bytes_b.__getitem__, flat_b.tolist())) != whole or len(b) != sum(map(bool, b)):
+            here = [i for i in here if self._gives_back(texts[i], a[i], b[i])]
+        batch, links = [], 0
+        for i in here:
+            n = len(a[i]) * len(b[i])
+            if batch and links + n > AT_ONCE:
+                self._fill(out, batch, a, b)
+                batch, links = [], 0
+            batch.append(i)
+            links += n
+        if batch:
+            self._fill(out, batch, a, b)
+        return out
+
+    def _fill(self, out: list[Unit | None], batch: list[int], a: list[np.ndarray], b: list[list[int]]) -> None:
+        n_a, n_b = (np.array([len(x[i]) for i in batch]) for x in (a, b))
+        ids_a, ids_b = np.concatenate([a[i] for i in batch]).astype(np.int64), np.fromiter(chain.from_iterable(b[i] for i in batch), np.int64)
+        _, i, j = np.intersect1d(np.cumsum(self.size_a[ids_a]), np.cumsum(self.size_b[ids_b]), assume_unique=True, return_indices=True)
+        end_a, end_b = i + 1, j + 1  # tokens of either side up to the end of each group
+        size_a, size_b = np.diff(end_a, prepend=0), np.diff(end_b, prepend=0)
+        group_a, group_b = (np.repeat(np.arange(len(size)), size) for size in (size_a, size_b))
+        # as text: the tokens of both sides in the order of their groups
+        said = np.empty(len(ids_a) + len(ids_b), object)
+        last_a, last_b = np.zeros(len(ids_a), np.int64), np.zeros(len(ids_b), np.int64)
+        last_a[i], last_b[j] = 1, 1
+        said[np.arange(len(ids_a)) + (end_b - size_b)[group_a]] = self.said_a[ids_a, last_a]
+        said[np.arange(len(ids_b)) + end_a[group_b]] = self.said_b[ids_b, last_b]
+        ends = np.cumsum(n_a)
+        unit_of = np.searchsorted(ends, end_a)  # the unit of each group
+        n_groups = np.bincount(unit_of, minlength=len(batch))
+        if len(batch) == 1 and int((size_a * size_b).sum()) > AT_ONCE:
+            pair, times = self._counted(ids_a, ids_b, end_a, end_b)
+            size = np.array([len(pair)])
         else:
-            groups, i, j, at_a, at_b = [], 0, 0, 0, 0
-            x = y = 0  # tokens so far, and the bytes that they end at
-            while x < len(a):
-                at_a += size_a[a[x]]
-                x += 1
-                while at_b < at_a:
-                    at_b += size_b[b[y]]
-                    y += 1
-                if at_a == at_b:
-                    groups.append((i, x, j, y))
-                    i, j = x, y
-        links: dict[int, int] = {}
-        for i, x, j, y in groups:
-            if x - i == 1 or y - j == 1 or (x - i) * (y - j) < 256:
-                for u in a[i:x]:
-                    for v in b[j:y]:
-                        links[u * _PAIR + v] = links.get(u * _PAIR + v, 0) + 1
-            else:
-                right = Counter(b[j:y])
-                for u, n in Counter(a[i:x]).items():
-                    for v, m in right.items():
-                        links[u * _PAIR + v] = links.get(u * _PAIR + v, 0) + n * m
-        said = ";".join([f"{','.join(map(str, a[i:x]))}|{','.join(map(str, b[j:y]))}" for i, x, j, y in groups])
-        return Unit(said, (len(a), len(b), len(groups)), links)
+            n = size_b[group_a]
+            stop = np.cumsum(n)
+            right = ids_b[np.arange(stop[-1]) - np.repeat(stop - n - (end_b - size_b)[group_a], n)]
+            key = np.repeat(unit_of[group_a], n) << 32 | np.repeat(ids_a, n) * _PAIR + right
+            key, times = np.unique(key, return_counts=True)
+            pair, size = key & 0xFFFFFFFF, np.bincount(key >> 32, minlength=len(batch))
+        pairs, times = pair.astype(np.uint32).tobytes(), times.astype(np.int32).tobytes()
+        words, stop = said.tolist(), np.cumsum(n_a + n_b).tolist()
+        at = at_pair = 0
+        for k, x, y, g, end, m in zip(batch, n_a.tolist(), n_b.tolist(), n_groups.tolist(), stop, size.tolist()):
+            out[k] = Unit("".join(words[at:end])[:-1], (x, y, g), pairs[4 * at_pair : 4 * (at_pair + m)], times[4 * at_pair : 4 * (at_pair + m)])
+            at, at_pair = end, at_pair + m
+
+    def _counted(self, a: np.ndarray, b: np.ndarray, end_a: np.ndarray, end_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Pairs and links of one unit with large groups, by the distinct ids of each group."""
+        links: Counter = Counter()
+        for i, x, j, y in zip([0, *end_a[:-1].tolist()], end_a.tolist(), [0, *end_b[:-1].tolist()], end_b.tolist()):
+            right = Counter(b[j:y].tolist())
+            for u, n in Counter(a[i:x].tolist()).items():
+                for v, m in right.items():
+                    links[u * _PAIR + v] += n * m
+        pair = np.array(sorted(links), np.int64)
+        return pair, np.array([links[p] for p in pair.tolist()], np.int64)
 
     def units(self, parts: list[str]) -> list[Unit | None]:
         """Units of parts that each follow a space, from memory where they are known."""
@@ -135,14 +167,12 @@ class Aligner:
             self.known.clear()
         out = [self.known.get(p, 0) for p in parts]
         new = [i for i, u in enumerate(out) if u == 0]
-        for k in range(0, len(new), 4096):
-            some = new[k : k + 4096]
-            a = self.a.encode_batch_fast([" " + parts[i] for i in some], add_special_tokens=False)
-            b = self.b.encode([parts[i] for i in some], num_threads=1)
-            for i, x, y in zip(some, a, b):
-                out[i] = self.aligned(parts[i], x.ids, y)
+        for k in range(0, len(new), 8192):
+            some = new[k : k + 8192]
+            for i, u in zip(some, self.aligned([parts[i] for i in some])):
+                out[i] = u
                 if len(parts[i]) <= LONGEST:
-                    self.known[parts[i]] = out[i]
+                    self.known[parts[i]] = u
         return out
 
 
@@ -182,7 +212,7 @@ def _links(units: list[Unit | None], of: list[list[int]]) -> tuple[np.ndarray, n
     doc, unit = seen // max(1, len(units)), seen % max(1, len(units))
     size = np.array([len(u.pairs) // 4 if u else 0 for u in units], np.int64)
     flat = np.frombuffer(b"".join([u.pairs for u in units if u]), np.uint32)
-    links = np.frombuffer(b"".join([u.times for u in units if u]), np.int64)
+    links = np.frombuffer(b"".join([u.times for u in units if u]), np.int32).astype(np.int64)
     n = size[unit]
     ends = np.cumsum(n)
     at = np.arange(ends[-1] if len(ends) else 0) + np.repeat((np.cumsum(size) - size)[unit] - (ends - n), n)
@@ -219,8 +249,9 @@ def _chunks(docs: DataFrame, first: str, second: str) -> DataFrame:
                 pair, doc, times = _links(units, of)
                 n_links = np.bincount(doc, times, len(of)).astype(np.int64)
                 digests = []
+                sizes = np.array([u.n if u else (0, 0, 0) for u in units] or np.zeros((0, 3)), np.int64)
                 for name, x, links in zip(rows["doc_id"].to_pylist(), of, n_links.tolist()):
-                    n = [sum(c) for c in zip(*(units[u].n for u in x))] if x else [0, 0, 0]
+                    n = sizes[x].sum(axis=0).tolist() if x else [0, 0, 0]
                     said = hashlib.sha256(";".join([units[u].groups for u in x]).encode()).hexdigest() if x else ""
                     digests.append({"doc_id": name, "n_a": n[0], "n_b": n[1], "n_groups": n[2], "n_links": links, "groups_sha256": said})
                 made = [(chunk, -1, len(of), None, None, None, None, digests)]
@@ -247,25 +278,43 @@ def _aligner(first: str, second: str) -> Aligner:
     return _loaded[first, second]
 
 
-def _block(pairs: pa.Table, n_first: int, n_second: int) -> np.ndarray:
-    """The dense matrix of a stripe: documents with each pair, its ids' rows being the id's place among those of the stripe."""
-    block = np.zeros((-(-n_first // STRIPES), n_second), np.int64)
-    for p, size in zip(pairs["pairs"].to_pylist(), pairs["docs_of"].to_pylist()):
-        p = np.frombuffer(p, "<u4").astype(np.int64)
-        np.add.at(block, (p // _PAIR // STRIPES, p % _PAIR), np.frombuffer(size, "<u4" if len(size) == 4 * len(p) else "<i8").astype(np.int64))
-    return block
+class Block:
+    """The dense matrix of a stripe: documents with each pair, an id's row being its place among those of the stripe."""
+
+    def __init__(self, n_first: int, n_second: int):
+        self.counts = np.zeros((-(-n_first // STRIPES), n_second), np.int64)
+        self.used = np.zeros(len(self.counts), bool)
+
+    def add(self, pairs: pa.RecordBatch | pa.Table) -> None:
+        for p, n in zip(pairs["pairs"].to_pylist(), pairs["docs_of"].to_pylist()):
+            p = np.frombuffer(p, "<u4").astype(np.int64)
+            row = p // _PAIR // STRIPES
+            np.add.at(self.counts, (row, p % _PAIR), np.frombuffer(n, "<u4" if len(n) == 4 * len(p) else "<i8").astype(np.int64))
+            self.used[row] = True
+
+    def pairs(self, stripe: int) -> tuple[np.ndarray, np.ndarray]:
+        """The pairs that any document has, and in how many."""
+        rows = np.flatnonzero(self.used)
+        counts = self.counts[rows]
+        row, column = np.nonzero(counts)
+        return (rows[row] * STRIPES + stripe) * _PAIR + column, counts[row, column]
+
+    def best(self) -> np.ndarray:
+        """The largest count of each row."""
+        out, rows = np.zeros(len(self.counts), np.int64), np.flatnonzero(self.used)
+        out[rows] = self.counts[rows].max(axis=1)
+        return out
 
 
 def pair_counts(links: DataFrame, n_first: int, n_second: int) -> DataFrame:
     """(stripe, pairs, docs_of): the documents with each pair of ids that any has, counted by partition, then by stripe."""
 
     def counted(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block = np.zeros((-(-n_first // STRIPES), n_second), np.int64)
+        block = Block(n_first, n_second)
         for batch in batches:
-            block += _block(pa.Table.from_batches([batch]), n_first, n_second)
-        row, column = np.nonzero(block)
-        pairs = (row * STRIPES + key[0].as_py()) * _PAIR + column
-        blobs = [pa.array([x.tobytes()], pa.binary()) for x in (pairs.astype("<u4"), block[row, column].astype("<i8"))]
+            block.add(batch)
+        pairs, n = block.pairs(key[0].as_py())
+        blobs = [pa.array([x.tobytes()], pa.binary()) for x in (pairs.astype("<u4"), n.astype("<i8"))]
         yield pa.RecordBatch.from_arrays([pa.array([key[0].as_py()], pa.int32()), *blobs], ["stripe", "pairs", "docs_of"])
 
     schema = "stripe int, pairs binary, docs_of binary"
@@ -294,14 +343,15 @@ def aligned(docs: DataFrame, first: str, second: str, id_col: str = "doc_id", te
     counts = pair_counts(links, *sizes).join(F.broadcast(parts), "stripe").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
 
     def scored(key: tuple[pa.Scalar, ...], links: pa.Table, counts: pa.Table) -> pa.Table:
-        block = _block(counts, *sizes)
-        best, out = block.max(axis=1), []
+        block = Block(*sizes)
+        block.add(counts)
+        best, out = block.best(), []
         for row in links.select(["chunk", "pairs", "docs_of", "docs", "times"]).to_pylist():
             p, of = np.frombuffer(row["pairs"], "<u4").astype(np.int64), np.frombuffer(row["docs_of"], "<u4")
             doc = np.frombuffer(row["docs"], "<u2")
             times = np.frombuffer(row["times"], "<u2" if len(row["times"]) == len(row["docs"]) else "<i8").astype(np.int64)
             line = p // _PAIR // STRIPES
-            count = block[line, p % _PAIR]
+            count = block.counts[line, p % _PAIR]
             named, at = np.unique(doc, return_inverse=True)
             sums = np.zeros((2, len(named)), np.int64)
             np.add.at(sums[0], at, times * np.repeat(count == best[line], of))
