@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Callable, Mapping, Sequence
+from datetime import date
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -165,3 +168,28 @@ def performance(daily: DataFrame, ret: str, periods: int) -> DataFrame:
     curve = equity.withColumn("_dd", F.col("_e") / peak - 1)
     sd = F.stddev_samp(ret)
     return curve.agg((F.product(1 + F.col(ret)) - 1).alias("total"), (sd * math.sqrt(periods)).alias("volatility"), F.when(sd > 0, F.avg(ret) / sd * math.sqrt(periods)).alias("sharpe"), F.min("_dd").alias("max_drawdown"))
+
+
+def pit_regression(compute: Callable[[Mapping[str, DataFrame]], DataFrame], sources: Mapping[str, tuple[DataFrame, Column]], at: Sequence[date]) -> DataFrame:
+    """(date, cells, violations, largest) for each date of at: a plan's values against those it gives with only what was visible then.
+
+    compute makes (date, security_id, value) of tables by name; sources has each table with the moment from which a row of it
+    is visible. cells are the securities that either has a value for, violations those that only one has, largest the largest
+    difference of the others' values, null where there are none. A plan that looks ahead differs from its own replay. Each
+    date is a replay of its own, so at is a short list.
+    """
+    live = compute({n: df for n, (df, _) in sources.items()}).where(F.col("date").isin(list(at)))
+
+    def replay(d: date) -> DataFrame:
+        return compute({n: df.where(seen <= F.lit(d)) for n, (df, seen) in sources.items()}).where(F.col("date") == F.lit(d))
+
+    again = reduce(DataFrame.unionByName, map(replay, at)).withColumnRenamed("value", "_replayed")
+    both = live.where("value is not null").join(again.where("_replayed is not null"), ["date", "security_id"], "full_outer")
+    one = F.col("value").isNull() != F.col("_replayed").isNull()
+    return both.groupBy("date").agg(F.count("*").alias("cells"), F.count_if(one).alias("violations"), F.max(F.abs(F.col("value") - F.col("_replayed"))).alias("largest"))
+
+
+def dates_before(dates: DataFrame, offsets: Sequence[int]) -> list[date]:
+    """The dates that stand offsets places from the end of all distinct dates; those that there are. At most the largest offset comes to the driver."""
+    last = [r.date for r in dates.select("date").distinct().orderBy(F.desc("date")).limit(max(offsets)).collect()]
+    return [last[k - 1] for k in sorted(offsets, reverse=True) if k <= len(last)]

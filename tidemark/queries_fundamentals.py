@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import fundamentals as fm
 from tidemark.operators.joins import as_of
+from tidemark.plans import evaluate
 from tidemark.registry import query
 from tidemark.sources.market import ctes, view
 
@@ -201,3 +202,22 @@ def factor_f_score(spark, sf_dir):
     scores = [F.when(assets["value"] > 0, ni["value"] > 0), cash["value"] > 0, cash["value"] > ni["value"], better, sh2["value"] <= sh2["prior"]]
     known = sum((s.isNotNull().cast("long") for s in scores), F.lit(0).cast("long"))
     return k.select("security_id", day("date").alias("date"), known.alias("known"), r6(fm.mean_of_known(scores, 4)).alias("value")).where("known >= 4")
+
+
+@query(f"""WITH {_EVENTS}, {_UNIVERSE}, {_known_sql(('net_income', 'cash_flow', 'assets'))}, places AS (SELECT date, row_number() OVER (ORDER BY date DESC) AS k FROM (SELECT DISTINCT date FROM dates))
+  SELECT strftime(date, '%Y-%m-%d') AS date, count(*) AS cells, 0 AS violations, 0.0::DOUBLE AS largest FROM known JOIN places USING (date)
+  WHERE k IN (3, 6, 9) AND assets.value > 0 AND net_income.period_end = cash_flow.period_end GROUP BY 1""")
+def pit_regression(spark, sf_dir):
+    """Accruals on three earlier month ends, against what they are with only the filings and prices of before; restatements must change nothing."""
+    companies, active = view(spark, sf_dir, "companies"), view(spark, sf_dir, "securities").where("is_active").select("security_id")
+    metrics = ("net_income", "cash_flow", "assets")
+
+    def accruals(tables) -> DataFrame:
+        universe = tables["daily"].join(active, "security_id").select("security_id", F.last_day("date").alias("date")).distinct()
+        k = fm.company_values(fm.known_on(fm.with_members(universe, companies), fm.metric_events(tables["reports"], _some(*metrics)), metrics), companies, universe, metrics)
+        top = F.when(F.col("net_income.period_end") == F.col("cash_flow.period_end"), F.col("net_income.value") - F.col("cash_flow.value"))
+        return k.where("assets.value > 0").select("date", "security_id", (top / F.col("assets.value")).alias("value"))
+
+    sources = {"reports": (_facts(spark, sf_dir), F.col("filed")), "daily": (view(spark, sf_dir, "daily"), F.col("date"))}
+    at = evaluate.dates_before(_universe(spark, sf_dir), (3, 6, 9))
+    return evaluate.pit_regression(accruals, sources, at).select(day("date").alias("date"), "cells", "violations", "largest")

@@ -251,7 +251,14 @@ def staged_update(spark, sf_dir):
 # Texts
 
 
-@query("""SELECT page_id, length(trim(regexp_replace(regexp_replace(replace(replace(replace(replace(replace(replace(regexp_replace(regexp_replace(html, '<(script|style)\\b.*?</(script|style)\\s*>', ' ', 'gis'), '<[^>]*>', ' ', 'gs'), '&amp;', '&'), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', ''''), '&nbsp;', ' '), '&#?[A-Za-z0-9]+;', ' ', 'g'), '[\\s\u00a0]+', ' ', 'g')))::INT AS n FROM pages""")
+_ENTITY_SQL = "x"
+for _entity, _plain in tx.ENTITIES.items():
+    _ENTITY_SQL = f"replace({_ENTITY_SQL}, '{_entity}', '{_plain.replace(chr(39), chr(39) * 2)}')"
+
+
+@query(rf"""WITH tagless AS (SELECT page_id, regexp_replace(regexp_replace(regexp_replace(html, '<!--.*?-->', ' ', 'gs'), '<(script|style)\b.*?</(script|style)\s*>', ' ', 'gis'), '<[^>]*>', ' ', 'gs') AS x FROM pages),
+  decoded AS (SELECT page_id, regexp_replace(replace({_ENTITY_SQL}, '&amp;', chr(1)), '&#?[A-Za-z0-9]+;', ' ', 'g') AS x FROM tagless)
+  SELECT page_id, length(replace(trim(regexp_replace(regexp_replace(x, '[\s ]+', ' ', 'g'), ' ([,.;:)])', '\1', 'g')), chr(1), '&'))::INT AS n FROM decoded""")
 def stripped_pages(spark, sf_dir):
     return table(spark, sf_dir, "pages").select("page_id", F.length(tx.strip_html(F.col("html"))).alias("n"))
 
@@ -268,11 +275,20 @@ def common_equity(spark, sf_dir):
     return table(spark, sf_dir, "part").select("p_partkey", tx.common_equity(name).alias("common"))
 
 
-@query("""SELECT o_orderkey, round((10 + o_orderkey % 90) + 0.25, 2) AS amount FROM orders""")
+@query("""SELECT o_orderkey, CASE WHEN o_orderkey % 8 < 5 THEN floor(o_totalprice) / 4 END AS amount, CASE WHEN o_orderkey % 8 = 1 THEN 2 WHEN o_orderkey % 8 < 5 THEN 1 ELSE 0 END AS mentions FROM orders WHERE o_totalprice < 40000""")
 def cash_amounts(spark, sf_dir):
-    """The amount per share, out of a sentence that names the whole as well."""
-    text = F.format_string("holders get $%d.25 in cash, or $12,345,678.00 together", 10 + F.col("o_orderkey") % 90)
-    return table(spark, sf_dir, "orders").select("o_orderkey", F.get(tx.dollar_amounts(text), F.lit(0)).alias("amount"))
+    """Cash per share in sentences of eight kinds, three of which only name totals, dividends or other sums."""
+    o = table(spark, sf_dir, "orders").where("o_totalprice < 40000").withColumn("a", F.format_number(F.floor("o_totalprice") / 4, 2))
+    kinds = [
+        "each share became the right to receive $%s in cash, without interest, of $12,345,678.00 in all", "the right to receive $%1$s in cash. Again, $%1$s per share in cash", "a per share consideration of $%s in cash",
+        "cash in an amount equal to $%s per share, for $3 billion", "a tender offer to purchase all outstanding shares at a price of $%s per share", "the aggregate consideration of $%s in cash",
+        "a cash dividend of $%s per share", "the company repaid $%s of debt; holders have the right to receive $25.00 plus accrued and unpaid dividends per share",
+    ]
+    text = F.format_string(kinds[0], "a")
+    for i, k in enumerate(kinds[1:], 1):
+        text = F.when(F.col("o_orderkey") % 8 == i, F.format_string(k, "a")).otherwise(text)
+    found = tx.per_share_cash(text)
+    return o.select("o_orderkey", F.get(found, F.lit(0)).alias("amount"), F.size(found).alias("mentions"))
 
 
 @query("""SELECT o_orderkey, (o_custkey % 10)::VARCHAR AS acquirer FROM orders""")
