@@ -162,3 +162,10 @@ def test_every_change_of_a_name_counts(spark):
     got = sorted(tuple(r) for r in records.renamed(history, changes, "k").collect() if r.k == 1)
     assert got == [(1, "A", d(1), d(5)), (1, "B", d(5), d(9)), (1, "C", d(9), None)]
     assert sorted(tuple(r) for r in records.renamed(history, changes, "k").collect() if r.k > 1) == [(2, "A", d(1), d(2)), (3, "A", d(1), None)]
+
+
+def test_rates_by_day_keep_for_a_week(spark):
+    d = lambda n: date(2025, 1, n)
+    rates = spark.createDataFrame([("EUR", d(1), 1.0), ("EUR", d(3), 2.0), ("EUR", d(20), None), ("GBP", d(2), 5.0)], "c string, d date, rate double")
+    got = {(r.c, r.d): r.rate for r in joins.by_day(rates, ["c"], "d", "rate", 7).collect()}
+    assert got[("EUR", d(2))] == 1.0 and got[("EUR", d(3))] == got[("EUR", d(10))] == 2.0 and ("EUR", d(11)) not in got and got[("GBP", d(9))] == 5.0 and len(got) == 18

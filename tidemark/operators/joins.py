@@ -34,6 +34,16 @@ def as_of(left: DataFrame, right: DataFrame, key: str | Sequence[str], left_on:
     return found.select("_left.*", *[F.when(fresh, F.col(f"_found.{c}")).alias(f"asof_{c}") for c in values])
 
 
+def by_day(rows: DataFrame, keys: Sequence[str], on: str, value: str, days: int) -> DataFrame:
+    """(keys, on, value) for every day: that of the last row of the keys on it or at most days before.
+
+    For small tables of values by day, as rates are: each row is put on the days that it may be asked on, so that any number of
+    asking rows meets it by an equality of key and day, and no key's rows have to be ordered in one task.
+    """
+    put = rows.where(F.col(value).isNotNull()).withColumn("_day", F.explode(F.sequence(F.col(on), F.date_add(on, days))))
+    return put.groupBy(*keys, F.col("_day").alias("_on")).agg(F.max_by(value, on).alias(value)).withColumnRenamed("_on", on)
+
+
 def nearest(left: DataFrame, right: DataFrame, by: list[str], left_on: str, right_on: str, id_col: str, target_days: int, tolerance: int) -> DataFrame:
     """left rows with the right row nearest to target_days before, within tolerance, and before them; ties to the earlier one.
 

@@ -10,7 +10,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.operators.cross_section import average_rank, buckets, correlation
+from tidemark.operators.cross_section import average_rank, buckets, correlation, rank_ic
 from tidemark.operators.windows import forward_filled, ordered
 
 
@@ -170,6 +170,20 @@ def performance(daily: DataFrame, ret: str, periods: int) -> DataFrame:
     return curve.agg((F.product(1 + F.col(ret)) - 1).alias("total"), (sd * math.sqrt(periods)).alias("volatility"), F.when(sd > 0, F.avg(ret) / sd * math.sqrt(periods)).alias("sharpe"), F.min("_dd").alias("max_drawdown"))
 
 
+def evaluation(panel: DataFrame, horizon: int, lags: int, n: int, least: int, cost: float, periods: int) -> DataFrame:
+    """(dates, mean_ic, t, half_life, coverage, gross, net, turnover, sharpe) of panel(date, security_id, value, close, forward); one row.
+
+    Means of the long-short portfolio are of its dates, sharpe is of its net returns, without a riskless rate. Each part is a
+    single row, so putting them side by side compares nothing.
+    """
+    ic = newey_west(rank_ic(panel, "value", "forward", least), "ic", horizon).select(F.col("n").alias("dates"), F.col("mean").alias("mean_ic"), "t")
+    life = half_life(ic_decay(panel, lags, least)).select(F.col("lag").cast("int").alias("half_life"))
+    covered = panel.agg((F.count("value") / F.count("*")).alias("coverage"))
+    sd = F.stddev_samp("net")
+    run = backtest(panel, n, least, cost).agg(F.avg("gross").alias("gross"), F.avg("net").alias("net"), F.avg("turnover").alias("turnover"), F.when(sd > 0, F.avg("net") / sd * math.sqrt(periods)).alias("sharpe"))
+    return ic.crossJoin(life).crossJoin(covered).crossJoin(run)
+
+
 def pit_regression(compute: Callable[[Mapping[str, DataFrame]], DataFrame], sources: Mapping[str, tuple[DataFrame, Column]], at: Sequence[date]) -> DataFrame:
     """(date, cells, violations, largest) for each date of at: a plan's values against those it gives with only what was visible then.
 

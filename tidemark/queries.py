@@ -366,6 +366,25 @@ def backtest(spark, sf_dir):
     return d.select("date", r6("gross").alias("gross"), r6("net").alias("net"), r6("turnover").alias("turnover"))
 
 
+_DECAY_SQL = ", ".join(f"lead(forward, {k}) OVER (PARTITION BY security_id ORDER BY date) AS f{k}" for k in range(4))
+
+
+@query(f"""WITH {_TEST}, {_RANKED}, x AS (SELECT date, ic - avg(ic) OVER () AS d, ic, row_number() OVER (ORDER BY date) AS i FROM ic), c AS (SELECT count(*) AS n, greatest(4, floor(4 * pow(count(*) / 100, 2.0 / 9)))::INT AS lags FROM x),
+  g AS (SELECT b.i - a.i AS k, sum(a.d * b.d) AS s FROM x a JOIN x b ON b.i - a.i BETWEEN 0 AND (SELECT least(lags, n - 1) FROM c) GROUP BY 1),
+  v AS (SELECT sum(s * CASE WHEN k = 0 THEN 1 ELSE 2 * (1 - k / (least(lags, n - 1) + 1)) END) / any_value(n) AS v, any_value(n) AS n FROM g, c),
+  ahead AS (SELECT date, value, unnest([0, 1, 2, 3]) AS lag, unnest([f0, f1, f2, f3]) AS f FROM (SELECT *, {_DECAY_SQL} FROM panel)),
+  kd AS (SELECT date, lag, CASE WHEN value IS NOT NULL THEN rank() OVER (PARTITION BY date, lag, value IS NULL ORDER BY value) + (count(*) OVER (PARTITION BY date, lag, value) - 1) / 2 END AS a, CASE WHEN f IS NOT NULL THEN rank() OVER (PARTITION BY date, lag, f IS NULL ORDER BY f) + (count(*) OVER (PARTITION BY date, lag, f) - 1) / 2 END AS b FROM ahead),
+  dec AS (SELECT lag, avg(ic) AS ic FROM (SELECT date, lag, corr(a, b) AS ic FROM kd WHERE a IS NOT NULL AND b IS NOT NULL GROUP BY 1, 2 HAVING count(*) >= 5 AND var_pop(a) > 0 AND var_pop(b) > 0) GROUP BY 1)
+  SELECT n AS dates, round((SELECT avg(ic) FROM ic), 6) AS mean_ic, round((SELECT avg(ic) FROM ic) / sqrt(v / n), 4) AS t, (SELECT min(lag)::INT FROM dec WHERE abs(ic) <= (SELECT abs(ic) FROM dec WHERE lag = 0) / 2) AS half_life,
+    (SELECT round(count(value) / count(*), 6) FROM panel) AS coverage, (SELECT round(avg(gross), 6) FROM daily) AS gross, (SELECT round(avg(gross - 0.001 * turnover), 6) FROM daily) AS net, (SELECT round(avg(turnover), 6) FROM daily) AS turnover,
+    (SELECT round(avg(gross - 0.001 * turnover) / stddev_samp(gross - 0.001 * turnover) * sqrt(52), 4) FROM daily) AS sharpe FROM v""")
+def factor_evaluation(spark, sf_dir):
+    """A factor's whole evaluation in one row: rank IC with its significance and half life, coverage, and the long-short portfolio before and after cost."""
+    e = evaluate.evaluation(_panel(spark, sf_dir), horizon=4, lags=3, n=5, least=5, cost=0.001, periods=52)
+    digits = {"dates": None, "half_life": None, "t": 4, "sharpe": 4}
+    return e.select(*[F.col(c) if digits.get(c, 6) is None else F.round(c, digits.get(c, 6)).alias(c) for c in e.columns])
+
+
 # At a hundredth of the capital: weekly prices of suppliers move so much that whole capital would be lost at once.
 @query(f"""WITH {_TEST}, n AS (SELECT date, (gross - 0.001 * turnover) / 100 AS r FROM daily), e AS (SELECT *, product(1 + r) OVER (ORDER BY date) AS e FROM n), d AS (SELECT *, e / greatest(max(e) OVER (ORDER BY date), 1) - 1 AS dd FROM e)
   SELECT round(ln(product(1 + r)), 5) AS log_total, round(stddev_samp(r) * sqrt(52), 5) AS volatility, round(avg(r) / stddev_samp(r) * sqrt(52), 4) AS sharpe, round(min(dd), 5) AS max_drawdown FROM d""")

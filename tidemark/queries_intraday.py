@@ -112,9 +112,9 @@ def currency_cross(spark, sf_dir):
     name = F.when(F.col("o_custkey") % 3 == 0, "GBP").when(F.col("o_custkey") % 3 == 1, "USD").otherwise("CHF")
     rates = o.where("o_orderkey % 2 = 0").groupBy("d", name.alias("currency")).agg(F.max_by(F.col("o_totalprice") / 100000, "o_orderkey").alias("rate"))
     p = o.where("o_orderkey % 2 = 1").select("o_orderkey", "d", F.when(F.col("o_custkey") % 3 == 0, "GBP").otherwise("CHF").alias("currency"))
-    for column, as_name in (("currency", "own"), (None, "usd")):
-        left = p if column else p.withColumn("own_currency", F.col("currency")).withColumn("currency", F.lit("USD"))
-        p = joins.as_of(left, rates, "currency", "d", "d", "rate", ["rate"], "interval 7 days").withColumnRenamed("asof_rate", as_name)
+    known = joins.by_day(rates, ["currency"], "d", "rate", 7)
+    p = p.join(known.withColumnRenamed("rate", "own"), ["currency", "d"], "left")
+    p = p.join(known.where("currency = 'USD'").select("d", F.col("rate").alias("usd")), "d", "left")
     return p.select("o_orderkey", r6(F.col("usd") / F.col("own")).alias("to_usd"))
 
 

@@ -90,13 +90,13 @@ def factor_keys(spark, sf_dir):
     return view(spark, sf_dir, "actions").select("event_id", F.coalesce(given, made).alias("key"))
 
 
-@query(f"""WITH {ctes('spans')}, q AS (SELECT o_orderkey, concat('S', (o_orderkey % 9)::VARCHAR) AS symbol, o_orderdate::DATE AS d FROM orders), h AS (SELECT o_orderkey, count(tenure_id) AS n, min(security_id) AS s FROM q LEFT JOIN spans t ON q.symbol = t.symbol AND d >= start_date AND (end_date IS NULL OR d < end_date) GROUP BY 1)
+@query(f"""WITH {ctes('spans')}, q AS (SELECT o_orderkey, concat('S', ((o_custkey - o_custkey % 3) // 3)::VARCHAR) AS symbol, o_orderdate::DATE AS d FROM orders), h AS (SELECT o_orderkey, count(tenure_id) AS n, min(security_id) AS s FROM q LEFT JOIN spans t ON q.symbol = t.symbol AND d >= start_date AND (end_date IS NULL OR d < end_date) GROUP BY 1)
   SELECT CASE WHEN n = 0 THEN 'out of tenure' WHEN n = 1 THEN 'mapped' ELSE 'ambiguous' END AS bucket, count(*) AS n FROM h GROUP BY 1""")
 def tenure_buckets(spark, sf_dir):
     """Days by the tenures of their symbol that they fall in; a running count of open spans answers without pairs."""
     t = view(spark, sf_dir, "spans").where("end_date is null or end_date > start_date")
     edges = t.select("symbol", F.col("start_date").alias("d"), F.lit(1).alias("n")).unionByName(t.where("end_date is not null").select("symbol", F.col("end_date").alias("d"), F.lit(-1).alias("n")))
-    q = table(spark, sf_dir, "orders").select(F.concat(F.lit("S"), (F.col("o_orderkey") % 9).cast("string")).alias("symbol"), F.col("o_orderdate").cast("date").alias("d"), F.lit(0).alias("n"), F.lit(True).alias("asked"))
+    q = table(spark, sf_dir, "orders").select(F.concat(F.lit("S"), F.floor(F.col("o_custkey") / 3).cast("string")).alias("symbol"), F.col("o_orderdate").cast("date").alias("d"), F.lit(0).alias("n"), F.lit(True).alias("asked"))
     both = edges.withColumn("asked", F.lit(False)).unionByName(q)
     w = Window.partitionBy("symbol").orderBy("d").rangeBetween(Window.unboundedPreceding, 0)
     hits = both.withColumn("open", F.sum("n").over(w)).where("asked")
@@ -134,11 +134,12 @@ def dividend_drops(spark, sf_dir):
     return a.select("event_id", F.when(unknown, "inconclusive").when(1 - F.col("next_close") / F.col("prev_close") < 0.25 * rate, "refuted").otherwise("plausible").alias("verdict"))
 
 
-@query(f"""WITH {ctes('actions')}, v AS (SELECT event_id % 40 AS archive, security_id, event_id FROM actions), n AS (SELECT *, count(DISTINCT security_id) OVER (PARTITION BY archive) AS n FROM (SELECT * FROM v)) SELECT event_id, CASE WHEN n > 1 THEN 'manual' ELSE 'promote' END AS verdict FROM n""")
+@query(f"""WITH {ctes('actions')}, v AS (SELECT event_id // 3 AS archive, security_id, event_id FROM actions), n AS (SELECT *, count(DISTINCT security_id) OVER (PARTITION BY archive) AS n FROM (SELECT * FROM v)) SELECT event_id, CASE WHEN n > 1 THEN 'manual' ELSE 'promote' END AS verdict FROM n""")
 def promotion_collisions(spark, sf_dir):
     """One archive event promoted for several securities leaves all of them to a person."""
-    w = Window.partitionBy(F.col("event_id") % 40)
-    return view(spark, sf_dir, "actions").select("event_id", F.when(F.min("security_id").over(w) < F.max("security_id").over(w), "manual").otherwise("promote").alias("verdict"))
+    a = view(spark, sf_dir, "actions").select("event_id", "security_id", F.floor(F.col("event_id") / 3).alias("archive"))
+    several = a.groupBy("archive").agg((F.min("security_id") < F.max("security_id")).alias("several"))
+    return a.join(several, "archive").select("event_id", F.when(F.col("several"), "manual").otherwise("promote").alias("verdict"))
 
 
 @query(f"""WITH {ctes('securities')}, n AS (SELECT security_id, cik AS company_id, CASE WHEN security_id % 3 = 0 THEN NULL WHEN security_id % 3 = 1 THEN cik ELSE cik + 1 END AS was FROM securities) SELECT security_id, company_id, was IS DISTINCT FROM company_id AS changes, was IS NOT NULL AND was <> company_id AS conflict FROM n""")

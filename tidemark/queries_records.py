@@ -56,7 +56,7 @@ def dividend_rows(spark, sf_dir):
 @query("""SELECT o_orderkey, o_custkey::VARCHAR AS accession, strftime(o_orderdate, '%Y-%m-%d') AS filed FROM orders WHERE o_orderkey % 2 = 0 AND o_orderdate >= TIMESTAMP '1996-06-01'""")
 def filing_block(spark, sf_dir):
     """Parallel arrays of one filer, taken together by place; form and date are filtered after."""
-    o = table(spark, sf_dir, "orders").select((F.col("o_orderkey") % 50).alias("cik"), F.struct("o_orderkey", F.col("o_custkey").cast("string").alias("a"), F.when(F.col("o_orderkey") % 2 == 0, "4").otherwise("8-K").alias("f"), day("o_orderdate").alias("d")).alias("r"))
+    o = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("cik"), F.struct("o_orderkey", F.col("o_custkey").cast("string").alias("a"), F.when(F.col("o_orderkey") % 2 == 0, "4").otherwise("8-K").alias("f"), day("o_orderdate").alias("d")).alias("r"))
     block = o.groupBy("cik").agg(F.sort_array(F.collect_list("r")).alias("r"))
     arrays = block.select("cik", F.col("r.o_orderkey").alias("key"), F.col("r.a").alias("accession"), F.col("r.f").alias("form"), F.col("r.d").alias("filed"))
     rows = arrays.select("cik", F.inline(F.arrays_zip("key", "accession", "form", "filed")))
