@@ -74,3 +74,71 @@ def tenures(df: DataFrame, by: str, start: str, ident: str, last: Column | None
     w = Window.partitionBy(by).orderBy(start, ident)
     end = F.lead(start).over(w)
     return df.withColumn("end", end if last is None else F.coalesce(end, last)).withColumn("open", F.col("end").isNull())
+
+
+def merge_plan(securities: DataFrame, ident: str, group: str, owner: str, active: str, newest: str, valid: str = "^BBG", cleared: Sequence[str] = ()) -> DataFrame:
+    """(group, keep_id, merge_id): which ids of one group are to become which; a row for each id that goes.
+
+    A group is a value of a form that valid matches; placeholders that many securities share are none. Only groups whose
+    rows all have the same owner, not null or blank, are planned, and those that were cleared by name. Active rows are kept
+    before others, then those with the newest date, then the smallest id.
+    """
+    known = securities.where(F.col(group).rlike(valid)).select(group, F.col(ident).alias("_id"), F.nullif(F.trim(F.col(owner).cast("string")), F.lit("")).alias("_owner"), F.coalesce(active, F.lit(False)).alias("_active"), F.col(newest).alias("_newest"))
+    kept = known.groupBy(group).agg(
+        F.max_by("_id", F.struct("_active", "_newest", -F.col("_id"))).alias("keep_id"),
+        ((F.count("_owner") == F.count("*")) & F.min("_owner").eqNullSafe(F.max("_owner"))).alias("_one"),
+        F.count("*").alias("_n"),
+    ).where((F.col("_n") > 1) & (F.col("_one") | F.col(group).isin(list(cleared))))
+    return known.join(kept, group).where("_id <> keep_id").select(group, "keep_id", F.col("_id").alias("merge_id"))
+
+
+def split_plan(securities: DataFrame, ident: str, symbol: str, group: str) -> DataFrame:
+    """(symbol, ids): symbols that several groups have had, with their ids in order: names that were given again, not securities to be merged."""
+    by = securities.where(F.col(symbol).isNotNull() & F.col(group).isNotNull()).groupBy(symbol)
+    return by.agg(F.sort_array(F.collect_set(ident)).alias("ids"), (F.min(group) != F.max(group)).alias("_several")).where("_several").drop("_several")
+
+
+def moved(child: DataFrame, plan: DataFrame, ident: str, keys: Sequence[str] = ()) -> DataFrame:
+    """child with moved: rows of ids that go have the id that is kept, unless a row with the same keys is there already.
+
+    Null keys are equal. Of several ids that bring the same keys the smallest comes through; rows that can't move keep their
+    id. Without keys all rows move. Only rows of ids in the plan are exchanged by key, others pass through.
+    """
+    goes = plan.select(F.col("merge_id").alias(ident), F.col("keep_id").alias("_to"))
+    stays = plan.select(F.col("keep_id").alias(ident), F.col("keep_id").alias("_to")).distinct()
+    found = child.join(goes.unionByName(stays), ident, "left")
+    rest = found.where("_to is null").withColumn("moved", F.lit(False))
+    own = F.col(ident) == F.col("_to")
+    touched = found.where("_to is not null")
+    first = F.rank().over(Window.partitionBy("_to", *keys).orderBy(F.desc(own), ident)) == 1 if keys else F.lit(True)
+    touched = touched.withColumn("_own", own).withColumn("moved", first & ~F.col("_own")).withColumn(ident, F.when(F.col("moved"), F.col("_to")).otherwise(F.col(ident)))
+    return touched.select(*child.columns, "moved").unionByName(rest.select(*child.columns, "moved"))
+
+
+def after_merge(securities: DataFrame, plan: DataFrame, rows: DataFrame, ident: str, active: str, newest: str, date: str) -> DataFrame:
+    """securities once rows were moved: ids that went are inactive, and newest is the last date that is left to an id.
+
+    An id that is kept and had no newest date still has none, which asks for all its history; others stay as they are.
+    """
+    went = plan.select(F.col("merge_id").alias(ident), F.lit(True).alias("_went"))
+    kept = plan.select(F.col("keep_id").alias(ident), F.lit(False).alias("_went")).distinct()
+    role = went.unionByName(kept)
+    last = rows.join(role, ident, "left_semi").groupBy(ident).agg(F.max(date).alias("_last"))
+    s = securities.join(role, ident, "left").join(last, ident, "left")
+    left = F.when(F.col("_went") | F.col("_went").isNotNull() & F.col(newest).isNotNull(), F.col("_last")).otherwise(F.col(newest))
+    values = {active: F.col(active) & ~F.coalesce("_went", F.lit(False)), newest: left}
+    return s.select(*[values.get(c, F.col(c)).alias(c) for c in securities.columns])
+
+
+def link_repairs(suspects: DataFrame, holdings: DataFrame, links: DataFrame, ident: str, code: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(plan, links, holdings) of wrong links: how many holdings each touches, the links without them, and the holdings of just those pairs unlinked.
+
+    Codes are compared in capitals; holdings that have the id by another code stay.
+    """
+    bad = suspects.select(ident, F.upper(code).alias("_code")).distinct()
+    hits = holdings.select(ident, F.upper(code).alias("_code")).join(bad, [ident, "_code"], "left_semi").groupBy(ident, "_code").agg(F.count("*").alias("affected"))
+    plan = bad.join(hits, [ident, "_code"], "left").select(ident, F.col("_code").alias(code), F.coalesce("affected", F.lit(0)).alias("affected"))
+    kept = links.withColumn("_code", F.upper(code)).join(bad, [ident, "_code"], "left_anti").select(links.columns)
+    marked = holdings.withColumn("_code", F.upper(code)).join(bad.withColumn("_bad", F.lit(True)), [ident, "_code"], "left")
+    unlinked = marked.select(*[F.when(F.col("_bad").isNull(), F.col(c)).alias(c) if c == ident else F.col(c) for c in holdings.columns])
+    return plan, kept, unlinked

@@ -23,6 +23,27 @@ def with_forward(grid: DataFrame, horizon: int) -> DataFrame:
     return grid.withColumn("filled", forward_filled("close")).withColumn("forward", forward_return(horizon))
 
 
+def with_terminal_forward(grid: DataFrame, horizon: int, terminal: str, step_days: int) -> DataFrame:
+    """with_forward, with the terminal return of a security that left the market compounded into windows that it falls in.
+
+    A security has left where its last price is before the last date of all; from its last price on, the return of the
+    column terminal counts, once. A null terminal compounds nothing: the last price is then held as long as there are dates.
+    Rows after the last price have no forward return.
+    """
+    g = with_forward(grid, horizon)
+    own = Window.partitionBy("security_id")
+    last = F.max(F.when(F.col("close").isNotNull(), F.col("date"))).over(own)
+    g = g.withColumn("_last", last).withColumn("_final", F.max_by("close", F.when(F.col("close").isNotNull(), F.col("date"))).over(own))
+    g = g.join(F.broadcast(grid.agg(F.max("date").alias("_end"))))  # a single row
+    rows = lambda a, b: F.datediff(b, a) / step_days
+    inside = (F.col("date") <= F.col("_last")) & (rows(F.col("date"), F.col("_last")) < horizon)
+    out = F.col("_last") < F.col("_end")
+    held = F.when(rows(F.col("date"), F.col("_end")) >= horizon, F.col("_final") / F.col("close") - 1)
+    ended = F.col("_final") / F.col("close") * (1 + F.col(terminal)) - 1
+    forward = F.when(inside & out & F.col(terminal).isNotNull(), ended).when(inside & out, held).when(F.col("date") <= F.col("_last"), F.col("forward"))
+    return g.withColumn("forward", forward).drop("_last", "_final", "_end")
+
+
 def lag_rule(n: int, horizon: int) -> int:
     return max(horizon, math.floor(4 * (n / 100) ** (2 / 9)))
 
@@ -62,19 +83,21 @@ def long_short(panel: DataFrame, n: int, least: int) -> DataFrame:
     return b.withColumn("w", F.when(F.col("bucket") == n, 0.5 / size).when(F.col("bucket") == 1, -0.5 / size).otherwise(0.0)).drop("bucket")
 
 
-def runs_of_weights(weights: DataFrame, cost: float, freeze: bool = True, terminal: str | None = None) -> DataFrame:
+def runs_of_weights(weights: DataFrame, cost: float | str, freeze: bool = True, terminal: str | None = None) -> DataFrame:
     """(date, gross, net, turnover) of weights(date, security_id, close, w), a row for each security and date of the grid.
 
     Weights are held from the next date on. Across a gap in the prices the weight held at its first row
     stays, and the whole gap's return falls on the first price after it. terminal names a column with
     the return of a long position on the first row after a security's last price; without one it is
-    nothing. Cost is paid on traded weight.
+    nothing. Cost is paid on traded weight: one fraction for all, or a column with that of each row, which must not be
+    null where weight is traded.
     """
     before = ordered().rowsBetween(Window.unboundedPreceding, -1)
     past = F.last("close", ignorenulls=True).over(before)
     future = F.count("close").over(ordered().rowsBetween(0, Window.unboundedFollowing)) > 0
     missing = F.col("close").isNull()
-    columns = ["date", "security_id", "close", "w", *([terminal] if terminal else [])]
+    own_cost = cost if isinstance(cost, str) else None
+    columns = ["date", "security_id", "close", "w", *([terminal] if terminal else []), *([own_cost] if own_cost else [])]
     held = weights.select(*columns, F.coalesce(F.lag("w").over(ordered()), F.lit(0.0)).alias("held"), past.alias("past"), future.alias("future"), F.lag(missing, 1, False).over(ordered()).alias("was_missing"))
     entry = F.when(missing & ~F.col("was_missing"), F.col("held"))
     kept = F.when(missing | F.col("was_missing"), F.last(entry, ignorenulls=True).over(ordered().rowsBetween(Window.unboundedPreceding, 0)))
@@ -84,9 +107,15 @@ def runs_of_weights(weights: DataFrame, cost: float, freeze: bool = True, termin
     if terminal:
         first = F.col("over") & ~F.coalesce(F.lag("over").over(ordered()), F.lit(False))
         ret = F.when(first, F.col(terminal)).otherwise(ret)
-    rows = rows.select("date", "w", "held", "carried", ret.alias("ret"))
-    daily = rows.groupBy("date").agg(F.sum(F.col("carried") * F.coalesce("ret", F.lit(0.0))).alias("gross"), F.sum(F.abs(F.col("w") - F.col("held"))).alias("turnover"))
-    return daily.select("date", "gross", (F.col("gross") - cost * F.col("turnover")).alias("net"), "turnover")
+    traded = F.abs(F.col("w") - F.col("held"))
+    totals = [F.sum(F.col("carried") * F.coalesce("ret", F.lit(0.0))).alias("gross"), F.sum("traded").alias("turnover")]
+    if own_cost is None:
+        daily = rows.select("date", traded.alias("traded"), "carried", ret.alias("ret")).groupBy("date").agg(*totals)
+        return daily.select("date", "gross", (F.col("gross") - cost * F.col("turnover")).alias("net"), "turnover")
+    unknown = F.raise_error(F.concat(F.lit("no cost of traded security "), F.col("security_id").cast("string"))).cast("double")
+    paid = F.when(traded > 0, traded * F.coalesce(F.col(own_cost), unknown)).otherwise(0.0)
+    daily = rows.select("date", traded.alias("traded"), paid.alias("paid"), "carried", ret.alias("ret")).groupBy("date").agg(*totals, F.sum("paid").alias("paid"))
+    return daily.select("date", "gross", (F.col("gross") - F.col("paid")).alias("net"), "turnover")
 
 
 def backtest(panel: DataFrame, n: int, least: int, cost: float) -> DataFrame:

@@ -1,0 +1,131 @@
+"""Queries on repairs of identity, outcomes of delistings, submissions of holdings, and returns with terminal values and measured costs."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tidemark.operators import identity as idn
+from tidemark.operators.windows import ordered
+from tidemark.plans import evaluate, factors
+from tidemark.queries import _WEIGHTS, GRID, _run, grid, r6
+from tidemark.registry import query
+from tidemark.sources.views import table
+
+
+def day(x):
+    return F.date_format(x, "yyyy-MM-dd")
+
+
+# Repairs of identity: customers are securities, three of them in a row share an identifier, and months with an order are their rows.
+
+_MONTHS = "months AS (SELECT DISTINCT o_custkey AS id, date_trunc('month', o_orderdate)::DATE AS month FROM orders)"
+_IDENT = f"""{_MONTHS}, ident AS (SELECT c_custkey AS id, CASE WHEN c_custkey % 11 = 0 THEN 'UNKNOWN' ELSE 'BBG' || (c_custkey // 3)::VARCHAR END AS figi, CASE WHEN c_custkey % 13 <> 0 THEN (c_custkey // 4)::VARCHAR ELSE '' END AS cik, 'S' || (c_custkey % 40)::VARCHAR AS symbol, c_acctbal > 0 AS active, newest FROM customer LEFT JOIN (SELECT id, max(month) AS newest FROM months GROUP BY 1) m ON m.id = c_custkey),
+  k AS (SELECT *, row_number() OVER (PARTITION BY figi ORDER BY active DESC, newest DESC NULLS LAST, id) AS r, count(*) OVER g AS n, count(nullif(cik, '')) OVER g AS c, min(cik) OVER g AS lo, max(cik) OVER g AS hi FROM ident WHERE figi LIKE 'BBG%' WINDOW g AS (PARTITION BY figi)),
+  keep AS (SELECT figi, id AS keep_id FROM k WHERE r = 1 AND n > 1 AND c = n AND lo = hi), plan AS (SELECT figi, keep_id, id AS merge_id FROM k JOIN keep USING (figi) WHERE id <> keep_id),
+  t AS (SELECT months.*, coalesce(p.keep_id, s.keep_id) AS target FROM months LEFT JOIN plan p ON merge_id = id LEFT JOIN (SELECT DISTINCT keep_id FROM plan) s ON s.keep_id = id),
+  x AS (SELECT *, target IS NOT NULL AND id <> target AND rank() OVER (PARTITION BY target, month ORDER BY (id = target) DESC, id) = 1 AS moved FROM t), after AS (SELECT CASE WHEN moved THEN target ELSE id END AS id, month, moved FROM x)"""
+
+
+def _months(spark, sf_dir):
+    return table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("id"), F.trunc("o_orderdate", "month").alias("month")).distinct()
+
+
+def _ident(spark, sf_dir):
+    newest = _months(spark, sf_dir).groupBy("id").agg(F.max("month").alias("newest"))
+    k = F.col("c_custkey")
+    part = lambda n: F.floor(k / n).cast("string")
+    c = table(spark, sf_dir, "customer").select(
+        k.alias("id"), F.when(k % 11 == 0, "UNKNOWN").otherwise(F.concat(F.lit("BBG"), part(3))).alias("figi"), F.when(k % 13 != 0, part(4)).otherwise("").alias("cik"),
+        F.concat(F.lit("S"), (k % 40).cast("string")).alias("symbol"), (F.col("c_acctbal") > 0).alias("active"),
+    )
+    return c.join(newest, "id", "left")
+
+
+def _plan(spark, sf_dir):
+    return idn.merge_plan(_ident(spark, sf_dir), "id", "figi", "cik", "active", "newest")
+
+
+@query(f"WITH {_IDENT} SELECT figi, keep_id, merge_id FROM plan")
+def merge_plan(spark, sf_dir):
+    return _plan(spark, sf_dir)
+
+
+@query(f"WITH {_IDENT} SELECT id, strftime(month, '%Y-%m-%d') AS month, moved FROM after")
+def merged_rows(spark, sf_dir):
+    """Rows by month after the plan; months that both sides have stay where they are."""
+    return idn.moved(_months(spark, sf_dir), _plan(spark, sf_dir), "id", ["month"]).select("id", day("month").alias("month"), "moved")
+
+
+@query(f"""WITH {_IDENT}, l AS (SELECT id, max(month) AS last FROM after GROUP BY 1), w AS (SELECT DISTINCT merge_id FROM plan), s AS (SELECT DISTINCT keep_id FROM plan)
+  SELECT i.id, active AND merge_id IS NULL AS active, strftime(CASE WHEN merge_id IS NOT NULL OR keep_id IS NOT NULL AND newest IS NOT NULL THEN last ELSE newest END, '%Y-%m-%d') AS newest FROM ident i LEFT JOIN l USING (id) LEFT JOIN w ON merge_id = i.id LEFT JOIN s ON keep_id = i.id""")
+def merged_securities(spark, sf_dir):
+    plan = _plan(spark, sf_dir)
+    rows = idn.moved(_months(spark, sf_dir), plan, "id", ["month"])
+    return idn.after_merge(_ident(spark, sf_dir), plan, rows, "id", "active", "newest", "month").select("id", "active", day("newest").alias("newest"))
+
+
+@query(f"WITH {_IDENT} SELECT symbol, array_to_string(list_sort(list(DISTINCT id)), ',') AS ids FROM ident GROUP BY 1 HAVING count(DISTINCT figi) > 1")
+def split_plan(spark, sf_dir):
+    s = idn.split_plan(_ident(spark, sf_dir), "id", "symbol", "figi")
+    return s.select("symbol", F.concat_ws(",", F.transform("ids", lambda x: x.cast("string"))).alias("ids"))
+
+
+_LINKS = "links AS (SELECT o_custkey AS id, 'c' || (o_orderkey % 7)::VARCHAR AS code, bool_or(o_orderpriority = '1-URGENT') AS suspect FROM orders GROUP BY 1, 2), held AS (SELECT o_orderkey AS row, o_custkey AS id, 'C' || (o_orderkey % 7)::VARCHAR AS code FROM orders)"
+
+
+def _repairs(spark, sf_dir):
+    o = table(spark, sf_dir, "orders")
+    code = lambda c: F.concat(F.lit(c), (F.col("o_orderkey") % 7).cast("string")).alias("code")
+    links = o.groupBy(F.col("o_custkey").alias("id"), code("c")).agg(F.bool_or(F.col("o_orderpriority") == "1-URGENT").alias("suspect"))
+    held = o.select(F.col("o_orderkey").alias("row"), F.col("o_custkey").alias("id"), code("C"))
+    return idn.link_repairs(links.where("suspect"), held, links, "id", "code")
+
+
+@query(f"WITH {_LINKS} SELECT id, upper(code) AS code, (SELECT count(*) FROM held h WHERE h.id = links.id AND h.code = upper(links.code)) AS affected FROM links WHERE suspect")
+def link_repair_plan(spark, sf_dir):
+    return _repairs(spark, sf_dir)[0]
+
+
+@query(f"WITH {_LINKS} SELECT row, CASE WHEN NOT suspect THEN held.id END AS id, held.code FROM held JOIN links l ON l.id = held.id AND upper(l.code) = held.code")
+def unlinked_holdings(spark, sf_dir):
+    return _repairs(spark, sf_dir)[2]
+
+
+# Returns with terminal values and measured costs. Every third security is cut off after June 1999; every fourth one has no measured return.
+
+_CUT = "CASE WHEN security_id % 3 = 0 AND date > DATE '1999-06-28' THEN NULL ELSE close END AS close"
+_TERMINAL = "CASE WHEN security_id % 4 <> 0 THEN (security_id % 5) * -0.1 END"
+
+
+def _cut(df):
+    gone = (F.col("security_id") % 3 == 0) & (F.col("date") > F.lit("1999-06-28").cast("date"))
+    return df.withColumn("close", F.when(~gone, F.col("close"))).withColumn("terminal", F.when(F.col("security_id") % 4 != 0, F.col("security_id") % 5 * -0.1))
+
+
+@query(f"""WITH {GRID}, cut AS (SELECT date, security_id, {_CUT} FROM grid), f AS (SELECT *, last_value(close IGNORE NULLS) OVER (PARTITION BY security_id ORDER BY date) AS filled FROM cut),
+  l AS (SELECT security_id, max(date) AS last, arg_max(close, date) AS final FROM cut WHERE close IS NOT NULL GROUP BY 1), w AS (SELECT f.*, lead(filled, 4) OVER (PARTITION BY security_id ORDER BY date) AS ahead, last, final, {_TERMINAL} AS t, (SELECT max(date) FROM cut) AS e FROM f JOIN l USING (security_id)),
+  r AS (SELECT date, security_id, CASE WHEN date > last THEN NULL WHEN last < e AND date + 28 > last THEN CASE WHEN t IS NOT NULL THEN final / close * (1 + t) - 1 WHEN date + 28 <= e THEN final / close - 1 END ELSE ahead / close - 1 END AS forward FROM w)
+  SELECT strftime(date, '%Y-%m-%d') AS date, security_id, round(forward, 6) AS forward FROM r""")
+def forward_terminal(spark, sf_dir):
+    g = evaluate.with_terminal_forward(_cut(grid(spark, sf_dir)), 4, "terminal", 7)
+    return g.select(day("date").alias("date"), "security_id", r6("forward").alias("forward"))
+
+
+#: The cost of a trade where there are too few spreads to measure it.
+FALLBACK_COST = 0.004
+_COSTS = f"""c AS (SELECT date, security_id, CASE WHEN count((high - low) / low) OVER w >= 5 THEN quantile_cont((high - low) / low, 0.5) OVER w * 0.75 ELSE {FALLBACK_COST} END AS cost FROM grid WINDOW w AS (PARTITION BY security_id ORDER BY date ROWS 12 PRECEDING)),
+  priced AS (SELECT date, security_id, {_CUT}, w, cost, coalesce({_TERMINAL}, -0.3) AS terminal FROM q JOIN c USING (date, security_id))"""
+
+
+@query(f"""WITH {_WEIGHTS}, {_COSTS}, {_run('priced', 'terminal')}, paid AS (SELECT date, sum(abs(w - held) * cost) AS paid FROM p3 GROUP BY 1)
+  SELECT strftime(date, '%Y-%m-%d') AS date, round(gross, 6) AS gross, round(gross - paid, 6) AS net, round(turnover, 6) AS turnover FROM daily JOIN paid USING (date)""")
+def backtest_measured_cost(spark, sf_dir):
+    """The long-short portfolio with each trade paid at half the median spread of its security's last 13 weeks with a margin, and terminal returns as measured, or one for all."""
+    spread = (F.col("high") - F.col("low")) / F.col("low")
+    w = ordered().rowsBetween(-12, 0)
+    cost = F.when(F.count(spread).over(w) >= 5, F.percentile(spread, F.lit(0.5)).over(w) * 0.75).otherwise(FALLBACK_COST)
+    g = evaluate.with_forward(factors.prepared(grid(spark, sf_dir)), 4).withColumn("cost", cost)
+    panel = g.select("date", "security_id", "close", factors.reversal().alias("value"), "cost")
+    weighed = _cut(evaluate.long_short(panel, 5, 5)).withColumn("terminal", F.coalesce("terminal", F.lit(-0.3)))
+    d = evaluate.runs_of_weights(weighed, "cost", terminal="terminal")
+    return d.select(day("date").alias("date"), r6("gross").alias("gross"), r6("net").alias("net"), r6("turnover").alias("turnover"))
