@@ -4,11 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tidemark.functions import deals
 from tidemark.operators import identity as idn
+from tidemark.operators import joins, outcomes, records
 from tidemark.operators.windows import ordered
 from tidemark.plans import evaluate, factors
 from tidemark.queries import _WEIGHTS, GRID, _run, grid, r6
 from tidemark.registry import query
+from tidemark.sources.market import ctes, view
 from tidemark.sources.views import table
 
 
@@ -129,3 +132,95 @@ def backtest_measured_cost(spark, sf_dir):
     weighed = _cut(evaluate.long_short(panel, 5, 5)).withColumn("terminal", F.coalesce("terminal", F.lit(-0.3)))
     d = evaluate.runs_of_weights(weighed, "cost", terminal="terminal")
     return d.select(day("date").alias("date"), r6("gross").alias("gross"), r6("net").alias("net"), r6("turnover").alias("turnover"))
+
+
+# Outcomes: customers are securities that left the market 20 days before their last order. Orders are filings: notices of removal,
+# reports of three kinds, and texts of deals, whose sentences, amounts and names come from the order.
+
+_DOCS = "docs AS (SELECT o_custkey AS id, o_orderkey % 4 AS t, floor(o_totalprice / 20000) * 50 + 500 AS cents, 1000 + o_orderkey % 7 * 500 AS r, o_orderkey % 12 + 1 AS firm FROM orders WHERE o_orderpriority = '5-LOW')"
+_TERMS = f"""{_DOCS}, times AS (SELECT id, cents, count(*) AS n FROM docs WHERE t IN (0, 2) GROUP BY 1, 2), top AS (SELECT id, max(n) AS n FROM times GROUP BY 1), m AS (SELECT id, count(*) AS alike, min(cents) AS cents FROM times JOIN top USING (id, n) GROUP BY 1),
+  s AS (SELECT id, count(DISTINCT r) AS k, min(r) AS r, count(DISTINCT firm) AS f, 'Firm ' || min(firm) || ' Corp.' AS firm FROM docs WHERE t IN (1, 2) GROUP BY 1), a AS (SELECT id, count(DISTINCT firm) AS f, 'Firm ' || min(firm) || ' Holdings, Inc.' AS firm FROM docs WHERE t = 0 GROUP BY 1), e AS (SELECT id, bool_or(t = 2) AS election FROM docs GROUP BY 1),
+  parts AS (SELECT id, CASE WHEN alike = 1 THEN cents / 100 END AS cash, CASE WHEN k = 1 THEN r / 10000 END AS ratio, CASE WHEN s.f = 1 THEN s.firm END AS sf, CASE WHEN a.f = 1 THEN a.firm END AS af, election,
+    concat_ws('; ', CASE WHEN alike > 1 THEN 'several amounts' END, CASE WHEN k > 1 THEN 'several ratios' END, CASE WHEN a.f > 1 THEN 'several acquirers' END, CASE WHEN s.f > 1 THEN 'several acquirers of ratios' END, CASE WHEN election THEN 'election' END) AS note FROM e LEFT JOIN m USING (id) LEFT JOIN s USING (id) LEFT JOIN a USING (id)),
+  terms AS (SELECT id, cash, ratio, coalesce(sf, af) AS priced_by, coalesce(af, sf) AS acquirer, election, note FROM parts)"""
+
+
+def _terms(spark, sf_dir):
+    o = table(spark, sf_dir, "orders").where("o_orderpriority = '5-LOW'")
+    k = F.col("o_orderkey")
+    cents = (F.floor(F.col("o_totalprice") / 20000) * 50 + 500).cast("long")
+    amount = F.concat(F.floor(cents / 100).cast("string"), F.lit("."), F.lpad((cents % 100).cast("string"), 2, "0"))
+    ratio, firm = F.concat(F.lit("0."), (k % 7 * 500 + 1000).cast("string")), F.concat(F.lit("Firm "), (k % 12 + 1).cast("string"))
+    shares = F.concat(ratio, F.lit(" shares of "), firm, F.lit(" Corp. common stock for each share"))
+    before = "Notes were called, and each holder had the right to receive $77.00 in cash. The Merger Consideration. "
+    text = (
+        F.when(k % 4 == 0, F.concat(F.lit(before + "Each Share was converted into the right to receive $"), amount, F.lit(" in cash, without interest.\n The Company became a wholly owned subsidiary of "), firm, F.lit(" Holdings, Inc. The shares were delisted.")))
+        .when(k % 4 == 1, F.concat(F.lit("Each Share was exchanged for\n"), shares, F.lit(" held, not for 100 shares of stock.")))
+        .when(k % 4 == 2, F.concat(F.lit(before + "Each Share became the right to receive $"), amount, F.lit(" in cash and "), shares, F.lit(", at the election of the holders.")))
+        .otherwise("Stockholders may elect to receive future proxy materials electronically; the meeting is on May 5.")
+    )
+    docs = o.select(F.col("o_custkey").alias("id"), F.when(k % 2 == 0, "DEFM14A").otherwise("8-K").alias("form"), text.alias("text"))
+    return outcomes.consideration(docs, "id", "form", "text")
+
+
+@query(f"WITH {_TERMS} SELECT id, cash, ratio, acquirer, election, note FROM terms")
+def deal_terms(spark, sf_dir):
+    """What all texts of a security agree on: cash by its clear mode, ratio and acquirer where there is one."""
+    return _terms(spark, sf_dir).select("id", "cash", "ratio", "acquirer", "election", "note")
+
+
+_PROVISIONS = ("a", "a1", "a2", "a3", "a4", "b", "c")
+_RULES = "rules AS (SELECT o_orderkey AS accession, o_custkey AS id, o_orderdate::DATE AS filed, ['a', 'a1', 'a2', 'a3', 'a4', 'b', 'c'][o_orderkey % 7 + 1] AS p, o_orderkey % 3 AS shape FROM orders WHERE o_orderpriority = '1-URGENT')"
+
+
+def _notices(spark, sf_dir):
+    """Notices of removal as structured texts, forms with boxes, and tags, which know no sections below a."""
+    o = table(spark, sf_dir, "orders").where("o_orderpriority = '1-URGENT'")
+    place, shape = F.col("o_orderkey") % 7, F.col("o_orderkey") % 3
+    cite = lambda p: f"17 CFR 240.12d2-2({p[0]})" + (f"({p[1]})" if len(p) > 1 else "")
+    pick = lambda texts: F.element_at(F.array(*map(F.lit, texts)), (place + 1).cast("int"))
+    structured = pick([f"<notice><ruleProvision>{cite(p)}</ruleProvision></notice>" for p in _PROVISIONS])
+    form = pick(["<p>Place an X in the box:</p>" + "".join(f"<p>{'&#9746;' if q == p else '&#9744;'} Pursuant to {cite(q)}, the class is removed from listing and registration.</p>" for q in _PROVISIONS) for p in _PROVISIONS])
+    tag = pick([f"<rule12d2-2{p[0]}>X</rule12d2-2{p[0]}>" for p in _PROVISIONS])
+    text = F.when(shape == 0, structured).when(shape == 1, form).otherwise(tag)
+    return o.select(F.col("o_orderkey").alias("accession"), F.col("o_custkey").alias("id"), F.to_date("o_orderdate").alias("filed"), deals.removal_rule(text)["rule"].alias("rule"))
+
+
+@query(f"WITH {_RULES} SELECT accession, id, CASE WHEN shape = 2 THEN left(p, 1) ELSE p END AS rule FROM rules")
+def removal_rules(spark, sf_dir):
+    return _notices(spark, sf_dir).select("accession", "id", "rule")
+
+
+_CASES = f"""{ctes('daily')}, {_TERMS}, {_RULES}, cases AS (SELECT c_custkey AS id, CASE WHEN c_custkey % 10 = 0 THEN 'ETF' ELSE 'CS' END AS kind, max(o_orderdate)::DATE - 20 AS until, CASE WHEN c_custkey % 5 = 1 THEN 0.05 ELSE 5 + c_custkey % 20 END AS final_price, c_custkey % 17 = 0 AS merged, CASE WHEN c_custkey % 3 = 0 THEN 'EXCHANGE_DROP' END AS pattern FROM customer JOIN orders ON o_custkey = c_custkey GROUP BY ALL),
+  f AS (SELECT o_custkey AS id, o_orderpriority AS p, o_orderdate::DATE - until AS gap FROM orders JOIN cases ON id = o_custkey), ev AS (SELECT id, bool_or(p = '1-URGENT' AND gap BETWEEN -90 AND 30) AS form25, bool_or(p = '2-HIGH' AND gap BETWEEN -30 AND 30) AS i201, bool_or(p = '3-MEDIUM' AND gap BETWEEN -45 AND 30) AS i301, bool_or(p = '4-NOT SPECIFIED' AND gap BETWEEN -90 AND 30) AS i103 FROM f GROUP BY 1),
+  ru AS (SELECT id, CASE WHEN shape = 2 THEN left(p, 1) ELSE p END AS rule FROM rules JOIN cases USING (id) WHERE filed - until BETWEEN -90 AND 30 QUALIFY row_number() OVER (PARTITION BY id ORDER BY abs(filed - until), accession) = 1),
+  firms AS (SELECT s_suppkey AS sid, 'firm ' || (CASE WHEN s_suppkey % 6 = 0 THEN s_suppkey - 1 ELSE s_suppkey END) AS name FROM supplier), fu AS (SELECT name, min(sid) AS sid FROM firms GROUP BY 1 HAVING count(*) = 1),
+  j AS (SELECT c.*, form25, i201, i301, i103, rule, CASE WHEN ratio IS NOT NULL OR cash BETWEEN 0.2 * final_price AND 5 * final_price THEN cash END AS cash, ratio, acquirer, coalesce(election, false) AS election, sid FROM cases c JOIN ev USING (id) LEFT JOIN ru USING (id) LEFT JOIN terms t USING (id) LEFT JOIN fu ON fu.name = 'firm ' || regexp_extract(priced_by, '[0-9]+')),
+  k AS (SELECT j.*, (SELECT arg_max(close, date) FROM daily d WHERE d.security_id = sid AND d.date BETWEEN until - 3 AND until) / 50 AS ac FROM j),
+  v AS (SELECT *, CASE WHEN cash IS NOT NULL AND ratio IS NULL THEN 'ACQUISITION_CASH' WHEN ratio IS NOT NULL AND cash IS NULL THEN 'ACQUISITION_STOCK' ELSE 'MERGER' END AS deal, CASE left(rule, 1) WHEN 'b' THEN 'EXCHANGE_DROP' WHEN 'c' THEN 'VOLUNTARY' WHEN 'a' THEN CASE WHEN rule IN ('a1', 'a2') THEN 'LIQUIDATION' ELSE 'MERGER' END END AS stated FROM k),
+  d AS (SELECT *, CASE WHEN i201 THEN deal WHEN rule IS NOT NULL THEN CASE WHEN kind = 'ETF' AND rule IN ('a1', 'c') THEN 'FUND_CLOSURE' WHEN rule = 'b' AND kind <> 'ETF' AND final_price < 0.1 AND i103 THEN 'BANKRUPTCY' WHEN stated = 'MERGER' THEN deal ELSE stated END WHEN merged THEN 'MERGER' WHEN kind = 'ETF' THEN 'FUND_CLOSURE' WHEN i301 THEN 'EXCHANGE_DROP' WHEN pattern IS NOT NULL THEN pattern ELSE 'UNKNOWN' END AS reason,
+    CASE WHEN i201 OR rule IS NOT NULL THEN 'HIGH' WHEN merged OR kind = 'ETF' OR i301 THEN 'MEDIUM' WHEN pattern IS NOT NULL THEN 'LOW' END AS confidence, CASE WHEN i201 THEN CASE WHEN form25 THEN 'FORM25' ELSE '8K' END WHEN rule IS NOT NULL THEN 'FORM25' WHEN merged OR kind = 'ETF' THEN 'TICKER_EVENT' WHEN i301 THEN '8K' WHEN pattern IS NOT NULL THEN 'PRICE_INFERRED' WHEN form25 THEN 'FORM25' END AS source FROM v),
+  w AS (SELECT *, CASE WHEN confidence = 'HIGH' AND reason IN ('MERGER', 'ACQUISITION_CASH', 'ACQUISITION_STOCK') THEN CASE WHEN cash IS NOT NULL AND ratio IS NULL THEN cash WHEN ratio IS NOT NULL AND NOT election THEN ratio * ac + coalesce(cash, 0) END END AS worth FROM d)"""
+
+
+@query(f"""WITH {_CASES} SELECT id, reason, confidence, source, acquirer, round(CASE WHEN reason = 'BANKRUPTCY' THEN -1 WHEN worth BETWEEN 0.6 * final_price AND 1.5 * final_price THEN (worth - final_price) / final_price END, 6) AS delisting_return, coalesce(NOT worth BETWEEN 0.6 * final_price AND 1.5 * final_price, false) AS out_of_limits FROM w""")
+def delisting_outcomes(spark, sf_dir):
+    """Why each security left and what its holders got, from filings near the day, deal texts and the acquirer's last close within three days."""
+    k, p = F.col("c_custkey"), F.col("o_orderpriority")
+    o = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("id"), F.to_date("o_orderdate").alias("filed"), "o_orderpriority")
+    until = o.groupBy("id").agg(F.date_sub(F.max("filed"), 20).alias("until"))
+    c = table(spark, sf_dir, "customer").select(
+        k.alias("id"), F.when(k % 10 == 0, "ETF").otherwise("CS").alias("kind"), F.when(k % 5 == 1, 0.05).otherwise(5 + k % 20).alias("final_price"),
+        (k % 17 == 0).alias("merged"), F.when(k % 3 == 0, "EXCHANGE_DROP").alias("pattern"),
+    ).join(until, "id")
+    found = outcomes.near(o, c, "id", "filed", "until", form25=(p == "1-URGENT", 90, 30), item_201=(p == "2-HIGH", 30, 30), item_301=(p == "3-MEDIUM", 45, 30), item_103=(p == "4-NOT SPECIFIED", 90, 30))
+    gap = F.datediff("filed", "until")
+    rule = records.best(_notices(spark, sf_dir).join(until, "id").where(gap.between(-90, 30)), ["id"], F.abs(gap), F.col("accession")).select("id", "rule")
+    s = F.col("s_suppkey")
+    firms = table(spark, sf_dir, "supplier").select(s.alias("sid"), F.concat(F.lit("FIRM "), F.when(s % 6 == 0, s - 1).otherwise(s).cast("string"), F.lit(" Group Ltd.")).alias("firm"))
+    all_ = found.join(rule, "id", "left").join(_terms(spark, sf_dir), "id", "left")
+    named = outcomes.named_security(all_, "priced_by", firms, "sid", "firm").withColumnRenamed("acquirer_id", "security_id")
+    daily = view(spark, sf_dir, "daily").select("security_id", "date", "close")
+    priced = joins.as_of(named, daily, "security_id", "until", "date", "close", ["close"], max_age="interval 3 days").withColumn("acquirer_close", F.col("asof_close") / 50)
+    gated = priced.withColumn("cash", outcomes.believable_cash(F.col("cash"), F.col("ratio"), F.col("final_price")))
+    return outcomes.decided(gated).select("id", "reason", "confidence", "source", "acquirer", r6("delisting_return").alias("delisting_return"), "out_of_limits")
