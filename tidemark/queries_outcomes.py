@@ -11,6 +11,7 @@ from tidemark.operators.windows import ordered
 from tidemark.plans import evaluate, factors
 from tidemark.queries import _WEIGHTS, GRID, _run, grid, r6
 from tidemark.registry import query
+from tidemark.sources import feeds
 from tidemark.sources.market import ctes, view
 from tidemark.sources.views import table
 
@@ -224,3 +225,46 @@ def delisting_outcomes(spark, sf_dir):
     priced = joins.as_of(named, daily, "security_id", "until", "date", "close", ["close"], max_age="interval 3 days").withColumn("acquirer_close", F.col("asof_close") / 50)
     gated = priced.withColumn("cash", outcomes.believable_cash(F.col("cash"), F.col("ratio"), F.col("final_price")))
     return outcomes.decided(gated).select("id", "reason", "confidence", "source", "acquirer", r6("delisting_return").alias("delisting_return"), "out_of_limits")
+
+
+# Submissions of holdings: an order is one, its line items are the table; every third has no cover, every seventh a broken one.
+
+_SUBMITTED = """SELECT o_orderkey AS accession, row_number() OVER (PARTITION BY o_orderkey ORDER BY l_linenumber, l_partkey, l_extendedprice, l_quantity) - 1 AS n, lpad(o_custkey::VARCHAR, 10, '0') AS filer_cik, CASE WHEN o_orderkey % 2 = 0 THEN '13F-HR' ELSE '13F-HR/A' END AS form_type, strftime(o_orderdate, '%Y-%m-%d') AS period,
+  CASE WHEN o_orderkey % 3 <> 0 AND o_orderkey % 7 <> 0 THEN 'Manager & Sons ' || o_custkey END AS filer_name, 'P' || lpad(l_partkey::VARCHAR, 8, '0') AS cusip, floor(l_extendedprice)::BIGINT AS market_value, floor(l_extendedprice)::BIGINT * CASE WHEN o_orderdate < TIMESTAMP '1996-01-01' THEN 1000 ELSE 1 END AS value_usd,
+  l_quantity::BIGINT AS amount, CASE WHEN l_linenumber = 6 THEN 'Put' END AS put_call, CASE WHEN l_linenumber <> 5 THEN l_linenumber END AS voting_sole, l_partkey AS part FROM orders JOIN lineitem ON l_orderkey = o_orderkey"""
+
+
+def _submissions(spark, sf_dir):
+    o, li = table(spark, sf_dir, "orders"), table(spark, sf_dir, "lineitem")
+    tag = lambda name, c: F.concat(F.lit(f"<n1:{name}>"), c, F.lit(f"</n1:{name}>"))
+    whole = lambda c: F.floor(c).cast("long").cast("string")
+    entry = F.concat(
+        F.lit("<n1:infoTable>\n"), tag("nameOfIssuer", F.concat(F.lit("Part "), F.col("l_partkey").cast("string"))), tag("cusip", F.concat(F.lit("P"), F.lpad(F.col("l_partkey").cast("string"), 8, "0"))), tag("value", whole("l_extendedprice")),
+        tag("shrsOrPrnAmt", F.concat(tag("sshPrnamt", whole("l_quantity")), tag("sshPrnamtType", F.lit("SH")))), F.when(F.col("l_linenumber") == 6, tag("putCall", F.lit("Put"))).otherwise(""),
+        tag("votingAuthority", tag("Sole", F.when(F.col("l_linenumber") == 5, "n/a").otherwise(F.col("l_linenumber").cast("string")))), F.lit("</n1:infoTable>"),
+    )
+    rows = li.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.transform(F.sort_array(F.collect_list(F.struct("l_linenumber", "l_partkey", "l_extendedprice", "l_quantity", entry.alias("x")))), lambda r: r["x"]).alias("rows"))  # an order has few items
+    k, cik, form = F.col("o_orderkey"), F.lpad(F.col("o_custkey").cast("string"), 10, "0"), F.when(F.col("o_orderkey") % 2 == 0, "13F-HR").otherwise("13F-HR/A")
+    head = F.concat(F.lit("<SEC-HEADER>\nCONFORMED SUBMISSION TYPE:\t"), form, F.lit("\nCONFORMED PERIOD OF REPORT:\t"), F.date_format("o_orderdate", "yyyyMMdd"), F.lit("\nCENTRAL INDEX KEY:\t\t"), F.col("o_custkey").cast("string"), F.lit("\n</SEC-HEADER>\n"))
+    cover = F.concat(
+        F.lit("<XML>\n<?xml version=\"1.0\"?>\n<edgarSubmission xmlns=\"a\"><headerData><submissionType>"), form, F.lit("</submissionType><filerInfo><filer><credentials><cik>"), cik, F.lit("</cik></credentials></filer><periodOfReport>"), F.date_format("o_orderdate", "MM-dd-yyyy"),
+        F.lit("</periodOfReport></filerInfo></headerData><formData><coverPage><filingManager><name>Manager &amp; Sons "), F.col("o_custkey").cast("string"), F.lit("</name></filingManager></coverPage></formData></edgarSubmission"), F.when(k % 7 == 0, "X").otherwise(""), F.lit(">\n</XML>\n"),
+    )
+    body = F.concat(F.lit("<XML>\n<n1:informationTable xmlns:n1=\"b\">"), F.array_join("rows", "\n"), F.lit("</n1:informationTable>\n</XML>\n"))
+    return o.join(rows, "o_orderkey").select(k.alias("accession"), F.to_date("o_orderdate").alias("filed"), F.concat(head, F.when(k % 3 == 0, "").otherwise(cover), body).alias("text"))
+
+
+@query(f"SELECT accession, n, filer_cik, form_type, period, filer_name, cusip, market_value, value_usd, amount, put_call, voting_sole FROM ({_SUBMITTED})")
+def holdings_reports(spark, sf_dir):
+    h = feeds.holdings_reports(_submissions(spark, sf_dir), "accession", "filed", dollars_since="1996-01-01")
+    whole = [F.col(c).cast("long").alias(c) for c in ("market_value", "value_usd", "amount", "voting_sole")]
+    return h.select("accession", F.col("n").cast("long").alias("n"), "filer_cik", "form_type", day("period").alias("period"), "filer_name", "cusip", "put_call", *whole)
+
+
+@query(f"""WITH h AS ({_SUBMITTED}), c AS (SELECT 'P' || lpad((p_partkey - p_partkey % 5 // 4)::VARCHAR, 8, '0') AS cusip, min(p_partkey) AS security_id FROM part GROUP BY 1 HAVING count(DISTINCT p_partkey) = 1) SELECT filer_cik, security_id, count(*) AS n, sum(amount) AS amount, sum(value_usd) AS value_usd FROM h LEFT JOIN c USING (cusip) GROUP BY 1, 2""")
+def filer_positions(spark, sf_dir):
+    """Holdings by filer and security; codes that several securities share name none."""
+    p = F.col("p_partkey")
+    codes = table(spark, sf_dir, "part").select(F.concat(F.lit("p"), F.lpad((p - F.floor(p % 5 / 4)).cast("string"), 8, "0")).alias("cusip"), p.alias("security_id"))
+    h = feeds.linked(feeds.holdings_reports(_submissions(spark, sf_dir), "accession", "filed", dollars_since="1996-01-01"), codes, "cusip", "security_id")
+    return h.groupBy("filer_cik", "security_id").agg(F.count("*").alias("n"), F.sum("amount").cast("long").alias("amount"), F.sum("value_usd").cast("long").alias("value_usd"))

@@ -64,3 +64,50 @@ def ownership(docs: DataFrame, xml_col: str = "xml") -> DataFrame:
     keys = [c for c in docs.columns if c != xml_col]
     rows = docs.select(*keys, x.alias("x")).select(*keys, F.col("x.owner").alias("o"), F.posexplode("x.transaction").alias("n", "t"))
     return rows.select(*keys, "n", F.explode("o").alias("owner"), "t.code", "t.shares", "t.price", F.round(F.col("t.shares") * F.col("t.price"), 6).alias("value"))
+
+
+_FILER = "headerData struct<submissionType:string,filerInfo:struct<filer:struct<credentials:struct<cik:string>>,periodOfReport:string>>, formData struct<coverPage:struct<filingManager:struct<name:string>,form13FFileNumber:string>>"
+_HOLDING = "nameOfIssuer:string,titleOfClass:string,cusip:string,value:string,shrsOrPrnAmt:struct<sshPrnamt:string,sshPrnamtType:string>,putCall:string,investmentDiscretion:string,otherManager:string,votingAuthority:struct<Sole:string,Shared:string,None:string>"
+
+
+def holdings_reports(filings: DataFrame, accession_col: str, filed_col: str | None = None, text_col: str = "text", dollars_since: str = "2023-01-03") -> DataFrame:
+    """filings with a row for each holding of a whole submission: n, its place from 0, row_hash, filer and security columns.
+
+    A submission holds a cover document and an information table among others, with any prefix of names. What the cover
+    doesn't tell, because it is missing or broken, is read in the header before them: form, period and cik. A submission
+    without a table gives no rows; equal holdings are rows of their own. Amounts that are no numbers are null. Values were
+    reported in thousands before dollars_since; with filed_col there is value_usd, the value in dollars whenever it was filed.
+    """
+    keys = [c for c in filings.columns if c != text_col]
+    parts = F.regexp_extract_all(text_col, F.lit(r"(?s)<XML>\s*(.*?)\s*</XML>"), F.lit(1))
+    plain = F.transform(parts, lambda x: F.regexp_replace(F.regexp_replace(x, r"(?s)^\s*<\?xml.*?\?>\s*", ""), r"(</?)[A-Za-z_][\w.-]*:", "$1"))
+    # a root that isn't closed is a broken document
+    root = lambda tag: F.get(F.filter(plain, lambda x: x.rlike(rf"(?s)^<{tag}[\s>].*</{tag}>\s*$")), F.lit(0))
+    header = lambda field: F.nullif(F.trim(F.regexp_extract(text_col, rf"(?m)^[ \t]*{field}:[ \t]*(\S.*)$", 1)), F.lit(""))
+    x = filings.select(
+        *keys, F.from_xml(root("edgarSubmission"), _FILER, {"rowTag": "edgarSubmission"}).alias("_c"), F.from_xml(root("informationTable"), f"infoTable array<struct<{_HOLDING}>>", {"rowTag": "informationTable"}).alias("_t"),
+        header("CONFORMED PERIOD OF REPORT").alias("_period"), header("CONFORMED SUBMISSION TYPE").alias("_form"), header("CENTRAL INDEX KEY").alias("_cik"),
+    )
+    date = lambda c, form: F.try_to_timestamp(c, F.lit(form)).cast("date")
+    text = lambda c, width: F.substring(F.nullif(F.trim(c), F.lit("")), 1, width)
+    number = lambda c: F.regexp_replace(F.trim(c), ",", "").try_cast("decimal(28,4)")
+    cik = F.coalesce(text(F.col("_c.headerData.filerInfo.filer.credentials.cik"), 10), F.col("_cik"))
+    told = x.select(
+        *keys, F.lpad(F.when(cik.rlike("^[0-9]+$"), cik), 10, "0").alias("filer_cik"), text(F.coalesce("_c.headerData.submissionType", "_form"), 20).alias("form_type"),
+        F.coalesce(date(F.col("_c.headerData.filerInfo.periodOfReport"), "MM-dd-yyyy"), date(F.col("_period"), "yyyyMMdd")).alias("period"),
+        text(F.col("_c.formData.coverPage.filingManager.name"), 255).alias("filer_name"), text(F.col("_c.formData.coverPage.form13FFileNumber"), 50).alias("file_number"), F.posexplode("_t.infoTable").alias("n", "_h"),
+    )
+    value = number(F.col("_h.value"))
+    usd = [] if filed_col is None else [F.when(F.col(filed_col) < F.lit(dollars_since).cast("date"), value * 1000).otherwise(value).cast("decimal(31,4)").alias("value_usd")]
+    return told.select(
+        *keys, "n", F.sha2(F.concat_ws("|", F.col(accession_col).cast("string"), F.col("n").cast("string")), 256).alias("row_hash"), "filer_cik", "form_type", "period", "filer_name", "file_number",
+        text(F.col("_h.nameOfIssuer"), 255).alias("issuer_name"), text(F.col("_h.titleOfClass"), 100).alias("title_of_class"), text(F.col("_h.cusip"), 20).alias("cusip"), value.alias("market_value"), *usd,
+        number(F.col("_h.shrsOrPrnAmt.sshPrnamt")).alias("amount"), text(F.col("_h.shrsOrPrnAmt.sshPrnamtType"), 10).alias("amount_type"), text(F.col("_h.putCall"), 10).alias("put_call"), text(F.col("_h.investmentDiscretion"), 20).alias("discretion"),
+        text(F.col("_h.otherManager"), 255).alias("other_manager"), *[number(F.col(f"_h.votingAuthority.{v}")).alias(f"voting_{v.lower()}") for v in ("Sole", "Shared", "None")],
+    )
+
+
+def linked(holdings: DataFrame, codes: DataFrame, code: str, ident: str) -> DataFrame:
+    """holdings with the id of their code, compared in capitals, where a code is of one id only."""
+    one = codes.where(F.col(ident).isNotNull()).groupBy(F.upper(code).alias("_code")).agg(F.min(ident).alias(ident), F.max(ident).alias("_most")).where(F.col(ident) == F.col("_most"))
+    return holdings.withColumn("_code", F.upper(code)).join(one.drop("_most"), "_code", "left").drop("_code")
