@@ -6,7 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.operators import identity as idn
-from tidemark.plans import evaluate
+from tidemark.operators import records
+from tidemark.plans import evaluate, formation
 
 D = date(2025, 1, 6)
 SECURITIES = "id long, figi string, cik string, symbol string, active boolean, newest date"
@@ -99,3 +100,27 @@ def test_costs_by_security(spark):
     assert one == pytest.approx(got)
     with pytest.raises(Exception, match="no cost of traded security 2"):
         evaluate.runs_of_weights(w.withColumn("cost", F.when(F.col("security_id") != 2, F.col("cost"))), "cost").collect()
+
+
+def test_formation_and_settlement(spark):
+    days = [D + timedelta(7 * i) for i in range(5)]
+    panel = spark.createDataFrame([(days[0], s, float(s % 4), float(s)) for s in range(1, 31)] + [(days[0], 99, None, 1.0), (days[0], 98, 9.0, None)], "date date, security_id long, value double, size double")
+    f = formation.formed(panel, "value", "size")
+    assert [(r.security_id, r.place) for r in f.orderBy("place").collect()] == [(3, 1), (7, 2)]  # of 1 to 10
+    assert formation.formed(panel, "value", "size", least=11).count() == 0
+    c = formation.continued(formation.formed(panel, "value", "size", groups=2), spark.createDataFrame([(10, 1), (50, 2), (3, 3)], "security_id long, place int"), 4)
+    assert [r.security_id for r in c.orderBy("place").collect()] == [10, 3, 7, 2]
+    s = formation.snapshot(f, 2)
+    rows = s.collect()
+    assert [r.w for r in rows] == [0.5, 0.5] and len({r.inputs for r in rows}) == 1
+    assert formation.snapshot(f.orderBy(F.desc("place")).repartition(3), 2).first().inputs == rows[0].inputs
+    assert formation.snapshot(f.withColumn("value", F.col("value") + 1), 2).first().inputs != rows[0].inputs
+    ledger = s.select("date", "security_id", "inputs")
+    assert records.new_rows(ledger, ledger, ["date", "security_id", "inputs"]).count() == 2  # a replay adds nothing
+    prices = spark.createDataFrame([(3, days[1], 10.0), (3, days[4], 12.0), (7, days[0], 5.0), (7, days[2], 6.0), (7, days[4], None)], "security_id long, date date, close double")
+    dates = spark.createDataFrame([(d,) for d in days], "date date")
+    got = {r.security_id: (r.entry, r.exit, r.ret, r.note) for r in formation.settled(s, prices, formation.executed(s, dates)).collect()}
+    assert got == {3: (days[1], days[4], pytest.approx(0.2), ""), 7: (days[1], days[4], pytest.approx(0.2), "frozen")}
+    gone = formation.settled(s, prices.where("false"), formation.executed(s, dates)).collect()
+    assert [(r.ret, r.note) for r in gone] == [(0.0, "missing")] * 2
+    assert formation.executed(s, dates.where(F.col("date") == days[0])).count() == 0

@@ -8,8 +8,8 @@ from tidemark.functions import deals
 from tidemark.operators import identity as idn
 from tidemark.operators import joins, outcomes, records
 from tidemark.operators.windows import ordered
-from tidemark.plans import evaluate, factors
-from tidemark.queries import _WEIGHTS, GRID, _run, grid, r6
+from tidemark.plans import evaluate, factors, formation
+from tidemark.queries import _PANEL, _WEIGHTS, GRID, _run, grid, r6
 from tidemark.registry import query
 from tidemark.sources import feeds
 from tidemark.sources.market import ctes, view
@@ -268,3 +268,30 @@ def filer_positions(spark, sf_dir):
     codes = table(spark, sf_dir, "part").select(F.concat(F.lit("p"), F.lpad((p - F.floor(p % 5 / 4)).cast("string"), 8, "0")).alias("cusip"), p.alias("security_id"))
     h = feeds.linked(feeds.holdings_reports(_submissions(spark, sf_dir), "accession", "filed", dollars_since="1996-01-01"), codes, "cusip", "security_id")
     return h.groupBy("filer_cik", "security_id").agg(F.count("*").alias("n"), F.sum("amount").cast("long").alias("amount"), F.sum("value_usd").cast("long").alias("value_usd"))
+
+
+# Formations at the ends of months: the better half by reversal of the smallest third by volume, five of them at most (fifths are the default, but few securities have volume in a week).
+
+_FORMED = f"""{_PANEL}, v AS (SELECT panel.date, security_id, value, grid.volume FROM panel JOIN grid USING (date, security_id) WHERE value IS NOT NULL AND grid.volume IS NOT NULL), ends AS (SELECT max(date) AS date FROM grid GROUP BY date_trunc('month', date)),
+  z AS (SELECT *, least((row_number() OVER (PARTITION BY date ORDER BY volume, security_id) - 1) * 3 // count(*) OVER (PARTITION BY date) + 1, 3) AS c FROM v SEMI JOIN ends USING (date)), g AS (SELECT *, least((row_number() OVER (PARTITION BY date ORDER BY value, security_id) - 1) * 2 // count(*) OVER (PARTITION BY date) + 1, 2) AS q FROM z WHERE c = 1),
+  formed AS (SELECT date, security_id, value, row_number() OVER (PARTITION BY date ORDER BY value DESC, security_id) AS place FROM g WHERE q = 2 QUALIFY place <= 5)"""
+
+
+def _formed(spark, sf_dir):
+    g = evaluate.last_of(factors.prepared(grid(spark, sf_dir)).withColumn("value", factors.reversal()).select("date", "security_id", "value", "volume"), "month")
+    return formation.snapshot(formation.formed(g.where("rebalance"), "value", "volume", groups=2), 5)
+
+
+@query(f"WITH {_FORMED} SELECT strftime(date, '%Y-%m-%d') AS date, security_id, place, round(value, 6) AS value, round(1 / count(*) OVER (PARTITION BY date), 6) AS w FROM formed")
+def formation_snapshots(spark, sf_dir):
+    return _formed(spark, sf_dir).select(day("date").alias("date"), "security_id", "place", r6("value").alias("value"), r6("w").alias("w"))
+
+
+@query(f"""WITH {_FORMED}, next_days AS (SELECT date, lead(date) OVER (ORDER BY date) AS entry, max(date) OVER () AS last FROM (SELECT DISTINCT date FROM grid)), x AS (SELECT date, entry, last FROM next_days SEMI JOIN formed USING (date) WHERE entry IS NOT NULL), e AS (SELECT date, entry, coalesce(lead(entry) OVER (ORDER BY date), last) AS exit FROM x QUALIFY entry < exit),
+  p AS (SELECT security_id, date, close FROM grid WHERE close IS NOT NULL), h AS (SELECT f.*, entry, exit, 1 / count(*) OVER (PARTITION BY date) AS w FROM formed f JOIN e USING (date)), a AS (SELECT h.*, p.close AS p0 FROM h ASOF LEFT JOIN p ON p.security_id = h.security_id AND h.entry >= p.date), b AS (SELECT a.*, p.close AS p1, p.date AS d1 FROM a ASOF LEFT JOIN p ON p.security_id = a.security_id AND a.exit >= p.date)
+  SELECT strftime(date, '%Y-%m-%d') AS date, strftime(any_value(entry), '%Y-%m-%d') AS entry, strftime(any_value(exit), '%Y-%m-%d') AS until, count(*) AS n, count(*) FILTER (WHERE d1 < exit) AS frozen, round(sum(w * coalesce(p1 / p0 - 1, 0)), 6) AS ret FROM b GROUP BY date""")
+def settled_formations(spark, sf_dir):
+    """What each month's snapshot returned up to the next one's execution."""
+    s, g = _formed(spark, sf_dir), grid(spark, sf_dir)
+    r = formation.settled(s, g, formation.executed(s, g))
+    return r.groupBy("date").agg(day(F.first("entry")).alias("entry"), day(F.first("exit")).alias("until"), F.count("*").alias("n"), F.count_if(F.col("note") == "frozen").alias("frozen"), r6(F.sum(F.col("w") * F.col("ret"))).alias("ret")).withColumn("date", day("date"))
