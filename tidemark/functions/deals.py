@@ -96,23 +96,26 @@ def removal_rule(doc: Column) -> Column:
     provisions with boxes, those count whose nearest box before them, 90 characters back at most, is ticked; without any
     boxes the one that is cited. Several of one family give the family, of different families nothing, with a note.
     """
+    structured = doc.rlike(r"(?i)<\s*(?:ruleProvision|descriptionClassSecurity)\b")
     stated = _provisions(F.regexp_extract_all(doc, F.lit(r"(?is)<\s*ruleProvision\s*>(.*?)<\s*/\s*ruleProvision\s*>"), F.lit(1)))
     tags = F.array_sort(F.array_distinct(F.transform(F.regexp_extract_all(doc, F.lit(r"(?i)rule12d2[-_]?2([abc])\b"), F.lit(1)), F.lower)))
     boxes = F.replace(F.replace(F.replace(doc, F.lit("&#9746;"), F.lit("☒")), F.lit("&#9744;"), F.lit("☐")), F.lit("&#9745;"), F.lit("☑"))
-    text = strip_html(boxes)
-    cited = F.regexp_extract_all(text, F.lit(_CITED), F.lit(0))
 
-    def ticked(x: Column, at: Column) -> Column:
-        from_ = F.greatest(at - MARK_CHARS, F.lit(1))
-        last = F.regexp_extract(F.substr(text, from_, at - from_), rf"(?s)^.*({_MARK})", 1)
-        return F.when(last.rlike(_CHECKED), x)
+    def read(text: Column) -> Column:
+        """(cited, boxed, chosen) of the text of a form."""
+        cited, boxed = F.regexp_extract_all(text, F.lit(_CITED), F.lit(0)), text.rlike(_MARK)
 
-    boxed = text.rlike(_MARK)
-    chosen = _provisions(F.when(boxed, F.array_compact(F.zip_with(cited, _starts(text, _CITED), ticked))).otherwise(cited))
-    structured = doc.rlike(r"(?i)<\s*(?:ruleProvision|descriptionClassSecurity)\b")
-    keys = F.when(structured, stated).when(F.size(tags) > 0, tags).otherwise(chosen)
+        def ticked(x: Column, at: Column) -> Column:
+            from_ = F.greatest(at - MARK_CHARS, F.lit(1))
+            last = F.regexp_extract(F.substr(text, from_, at - from_), rf"(?s)^.*({_MARK})", 1)
+            return F.when(last.rlike(_CHECKED), x)
+
+        return F.struct((F.size(cited) > 0).alias("cited"), boxed.alias("boxed"), F.when(boxed, F.array_compact(F.zip_with(cited, _starts(text, _CITED), ticked))).otherwise(cited).alias("chosen"))
+
+    # the text is a variable of the lambda, so that it is made once a form, and only of forms
+    form = F.get(F.transform(F.array(F.when(structured | (F.size(tags) > 0), "").otherwise(strip_html(boxes))), read), F.lit(0))
+    keys = F.when(structured, stated).when(F.size(tags) > 0, tags).otherwise(_provisions(form["chosen"]))
     families = F.array_distinct(F.transform(keys, lambda k: F.substring(k, 1, 1)))
     rule = F.when(F.size(keys) == 1, F.get(keys, F.lit(0))).when(F.size(families) == 1, F.get(families, F.lit(0)))
-    unticked = ~structured & (F.size(tags) == 0) & boxed & (F.size(cited) > 0)
-    note = F.when(F.size(families) > 1, F.concat(F.lit("several families: "), F.array_join(keys, ","))).when(F.size(keys) > 1, F.concat(F.lit("one family: "), F.array_join(keys, ","))).when((F.size(keys) == 0) & unticked, "none ticked")
+    note = F.when(F.size(families) > 1, F.concat(F.lit("several families: "), F.array_join(keys, ","))).when(F.size(keys) > 1, F.concat(F.lit("one family: "), F.array_join(keys, ","))).when((F.size(keys) == 0) & form["boxed"] & form["cited"], "none ticked")
     return F.struct(rule.alias("rule"), note.alias("note"))
