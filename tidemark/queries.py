@@ -411,4 +411,4 @@ def normal_names(spark, sf_dir):
     return table(spark, sf_dir, "part").select("p_partkey", normal_name(F.concat("p_name", F.lit(" & Co., Inc."))).alias("name"))
 
 
-from tidemark import queries_archives, queries_composites, queries_evaluation, queries_filings, queries_fundamentals, queries_intraday, queries_master, queries_outcomes, queries_quality, queries_records  # noqa: E402, F401
+from tidemark import queries_archives, queries_checks, queries_composites, queries_evaluation, queries_filings, queries_fundamentals, queries_intraday, queries_master, queries_outcomes, queries_quality, queries_records  # noqa: E402, F401
