@@ -51,8 +51,10 @@ def adjustment(prices: DataFrame, factors: DataFrame, key: str, date: str, ex_da
     w = Window.partitionBy(key).orderBy(F.desc("_d"), "_side").rowsBetween(Window.unboundedPreceding, 0)
     whole = Window.partitionBy(key)
     after = F.lit(1.0) if as_of is None else F.coalesce(F.min_by("_c", F.when((F.col("_side") == 1) & (F.col("_d") > as_of), F.col("_d"))).over(whole), F.lit(1.0))
-    both = bars.unionByName(events).select("_row", "_side", (F.coalesce(F.last("_c", ignorenulls=True).over(w), F.lit(1.0)) / after).alias("factor"))
-    return both.where("_side = 0").select("_row.*", "factor")
+    both = bars.unionByName(events).select("_row", "_side", F.coalesce(F.last("_c", ignorenulls=True).over(w), F.lit(1.0)).alias("_f"), after.alias("_after"))
+    # rounded factors may be zero: over it, zero is no number and the rest is infinite
+    ratio = F.when(F.col("_after") != 0, F.col("_f") / F.col("_after")).when(F.col("_f") == 0, float("nan")).otherwise(float("inf"))
+    return both.where("_side = 0").select("_row.*", ratio.alias("factor"))
 
 
 def before(left: DataFrame, right: DataFrame, key: str, left_on: str, right_on: str, tie: str, values: list[str]) -> DataFrame:

@@ -62,7 +62,9 @@ def cumulative_factor(spark, sf_dir):
 def adjusted_prices(spark, sf_dir):
     c = ev.cumulative_factors(_factors(spark, sf_dir), "security_id", "ex_date", "factor")
     p = ev.adjustment(view(spark, sf_dir, "daily"), c, "security_id", "date", "ex_date", F.lit("1999-06-30").cast("date"))
-    return p.select("security_id", day("date").alias("date"), F.round(F.ln(F.col("close") * F.col("factor")), 9).alias("log_adjusted"))
+    x = F.col("close") * F.col("factor")
+    # a product of factors that rounds to zero has a logarithm in SQL, and none in Spark
+    return p.select("security_id", day("date").alias("date"), F.round(F.when(x == 0, float("-inf")).otherwise(F.ln(x)), 9).alias("log_adjusted"))
 
 
 @query(f"""WITH {ctes('actions', 'daily')}, b AS (SELECT a.event_id, d.close AS prev_close FROM actions a ASOF LEFT JOIN daily d ON a.security_id = d.security_id AND a.ex_date > d.date),
