@@ -8,6 +8,7 @@ from decimal import Decimal
 
 import pytest
 from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
 
 from tidemark.sources import archives
 
@@ -164,3 +165,33 @@ def test_changes_of_tickers(spark):
     df = spark.createDataFrame(rows, "cik string, composite_figi string, queried_ticker string, event_date string, event_type string, ticker_at_event string, event_payload string")
     got = [(r.queried, r.cik, r.figi, r.ticker, r.reason) for r in archives.ticker_changes(df).collect()]
     assert got == [("fb", "123", "BBG1", "meta", None), ("fb", None, None, "meta", None), ("x", None, None, "x", "epoch"), ("x", None, None, "x", "kind"), ("x", None, None, None, "row"), ("x", None, None, "x", "row")]
+
+
+def test_lines_are_asked_without_the_text_of_their_file(spark):
+    files = spark.createDataFrame([("x", "1/2024-01-02.csv.gz", "ticker")], "archive string, member string, text string").withColumn("day", F.lit("2024-01-02").cast("date"))
+    tenures = spark.createDataFrame([(1, "A", None, None)], "security_id long, symbol string, start date, end date")
+    rows = archives.day_bars(files, tenures)
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    after = plan[: plan.index("Generate explode")]
+    assert "split(text" not in after and plan.count("Generate explode(CASE") == 1
+
+
+def test_holders_of_symbols_with_overlaps_and_days_without_any(spark):
+    d = date
+    tenures = spark.createDataFrame(
+        [
+            (2**62, "A", d(2000, 1, 1), d(2000, 2, 1)), (2**62, "a", d(2000, 1, 15), d(2000, 3, 1)), (2**62 + 1, "A", d(2000, 2, 15), None), (2**62 + 2, "A", d(2000, 4, 1), d(2000, 4, 1)), (7, "B", None, None),
+        ], "security_id long, symbol string, start date, end date",
+    )
+    days = [("A", d(1999, 12, 31)), ("A", d(2000, 1, 20)), ("A", d(2000, 2, 14)), ("A", d(2000, 2, 20)), ("A", d(2000, 3, 1)), ("A", d(2090, 1, 1)), ("B", d(2000, 1, 1)), ("C", d(2000, 1, 1)), ("Ap", d(2000, 1, 20)), ("A", None)]
+    rows = spark.createDataFrame([(i, *x, None) for i, x in enumerate(days)], "i int, ticker string, day date, reason string")
+    got = [(r["security_id"], r["reason"]) for r in archives.attributed(rows, tenures, "ticker", "day").orderBy("i").collect()]
+    one, two = 2**62, 2**62 + 1
+    assert got == [(None, "tenure"), (one, None), (one, None), (None, "ambiguous"), (two, None), (two, None), (None, "tenure"), (None, "symbol"), (None, "class"), (None, "tenure")]
+
+
+def test_a_reload_reads_its_load_twice_at_most(spark):
+    load = spark.createDataFrame([], "security_id long, date date, open decimal(18,6), high decimal(18,6), low decimal(18,6), close decimal(18,6), volume long, trade_count long").where("close > 77")
+    prices = load.withColumn("vwap", F.lit(1.0)).where("security_id > 0")
+    plan = archives.reloaded(prices, load)._jdf.queryExecution().analyzed().toString()
+    assert plan.count("77") <= 3  # its own, that of the prices, and that of the reach

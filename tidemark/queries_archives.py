@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tidemark.operators.writes import upsert
 from tidemark.registry import query
 from tidemark.sources import archives
 from tidemark.sources.market import ctes, view
@@ -86,7 +87,7 @@ def _priced(spark, sf_dir):
     """(staged, prices): what a tree of prices by volume holds, and the bars it may fill."""
     load, d = _load(spark, sf_dir).withColumn("vwap", F.lit(None).cast("double")), view(spark, sf_dir, "daily")
     stored = _stored(spark, sf_dir)
-    prices = load.unionByName(stored.join(load.select("security_id", "date"), ["security_id", "date"], "left_anti"))
+    prices = upsert(stored, load, ["security_id", "date"], overwrite=[c for c in stored.columns if c not in ("security_id", "date")])
     k, close = F.col("security_id") + F.day("date"), F.floor("close")
     ticker = F.concat(F.lit("S"), F.floor(F.col("security_id") / 3).cast("string"), F.when(F.col("security_id") % 17 == 0, "p").otherwise(""))
     tree = d.select(ticker.alias("symbol"), "date", F.when(k % 7 == 0, 0).otherwise(close + k % 3).cast("double").alias("vw"), F.when(k % 5 == 0, close + 1).otherwise(close).cast("decimal(18,6)").alias("close"), (k % 2).cast("int").alias("place"))

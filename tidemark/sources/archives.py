@@ -84,7 +84,8 @@ def day_rows(files: DataFrame, header: Sequence[str] = HEADER, strict: bool = Fa
         fits = F.when(fits, True).otherwise(F.raise_error(F.concat(F.lit("unexpected header in "), "member")).cast("boolean"))
     numbered = F.transform(lines, lambda x, i: F.struct(i.alias("n"), x.alias("line")))
     wanted = F.when(fits, F.filter(numbered, lambda x: (x["n"] > 0) & (F.trim(x["line"]) != ""))).otherwise(F.slice(numbered, 1, 1))
-    rows = files.select("archive", "member", "day", fits.alias("_fits"), F.explode(wanted).alias("_l")).select("archive", "member", "day", "_fits", "_l.n", "_l.line")
+    # only a file whose header doesn't fit gives a line 0; asked of the line, so that no line carries its file's text along
+    rows = files.select("archive", "member", "day", F.explode(wanted).alias("_l")).select("archive", "member", "day", (F.col("_l.n") > 0).alias("_fits"), "_l.n", "_l.line")
     schema = ", ".join(f"`{c}` string" for c in (*header, "_broken"))
     c = rows.withColumn("_c", F.from_csv("line", schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_broken"}))
     prices = {x: F.col(f"_c.{x}").try_cast(_PRICE) for x in ("open", "high", "low", "close")}
@@ -95,29 +96,48 @@ def day_rows(files: DataFrame, header: Sequence[str] = HEADER, strict: bool = Fa
     return t.withColumn("reason", reason).drop("_fits", "_broken")
 
 
-def attributed(rows: DataFrame, tenures: DataFrame, ticker: str, on: str, span_days: int = 64) -> DataFrame:
+def holders(tenures: DataFrame) -> DataFrame:
+    """(_k, _at, _n, _id) of tenures (security_id, symbol, start, end): how many securities have a symbol in small letters from a day on, and which if one.
+
+    A row for each day on which that changes, and one without a day for every symbol. Tenures of one security that overlap are one.
+    """
+    held = tenures.select("security_id", F.lower("symbol").alias("_k"), "start", "end").where(F.col("_k").isNotNull())
+    lasting = held.where(F.col("security_id").isNotNull() & F.col("start").isNotNull() & (F.col("end").isNull() | (F.col("start") < F.col("end"))))
+    ends = F.filter(F.array(F.struct(F.col("start").alias("at"), F.lit(1).alias("d")), F.struct(F.col("end").alias("at"), F.lit(-1).alias("d"))), lambda e: e["at"].isNotNull())
+    moves = lasting.select("_k", "security_id", F.explode(ends).alias("_e")).groupBy("_k", "security_id", F.col("_e.at").alias("_at")).agg(F.sum("_e.d").alias("_d"))
+    own = Window.partitionBy("_k", "security_id").orderBy("_at")
+    has = moves.select("_k", "security_id", "_at", (F.sum("_d").over(own) > 0).cast("int").alias("_has"))
+    turns = has.withColumn("_d", F.col("_has") - F.lag("_has", 1, 0).over(own)).where("_d <> 0")
+    ident = F.col("security_id").cast("decimal(20,0)")
+    days = turns.groupBy("_k", "_at").agg(F.sum("_d").alias("_d"), F.sum(F.col("_d") * ident).alias("_s"))
+    run = Window.partitionBy("_k").orderBy("_at").rowsBetween(Window.unboundedPreceding, 0)
+    n = F.sum("_d").over(run)
+    # the sum of the holders' ids is the id where there is one
+    steps = days.select("_k", "_at", n.alias("_n"), F.when(n == 1, F.sum("_s").over(run)).cast(tenures.schema["security_id"].dataType).alias("_id"))
+    return held.select("_k", F.lit(None).cast(steps.schema["_at"].dataType).alias("_at"), F.lit(0).cast("bigint").alias("_n"), F.lit(None).cast(steps.schema["_id"].dataType).alias("_id")).distinct().unionByName(steps)
+
+
+def attributed(rows: DataFrame, tenures: DataFrame, ticker: str, on: str) -> DataFrame:
     """rows with security_id, that of the only security whose tenure of the ticker [start, end) holds the day, and more reasons.
 
     'class' for tickers of other classes, 'symbol' where nobody ever had it, 'tenure' where nobody had it on the day,
     'ambiguous' where several did. Rows that have a reason already aren't asked about. Tenures (security_id, symbol, start,
-    end) compare without regard to capitals; a null end is open. Distinct tickers and days meet the tenures in reach of
-    their span of days only, and the answers are joined back by both.
+    end) compare without regard to capitals; a null end is open. Rows and changes of holders are united and ordered by
+    ticker once, so rows are read once; rows that aren't asked about are dealt to all tasks.
     """
-    span = lambda d: F.floor(F.datediff(d, F.lit("1970-01-01")) / span_days)
     fits = F.coalesce(F.col(ticker).rlike(TICKER), F.lit(False))
-    keyed = rows.withColumn("_k", F.when(F.col("reason").isNull() & fits, F.lower(ticker)))
-    asked = keyed.where(F.col("_k").isNotNull()).select("_k", F.col(on).alias("_on")).distinct()
-    last = asked.agg(F.max("_on").alias("_last"))
-    held = tenures.select("security_id", F.lower("symbol").alias("_k"), "start", "end")
-    until = F.coalesce(F.date_sub("end", 1), F.col("_last"))
-    put = held.join(F.broadcast(last)).where(F.col("start") <= until).withColumn("_span", F.explode(F.sequence(span(F.col("start")), span(until))))  # a single row
-    inside = (F.col("_on") >= F.col("start")) & (F.col("end").isNull() | (F.col("_on") < F.col("end")))
-    hits = asked.withColumn("_span", span(F.col("_on"))).join(put, ["_k", "_span"]).where(inside).groupBy("_k", "_on").agg(F.min("security_id").alias("_id"), F.max("security_id").alias("_most"))
-    answers = asked.join(hits, ["_k", "_on"], "left").join(held.select("_k").distinct().withColumn("_known", F.lit(True)), "_k", "left")
-    one = F.col("_id") == F.col("_most")
-    why = F.when(F.col("reason").isNotNull(), F.col("reason")).when(~fits, "class").when(F.col("_known").isNull(), "symbol").when(F.col("_id").isNull(), "tenure").when(~one, "ambiguous")
-    found = keyed.join(answers.withColumnRenamed("_on", on), ["_k", on], "left")
-    return found.select(*[c for c in rows.columns if c != "reason"], F.when(one, F.col("_id")).alias("security_id"), why.alias("reason"))
+    key = F.when(F.col("reason").isNull() & fits, F.lower(ticker))
+    day = rows.schema[on].dataType
+    answer = F.struct(F.col("_n"), F.col("_id"))
+    told = holders(tenures).select("_k", F.lit(0).cast("bigint").alias("_deal"), F.col("_at").cast(day).alias("_at"), F.lit(0).alias("_side"), answer.alias("_told"), F.lit(None).cast(rows.select(F.struct("*")).schema[0].dataType).alias("_row"))
+    asking = rows.select(key.alias("_k"), F.struct("*").alias("_row"), F.xxhash64(ticker, on).alias("_hash")).select(
+        "_k", F.when(F.col("_k").isNull(), F.col("_hash")).otherwise(0).alias("_deal"), F.col(f"_row.{on}").alias("_at"), F.lit(1).alias("_side"), F.lit(None).cast(told.schema["_told"].dataType).alias("_told"), "_row",
+    )
+    w = Window.partitionBy("_k", "_deal").orderBy("_at", "_side").rowsBetween(Window.unboundedPreceding, 0)
+    found = told.unionByName(asking).withColumn("_told", F.last("_told", ignorenulls=True).over(w)).where("_side = 1").select("_row.*", "_told")
+    n, one = F.col("_told._n"), F.col("reason").isNull() & fits & (F.col("_told._n") == 1)
+    why = F.when(F.col("reason").isNotNull(), F.col("reason")).when(~fits, "class").when(n.isNull(), "symbol").when(n == 0, "tenure").when(n > 1, "ambiguous")
+    return found.select(*[c for c in rows.columns if c != "reason"], F.when(one, F.col("_told._id")).alias("security_id"), why.alias("reason"))
 
 
 def day_bars(files: DataFrame, tenures: DataFrame, first_known: DataFrame | None = None, era_start: str = "2024-01-01", cutoff: str | None = None, strict: bool = False) -> DataFrame:
@@ -142,6 +162,15 @@ def loaded(rows: DataFrame) -> DataFrame:
     return last_per_key(kept, ["security_id", "day"], ["_archive", "member", "n"]).select("security_id", F.col("day").alias("date"), *_BARS)
 
 
+def _without_ghosts(marked: DataFrame, load: DataFrame, fingerprint: Sequence[str]) -> DataFrame:
+    """marked, whose _own tells rows that are in load, without the ghosts among the others."""
+    reach = load.agg(F.min("date").alias("_lo"), F.max("date").alias("_hi"))
+    p = marked.withColumn("_touched", F.max("_own").over(Window.partitionBy("security_id"))).join(F.broadcast(reach))  # a single row
+    bare = F.greatest(*[F.col(c).isNotNull() for c in fingerprint]) == F.lit(False)
+    ghost = F.col("security_id").isNotNull() & F.col("_touched").isNotNull() & F.col("_own").isNull() & F.coalesce(F.col("date").between(F.col("_lo"), F.col("_hi")), F.lit(False)) & bare
+    return p.where(~ghost).drop("_own", "_touched", "_lo", "_hi")
+
+
 def without_remnants(prices: DataFrame, load: DataFrame, fingerprint: Sequence[str] = ("vwap", "trade_count")) -> DataFrame:
     """prices without the rows a load shows to be ghosts: of a security in it, inside its dates, without a row in it, and without any value that a real source gives."""
     reach = load.agg(F.min("date").alias("_lo"), F.max("date").alias("_hi"))
@@ -155,8 +184,11 @@ def without_remnants(prices: DataFrame, load: DataFrame, fingerprint: Sequence[s
 
 def reloaded(prices: DataFrame, load: DataFrame, purge: bool = True) -> DataFrame:
     """prices(security_id, date, bars, vwap) after a load: its bars replace those there, vwap stays, ghosts go. Doing it again changes nothing."""
-    after = upsert(prices, load, ["security_id", "date"], overwrite=_BARS)
-    return without_remnants(after, load) if purge else after
+    keys = ["security_id", "date"]
+    if not purge:
+        return upsert(prices, load, keys, overwrite=_BARS)
+    marked = upsert(prices.withColumn("_own", F.lit(None).cast("boolean")), load.withColumn("_own", F.lit(True)), keys, overwrite=(*_BARS, "_own"))
+    return _without_ghosts(marked, load, ("vwap", "trade_count")).select(*prices.columns)
 
 
 # Prices by volume
