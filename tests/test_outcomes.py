@@ -165,3 +165,10 @@ def test_filings_near_a_day(spark):
     cases = spark.createDataFrame([(1, "2025-06-30"), (2, "2025-06-30"), (2, "2024-06-30"), (3, "2025-06-30"), (3, None)], "id long, until string").withColumn("until", F.to_date("until"))
     got = {(r.id, str(r.until)): (r.x, r.y) for r in outcomes.near(filings, cases, "id", "filed", "until", x=(F.col("form") == "x", 60, 0), y=(F.col("form") == "y", 0, 30)).collect()}
     assert got == {(1, "2025-06-30"): (True, False), (2, "2025-06-30"): (True, False), (2, "2024-06-30"): (False, False), (3, "2025-06-30"): (False, False), (3, "None"): (False, False)}
+
+
+def test_returns_are_rounded_once(spark):
+    row = {"kind": "CS", "item_201": True, "cash": 15.887610000000002, "final_price": 20.0}
+    df = spark.createDataFrame([tuple(row.get(f) for f in FIELDS)], ", ".join(f"{f} {t}" for f, t in FIELDS.items()))
+    got = outcomes.decided(df, digits=None).select(F.round("delisting_return", 6)).first()[0]
+    assert got == -0.205619 and outcomes.decided(df).select("delisting_return").first()[0] == -0.2056195

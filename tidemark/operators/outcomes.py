@@ -70,7 +70,7 @@ def named_security(names: DataFrame, name: str, securities: DataFrame, ident: st
     return found.withColumn("acquirer_id", F.when(F.col("candidates") == 1, F.col("_id"))).withColumn("candidates", F.coalesce("candidates", F.lit(0))).drop("_key", "_id")
 
 
-def decided(cases: DataFrame) -> DataFrame:
+def decided(cases: DataFrame, digits: int | None = 8) -> DataFrame:
     """cases with reason, confidence, source and delisting_return, by the first rule whose evidence is there.
 
     cases has kind (ETF or other), the flags form25, item_201, item_103, item_301 and merged, rule, pattern (a reason told
@@ -78,6 +78,7 @@ def decided(cases: DataFrame) -> DataFrame:
     removal, that before a merged identity, a closed fund, a notice by the exchange and the pattern of prices. A return is
     told for a bankruptcy with its three proofs, and for deals of high confidence from cash, or shares at the acquirer's
     price where holders don't elect; one beyond RETURN_LIMITS isn't, and out_of_limits says so. Flags that are null are false.
+    Returns are rounded to digits; None is for callers that round themselves, since rounding twice can end elsewhere.
     """
     yes = lambda c: F.coalesce(F.col(c), F.lit(False))
     fund = F.coalesce(F.upper("kind") == "ETF", F.lit(False))
@@ -106,7 +107,8 @@ def decided(cases: DataFrame) -> DataFrame:
     worth = F.when(deals_only, F.when(in_cash, F.col("cash")).otherwise(by_shares))
     low, high = RETURN_LIMITS
     good = worth.between(low * F.col("final_price"), high * F.col("final_price"))
-    told = F.when(out["_v.reason"] == "BANKRUPTCY", -1.0).when(good, F.round((worth - F.col("final_price")) / F.col("final_price"), 8))
+    exact = (worth - F.col("final_price")) / F.col("final_price")
+    told = F.when(out["_v.reason"] == "BANKRUPTCY", -1.0).when(good, exact if digits is None else F.round(exact, digits))
     return out.select(*cases.columns, "_v.*", told.alias("delisting_return"), F.coalesce(~good, F.lit(False)).alias("out_of_limits"))
 
 
