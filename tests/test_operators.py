@@ -188,3 +188,13 @@ def test_streaming_windows(spark, tmp_path):
     run.awaitTermination(120)
     got, want = rows(spark.read.parquet(str(tmp_path / "out")).select("start", "event_type", "n")), rows(windowed(e).select("start", "event_type", "n"))
     assert set(got) <= set(want) and len(want) - len(got) <= 12
+
+
+def test_ranks_hold_one_sort_for_each_column(spark):
+    nan = float("nan")
+    rows = [("d", 3.0, None), ("d", None, None), ("d", 3.0, 0.0), ("d", 1.0, -0.0), ("d", nan, 2.0), ("d", nan, None), ("e", None, 5.0)]
+    df = spark.createDataFrame(rows, "date string, x double, y double").repartition("date")
+    ranked = df.select("date", "x", "y", xs.average_rank("x").alias("a"), xs.percent_rank("y").alias("b"))
+    assert ranked._jdf.queryExecution().sparkPlan().toString().count("Window [") == 3  # the order of each, and what all share
+    got = sorted((r.date, str(r.x), str(r.y), r.a, r.b) for r in ranked.collect())
+    assert got == sorted([("d", "3.0", "None", 2.5, None), ("d", "None", "None", None, None), ("d", "3.0", "0.0", 2.5, 0.5), ("d", "1.0", "-0.0", 1.0, 0.5), ("d", "nan", "2.0", 4.5, 1.0), ("d", "nan", "None", 4.5, None), ("e", "None", "5.0", None, 1.0)])

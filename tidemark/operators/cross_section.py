@@ -10,11 +10,15 @@ def by_date() -> WindowSpec:
 
 
 def average_rank(x: str, by: list[str] | None = None) -> Column:
-    """Rank from 1 with ties averaged; null stays null and takes no rank."""
+    """Rank from 1 with ties averaged; null stays null and takes no rank.
+
+    Nulls come first and are taken off, so that one order by keys and x serves ranks, ties and counts: a task holds one sort for each x.
+    """
     keys = by or ["date"]
-    ordered = Window.partitionBy(*keys, F.col(x).isNull()).orderBy(x)
-    ties = Window.partitionBy(*keys, x)
-    return F.when(F.col(x).isNotNull(), F.rank().over(ordered) + (F.count("*").over(ties) - 1) / 2)
+    whole = Window.partitionBy(*keys)
+    nulls, ordered = F.count("*").over(whole) - F.count(x).over(whole), whole.orderBy(x)
+    ties = ordered.rangeBetween(Window.currentRow, Window.currentRow)
+    return F.when(F.col(x).isNotNull(), F.rank().over(ordered) - nulls + (F.count("*").over(ties) - 1) / 2)
 
 
 def percent_rank(x: str, by: list[str] | None = None) -> Column:
