@@ -13,7 +13,8 @@ from operator import and_, or_
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.operators.events import changes, no_regressions
+from tidemark.operators.events import no_regressions
+from tidemark.operators.windows import dealt
 
 #: Days from start to end of a quarter, half a year, nine months and a year. Fixed values.
 DURATIONS = {"Q": (80, 100), "H": (170, 192), "N": (258, 285), "Y": (350, 380)}
@@ -35,14 +36,15 @@ def histories(facts: DataFrame, metrics: Metrics) -> DataFrame:
     names = F.array(*[F.struct(F.lit(c).alias("concept"), F.lit(m).alias("metric"), F.lit(i).alias("rank"), F.lit(kind).alias("kind")) for m, (kind, concepts) in metrics.items() for i, c in enumerate(concepts)])
     spec = facts.sparkSession.range(1).select(F.inline(names))  # as many rows as there are concepts
     keys = ["security_id", "concept", "period_start", "period_end"]
-    changed = changes(facts.repartition("security_id"), keys, ["filed", "accession"], "value")
-    last = F.max("accession").over(Window.partitionBy(*keys, "filed"))
-    one = changed.withColumn("_last", last).where("accession = _last").join(F.broadcast(spec), "concept")
+    wanted = dealt(facts.where(F.col("concept").isin(sorted({c for _, concepts in metrics.values() for c in concepts}))), "security_id")
+    reports = wanted.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("filed", "accession", "value"))).alias("_all"))
+    changed = F.filter("_all", lambda x, i: (i == 0) | ~x["value"].eqNullSafe(F.get("_all", i - 1)["value"]))
+    last = F.filter("_changed", lambda x, i: ~x["filed"].eqNullSafe(F.get("_changed", i + 1)["filed"]) | (i == F.size("_changed") - 1))
+    told = reports.withColumn("_changed", changed).withColumn("history", F.transform(last, lambda x: F.struct(x["filed"].alias("filed"), x["value"].alias("value")))).join(F.broadcast(spec), "concept")
     days, duration = F.datediff("period_end", "period_start"), F.lit(None).cast("string")
     for name, (least, most) in DURATIONS.items():
         duration = F.when((F.col("kind") == "flow") & days.between(least, most), name).otherwise(duration)
-    told = one.groupBy(*_IDENT, "kind", "period_start", "period_end").agg(F.sort_array(F.collect_list(F.struct("filed", "value"))).alias("history"))
-    return told.withColumn("duration", duration)
+    return told.select(*_IDENT, "kind", duration.alias("duration"), "period_start", "period_end", "history")
 
 
 _IDENT = ("security_id", "metric", "concept", "rank")
@@ -52,11 +54,6 @@ def _day(d: Column) -> Column:
     return F.datediff(d, F.lit("1970-01-01"))
 
 
-def _roles(**days: Column) -> Column:
-    """What a period is and what it looks for, each with its day, so that both stand in one order of days."""
-    return F.array(*[F.struct(F.lit(r).alias("role"), d.alias("day")) for r, d in days.items()])
-
-
 def _nearest(found: Column, target: Column, fit: Callable[[Column], Column] = lambda x: F.lit(True)) -> Column:
     """Of an array of structs that begin with their day, the one nearest to target that fits; ties to the earlier."""
     return F.array_min(F.transform(F.filter(found, fit), lambda x: F.struct(F.abs(x["day"] - target).alias("gap"), x.alias("x"))))["x"]
@@ -90,26 +87,26 @@ def all_histories(facts: DataFrame, metrics: Metrics) -> DataFrame:
     period of that year, all of one concept, told anew whenever a restatement of one changes the sum. Of several periods
     that end on one day the longest is derived from.
     """
-    h = histories(facts, metrics)
-    seeks = _roles(**{"is": _day(F.col("period_end")), "year": _day(F.col("period_start")) - 1, "earlier": _day(F.col("period_end")) - 365})
-    own = F.col("role") == "is"
+    reported, part = (F.col("kind") == "instant") | (F.col("duration") == "Y"), F.col("duration") != "Y"
+    h = histories(facts, metrics).where(reported | part).withColumn("day", _day(F.col("period_end")))
     w = Window.partitionBy(*_IDENT).orderBy("day")
     offer = F.struct(F.col("day"), "period_start", "duration", "history")
-    roles = h.select("*", F.inline(seeks))
-    years = F.collect_list(F.when(own & (F.col("duration") == "Y"), offer)).over(w.rangeBetween(-YEAR_TOLERANCE, YEAR_TOLERANCE))
-    parts = F.collect_list(F.when(own & (F.col("duration") != "Y"), offer)).over(w.rangeBetween(-PERIOD_TOLERANCE, PERIOD_TOLERANCE))
-    met = roles.withColumns({"_years": years, "_parts": parts})
-    year = F.when(F.col("role") == "year", _nearest(F.col("_years"), F.col("day")))
-    earlier = F.when(F.col("role") == "earlier", _nearest(F.col("_parts"), F.col("day"), lambda x: x["duration"] == F.col("duration")))
-    rows = met.withColumns({"_year": year, "_earlier": earlier}).groupBy(*_IDENT, "kind", "duration", "period_start", "period_end")
-    row = rows.agg(*[F.max(F.when(F.col("role") == r, c)).alias(n) for r, c, n in (("is", F.col("history"), "history"), ("year", F.col("_year"), "year"), ("earlier", F.col("_earlier"), "earlier"))])
+    # the year before a part ends where the part starts, so it is looked for as far back as parts are long
+    spans = [d for name, d in DURATIONS.items() if name != "Y"]
+    back = w.rangeBetween(-max(most for _, most in spans) - 1 - YEAR_TOLERANCE, -min(least for least, _ in spans) - 1 + YEAR_TOLERANCE)
+    years = F.collect_list(F.when(F.col("duration") == "Y", offer)).over(back)
+    parts = F.collect_list(F.when(part, offer)).over(w.rangeBetween(-365 - PERIOD_TOLERANCE, -365 + PERIOD_TOLERANCE))
+    met = h.withColumns({"_years": years, "_parts": parts})
+    eve = _day(F.col("period_start")) - 1
+    year = F.when(part, _nearest(F.col("_years"), eve, lambda x: F.abs(x["day"] - eve) <= YEAR_TOLERANCE))
+    earlier = F.when(part, _nearest(F.col("_parts"), F.col("day") - 365, lambda x: x["duration"] == F.col("duration")))
+    row = met.withColumns({"year": year, "earlier": earlier}).drop("_years", "_parts")
     legs = merged(to_date=F.col("history"), year=F.col("year")["history"], earlier=F.col("earlier")["history"])
     sums = F.transform(legs, lambda x: F.struct(x["filed"].alias("filed"), (x["to_date"] + x["year"] - x["earlier"]).alias("value")))
-    derivable = (F.col("duration") != "Y") & F.col("year").isNotNull() & F.col("earlier").isNotNull()
-    reported = (F.col("kind") == "instant") | (F.col("duration") == "Y")
-    made = row.select(*_IDENT, "period_start", "period_end", F.when(reported, 0).when(derivable, 1).alias("source"), F.when(reported, F.col("history")).when(derivable, sums).alias("history")).where("source is not null")
-    longest = F.row_number().over(Window.partitionBy(*_IDENT, "period_end", "source").orderBy("period_start"))
-    kept = made.withColumn("_r", longest).where("_r = 1 or source = 0")
+    derivable = part & F.col("year").isNotNull() & F.col("earlier").isNotNull()
+    made = row.select(*_IDENT, "day", "period_start", "period_end", F.when(reported, 0).when(derivable, 1).alias("source"), F.when(reported, F.col("history")).when(derivable, sums).alias("history"))
+    longest = F.min(F.when(F.col("source") == 1, F.col("period_start"))).over(w.rangeBetween(Window.currentRow, Window.currentRow))
+    kept = made.withColumn("_longest", longest).where("source = 0 or source = 1 and period_start = _longest")
     return kept.select(*_IDENT, "period_end", "source", unrepeated(F.col("history"), "value").alias("history")).where("size(history) > 0")
 
 
@@ -137,11 +134,10 @@ def pair_events(facts: DataFrame, metrics: Metrics, suffix: str = "_pair") -> Da
     A restatement of either makes a new event. One concept is chosen for a period, as in metric_events.
     """
     every = all_histories(facts, metrics)
-    seeks = _roles(**{"is": _day(F.col("period_end")), "earlier": _day(F.col("period_end")) - PAIR_DAYS})
-    w = Window.partitionBy("security_id", "metric", "concept").orderBy("day").rangeBetween(-PAIR_TOLERANCE, PAIR_TOLERANCE)
+    w = Window.partitionBy("security_id", "metric", "concept").orderBy("day").rangeBetween(-PAIR_DAYS - PAIR_TOLERANCE, -PAIR_DAYS + PAIR_TOLERANCE)
     offer = F.struct(F.col("day"), "source", "period_end", "history")
-    met = every.select("*", F.inline(seeks)).withColumn("_offers", F.collect_list(F.when(F.col("role") == "is", offer)).over(w)).where("role = 'earlier'")
-    pairs = met.withColumn("earlier", _nearest(F.col("_offers"), F.col("day"))).where("earlier is not null")
+    met = every.withColumn("day", _day(F.col("period_end"))).withColumn("_offers", F.collect_list(offer).over(w))
+    pairs = met.withColumn("earlier", _nearest(F.col("_offers"), F.col("day") - PAIR_DAYS)).drop("_offers").where("earlier is not null")
     both = merged(value=F.col("history"), prior=F.col("earlier")["history"])
     rows = pairs.withColumn("metric", F.concat("metric", F.lit(suffix))).withColumn("both", both).withColumn("history", unrepeated(F.col("both"), "value", "prior")).where("size(history) > 0")
     return _chosen(rows, F.col("h.value").alias("value"), F.col("earlier.period_end").alias("prior_end"), F.col("h.prior").alias("prior"))
@@ -158,7 +154,7 @@ def known_on(dates: DataFrame, events: DataFrame, metrics: Sequence[str], delay:
     d = dates.select("security_id", "date").distinct().select("security_id", "date", F.lit(1).alias("_side"), F.lit(None).cast("string").alias("metric"), F.lit(None).cast(e.schema["_e"].dataType).alias("_e"))
     w = Window.partitionBy("security_id").orderBy("date", "_side", "_e").rowsBetween(Window.unboundedPreceding, 0)
     last = [F.last(F.when(F.col("metric") == m, F.col("_e")), ignorenulls=True).over(w).alias(m) for m in metrics]
-    found = e.unionByName(d).select("security_id", "date", "_side", *last).where("_side = 1")
+    found = dealt(e.unionByName(d), "security_id").select("security_id", "date", "_side", *last).where("_side = 1")
     fresh = [F.when(F.datediff("date", F.col(m)["period_end"]) <= max_age, F.col(m)).alias(m) for m in metrics]
     return found.select("security_id", "date", *fresh)
 

@@ -3,10 +3,26 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from math import ceil
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
+#: Megabytes of input files for each task that rows are dealt to.
+MB_OF_A_TASK = 16
+
+
+def dealt(df: DataFrame, *keys: str, mb: float = MB_OF_A_TASK) -> DataFrame:
+    """df dealt by keys, to one task for each mb of the files it is read from, so that what a task holds doesn't grow with them.
+
+    Inputs of fewer such tasks than there are cores, and rows of no files, are dealt as the session says. Only the lengths of files are read.
+    """
+    spark, files = df.sparkSession, df.inputFiles()
+    size = spark.read.format("binaryFile").load(files).agg(F.sum("length")).first()[0] if files else 0
+    n = ceil(size / (mb * 2**20))
+    return df.repartition(n, *keys) if n > spark.sparkContext.defaultParallelism else df.repartition(*keys)
+
+
 def ordered() -> WindowSpec:
     """The rows of a security by date."""
     return Window.partitionBy("security_id").orderBy("date")

@@ -189,12 +189,13 @@ def factor_f_score(spark, sf_dir):
     Where shares were split between the two dates, whether there are new ones is not known.
     """
     facts, companies, universe = _facts(spark, sf_dir), view(spark, sf_dir, "companies"), _universe(spark, sf_dir)
-    pairs = fm.pair_events(facts, _some("net_income", "assets", "shares"))
+    metrics = _some(*_SCORE, "shares")  # alike for both, so that facts are dealt once
+    pairs = fm.pair_events(facts, metrics)
     splits = view(spark, sf_dir, "actions").where("kind = 'split'")
     pairs = as_of(pairs, splits, "security_id", "period_end", "ex_date", "event_id", ["ex_date"])
     split = (F.col("metric") == "shares_pair") & (F.col("asof_ex_date") > F.col("prior_end"))
     pairs = pairs.withColumn("prior", F.when(F.coalesce(split, F.lit(False)), None).otherwise(F.col("prior"))).drop("asof_ex_date")
-    events = fm.metric_events(facts, _some(*_SCORE)).unionByName(pairs)
+    events = fm.metric_events(facts, metrics).unionByName(pairs)
     names = (*_SCORE, *_SCORE_PAIRS)
     k = fm.company_values(fm.known_on(fm.with_members(universe, companies), events, names), companies, universe, names)
     ni, cash, assets, ni2, a2, sh2 = (F.col(n) for n in names)
