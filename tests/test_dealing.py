@@ -33,3 +33,9 @@ def test_histories_take_few_sorts(spark):
     tree = df._jdf.queryExecution().executedPlan().toString()
     final = tree[: tree.index("Initial Plan")] if "Initial Plan" in tree else tree
     assert len(re.findall(r"\bWindow \[", final)) <= 6 and "inline(array(struct(role" not in final
+
+
+def test_replays_ask_for_compared_dates_only(spark):
+    text = plan(entry.queries()["pit_regression"](spark, SF))
+    # below the windows of what is known: live and three replays, each with its universe's dates and their members'
+    assert len(re.findall(r"Filter .*last_day\(.* IN \(", text)) >= 4

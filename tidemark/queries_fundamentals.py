@@ -213,12 +213,14 @@ def pit_regression(spark, sf_dir):
     companies, active = view(spark, sf_dir, "companies"), view(spark, sf_dir, "securities").where("is_active").select("security_id")
     metrics = ("net_income", "cash_flow", "assets")
 
+    at = evaluate.dates_before(_universe(spark, sf_dir), (3, 6, 9))
+
     def accruals(tables) -> DataFrame:
-        universe = tables["daily"].join(active, "security_id").select("security_id", F.last_day("date").alias("date")).distinct()
+        # only these dates are compared, and what is known on one doesn't depend on others
+        universe = tables["daily"].join(active, "security_id").select("security_id", F.last_day("date").alias("date")).where(F.col("date").isin(at)).distinct()
         k = fm.company_values(fm.known_on(fm.with_members(universe, companies), fm.metric_events(tables["reports"], _some(*metrics)), metrics), companies, universe, metrics)
         top = F.when(F.col("net_income.period_end") == F.col("cash_flow.period_end"), F.col("net_income.value") - F.col("cash_flow.value"))
         return k.where("assets.value > 0").select("date", "security_id", (top / F.col("assets.value")).alias("value"))
 
     sources = {"reports": (_facts(spark, sf_dir), F.col("filed")), "daily": (view(spark, sf_dir, "daily"), F.col("date"))}
-    at = evaluate.dates_before(_universe(spark, sf_dir), (3, 6, 9))
     return evaluate.pit_regression(accruals, sources, at).select(day("date").alias("date"), "cells", "violations", "largest")
