@@ -76,3 +76,10 @@ def test_codes_of_one_security(spark):
     held = spark.createDataFrame([(c,) for c in ("037833100", "78462F103", "594918104", "x", None)], "cusip string")
     codes = spark.createDataFrame([("037833100", 1), ("78462f103", 2), ("78462F103", 3), ("594918104", 7), ("594918104", 7), (None, 9)], "cusip string, security_id long")
     assert {r.cusip: r.security_id for r in feeds.linked(held, codes, "cusip", "security_id").collect()} == {"037833100": 1, "78462F103": None, "594918104": 7, "x": None, None: None}
+
+
+def test_texts_are_read_once(spark):
+    """Neither a second reading of a text for another document nor a filter on its table below, in a join's condition."""
+    df = spark.createDataFrame([(1, date(2023, 5, 1), "<XML> a </XML>")], "accession long, filed date, text string").join(spark.range(3).withColumnRenamed("id", "accession"), "accession")
+    plan = feeds.holdings_reports(df, "accession", "filed")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_xml") == 2 and plan.count("</XML>") == 1

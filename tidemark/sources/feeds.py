@@ -79,25 +79,31 @@ def holdings_reports(filings: DataFrame, accession_col: str, filed_col: str | No
     reported in thousands before dollars_since; with filed_col there is value_usd, the value in dollars whenever it was filed.
     """
     keys = [c for c in filings.columns if c != text_col]
-    parts = F.regexp_extract_all(text_col, F.lit(r"(?s)<XML>\s*(.*?)\s*</XML>"), F.lit(1))
-    plain = F.transform(parts, lambda x: F.regexp_replace(F.regexp_replace(x, r"(?s)^\s*<\?xml.*?\?>\s*", ""), r"(</?)[A-Za-z_][\w.-]*:", "$1"))
+    # what stands between <XML> and the next </XML>: split at fixed marks, since a lazy pattern looks for the end at every letter
+    parts = F.transform(F.slice("_parts", 1, F.size("_parts") - 1), lambda x: F.get(F.split(x, "<XML>", 2), F.lit(1)))
+    bare = F.transform(F.array_compact(parts), lambda x: F.btrim(x, F.lit(" \t\n\x0b\f\r")))
+    stripped = F.transform(bare, lambda x: F.regexp_replace(F.regexp_replace(x, r"(?s)^\s*<\?xml.*?\?>\s*", ""), r"(</?)[A-Za-z_][\w.-]*:", "$1"))
+    plain = F.col("_plain")
     # a root that isn't closed is a broken document
     root = lambda tag: F.get(F.filter(plain, lambda x: x.rlike(rf"(?s)^<{tag}[\s>].*</{tag}>\s*$")), F.lit(0))
     header = lambda field: F.nullif(F.trim(F.regexp_extract(text_col, rf"(?m)^[ \t]*{field}:[ \t]*(\S.*)$", 1)), F.lit(""))
-    x = filings.select(
-        *keys, F.from_xml(root("edgarSubmission"), _FILER, {"rowTag": "edgarSubmission"}).alias("_c"), F.from_xml(root("informationTable"), f"infoTable array<struct<{_HOLDING}>>", {"rowTag": "informationTable"}).alias("_t"),
+    x = filings.withColumn("_parts", F.split(text_col, "</XML>")).withColumn("_plain", stripped).select(
+        *keys, F.from_xml(root("edgarSubmission"), _FILER, {"rowTag": "edgarSubmission"}).alias("_c"), F.from_xml(root("informationTable"), f"infoTable array<struct<{_HOLDING}>>", {"rowTag": "informationTable"})["infoTable"].alias("_t"),
         header("CONFORMED PERIOD OF REPORT").alias("_period"), header("CONFORMED SUBMISSION TYPE").alias("_form"), header("CENTRAL INDEX KEY").alias("_cik"),
     )
     date = lambda c, form: F.try_to_timestamp(c, F.lit(form)).cast("date")
     text = lambda c, width: F.substring(F.nullif(F.trim(c), F.lit("")), 1, width)
-    number = lambda c: F.regexp_replace(F.trim(c), ",", "").try_cast("decimal(28,4)")
+    number = lambda c: F.replace(F.trim(c), F.lit(","), F.lit("")).try_cast("decimal(28,4)")
     cik = F.coalesce(text(F.col("_c.headerData.filerInfo.filer.credentials.cik"), 10), F.col("_cik"))
+    # what a submission tells is worked out once, before its holdings are rows; the outer explode keeps Spark from asking for
+    # tables with rows below, in the condition of a join even, which would read every text twice
     told = x.select(
         *keys, F.lpad(F.when(cik.rlike("^[0-9]+$"), cik), 10, "0").alias("filer_cik"), text(F.coalesce("_c.headerData.submissionType", "_form"), 20).alias("form_type"),
         F.coalesce(date(F.col("_c.headerData.filerInfo.periodOfReport"), "MM-dd-yyyy"), date(F.col("_period"), "yyyyMMdd")).alias("period"),
-        text(F.col("_c.formData.coverPage.filingManager.name"), 255).alias("filer_name"), text(F.col("_c.formData.coverPage.form13FFileNumber"), 50).alias("file_number"), F.posexplode("_t.infoTable").alias("n", "_h"),
+        text(F.col("_c.formData.coverPage.filingManager.name"), 255).alias("filer_name"), text(F.col("_c.formData.coverPage.form13FFileNumber"), 50).alias("file_number"), "_t",
     )
-    value = number(F.col("_h.value"))
+    told = told.select(*keys, "filer_cik", "form_type", "period", "filer_name", "file_number", F.posexplode_outer("_t").alias("n", "_h")).where("n is not null").withColumn("_value", number(F.col("_h.value")))
+    value = F.col("_value")
     usd = [] if filed_col is None else [F.when(F.col(filed_col) < F.lit(dollars_since).cast("date"), value * 1000).otherwise(value).cast("decimal(31,4)").alias("value_usd")]
     return told.select(
         *keys, "n", F.sha2(F.concat_ws("|", F.col(accession_col).cast("string"), F.col("n").cast("string")), 256).alias("row_hash"), "filer_cik", "form_type", "period", "filer_name", "file_number",
