@@ -63,14 +63,14 @@ def before(left: DataFrame, right: DataFrame, key: str, left_on: str, right_on:
 
 
 def around(left: DataFrame, right: DataFrame, key: str, left_on: str, right_on: str, value: str) -> DataFrame:
-    """left with prev_{value}, the last one before its date, and next_{value}, the first one at its date or later; one sort."""
+    """left with prev_{value}, the last one before its date, and next_{value}, the first one at its date or later; two running sorts, so that a row doesn't look through all that follow."""
     r = right.where(F.col(key).isNotNull()).select(F.col(key), F.col(right_on).alias("_t"), F.lit(1).alias("_side"), F.col(value).alias("_v"), F.lit(None).cast(left.select(F.struct("*")).schema[0].dataType).alias("_left"))
     l = left.select(F.col(key), F.col(left_on).alias("_t"), F.lit(0).alias("_side"), F.lit(None).cast(right.schema[value].dataType).alias("_v"), F.struct("*").alias("_left"))
-    w = Window.partitionBy(key).orderBy("_t", "_side")
+    until = Window.unboundedPreceding, 0
     both = l.unionByName(r).select(
         "_left",
-        F.last("_v", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0)).alias(f"prev_{value}"),
-        F.first("_v", ignorenulls=True).over(w.rowsBetween(0, Window.unboundedFollowing)).alias(f"next_{value}"),
+        F.last("_v", ignorenulls=True).over(Window.partitionBy(key).orderBy("_t", "_side").rowsBetween(*until)).alias(f"prev_{value}"),
+        F.last("_v", ignorenulls=True).over(Window.partitionBy(key).orderBy(F.desc("_t"), F.desc("_side")).rowsBetween(*until)).alias(f"next_{value}"),
     )
     return both.where("_left is not null").select("_left.*", f"prev_{value}", f"next_{value}")
 
