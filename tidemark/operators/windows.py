@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 from math import ceil
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
@@ -38,6 +38,22 @@ def rolling(agg: Callable[[Column], Column], x: Column, n: int, least: int) -> C
     return F.when(F.count(x).over(w) >= least, agg(x).over(w))
 
 
+def moving(df: DataFrame, values: Mapping[str, Column], first: int, last: int) -> DataFrame:
+    """df with {name}_sum and {name}_n, the sum and the number of the non-nulls of each value over the rows from first to last before.
+
+    Differences of running totals, so that a row costs the same however long the frame is. A sum is zero where there are no
+    values, and no number where one of them is none or infinite.
+    """
+    w = ordered().rowsBetween(Window.unboundedPreceding, 0)
+    totals, found = {}, {}
+    for name, x in values.items():
+        odd = F.isnan(x) | (F.abs(x) == float("inf"))
+        totals |= {f"_{name}_sum": F.sum(F.when(x.isNotNull() & ~odd, x).otherwise(0.0)).over(w), f"_{name}_n": F.count(x).over(w), f"_{name}_odd": F.count(F.when(odd, 1)).over(w)}
+        total, n, odd = (F.lag(f"_{name}_{k}", last, 0).over(ordered()) - F.lag(f"_{name}_{k}", first + 1, 0).over(ordered()) for k in ("sum", "n", "odd"))
+        found |= {f"{name}_sum": F.when(odd > 0, float("nan")).otherwise(total), f"{name}_n": n}
+    return df.withColumns(totals).withColumns(found).drop(*totals)
+
+
 def returns(price: Column | str = "close") -> Column:
     """Change from the previous grid row; null where either is missing, so gaps are not bridged."""
     p = F.col(price) if isinstance(price, str) else price

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.operators.cross_section import percent_rank, residual
-from tidemark.operators.windows import lagged, ordered, returns, rolling
+from tidemark.operators.windows import lagged, moving, ordered, returns, rolling
 
 
 def _positive(x: Column) -> Column:
@@ -161,14 +161,15 @@ def residual_vol(grid: DataFrame, n: int = 63, least: int = 42) -> DataFrame:
 
 def residual_momentum(grid: DataFrame, n: int = 252, least: int = 126, first: int = 251, last: int = 21, formation: int = 231) -> DataFrame:
     """(date, security_id, value): residuals of a market model fitted on the n rows before each, summed over rows first to last before."""
-    w, f = ordered().rowsBetween(-n, -1), ordered().rowsBetween(-first, -last)
     r, m = F.col("ret"), F.when(F.col("ret").isNotNull(), F.col("market"))
-    fitted = with_market(grid).select("date", "security_id", "ret", "market", *[F.avg(x).over(w).alias(k) for k, x in (("r", r), ("m", m), ("mm", m * m), ("rm", r * m))], F.count(r).over(w).alias("n"))
+    seen = moving(with_market(grid).select("date", "security_id", "ret", "market"), {"r": r, "m": m, "mm": m * m, "rm": r * m}, n, 1)
+    count = F.when(F.col("r_n") > 0, F.col("r_n"))
+    fitted = seen.select("date", "security_id", "ret", "market", F.col("r_n").alias("n"), *[(F.col(f"{k}_sum") / count).alias(k) for k in ("r", "m", "mm", "rm")])
     var = F.col("mm") - F.col("m") * F.col("m")
     beta = (F.col("rm") - F.col("r") * F.col("m")) / F.when(var > 1e-18, var)
     left = F.when(F.col("n") >= least, F.col("ret") - (F.col("r") - beta * F.col("m")) - beta * F.col("market"))
-    rest = fitted.select("date", "security_id", left.alias("left"))
-    return rest.select("date", "security_id", F.when((_row() > first) & (F.count("left").over(f) >= formation), F.sum("left").over(f)).alias("value")).where("value is not null")
+    rest = moving(fitted.select("date", "security_id", left.alias("left")), {"left": F.col("left")}, first, last)
+    return rest.select("date", "security_id", F.when((_row() > first) & (F.col("left_n") >= max(formation, 1)), F.col("left_sum")).alias("value")).where("value is not null")
 
 
 def macd(grid: DataFrame, fast: tuple[int, int] = (12, 10), slow: tuple[int, int] = (26, 20), signal: tuple[int, int] = (9, 7)) -> DataFrame:
