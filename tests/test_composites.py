@@ -51,3 +51,10 @@ def test_only_holes_inside_the_prices_count(spark):
     assert found("2020-01-01", "2020-12-31") == [1, 2, 3, 6, 7] and found("2020-01-01", "2020-12-31", kinds=["split"]) == [1, 3, 6, 7] and found("2020-06-01", "2020-12-31") == [3]
     panel = spark.createDataFrame([(s, s != 2) for s in range(1, 9)], "security_id bigint, eligible boolean")
     assert sorted(r.security_id for r in composites.gated(panel, composites.with_holes(a, prices, "2020-01-01", "2020-12-31")).collect()) == [4, 5, 8]
+
+
+def test_slow_frames_see_the_rows_they_need_only(spark):
+    import __spark_entry__ as entry
+
+    plan = entry.queries()["composite_v1"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert "1995-10-17" in plan  # 63 weeks before the first date, below the frames of 63 rows

@@ -36,8 +36,10 @@ def _composite_sql(others: tuple[str, ...]) -> str:
 
 def _panel(spark, sf_dir) -> DataFrame:
     """(date, security_id, close, low_vol, high_year, size) of eligible rows."""
-    g = factors.eligible(factors.prepared(grid(spark, sf_dir)), _PRICE, _DOLLARS)
-    legs = g.select("date", "security_id", "close", "eligible", factors.low_vol().alias("low_vol"), factors.high_year().alias("high_year"))
+    # the frames of 63 rows are slow, and a year's rows need no more than the 62 weeks before
+    p = factors.prepared(grid(spark, sf_dir)).where(F.col("date") <= F.lit(_LAST).cast("date")).withColumn("high_year", factors.high_year())
+    g = factors.eligible(p.where(F.col("date") >= F.date_sub(F.lit(_FIRST).cast("date"), 63 * 7)), _PRICE, _DOLLARS)
+    legs = g.select("date", "security_id", "close", "eligible", factors.low_vol().alias("low_vol"), "high_year")
     bars = grid(spark, sf_dir).where("close is not null")
     fit = composites.gated(legs.where(F.col("date").between(_FIRST, _LAST)), composites.with_holes(view(spark, sf_dir, "actions"), bars, _FIRST, _LAST, kinds=["split"]))
     held = as_of(fit.drop("eligible"), view(spark, sf_dir, "shares"), "security_id", "date", "visible", "id", ["total_shares", "period_end"], delay="interval 1 day")
