@@ -8,6 +8,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tests.llm.conftest import SF
@@ -194,6 +195,31 @@ def test_scores_query_sees_two_ids_of_context(spark, documents):
         assert got[i] == (n, pytest.approx(s, abs=1e-6))
 
 
+def shuffled_bytes(spark):
+    store, no_quantiles = spark.sparkContext._jsc.sc().statusStore(), spark.sparkContext._gateway.new_array(spark.sparkContext._jvm.double, 0)
+    stages = store.stageList(None, False, False, no_quantiles, spark.sparkContext._jvm.java.util.ArrayList())
+    return sum(stages.apply(i).shuffleWriteBytes() for i in range(stages.size()))
+
+
+def test_ngrams_travel_once(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").repartition(6).cache()
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0]
+    before = shuffled_bytes(spark)
+    got = ngram_lm.scored(docs, BYTE, 3).collect()
+    assert len(got) == docs.count() and shuffled_bytes(spark) - before < 3 * size
+
+
+def test_scores_of_four_ids(spark):
+    """Ids above 32,767 fill the highest bit of a four-gram's key."""
+    tok = Tokenizer.from_file(BYTE)
+    words = [w for i in range(40_000, 40_060) if (w := tok.decode([i])).isascii() and tok.encode(w).ids == [i]]
+    texts = [" ".join(words[i : i + 12] + ["and"] + words[: i + 3]) for i in range(8)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    got = {r.doc_id: (r.n_tokens, r.log10_score) for r in ngram_lm.scored(docs, BYTE, 4).collect()}
+    for i, (n, s) in enumerate(lm_expected(texts, 4)):
+        assert got[i] == (n, pytest.approx(s, abs=1e-6))
+
+
 def test_scores_of_no_documents(no_documents):
     assert ngram_lm.scored(no_documents, BYTE).count() == 0
     with pytest.raises(ValueError):
