@@ -145,6 +145,29 @@ def test_texts_of_several_segments(spark, monkeypatch):
             assert got[i] == (ids, tok.decode(ids, skip_special_tokens=False)), (i, segment)
 
 
+def test_words_are_learned_once(monkeypatch):
+    """At ends of leaves, at double spaces and at line ends as well."""
+    bpe, learned = tree_bpe.TreeBpe(WORD), []
+    learn, encode = bpe._learn, bpe._encode
+    monkeypatch.setattr(bpe, "_learn", lambda words: learned.extend(words) or learn(words))
+    monkeypatch.setattr(bpe, "_encode", lambda words: learned.extend(words) or encode(words))
+    texts = [" one  two\nthree ", "two one", "three\n\nÉté one "]
+    want = [bpe.tok.encode(t, add_special_tokens=False).ids for t in texts]
+    assert [x.tolist() for x in bpe(texts)] == want and sorted(filter(None, learned)) == sorted({"one", "two", "three", "Été"})
+    bpe.remembered = 2  # then the older half still answers
+    assert [x.tolist() for x in bpe(texts)] == want and len(bpe.older) >= 4 and sorted(filter(None, learned)) == sorted({"one", "two", "three", "Été"})
+
+
+def test_known_words_are_placed_by_their_tokens(monkeypatch):
+    bpe = tree_bpe.TreeBpe(WORD)
+    words = ["Étéchon", "überau", "cióncoción.", "İx", "e\u0301a", "한글", "x\x85é", "\U0001f600é", "naïve's", "K\u030c"]
+    want = [bpe._spans(w) for w in words]
+    bpe(words)
+    assert [bpe._plain_spans(w) for w in words] == want
+    monkeypatch.setattr(bpe, "_spans", None)
+    assert [bpe._plain_spans(w) for w in words[:3]] == want[:3]
+
+
 def lm_expected(texts, order=2):
     tok = Tokenizer.from_file(BYTE)
     ids = [tuple(tok.encode(t or "", add_special_tokens=False).ids) for t in texts]

@@ -39,6 +39,17 @@ def default_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def together(of: np.ndarray, blobs: list[bytes], first: np.ndarray) -> list[np.ndarray]:
+    """The ids of each text, from the blob of each of its parts; first: where in of the parts of a text begin."""
+    table = np.frombuffer(b"".join(blobs), np.uint32)
+    lengths = np.fromiter(map(len, blobs), np.int64, len(blobs)) // 4
+    n = lengths[of]
+    begins = (np.cumsum(lengths) - lengths)[of]
+    ends = np.cumsum(n)
+    ids = table[np.arange(ends[-1]) + np.repeat(begins - (ends - n), n)]
+    return np.split(ids, ends[first[1:] - 1])
+
+
 class WordBpe:
     """ids of whole texts; one for each worker process."""
 
@@ -100,13 +111,7 @@ class WordBpe:
         blobs = self._of(flat.dictionary.to_pylist()) + self._encode(heads)
         of = flat.indices.to_numpy().copy()
         of[first] = len(flat.dictionary) + np.arange(len(heads))
-        table = np.frombuffer(b"".join(blobs), np.uint32)
-        lengths = np.fromiter(map(len, blobs), np.int64, len(blobs)) // 4
-        n = lengths[of]
-        begins = (np.cumsum(lengths) - lengths)[of]
-        ends = np.cumsum(n)
-        ids = table[np.arange(ends[-1]) + np.repeat(begins - (ends - n), n)]
-        out = np.split(ids, ends[first[1:] - 1])
+        out = together(of, blobs, first)
         for i in np.flatnonzero(pc.match_substring_regex(texts, _UNSAFE).to_numpy(zero_copy_only=False)):
             out[i] = self._plain(texts[int(i)].as_py())
         return out

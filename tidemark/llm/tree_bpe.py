@@ -23,14 +23,16 @@ from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 from functools import cached_property
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.scratch import bounded_batches, free, stored
-from tidemark.llm.token_units import LONGEST, TOGETHER, WordBpe, in_chunks
+from tidemark.llm.token_units import LONGEST, TOGETHER, WordBpe, in_chunks, together
 
 #: Characters of a leaf at most, but for characters that can't be parted.
 LEAF = 1024
@@ -47,6 +49,14 @@ def parts_well(c: str) -> bool:
     return c < "̀" or not ("ᄀ" <= c <= "ᇿ" or unicodedata.category(c)[0] == "M")
 
 
+def char_ends(word: str) -> dict[int, int] | None:
+    """Where the characters of word end, by where they end in the bytes of its normal form; None if the two don't go one for one."""
+    low = word.lower()
+    if len(low) != len(word) or not unicodedata.is_normalized("NFC", word):
+        return None
+    return dict(zip(accumulate((len(c.encode()) for c in low), initial=0), range(len(low) + 1)))
+
+
 class Piece:
     """Encoded characters: ids, and where in the text each of them stands."""
 
@@ -163,11 +173,12 @@ class TreeBpe(WordBpe):
     def __init__(self, path: str):
         super().__init__(path, REMEMBERED)
         specials = [t.content for t in self.tok.get_added_tokens_decoder().values()]
-        if any(" " in t for t in specials):
+        if any(c in t for t in specials for c in " \n"):
             raise ValueError("special tokens with spaces are not supported")
         self.mark = specials[0] if specials else None
         self.margin = max([16, *map(len, specials)])
         self.leaves = self.joins = 0  # encoded and made so far
+        self.older: dict[str, bytes] = {}  # words known before the last half of them
         self.spans: dict[str, list[tuple[int, int, int]]] = {}
         suffix = getattr(self.tok.model, "end_of_word_suffix", None) or ""
         words = (self.tok.id_to_token(i) or "" for i in range(self.tok.get_vocab_size()))
@@ -189,25 +200,61 @@ class TreeBpe(WordBpe):
                 out += self._encode(group)
         return out
 
+    def __call__(self, texts: pa.Array | list[str]) -> list[np.ndarray]:
+        """As in WordBpe; since white space parts words wherever it stands, every word is learned once, at ends as well, and a line's end is a space."""
+        texts = pc.fill_null(texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string()), "")
+        if not len(texts):
+            return []
+        lists = pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
+        words = lists.flatten().dictionary_encode()
+        sizes = lists.value_lengths().to_numpy()
+        return together(words.indices.to_numpy(), self._of(words.dictionary.to_pylist()), np.cumsum(sizes) - sizes)
+
+    def _of(self, words: list[str]) -> list[bytes]:
+        """As in WordBpe; half of what is remembered is forgotten at a time, and words that came again since are kept."""
+        if len(self.known) > self.remembered // 2:
+            self.older, self.known = self.known, {}
+        out = list(map(self.known.get, words))
+        missing = [i for i, b in enumerate(out) if b is None]
+        new = []
+        for i in missing:
+            b = out[i] = self.older.get(words[i])
+            if b is None:
+                new.append(i)
+            else:
+                self.known[words[i]] = b
+        for i, b in zip(new, self._learn([words[i] for i in new])):
+            out[i] = b
+            if len(words[i]) <= LONGEST:
+                self.known[words[i]] = b
+        return out
+
     def _spans(self, word: str) -> list[tuple[int, int, int]]:
         e = self.tok.encode(word, add_special_tokens=False)
         return [(a, b, i) for (a, b), i in zip(e.offsets, e.ids)]
 
     def _plain_spans(self, word: str) -> list[tuple[int, int, int]]:
-        """As _spans, of a word without white space whose characters stand one for one in its tokens."""
-        ids = self.known.get(word)
-        found, at = [], 0
-        for i in np.frombuffer(ids, np.uint32).tolist() if ids is not None else ():
-            found.append((at, at := at + self.sizes[i], i))
-        return found if ids is not None and at == len(word) else self._spans(word)
+        """As _spans, of a known word whose characters stand one for one in its tokens, each whole in one of them."""
+        ids = self.known.get(word) or self.older.get(word)
+        if ids is None:
+            return self._spans(word)
+        found, at, sizes = [], 0, self.sizes
+        for i in memoryview(ids).cast("I"):
+            found.append((at, at := at + sizes[i], i))
+        if word.isascii():
+            return found if at == len(word) else self._spans(word)
+        ends = char_ends(word)
+        if ends is None or at not in ends or ends[at] != len(word) or any(e not in ends for _, e, _ in found):
+            return self._spans(word)
+        return [(ends[a], ends[b], i) for a, b, i in found]
 
     def placed(self, text: str, first: int, end: int) -> list[tuple[int, int, int]]:
         """(start, end, id) of the tokens of text[first:end] alone."""
         out, at = [], first
-        for word in text[first:end].split(" "):
+        for word in text[first:end].replace("\n", " ").split(" "):
             found = self.spans.get(word)
             if found is None:
-                found = self._plain_spans(word) if word.isascii() else self._spans(word)
+                found = self._plain_spans(word)
                 if len(word) <= LONGEST:
                     if len(self.spans) >= PLACED:
                         self.spans.clear()
