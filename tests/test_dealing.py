@@ -39,3 +39,8 @@ def test_replays_ask_for_compared_dates_only(spark):
     text = plan(entry.queries()["pit_regression"](spark, SF))
     # below the windows of what is known: live and three replays, each with its universe's dates and their members'
     assert len(re.findall(r"Filter .*last_day\(.* IN \(", text)) >= 4
+
+
+def test_insider_lines_are_dealt_before_they_are_added_up(spark):
+    text = plan(entry.queries()["factor_insider_net_buy"](spark, SF))
+    assert text.count("RepartitionByExpression [l_suppkey") == 2 and "RepartitionByExpression [security_id" in text

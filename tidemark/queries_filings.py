@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.operators.windows import dealt
 from tidemark.operators import events as ev
 from tidemark.operators import holdings, joins, writes
 from tidemark.registry import query
@@ -269,8 +270,8 @@ def factor_delta_ownership(spark, sf_dir):
 _ENTRIES = f"""{ctes('insider')}, entries AS (SELECT min(id) AS id, security_id, owner, trade_date, filed, code, shares, round(price, 6) AS price FROM insider GROUP BY 2, 3, 4, 5, 6, 7, 8)"""
 
 
-def _entries(spark, sf_dir) -> DataFrame:
-    i = view(spark, sf_dir, "insider").withColumn("price", r6("price"))
+def _entries(spark, sf_dir, *deal) -> DataFrame:
+    i = view(spark, sf_dir, "insider", *deal).withColumn("price", r6("price"))
     return i.groupBy("security_id", "owner", "trade_date", "filed", "code", "shares", "price").agg(F.min("id").alias("id"))
 
 
@@ -284,11 +285,12 @@ def insider_entries(spark, sf_dir):
 def factor_insider_net_buy(spark, sf_dir):
     """Shares bought less sold by insiders, told in the 90 days up to each trading day, from the first telling on."""
     signed = F.when(F.col("code") == "P", F.col("shares")).otherwise(-F.col("shares"))
-    d = _entries(spark, sf_dir).where("code in ('P', 'S')").groupBy("security_id", F.date_add("filed", 1).alias("date")).agg(F.sum(signed).alias("s"))
-    days = view(spark, sf_dir, "daily").select("security_id", "date", F.lit(None).cast("double").alias("s"), F.lit(True).alias("asked"))
+    by_security = lambda lines: dealt(lines, "l_suppkey", mb=4)  # noqa: E731  pairs and entries are added up where lines are dealt to
+    d = _entries(spark, sf_dir, by_security).where("code in ('P', 'S')").groupBy("security_id", F.date_add("filed", 1).alias("date")).agg(F.sum(signed).alias("s"))
+    days = view(spark, sf_dir, "daily", by_security).select("security_id", "date", F.lit(None).cast("double").alias("s"), F.lit(True).alias("asked"))
     w = Window.partitionBy("security_id").orderBy(F.datediff("date", F.lit("1970-01-01")))
     told = F.count("s").over(w.rangeBetween(Window.unboundedPreceding, 0))
-    both = days.unionByName(d.select("security_id", "date", "s", F.lit(False).alias("asked")))
+    both = dealt(days.unionByName(d.select("security_id", "date", "s", F.lit(False).alias("asked"))), "security_id", mb=4)
     value = F.coalesce(F.sum("s").over(w.rangeBetween(-89, 0)), F.lit(0.0))
     return both.select("security_id", "date", "asked", told.alias("told"), value.alias("value")).where("asked and told > 0").select("security_id", day("date").alias("date"), F.round("value", 4).alias("value"))
 
