@@ -168,6 +168,19 @@ def test_known_words_are_placed_by_their_tokens(monkeypatch):
     assert [bpe._plain_spans(w) for w in words[:3]] == want[:3]
 
 
+def test_joins_near_white_space_encode_a_word_only(monkeypatch):
+    """The word that a join stands in, once; no other token of either side is looked up or placed."""
+    bpe, asked = tree_bpe.TreeBpe(WORD), []
+    texts = [f"{i} " + t * 300 for t in ("one two, three's fo\u0301ur ", "l\u00ednea\notra<|endoftext|>x 's", "a  b\n\n\tc!!' \x85d\u3000e ") for i in range(40)]
+    want = [bpe.tok.encode(t, add_special_tokens=False).ids for t in texts]
+    of = bpe._of
+    monkeypatch.setattr(bpe, "placed", None)
+    monkeypatch.setattr(bpe, "_of", lambda words: asked.append(words) or of(words))
+    assert [n.ids().tolist() for n in bpe.trees(texts, 100)] == want
+    assert bpe.joins > 1000 and all(len(w) < 40 for words in asked for w in words)
+    assert [n.ids().tolist() for n in bpe.trees(texts, 9)] == want
+
+
 def lm_expected(texts, order=2):
     tok = Tokenizer.from_file(BYTE)
     ids = [tuple(tok.encode(t or "", add_special_tokens=False).ids) for t in texts]

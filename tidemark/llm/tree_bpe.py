@@ -2,11 +2,13 @@
 
 A text is halved until its leaves are short, wherever the halves fall, and the tokenizers library
 encodes every leaf (words that it has encoded before are remembered). Neighbours are then joined level by level. Around a join a window of the text is
-encoded again; it grows until one token left of the join and one right of it, each clear of the join
+encoded again. Where white space is near on either side, the window is the word between, and its tokens
+take the place of those that both sides have there. Elsewhere the window grows until one token left of the join and one right of it, each clear of the join
 by a margin, have the same id and the same characters as in the two sides. What lies outside these two
 tokens is taken from the sides, what lies between them from the window.
 
-Why that is exact: a sequence of tokens is the encoding of its text if every pair of neighbours is the
+Why that is exact: white space parts words, so the tokens of a text are those of its words one after the
+other, in the sides, in the window and in the whole. For windows that grow, a sequence of tokens is the encoding of its text if every pair of neighbours is the
 encoding of theirs, and each pair stands in the left side, in the window or in the right side. From a
 token on which two encodings agree, the search for words goes on alike in both, since it looks only
 ahead; the margin is longer than any special token. No side or window begins with a character that
@@ -23,7 +25,7 @@ from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 from functools import cached_property
-from itertools import accumulate
+from itertools import accumulate, islice
 
 import numpy as np
 import pyarrow as pa
@@ -153,6 +155,27 @@ class Node:
                 return found, False
         return found, True
 
+    def without_last(self, n: int) -> list:
+        """The runs but for the last n tokens."""
+        runs = list(self.runs)
+        while n:
+            piece, a, b = runs.pop()
+            if b - a > n:
+                runs.append((piece, a, b - n))
+            n -= min(n, b - a)
+        return runs
+
+    def without_first(self, n: int) -> list:
+        """The runs but for the first n tokens."""
+        k = 0
+        while n and n >= self.runs[k][2] - self.runs[k][1]:
+            n -= self.runs[k][2] - self.runs[k][1]
+            k += 1
+        if not n:
+            return self.runs[k:]
+        piece, a, b = self.runs[k]
+        return [(piece, a + n, b), *self.runs[k + 1 :]]
+
     def ids(self) -> np.ndarray:
         return np.concatenate([np.empty(0, np.int32), *(np.asarray(p.ids[a:b], np.int32) for p, a, b in self.runs)])
 
@@ -283,17 +306,31 @@ class TreeBpe(WordBpe):
         return self.joined(texts, levels)
 
     def joined(self, texts: list[str], levels: list[list[Node]]) -> list[Node]:
-        """One node for each text, from neighbouring nodes that cover it."""
-        out = []
-        for text, nodes in zip(texts, levels):
-            while len(nodes) > 1:
-                nodes = [self.join(text, a, b) for a, b in zip(nodes[::2], nodes[1::2])] + (nodes[-1:] if len(nodes) % 2 else [])
-            out.append(nodes[0] if nodes else Node(0, 0, []))
-        return out
-
-    def join(self, text: str, a: Node, b: Node) -> Node:
-        """The encoding of two neighbours together."""
-        self.joins += 1
+        """One node for each text, from neighbouring nodes that cover it; one level of all texts at a time."""
+        while pairs := [(t, a, b) for t, nodes in zip(texts, levels) for a, b in zip(nodes[::2], nodes[1::2])]:
+            made = iter(self.join(pairs))
+            levels = [[*islice(made, len(nodes) // 2), *(nodes[-1:] if len(nodes) % 2 else [])] for nodes in levels]
+        return [nodes[0] if nodes else Node(0, 0, []) for nodes in levels]
+
+    def join(self, pairs: list[tuple[str, Node, Node]]) -> list[Node]:
+        """The encodings of pairs (text, node, its neighbour) together."""
+        self.joins += len(pairs)
+        words = [word_at(t, a, b) for t, a, b in pairs]
+        cut = [w and (t[w[0] : a.end], t[b.start : w[1]], t[slice(*w)]) for (t, a, b), w in zip(pairs, words)]
+        asked = list({x: None for three in cut if three for x in three})
+        known = dict(zip(asked, self._of(asked)))
+        return [self._at_word(*p, w, *map(known.get, three)) if w else self._at_window(*p) for p, w, three in zip(pairs, words, cut)]
+
+    def _at_word(self, text: str, a: Node, b: Node, word: tuple[int, int], left: bytes | None, right: bytes | None, whole: bytes) -> Node:
+        """a and b joined with the ids of the word that they meet in, in the place of its parts'."""
+        if left is None or right is None:  # the join stands at white space
+            return Node(a.start, b.end, [*a.runs, *b.runs])
+        ids = np.frombuffer(whole, np.uint32)
+        made = Leaf(self, text, *word, ids)
+        return Node(a.start, b.end, [*a.without_last(len(left) // 4), (made, 0, len(ids)), *b.without_first(len(right) // 4)])
+
+    def _at_window(self, text: str, a: Node, b: Node) -> Node:
+        """a and b joined where their tokens and those of a window agree."""
         made, reach = None, REACH
         while made is None:
             window = self._window(text, a, b, reach)
@@ -339,6 +376,16 @@ class TreeBpe(WordBpe):
         return Node(a.start, b.end, [*runs_a, (Piece(ids, starts, ends), 0, len(ids)), *runs_b])
 
 
+def word_at(text: str, a: Node, b: Node) -> tuple[int, int] | None:
+    """Where the word that a and b meet in begins and ends, or None if white space is farther than REACH."""
+    low, high = max(a.start, a.end - REACH), min(b.end, b.start + REACH)
+    first = max(text.rfind(" ", low, a.end), text.rfind("\n", low, a.end)) + 1
+    end = min((x for x in (text.find(" ", b.start, high), text.find("\n", b.start, high)) if x >= 0), default=-1)
+    if not first and low > a.start or end < 0 and high < b.end:
+        return None
+    return first or a.start, end if end >= 0 else b.end
+
+
 def halves(text: str, leaf: int) -> list[int]:
     """Where the leaves of text begin, and its end: halves of halves until none is longer than leaf."""
     if not text:
