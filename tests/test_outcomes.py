@@ -1,8 +1,14 @@
 """Deal texts, rules of removal and decisions on outcomes, by known values."""
 
+import math
+from datetime import datetime
+
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
+import __spark_entry__ as entry
+from tidemark import queries as q
 from tidemark.functions import deals
 from tidemark.operators import outcomes
 
@@ -172,3 +178,33 @@ def test_returns_are_rounded_once(spark):
     df = spark.createDataFrame([tuple(row.get(f) for f in FIELDS)], ", ".join(f"{f} {t}" for f, t in FIELDS.items()))
     got = outcomes.decided(df, digits=None).select(F.round("delisting_return", 6)).first()[0]
     assert got == -0.205619 and outcomes.decided(df).select("delisting_return").first()[0] == -0.2056195
+
+
+def test_limits_are_products_of_decimals(spark):
+    """0.6 of 23 is 13.8 and 0.2 of it 4.6; products of doubles are 13.799999999999999 and 4.6000000000000005."""
+    rows = [(23.0, 13.799999999999999, True), (23.0, 13.8, False), (0.05, 0.07500000000000001, True), (0.05, 0.075, False), (1e-14, 1e-14, False), (math.nan, 1.0, True), (math.inf, 1.0, True)]
+    cases = [tuple({"kind": "CS", "item_201": True, "cash": worth, "final_price": price}.get(f) for f in FIELDS) for price, worth, _ in rows]
+    df = spark.createDataFrame([(i, *case) for i, case in enumerate(cases)], "i long, " + ", ".join(f"{f} {t}" for f, t in FIELDS.items()))
+    assert [r.out_of_limits for r in outcomes.decided(df).orderBy("i").collect()] == [beyond for *_, beyond in rows]
+    cash = spark.createDataFrame([(4.6, 23.0), (4.6000000000000005, 23.0), (4.599999999999999, 23.0)], "cash double, final double")
+    assert [r.c for r in cash.select(outcomes.believable_cash(F.col("cash"), F.lit(None), F.col("final")).alias("c")).collect()] == [4.6, 4.6000000000000005, None]
+
+
+def test_firms_with_numbers_below_zero_are_firms_of_their_own(spark, tmp_path):
+    """Supplier 0 is firm -1, which must not make firm 1, the acquirer, ambiguous."""
+    day = lambda *x: datetime(*x)
+    deals_ = [(k, 8, "F", 100.0, day(1999, 6, 1), "5-LOW") for k in (1, 12, 29)]  # ratios of firms 2 and 6, cash of firm 1
+    tables = {
+        "orders": ([*deals_, (2, 8, "F", 100.0, day(2000, 1, 21), "2-HIGH")], "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderdate timestamp, o_orderpriority string"),
+        "lineitem": ([(2, 1, 1, 1, 10.0, 26000.0, day(2000, 1, 1))], "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double, l_shipdate timestamp"),
+        "customer": ([(8,)], "c_custkey long"),
+        "supplier": ([(0,), (1,), (2,)], "s_suppkey long"),
+    }
+    con = duckdb.connect()
+    for t, (rows, schema) in tables.items():
+        spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/{t}.parquet")
+        con.sql(f"CREATE VIEW {t} AS FROM '{tmp_path}/{t}.parquet/*.parquet'")
+    columns = ["id", "reason", "confidence", "source", "acquirer", "delisting_return", "out_of_limits"]
+    want = con.sql(f"SELECT {', '.join(columns)} FROM ({q.SQL['delisting_outcomes']})").fetchall()
+    got = [tuple(r) for r in entry.queries()["delisting_outcomes"](spark, str(tmp_path)).select(*columns).collect()]
+    assert got == want == [(8, "MERGER", "HIGH", "8K", "Firm 1 Holdings, Inc.", -0.015385, False)]

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -105,8 +107,7 @@ def decided(cases: DataFrame, digits: int | None = 8) -> DataFrame:
     deals_only = out["_v.reason"].isin("MERGER", "ACQUISITION_CASH", "ACQUISITION_STOCK") & (out["_v.confidence"] == "HIGH") & (F.col("final_price") > 0)
     by_shares = F.when(F.col("ratio").isNotNull() & ~yes("election"), F.col("ratio") * F.col("acquirer_close") + F.coalesce("cash", F.lit(0.0)))
     worth = F.when(deals_only, F.when(in_cash, F.col("cash")).otherwise(by_shares))
-    low, high = RETURN_LIMITS
-    good = worth.between(low * F.col("final_price"), high * F.col("final_price"))
+    good = worth.between(*(_times(x, F.col("final_price")) for x in RETURN_LIMITS))
     exact = (worth - F.col("final_price")) / F.col("final_price")
     told = F.when(out["_v.reason"] == "BANKRUPTCY", -1.0).when(good, exact if digits is None else F.round(exact, digits))
     return out.select(*cases.columns, "_v.*", told.alias("delisting_return"), F.coalesce(~good, F.lit(False)).alias("out_of_limits"))
@@ -114,5 +115,11 @@ def decided(cases: DataFrame, digits: int | None = 8) -> DataFrame:
 
 def believable_cash(cash: Column, ratio: Column, final_price: Column) -> Column:
     """cash, or null where it stands alone and is beyond CASH_LIMITS of the last price; without a positive price nothing is held against it."""
-    low, high = CASH_LIMITS
-    return F.when(ratio.isNotNull() | F.coalesce(final_price <= 0, F.lit(True)) | cash.between(low * final_price, high * final_price), cash)
+    low, high = (_times(x, final_price) for x in CASH_LIMITS)
+    return F.when(ratio.isNotNull() | F.coalesce(final_price <= 0, F.lit(True)) | cash.between(low, high), cash)
+
+
+def _times(share: float, price: Column) -> Column:
+    """share of a price, multiplied as decimals: of 23, 0.6 is 13.8, where doubles give a number just below. A price of more than 12 decimals is multiplied as it is."""
+    exact = price.cast("double").try_cast("decimal(30,12)")
+    return F.when(exact.cast("double") == price, (exact * F.lit(Decimal(str(share)))).cast("double")).otherwise(share * price)
