@@ -1,6 +1,7 @@
 """Prices under so many dividends that their rounded product is zero, against SQL."""
 
 import math
+import random
 from datetime import datetime, timedelta
 
 import duckdb
@@ -32,3 +33,23 @@ def test_adjustment_over_a_factor_of_zero(spark):
     factors = spark.createDataFrame([(1, "2000-01-02", 0.0)], "k int, x string, cumulative_factor double").withColumn("x", F.to_date("x"))
     got = [r["factor"] for r in ev.adjustment(prices, factors, "k", "d", "x", F.lit("2000-01-01").cast("date")).orderBy("d").collect()]
     assert math.isnan(got[0]) and got[1] == math.inf
+
+
+def test_cumulative_factors_are_the_same_in_any_order(spark):
+    """Sums of logarithms have the error of one double, however many rows they have and in whatever order these come."""
+    rng = random.Random(5)
+    factors = [rng.choice((0.9, 1.1)) + rng.random() / 100 for _ in range(600)]
+    rows = [(k, f"2000-01-{1 + i % 25:02}", f) for k, order in enumerate((factors, factors[::-1])) for i, f in (enumerate(order) if not k else zip(range(599, -1, -1), order))]
+    events = spark.createDataFrame(rows, "k int, d string, f double").coalesce(1)
+    got = {(r.k, r.d): r.cumulative_factor for r in ev.cumulative_factors(events, "k", "d", "f", digits=18).collect()}
+    days = sorted({d for _, d, _ in rows})
+    assert all(got[0, d] == got[1, d] for d in days)
+    for d in days:
+        total = math.fsum(math.log(f) for k, e, f in rows if k == 0 and e >= d)
+        assert abs(got[0, d] / math.exp(total) - 1) < 1e-15 * max(1, abs(total))
+
+
+def test_cumulative_factors_that_are_no_numbers(spark):
+    events = spark.createDataFrame([(1, "2000-01-02", math.inf), (1, "2000-01-01", 0.5), (1, "2000-01-03", 0.5), (2, "2000-01-01", math.nan), (3, "2000-01-01", 0.0)], "k int, d string, f double")
+    got = {(r.k, r.d): r.cumulative_factor for r in ev.cumulative_factors(events, "k", "d", "f").collect()}
+    assert math.isnan(got.pop((2, "2000-01-01"))) and got == {(1, "2000-01-01"): math.inf, (1, "2000-01-02"): math.inf, (1, "2000-01-03"): 0.5}

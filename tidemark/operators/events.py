@@ -33,11 +33,15 @@ def single_factor(kind: Column, cash: Column, split_from: Column, split_to: Colu
 def cumulative_factors(events: DataFrame, key: str, ex_date: str, factor: str, digits: int = 12) -> DataFrame:
     """(key, ex_date, cumulative_factor): products of the positive factors from each date on, as sums of their logarithms, rounded to digits.
 
-    A running sum over a key's dates from the last one on: nothing grows with the number of its events.
+    A running sum over a key's dates from the last one on: nothing grows with the number of its events. Logarithms are added up as
+    decimals, so that a sum is the same in any order of rows and has the error of one double, not of as many as there are events.
     """
-    each = events.where(F.col(factor) > 0).groupBy(key, ex_date).agg(F.sum(F.ln(F.col(factor).cast("double"))).alias("_l"))
+    log = F.ln(F.col(factor).cast("double"))
+    exact = log.try_cast("decimal(38,20)")  # null for what is no finite number, which stays what it is
+    each = events.where(F.col(factor) > 0).groupBy(key, ex_date).agg(F.sum(exact).alias("_l"), F.sum(F.when(exact.isNull(), log)).alias("_odd"))
     w = Window.partitionBy(key).orderBy(F.desc(ex_date)).rowsBetween(Window.unboundedPreceding, 0)
-    return each.select(key, ex_date, F.round(F.exp(F.sum("_l").over(w)), digits).alias("cumulative_factor"))
+    total = F.coalesce(F.sum("_odd").over(w), F.sum("_l").over(w).cast("double"))
+    return each.select(key, ex_date, F.round(F.exp(total), digits).alias("cumulative_factor"))
 
 
 def adjustment(prices: DataFrame, factors: DataFrame, key: str, date: str, ex_date: str, as_of: Column | None = None) -> DataFrame:
