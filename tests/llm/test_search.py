@@ -144,6 +144,24 @@ def test_links_keep_groups_whole(spark, monkeypatch, most):
     assert groups(sorted(signed), links) == want
 
 
+def test_links_broadcast_no_members(spark, monkeypatch):
+    """Members of crowded signatures explode into hundreds of rows each, which Spark takes for as small as their file."""
+    limit = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(limit)
+    monkeypatch.setattr(simhash, "PAIRWISE", 3)
+    rng = random.Random(9)
+    centre = rng.getrandbits(63)
+    prints = sorted({centre ^ (1 << rng.randrange(63)) ^ (1 << rng.randrange(63)) for _ in range(60)})
+    spark.conf.set(limit, "10m")
+    try:
+        links = simhash.links(spark.createDataFrame([(p,) for p in prints], "fp long"))
+        assert links.collect()
+        plan = links._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Broadcast" not in plan
+    finally:
+        spark.conf.set(limit, before)
+
+
 def test_components(spark):
     rng = random.Random(2)
     edges = [(rng.randrange(300), rng.randrange(300)) for _ in range(160)] + [(i, i + 1) for i in range(1000, 1040)] + [(7, 7), (None, 3), (2000, None)]

@@ -79,7 +79,8 @@ def _crowded(members: DataFrame) -> DataFrame:
     two = F.flatten(F.transform(bits, lambda i: F.transform(F.sequence(i, F.lit(31)), lambda j: F.struct(full.alias("x"), i.alias("i"), j.alias("j"), _without(_without(other, i), j).alias("rest")))))
     sub = members.select("key", "fp", F.explode(F.when(bit == 0, F.concat(one, two)).otherwise(one)).alias("s")).select("key", "s", "fp")
     least = sub.groupBy("key", "s").agg(F.min("fp").alias("a"), F.count("*").alias("n")).where("n > 1").drop("n")
-    return sub.join(least, ["key", "s"]).where("fp <> a").select("a", F.col("fp").alias("b"))
+    # by sorting: Spark takes exploded rows for as small as the file of the members, and a broadcast of them would fill the driver
+    return sub.join(least.hint("merge"), ["key", "s"]).where("fp <> a").select("a", F.col("fp").alias("b"))
 
 
 def links(fps: DataFrame) -> DataFrame:
@@ -91,7 +92,7 @@ def links(fps: DataFrame) -> DataFrame:
     # joined by sorting at every size: the shared signatures grow with the data, and this way skewed ones can be split
     members = stored(index.join(shared.where("n > 2").select("key", "n").hint("merge"), "key"), "members")
     few = members.where(F.col("n") <= PAIRWISE)
-    some = few.select("key", F.col("fp").alias("a")).join(few.select("key", F.col("fp").alias("b")), "key").where("a < b").where(near).select("a", "b")
+    some = few.select("key", F.col("fp").alias("a")).join(few.select("key", F.col("fp").alias("b")).hint("merge"), "key").where("a < b").where(near).select("a", "b")
     return pairs.union(some).union(_crowded(members.where(F.col("n") > PAIRWISE))).distinct()
 
 
@@ -118,7 +119,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     least = classes.join(groups, "fp").groupBy("component").agg(F.min("first_id").alias("component_id"))
     of = groups.join(least, "component").select("fp", "component_id")
     named = stored(classes.join(of, "fp", "left").select("fp", F.coalesce("component_id", "first_id").alias("component_id")), "named")
-    out = prints.join(named, "fp", "left")
+    out = prints.join(named.hint("merge"), "fp", "left")
     return out.select(
         "doc_id",
         F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
